@@ -1,0 +1,13 @@
+"""Seed dimensions (S13) as small DataFrames, safe to broadcast: their size is fixed."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from abtforge.operators.catalog import CHANNEL_CATALOG, channel_dimension
+
+__all__ = ["CHANNEL_CATALOG", "channel_dimension", "seed"]
+
+
+def seed(spark: SparkSession, rows, schema: str) -> DataFrame:
+    return spark.createDataFrame(list(rows), schema)
