@@ -33,3 +33,15 @@ def clip(c: Column | str, lo: float | Column, hi: float | Column) -> Column:
     lo_c = lo if isinstance(lo, Column) else F.lit(float(lo))
     hi_c = hi if isinstance(hi, Column) else F.lit(float(hi))
     return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(F.least(F.greatest(c, lo_c), hi_c))
+
+
+def fround(c: Column | str, digits: int) -> Column:
+    """Round half away from zero on the binary value: ``round(x * 10^d) / 10^d``.
+
+    Spark's ``round`` rounds the double's shortest decimal text, so a value printed as
+    ``35.82375`` goes up even when its binary value lies just below the midpoint; this form
+    rounds the value as stored, which is what most SQL engines do for DOUBLE.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    m = float(10 ** digits)
+    return (F.round(c.cast("double") * F.lit(m), 0) / F.lit(m)).cast("double")

@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from abtforge.operators import clean, joins, profile, quality
+from abtforge.functions.numeric import fround
+
+from abtforge.operators import clean, joins, profile, quality, split
 from abtforge.operators.wide import build_compact
 from abtforge.plans import sql_standins as S
 from abtforge.plans import standins as T
@@ -19,7 +21,7 @@ KEYS3 = ["num_doc_key", "obl17_key", "f_analisis"]
 
 
 def r6(c):
-    return F.round(c, 6)
+    return fround(c, 6)
 
 
 def keyed_clientes(spark, d):
@@ -95,7 +97,7 @@ def seed_dimension_join(spark, d):
     ev = T.table(spark, d, "events")
     # The seed has a fixed handful of rows: broadcasting it is safe at any data size.
     j = ev.join(F.broadcast(fam), on="event_type", how="left")
-    return j.groupBy("family").agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 4).alias("sum_value"),
+    return j.groupBy("family").agg(F.count(F.lit(1)).alias("n_events"), fround(F.sum("value"), 4).alias("sum_value"),
                                    F.count_distinct("user_id").alias("n_users"))
 
 
@@ -152,7 +154,7 @@ WHERE c.obl17_key IS NOT NULL"""
 
 
 def _round_doubles(df):
-    return df.select(*[F.round(F.col(c), 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return df.select(*[fround(F.col(c), 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def _base_oracle() -> str:
@@ -358,3 +360,16 @@ def catalog_listing(spark, d):
     cols = [tables.list_columns(spark, db, f"{n}_{suffix}").select(F.lit(n).alias("table_name"), "*")
             for n in ("clientes", "tanque")]
     return cols[0].unionByName(cols[1])
+
+
+# --------------------------------------------------------------------------- flagship
+def flagship(spark: SparkSession, d: str):
+    """Split counts of the analytic base table: read -> clean -> keys -> left join -> md5 split -> count."""
+    cl = keyed_clientes(spark, d)
+    tq = T.with_keys(T.tanque(spark, d))
+    base = joins.build_base_table(cl, [tq], keys=KEYS3)
+    return split.split_counts(split.with_hash_split(base, "num_doc_key"))
+
+
+register("flagship_split_counts", oracle=S.with_(S.CLIENTES) + f"""
+SELECT {S.md5_split('CAST(num_doc AS VARCHAR)')} AS split_group, count(*) AS n FROM clientes GROUP BY 1""")(flagship)

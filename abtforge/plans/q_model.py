@@ -1,0 +1,327 @@
+"""Registered queries: labels, splits, feature preparation, leakage, metrics, model, runs."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from abtforge.functions.numeric import fround
+
+from abtforge.functions.names import LEAK_NAME_PATTERNS
+from abtforge.operators import leakage, metrics, model, prep, runs, split
+from abtforge.operators.features import create_features
+from abtforge.plans import sql_standins as S
+from abtforge.plans import standins as T
+from abtforge.plans.q_core import KEYS3, keyed_clientes
+from abtforge.plans.registry import register
+from abtforge.session import work_dir
+
+TRAIN_BEFORE, TEST_START, TEST_END = "1999-01-01", "1999-01-01", "2000-06-01"
+CLIP_COLS = ["tq_avg_price", "tq_max_price", "tq_std_price", "mo_dias_mora"]
+LEAK_FEATURES = ["tq_sum_qty", "tq_avg_price", "tq_std_price", "mo_n_returned", "mo_n_open", "mo_avg_disc",
+                 "mo_dias_mora", "estado_f", "estado_no_f", "label_x", "const_one", "casi_target"]
+
+
+def r6(c):
+    return fround(c, 6)
+
+
+def training_frame(spark, d):
+    """Keyed clientes + order-level features + label + hash split + planted leak columns."""
+    cl = keyed_clientes(spark, d)
+    ol = T.with_keys(T.order_lines(spark, d)).drop("num_doc", "obl17")
+    df = split.with_hash_split(cl.join(ol, on=KEYS3, how="left"), "num_doc_key")
+    y = F.col("target_final")
+    return df.select("*", y.cast("double").alias("estado_f"), (1 - y).cast("double").alias("estado_no_f"),
+                     y.alias("label_x"), F.lit(1.0).alias("const_one"),
+                     (y * F.lit(1000.0) + F.col("mo_avg_disc")).alias("casi_target"))
+
+
+TRAIN_FRAME_SQL = S.with_(S.CLIENTES, S.CLIENTES_KEYS, S.ORDER_LINES) + f""",
+tf AS (
+  SELECT c.var_rta AS target_final, {S.md5_split('c.num_doc_key')} AS split_group, c.num_doc_key, c.obl17_key, c.f_analisis,
+         o.tq_sum_qty, o.tq_avg_price, o.tq_min_price, o.tq_max_price, o.tq_std_price, o.mo_n_returned, o.mo_n_open,
+         o.mo_avg_disc, o.mo_max_tax, o.mo_dias_mora,
+         CAST(c.var_rta AS DOUBLE) AS estado_f, CAST(1 - c.var_rta AS DOUBLE) AS estado_no_f, c.var_rta AS label_x,
+         1.0::DOUBLE AS const_one, c.var_rta * 1000.0::DOUBLE + o.mo_avg_disc AS casi_target
+  FROM clientes_k c LEFT JOIN order_lines o
+    ON c.num_doc_key = CAST(o.num_doc AS VARCHAR) AND c.obl17_key = CAST(CAST(o.obl17 AS DECIMAL(38,0)) AS VARCHAR)
+   AND c.f_analisis = o.f_analisis
+  WHERE c.obl17_key IS NOT NULL)
+"""
+
+
+# --------------------------------------------------------------------------- P21, P22
+@register("ratio_and_flag", oracle="""
+SELECT l_orderkey, l_linenumber,
+       round(CASE WHEN l_extendedprice * l_tax = 0 THEN NULL ELSE (l_extendedprice * l_discount) / (l_extendedprice * l_tax) END, 6) AS ratio_digital,
+       CASE WHEN CAST(l_quantity AS INTEGER) > 30 THEN 1 ELSE 0 END AS flag_mora_alta
+FROM lineitem""")
+def ratio_and_flag(spark, d):
+    li = T.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_extendedprice") * F.col("l_discount")).alias("monto_app"),
+        (F.col("l_extendedprice") * F.col("l_tax")).alias("monto_total"), F.col("l_quantity").cast("int").alias("dias_mora"))
+    out = create_features(li)
+    return out.select("l_orderkey", "l_linenumber", r6(F.col("ratio_digital")).alias("ratio_digital"), "flag_mora_alta")
+
+
+# --------------------------------------------------------------------------- P23, P24
+@register("label_projection", oracle=S.with_(S.CLIENTES, S.CLIENTES_KEYS) + """
+SELECT CAST(var_rta AS INTEGER) AS target_final, num_doc, obl17, f_analisis, segmento, prioridad, num_doc_key, obl17_key
+FROM clientes_k WHERE obl17_key IS NOT NULL""")
+def label_projection(spark, d):
+    return split.add_label(keyed_clientes(spark, d))
+
+
+# --------------------------------------------------------------------------- V1, A1
+@register("hash_split_counts", oracle=S.with_(S.CLIENTES) + f"""
+SELECT {S.md5_split('CAST(num_doc AS VARCHAR)')} AS split_group, count(*) AS n FROM clientes GROUP BY 1""")
+def hash_split_counts(spark, d):
+    return split.split_counts(split.with_hash_split(keyed_clientes(spark, d), "num_doc_key"))
+
+
+# --------------------------------------------------------------------------- V2, V3, A2
+@register("temporal_split_counts", oracle=S.with_(S.CLIENTES) + f"""
+SELECT CASE WHEN f_analisis IS NULL THEN NULL WHEN f_analisis < DATE '{TRAIN_BEFORE}' THEN 'TRAIN'
+            WHEN f_analisis >= DATE '{TEST_START}' AND f_analisis < DATE '{TEST_END}' THEN 'TEST' ELSE 'OOT' END AS split_group,
+       var_rta AS target_final, count(*) AS n
+FROM clientes GROUP BY 1, 2""")
+def temporal_split_counts(spark, d):
+    df = split.with_temporal_split(keyed_clientes(spark, d), TRAIN_BEFORE, TEST_START, TEST_END)
+    split.require_splits(df)
+    return df.groupBy("split_group", "target_final").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --------------------------------------------------------------------------- X8
+@register("latest_month_oot", oracle=S.with_(S.CLIENTES) + f"""
+SELECT CASE WHEN date_trunc('month', f_analisis) = (SELECT max(date_trunc('month', f_analisis)) FROM clientes) THEN 'OOT'
+            ELSE {S.md5_split('CAST(num_doc AS VARCHAR)')} END AS split_group, count(*) AS n
+FROM clientes GROUP BY 1""")
+def latest_month_oot(spark, d):
+    base = split.with_hash_split(keyed_clientes(spark, d), "num_doc_key").withColumnRenamed("split_group", "_hash_split")
+    base = base.withColumn("var_rta", F.col("target_final")).drop("target_final")
+    df = split.with_latest_month_oot(base, test_fraction_col="_hash_split")
+    return split.split_counts(df)
+
+
+# --------------------------------------------------------------------------- P25, P26
+@register("numeric_coerce_inf", oracle="""
+SELECT p_partkey, round(TRY_CAST(CAST(p_retailprice AS VARCHAR) AS DOUBLE), 6) AS price_txt,
+       TRY_CAST(trim(p_brand) AS DOUBLE) AS brand_txt,
+       CASE WHEN p_size > 45 OR p_size < 3 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS size_inf
+FROM part""")
+def numeric_coerce_inf(spark, d):
+    p = T.table(spark, d, "part")
+    inf = float("inf")
+    raw = p.select("p_partkey", F.col("p_retailprice").cast("string").alias("price_txt"), F.col("p_brand").alias("brand_txt"),
+                   F.when(F.col("p_size") > 45, F.lit(inf)).when(F.col("p_size") < 3, F.lit(-inf))
+                   .otherwise(F.col("p_size").cast("double")).alias("size_inf"))
+    out = prep.coerce_numeric(raw, ["price_txt", "brand_txt", "size_inf"], keep=["p_partkey"])
+    return out.withColumn("price_txt", r6(F.col("price_txt")))
+
+
+@register("inf_counts", oracle="""
+SELECT 'size_inf' AS column_name, count_if(p_size > 45 OR p_size < 3) AS n_inf FROM part
+UNION ALL SELECT 'price_txt', CAST(0 AS BIGINT)""")
+def inf_counts(spark, d):
+    p = T.table(spark, d, "part")
+    inf = float("inf")
+    raw = p.select(F.col("p_retailprice").cast("string").alias("price_txt"),
+                   F.when(F.col("p_size") > 45, F.lit(inf)).when(F.col("p_size") < 3, F.lit(-inf))
+                   .otherwise(F.col("p_size").cast("double")).alias("size_inf"))
+    return prep.infinite_counts(raw, ["size_inf", "price_txt"])
+
+
+# --------------------------------------------------------------------------- P27, P29
+@register("drop_null_cols_align", oracle=TRAIN_FRAME_SQL + """
+SELECT obl17_key, NULL::DOUBLE AS tq_avg_price, mo_n_open FROM tf""")
+def drop_null_cols_align(spark, d):
+    tf = training_frame(spark, d)
+    train = tf.filter(F.col("split_group") == "TRAIN").select("tq_avg_price", F.lit(None).cast("double").alias("vacia"), "mo_n_open")
+    feats = [c for c in train.columns if c not in prep.all_null_columns(train, train.columns)]
+    later = tf.select("obl17_key", "mo_n_open", "tq_std_price")
+    return prep.align_features(later, feats, keep=["obl17_key"])
+
+
+# --------------------------------------------------------------------------- P28
+def _clip_sql(rows: str, cols: list[str], out_keys: str) -> str:
+    b = ", ".join(f"quantile_cont({c}, 0.001) AS lo_{c}, quantile_cont({c}, 0.999) AS hi_{c}" for c in cols)
+    sel = ", ".join(
+        f"round(CASE WHEN {c} IS NULL THEN NULL WHEN lo_{c} IS NOT NULL AND hi_{c} IS NOT NULL AND hi_{c} > lo_{c} "
+        f"THEN LEAST(GREATEST(CAST({c} AS DOUBLE), lo_{c}), hi_{c}) ELSE CAST({c} AS DOUBLE) END, 6) AS {c}" for c in cols)
+    return TRAIN_FRAME_SQL + f", bnd AS (SELECT {b} FROM tf WHERE split_group = 'TRAIN')\nSELECT {out_keys}, {sel} FROM ({rows}) r, bnd"
+
+
+@register("quantile_clip", oracle=_clip_sql("SELECT * FROM tf", CLIP_COLS, "obl17_key"))
+def quantile_clip(spark, d):
+    tf = training_frame(spark, d)
+    bounds = prep.bounds_dict(prep.quantile_bounds(tf.filter(F.col("split_group") == "TRAIN"), CLIP_COLS))
+    out = prep.apply_clip(tf.select("obl17_key", *[F.col(c).cast("double").alias(c) for c in CLIP_COLS]), bounds)
+    return out.select("obl17_key", *[r6(F.col(c)).alias(c) for c in CLIP_COLS])
+
+
+# --------------------------------------------------------------------------- M10, P30
+@register("fitted_sanitise", oracle=_clip_sql("SELECT * FROM tf WHERE split_group <> 'TRAIN'",
+                                              ["tq_avg_price", "tq_std_price", "mo_dias_mora"], "obl17_key, split_group"))
+def fitted_sanitise(spark, d):
+    tf = training_frame(spark, d).withColumn("vacia", F.lit(None).cast("string"))
+    feats = prep.feature_candidates(["tq_avg_price", "tq_std_price", "mo_dias_mora", "vacia", "split_group", "num_doc_key"])
+    train = tf.filter(F.col("split_group") == "TRAIN")
+    _, kept, bounds = prep.sanitize_fit(train, feats)
+    rest = tf.filter(F.col("split_group") != "TRAIN")
+    out = prep.sanitize_apply(rest, kept, bounds, keep=["obl17_key", "split_group"])
+    return out.select("obl17_key", "split_group", *[r6(F.col(c)).alias(c) for c in kept])
+
+
+# --------------------------------------------------------------------------- A12, M9
+def _corr_sql(cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        x = f"CAST({c} AS DOUBLE)"
+        f = f"FILTER (WHERE {c} IS NOT NULL AND target_final IS NOT NULL)"
+        parts.append(f"SELECT '{c}' AS column_name, covar_samp({x}, target_final) {f} AS cv, var_samp({x}) {f} AS vx, "
+                     f"var_samp(target_final) {f} AS vy FROM tf WHERE split_group = 'TRAIN'")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("target_correlation", oracle=TRAIN_FRAME_SQL + "SELECT column_name, round(corr, 6) AS corr, "
+          "COALESCE(abs(corr) >= 0.999, false) AS flagged FROM (SELECT column_name, CASE WHEN vx > 0 AND vy > 0 "
+          "THEN cv / (sqrt(vx) * sqrt(vy)) END AS corr FROM (" + _corr_sql(LEAK_FEATURES) + "))")
+def target_correlation(spark, d):
+    train = training_frame(spark, d).filter(F.col("split_group") == "TRAIN")
+    out = leakage.target_correlation(train, LEAK_FEATURES, "target_final")
+    return out.select("column_name", r6(F.col("corr")).alias("corr"), "flagged")
+
+
+# --------------------------------------------------------------------------- A13, P31
+def _leak_sql() -> str:
+    pat = "|".join(LEAK_NAME_PATTERNS).replace("'", "''")
+    names = ", ".join(f"('{c}')" for c in LEAK_FEATURES)
+    by_name = f"SELECT c AS column_name, 'name' AS reason FROM (VALUES {names}) v(c) WHERE regexp_matches(c, '{pat}', 'i')"
+    perf = []
+    for c in LEAK_FEATURES:
+        x = f"CAST({c} AS DOUBLE)"
+        perf.append(
+            f"SELECT '{c}' AS column_name, COALESCE(bool_and({x} IS NULL OR {x} IN (0, 1)), false) AND count({x}) > 0 AS bin, "
+            f"COALESCE(bool_and({x} IS NOT DISTINCT FROM CAST(target_final AS DOUBLE)), false) AS eq, "
+            f"COALESCE(bool_and(1 - {x} IS NOT DISTINCT FROM CAST(target_final AS DOUBLE)), false) AS inv "
+            f"FROM tf WHERE split_group = 'TRAIN'")
+    perf_sql = "\nUNION ALL\n".join(perf)
+    return (TRAIN_FRAME_SQL + f", nm AS ({by_name}),\n safe AS (SELECT * FROM (VALUES {names}) v(c) WHERE c NOT IN (SELECT column_name FROM nm)),\n"
+            f" pf AS ({perf_sql}),\n cr AS (SELECT column_name, CASE WHEN vx > 0 AND vy > 0 THEN cv / (sqrt(vx) * sqrt(vy)) END AS corr "
+            f"FROM ({_corr_sql(LEAK_FEATURES)}))\n"
+            "SELECT * FROM nm\nUNION ALL SELECT column_name, 'perfect' FROM pf WHERE bin AND (eq OR inv) AND column_name IN (SELECT c FROM safe)\n"
+            "UNION ALL SELECT column_name, 'corr' FROM cr WHERE abs(corr) >= 0.999 AND column_name IN (SELECT c FROM safe)")
+
+
+@register("perfect_leak", oracle=_leak_sql())
+def perfect_leak(spark, d):
+    train = training_frame(spark, d).filter(F.col("split_group") == "TRAIN")
+    return leakage.leakage_report(train, LEAK_FEATURES, "target_final")
+
+
+# --------------------------------------------------------------------------- M4-M6
+def _metric_sql(score_expr: str = "score", where: str = "") -> str:
+    return S.with_(S.SCORES) + f""",
+sc AS (SELECT split_group, target_final AS label, {score_expr} AS score FROM scores {where}),
+g AS (SELECT split_group, score, sum(label) AS p, count(*) - sum(label) AS n FROM sc GROUP BY split_group, score),
+c AS (SELECT split_group, score, p, n,
+             sum(p) OVER (PARTITION BY split_group ORDER BY score DESC) AS cp,
+             sum(n) OVER (PARTITION BY split_group ORDER BY score DESC) AS cn,
+             sum(p) OVER (PARTITION BY split_group) AS tp, sum(n) OVER (PARTITION BY split_group) AS tn FROM g),
+m AS (SELECT split_group, sum((cp - p) * n + 0.5 * p * n) / max(tp * tn) AS auc, max(cp / tp - cn / tn) AS ks,
+             sum(p / tp * cp / (cp + cn)) AS ap FROM c GROUP BY split_group)
+"""
+
+
+@register("auc_ks_ap", oracle=_metric_sql() + "SELECT split_group, round(auc, 6) AS auc, round(ks, 6) AS ks, round(ap, 6) AS ap FROM m")
+def auc_ks_ap(spark, d):
+    out = metrics.ranking_metrics(T.scores(spark, d), label="target_final", score="score", by=["split_group"])
+    return out.select("split_group", *[r6(F.col(c)).alias(c) for c in ("auc", "ks", "ap")])
+
+
+# --------------------------------------------------------------------------- M7
+@register("threshold_metrics", oracle=S.with_(S.SCORES) + """,
+t AS (SELECT split_group, count_if(target_final = 0 AND score < 0.5) AS tn, count_if(target_final = 0 AND score >= 0.5) AS fp,
+             count_if(target_final = 1 AND score < 0.5) AS fn, count_if(target_final = 1 AND score >= 0.5) AS tp
+      FROM scores GROUP BY split_group)
+SELECT split_group, round(COALESCE(tp / NULLIF(tp + fp, 0), 0), 6) AS precision, round(COALESCE(tp / NULLIF(tp + fn, 0), 0), 6) AS recall,
+       round(COALESCE(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0), 6) AS f1, tn, fp, fn, tp FROM t""")
+def threshold_metrics(spark, d):
+    out = metrics.threshold_metrics(T.scores(spark, d), label="target_final", score="score", thr=0.5, by=["split_group"])
+    return out.select("split_group", *[r6(F.col(c)).alias(c) for c in ("precision", "recall", "f1")], "tn", "fp", "fn", "tp")
+
+
+# --------------------------------------------------------------------------- M11-M13, X9
+_RUN_SCORES = {"run_total": "score", "run_inverse": "1.0 - score", "run_leaky": "CAST(target_final AS DOUBLE)"}
+
+
+def _runs_table(spark, d):
+    sc = T.scores(spark, d)
+    exprs = {"run_total": F.col("score"), "run_inverse": F.lit(1.0) - F.col("score"),
+             "run_leaky": F.col("target_final").cast("double")}
+    path = work_dir(spark, "model_runs")
+    for run_id, e in exprs.items():
+        m = metrics.ranking_metrics(sc.withColumn("_s", e), label="target_final", score="_s", by=["split_group"])
+        vals = {r["split_group"]: r["auc"] for r in m.collect()}
+        rec = runs.run_record(spark, "debito_recurrente", {"scorer": run_id}, dict(runs.REQUIRED_TAGS),
+                              {"auc_test": vals.get("TEST"), "auc_oot": vals.get("OOT")},
+                              features=["score"], run_id=run_id)
+        runs.log_run(rec, path)
+    return spark.read.parquet(path)
+
+
+@register("run_log_best", oracle="\n".join([
+    _metric_sql("score").replace("WITH ", "WITH r1 AS (SELECT 1), ", 1)
+    + "SELECT 'run_total' AS run_id, round(auc, 6) AS metric_value, true AS tags_ok, 1 AS n_features FROM m WHERE split_group = 'OOT'"
+    " AND auc >= 0.5"
+    "\nUNION ALL\n"
+    "SELECT 'run_inverse', round(1 - auc, 6), true, 1 FROM m WHERE split_group = 'OOT' AND auc < 0.5"]))
+def run_log_best(spark, d):
+    best = runs.best_run(_runs_table(spark, d), "auc_oot")
+    return best.select("run_id", r6(F.col("metric_value")).alias("metric_value"), "tags_ok",
+                       F.size("features").alias("n_features"))
+
+
+@register("run_stability")
+def run_stability(spark, d):
+    from abtforge.operators.features import stability
+
+    return stability(_runs_table(spark, d))
+
+
+# --------------------------------------------------------------------------- M1-M3, M8, M14 (rows only)
+_MODEL_CACHE: dict = {}
+
+
+def fitted_forest(spark, d):
+    key = (spark.sparkContext.applicationId, d)
+    if key in _MODEL_CACHE:
+        return _MODEL_CACHE[key]
+    tf = training_frame(spark, d)
+    train = tf.filter(F.col("split_group") == "TRAIN")
+    cands = prep.feature_candidates([c for c in tf.columns if c not in ("segmento", "prioridad")])
+    report = leakage.leakage_report(train, cands, "target_final")
+    dropped = leakage.columns_to_drop(report)
+    feats = [c for c in cands if c not in set(dropped)]
+    keep = ["num_doc_key", "obl17_key", "f_analisis", "split_group", "target_final"]
+    clean_train, kept, bounds = prep.sanitize_fit(train, feats, keep=keep)
+    mdl = model.fit_forest(clean_train, kept, "target_final")
+    _MODEL_CACHE[key] = (mdl, kept, bounds, dropped, keep)
+    return _MODEL_CACHE[key]
+
+
+@register("forest_scores")
+def forest_scores(spark, d):
+    mdl, kept, bounds, dropped, keep = fitted_forest(spark, d)
+    tf = training_frame(spark, d)
+    ready = prep.sanitize_apply(tf, kept, bounds, keep=keep)
+    scored = model.score(mdl, ready, keep)
+    m = metrics.ranking_metrics(scored.filter(F.col("split_group") == "OOT"), label="target_final", score="score").first()
+    auc = m["auc"] if m and m["auc"] is not None else float("nan")
+    return scored.select(*keep, "score", F.lit("forest_run").alias("run_id"), F.lit(auc).alias("auc_oot"))
+
+
+@register("forest_importances")
+def forest_importances(spark, d):
+    mdl, kept, _, _, _ = fitted_forest(spark, d)
+    return model.feature_importances(mdl, kept, top=30)
