@@ -121,12 +121,17 @@ def save_skip_overwrite(spark, d):
 
 # --------------------------------------------------------------------------- J1, P7, P8
 def base_table(spark, d):
+    """clientes LEFT JOIN order-level features LEFT JOIN user-level channel features.
+
+    The moras and tanque stand-ins are two projections of one lineitem aggregate, so they
+    are joined as one side: lineitem is scanned, pre-aggregated and shuffled once.
+    """
     cl = keyed_clientes(spark, d)
-    mo = T.with_keys(T.moras(spark, d))
-    tq = T.with_keys(T.tanque(spark, d))
+    ol = T.with_keys(T.order_lines(spark, d)).select(
+        "num_doc", "obl17", *KEYS3, *T.MORAS_COLS, *T.TANQUE_COLS)
     ca = build_compact(T.canales_wide(spark, d), T.WIDE_CONFIG)
     ca = ca.withColumn("num_doc_key", F.trim(F.col("num_doc")))
-    return joins.build_base_table(cl, [mo, tq, (ca, ["num_doc_key"])], keys=KEYS3)
+    return joins.build_base_table(cl, [ol, (ca, ["num_doc_key"])], keys=KEYS3)
 
 
 def _base_table_sql() -> str:
