@@ -61,11 +61,16 @@ def score_summary(scores: DataFrame) -> DataFrame:
 
 def score_quantiles(scores: DataFrame, qs: Sequence[float] = (0.5, 0.9, 0.95, 0.99), exact: bool = True,
                     by: Sequence[str] = ()) -> DataFrame:
-    """Interpolated quantiles of the score (A6); ``exact=False`` for bounded memory."""
-    arr = F.array(*[F.lit(q) for q in qs])
-    pct = F.percentile("score", arr) if exact else F.percentile_approx("score", arr, 100000)
+    """Interpolated quantiles of the score (A6): exact by distributed rank search, or
+    ``percentile_approx`` with ``exact=False``."""
+    from abtforge.operators import quantiles as Q
+
     names = [f"p{int(round(q * 100))}" for q in qs]
-    return scores.groupBy(*by).agg(pct.alias("_q")).select(
+    if exact:
+        qdf = Q.exact_quantiles(scores, ["score"], qs, by=by)
+        return Q.pivot_quantiles(qdf, list(by), qs, names)
+    arr = F.array(*[F.lit(q) for q in qs])
+    return scores.groupBy(*by).agg(F.percentile_approx("score", arr, 100000).alias("_q")).select(
         *by, *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(names)])
 
 

@@ -52,31 +52,27 @@ def all_null_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
 
 
 def quantile_bounds(df: DataFrame, cols: Sequence[str], q_low: float = 0.001, q_high: float = 0.999,
-                    exact: bool = True, batch: int = 64, accuracy: int = 100000) -> DataFrame:
+                    exact: bool = True, accuracy: int = 100000, slices: int | None = None) -> DataFrame:
     """(column_name, q_low, q_high) per column, kept only when both exist and q_high > q_low.
 
-    Exact interpolated percentiles by default.  Columns are processed in batches of
-    ``batch`` so that the per-column value maps of ``percentile`` never all sit in one
-    aggregation buffer; ``exact=False`` switches to bounded-memory ``percentile_approx``.
+    Exact interpolated quantiles by distributed rank search (``quantiles.exact_quantiles``:
+    no column's values are ever gathered in one task); ``exact=False`` uses one
+    ``percentile_approx`` per column with bounded memory.
     """
+    from abtforge.operators import quantiles as Q
+
     spark = df.sparkSession
-    parts = []
     cols = list(cols)
-    for start in range(0, len(cols), batch):
-        chunk = cols[start:start + batch]
-        qs = F.array(F.lit(q_low), F.lit(q_high))
-        fn = (lambda c: F.percentile(c, qs)) if exact else (lambda c: F.percentile_approx(c, qs, accuracy))
-        wide = df.agg(*[fn(F.col(f"`{c}`").cast("double")).alias(f"q{i}") for i, c in enumerate(chunk)])
-        rows = F.array(*[F.struct(F.lit(c).alias("column_name"),
-                                  F.col(f"q{i}")[0].cast("double").alias("q_low"),
-                                  F.col(f"q{i}")[1].cast("double").alias("q_high"))
-                         for i, c in enumerate(chunk)])
-        parts.append(wide.select(F.explode(rows).alias("r")).select("r.*"))
-    if not parts:
+    if not cols:
         return spark.createDataFrame([], "column_name string, q_low double, q_high double")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    if exact:
+        out = Q.pivot_quantiles(Q.exact_quantiles(df, cols, [q_low, q_high], slices=slices), ["column_name"],
+                                [q_low, q_high], ["q_low", "q_high"])
+    else:
+        qs = F.array(F.lit(q_low), F.lit(q_high))
+        long = Q.long_values(df, cols)
+        out = long.groupBy("column_name").agg(F.percentile_approx("value", qs, accuracy).alias("_q")).select(
+            "column_name", F.col("_q")[0].cast("double").alias("q_low"), F.col("_q")[1].cast("double").alias("q_high"))
     return out.filter(F.col("q_low").isNotNull() & F.col("q_high").isNotNull() & (F.col("q_high") > F.col("q_low")))
 
 

@@ -43,30 +43,36 @@ def null_profile(df: DataFrame, top: int | None = 20) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, limit_cols: int | None = None,
-                    exact: bool = True, accuracy: int = 10000) -> DataFrame:
+                    exact: bool = True, accuracy: int = 10000, slices: int | None = None) -> DataFrame:
     """Per numeric column: min, avg, max, p50, p95, p99 (one row per column).
 
-    The columns are unpivoted to (column_name, value) and grouped, so each column's
-    statistics are computed by a different task after one shuffle.  ``exact`` uses Spark's
-    interpolating ``percentile``; ``exact=False`` uses ``percentile_approx`` whose buffer is
-    bounded regardless of the number of distinct values.
+    ``exact`` (default): the columns are unpivoted to (column_name, value), reduced to
+    distinct values with counts, and quantiles are found by distributed rank search
+    (``quantiles.exact_quantiles``); min/avg/max are a plain grouped aggregate (partial on
+    the map side).  ``exact=False``: one grouped ``percentile_approx`` with
+    bounded memory per column.
     """
+    from abtforge.operators import quantiles as Q
+
     if cols is None:
         cols = numeric_columns(df)
     cols = list(cols)[:limit_cols] if limit_cols else list(cols)
     if not cols:
         return df.sparkSession.createDataFrame(
             [], "column_name string, min double, avg double, max double, p50 double, p95 double, p99 double")
-    long = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).unpivot([], cols, "column_name", "value")
-    qs = [0.5, 0.95, 0.99]
-    if exact:
-        pct = F.percentile(F.col("value"), F.array(*[F.lit(q) for q in qs]))
-    else:
+    qs, names = [0.5, 0.95, 0.99], ["p50", "p95", "p99"]
+    long = Q.long_values(df, cols)
+    if not exact:
         pct = F.percentile_approx(F.col("value"), F.array(*[F.lit(q) for q in qs]), accuracy)
-    agg = long.groupBy("column_name").agg(
-        F.min("value").alias("min"), F.avg("value").alias("avg"), F.max("value").alias("max"), pct.alias("_q"))
-    return agg.select("column_name", "min", "avg", "max",
-                      *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(["p50", "p95", "p99"])])
+        agg = long.groupBy("column_name").agg(
+            F.min("value").alias("min"), F.avg("value").alias("avg"), F.max("value").alias("max"), pct.alias("_q"))
+        return agg.select("column_name", "min", "avg", "max",
+                          *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(names)])
+    dist = Q.value_distribution(long, ["column_name"], slices)
+    basic = long.groupBy("column_name").agg(F.min("value").alias("min"), F.avg("value").alias("avg"),
+                                            F.max("value").alias("max"))
+    qv = Q.pivot_quantiles(Q.quantiles_from_distribution(dist, ["column_name"], qs), ["column_name"], qs, names)
+    return basic.join(qv, on="column_name", how="left").select("column_name", "min", "avg", "max", *names)
 
 
 def top_values(df: DataFrame, col: str, top: int = 10) -> DataFrame:
