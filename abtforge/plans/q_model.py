@@ -289,39 +289,48 @@ def run_stability(spark, d):
     return stability(_runs_table(spark, d))
 
 
-# --------------------------------------------------------------------------- M1-M3, M8, M14 (rows only)
+# --------------------------------------------------------------------------- M1-M3, M8, M11-M15 (rows only)
 _MODEL_CACHE: dict = {}
 
 
-def fitted_forest(spark, d):
+def trained_run(spark, d):
+    """Train once per application and data set: the run row, the model and the run table."""
+    from abtforge.operators import scoring
+
     key = (spark.sparkContext.applicationId, d)
-    if key in _MODEL_CACHE:
-        return _MODEL_CACHE[key]
-    tf = training_frame(spark, d)
-    train = tf.filter(F.col("split_group") == "TRAIN")
-    cands = prep.feature_candidates([c for c in tf.columns if c not in ("segmento", "prioridad")])
-    report = leakage.leakage_report(train, cands, "target_final")
-    dropped = leakage.columns_to_drop(report)
-    feats = [c for c in cands if c not in set(dropped)]
-    keep = ["num_doc_key", "obl17_key", "f_analisis", "split_group", "target_final"]
-    clean_train, kept, bounds = prep.sanitize_fit(train, feats, keep=keep)
-    mdl = model.fit_forest(clean_train, kept, "target_final")
-    _MODEL_CACHE[key] = (mdl, kept, bounds, dropped, keep)
+    if key not in _MODEL_CACHE:
+        base = work_dir(spark, "forest")
+        gold = training_frame(spark, d).drop("segmento", "prioridad")
+        res = scoring.train_and_log(gold, f"{base}/model_runs", f"{base}/model", run_id="forest_run")
+        _MODEL_CACHE[key] = (res, base)
     return _MODEL_CACHE[key]
 
 
 @register("forest_scores")
 def forest_scores(spark, d):
-    mdl, kept, bounds, dropped, keep = fitted_forest(spark, d)
-    tf = training_frame(spark, d)
-    ready = prep.sanitize_apply(tf, kept, bounds, keep=keep)
-    scored = model.score(mdl, ready, keep)
-    m = metrics.ranking_metrics(scored.filter(F.col("split_group") == "OOT"), label="target_final", score="score").first()
-    auc = m["auc"] if m and m["auc"] is not None else float("nan")
-    return scored.select(*keep, "score", F.lit("forest_run").alias("run_id"), F.lit(auc).alias("auc_oot"))
+    from abtforge.operators import scoring
+
+    res, base = trained_run(spark, d)
+    gold = training_frame(spark, d).drop("segmento", "prioridad")
+    return scoring.score_best(gold, f"{base}/model_runs", "scores_best", database="abt_model_results",
+                              table_path=f"{base}/scores_best")
+
+
+@register("forest_decisions")
+def forest_decisions(spark, d):
+    from abtforge.operators import scoring
+
+    forest_scores(spark, d)
+    res, base = trained_run(spark, d)
+    scores = spark.table("`abt_model_results`.`scores_best`")
+    out = scoring.refresh(spark, scores, decisions_table="decision_final_v1", database="abt_model_results",
+                          table_path=f"{base}/decision_final_v1")
+    return out["counts"]
 
 
 @register("forest_importances")
 def forest_importances(spark, d):
-    mdl, kept, _, _, _ = fitted_forest(spark, d)
-    return model.feature_importances(mdl, kept, top=30)
+    from pyspark.ml import PipelineModel
+
+    res, _ = trained_run(spark, d)
+    return model.feature_importances(PipelineModel.load(res.model_path), res.features, top=30)
