@@ -39,7 +39,8 @@ def trailing_features(events: DataFrame, key: str = "user_id", ts: str = "ts", v
                       digital_kinds: Sequence[str] = ()) -> DataFrame:
     """Per (key, day with activity): for each trailing window of ``d`` days ending that day,
     frequency (active days), event count, amount sum, mean, sample stddev, max, distinct
-    kinds (diversity) and, when ``digital_kinds`` is given, the share of digital amount.
+    kinds (diversity), trend (slope of the daily amount per day) and, when
+    ``digital_kinds`` is given, the share of digital amount.
 
     The kinds set per day is bounded by the number of kinds, so the window's union of sets
     stays small.
@@ -67,6 +68,8 @@ def trailing_features(events: DataFrame, key: str = "user_id", ts: str = "ts", v
             F.sqrt(F.greatest(var, F.lit(0.0))).alias(f"std_value_{d}d"),
             F.max("_max").over(w).alias(f"max_value_{d}d"),
             F.size(F.array_distinct(F.flatten(F.collect_list("_kinds").over(w)))).alias(f"n_kinds_{d}d"),
+            # trend: least-squares slope of the daily amount over the day number
+            F.regr_slope("_sum", "_d").over(w).alias(f"trend_value_{d}d"),
         ]
         if digital_kinds:
             out.append(F.coalesce(F.try_divide(F.sum(F.coalesce("_dig", F.lit(0.0))).over(w), s), F.lit(0.0))
@@ -74,6 +77,17 @@ def trailing_features(events: DataFrame, key: str = "user_id", ts: str = "ts", v
     return daily.select(*out)
 
 
+def contact_features(contacts: DataFrame, key: Sequence[str], outcome: str, agreed: Sequence[str],
+                     refused: Sequence[str]) -> DataFrame:
+    """Collection-contact features per key (X6): number of contacts, agreement rate and
+    refusal rate (shares of contacts whose outcome is in ``agreed`` / ``refused``)."""
+    n = F.count(F.lit(1))
+    return contacts.groupBy(*key).agg(
+        n.alias("n_contacts"),
+        (F.count_if(F.col(outcome).isin(*agreed)) / n).alias("agreement_rate"),
+        (F.count_if(F.col(outcome).isin(*refused)) / n).alias("refusal_rate"))
+
+
 def payment_label(lines: DataFrame, key: Sequence[str], channel: str, debit_value: str, recurrent: str,
                   min_recurrence: float = 0.4) -> DataFrame:
     """Label rule (X2): 1 when every payment of the key went through the debit channel and

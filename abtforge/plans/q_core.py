@@ -378,3 +378,45 @@ def flagship(spark: SparkSession, d: str):
 
 register("flagship_split_counts", oracle=S.with_(S.CLIENTES) + f"""
 SELECT {S.md5_split('CAST(num_doc AS VARCHAR)')} AS split_group, count(*) AS n FROM clientes GROUP BY 1""")(flagship)
+
+
+# --------------------------------------------------------------------------- S1-S3
+_CLIENTES_SCHEMA = ("num_doc bigint, obl17 double, f_analisis date, var_rta int, segmento string, "
+                    "prioridad string")
+
+
+@register("csv_ingest_raw", oracle=S.with_(S.CLIENTES) + "SELECT * FROM clientes")
+def csv_ingest_raw(spark, d):
+    land = work_dir(spark, "landing")
+    # the landing folder holds only some of the mapped files: the others are skipped
+    T.clientes_raw(spark, d).write.mode("overwrite").option("header", True).csv(f"{land}/clientes.csv")
+    T.moras(spark, d).write.mode("overwrite").option("header", True).csv(f"{land}/moras.csv")
+    db = f"abt_raw_{uuid.uuid4().hex[:8]}"
+    counts = tables.ingest_csv_files(
+        spark, land, database=db, location=work_dir(spark, "raw"),
+        schemas={"clientes": _CLIENTES_SCHEMA,
+                 "moras": "num_doc bigint, obl17 double, f_analisis date, mo_n_returned bigint, mo_n_open bigint, "
+                          "mo_avg_disc double, mo_max_tax double, mo_dias_mora int"})
+    assert set(counts) == {"clientes", "moras"}
+    return tables.read_table(spark, "clientes", db)
+
+
+# --------------------------------------------------------------------------- S1, streaming form
+@register("stream_ingest_events", oracle="""
+SELECT event_id, ts, user_id, event_type, round(value, 6) AS value, props FROM events""")
+def stream_ingest_events(spark, d):
+    from abtforge.streaming import ingest_new_files
+
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    land, sink, cp = work_dir(spark, "events_landing"), work_dir(spark, "events_raw"), work_dir(spark, "events_cp")
+    ev = T.table(spark, d, "events")
+    # two arrivals split by event day: the first run ingests the files of the first arrival,
+    # the second run picks up only the files that arrived after it
+    mid = ev.select(F.min("ts") + (F.max("ts") - F.min("ts")) / 2).scalar()
+    first, second = ev.filter(F.col("ts") <= mid), ev.filter(~(F.col("ts") <= mid))
+    opts = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    first.write.mode("append").options(**opts).option("header", True).csv(land)
+    ingest_new_files(spark, land, schema, sink, cp, options=opts)
+    second.write.mode("append").options(**opts).option("header", True).csv(land)
+    ingest_new_files(spark, land, schema, sink, cp, options=opts)
+    return spark.read.parquet(sink).withColumn("value", r6(F.col("value")))

@@ -150,6 +150,7 @@ def _trailing_sql() -> str:
        round(sqrt(greatest((sum(sq) OVER ({frame}) - sum(s) OVER ({frame}) * sum(s) OVER ({frame}) / sum(cnt) OVER ({frame}))
               / NULLIF(sum(cnt) OVER ({frame}) - 1, 0), 0)), 4) AS std_value_{w}d,
        round(max(mx) OVER ({frame}), 4) AS max_value_{w}d,
+       CASE WHEN count(*) OVER ({frame}) > 1 THEN round(regr_slope(s, dn) OVER ({frame}), 4) END AS trend_value_{w}d,
        round(COALESCE(sum(COALESCE(dig, 0)) OVER ({frame}) / NULLIF(sum(s) OVER ({frame}), 0), 0), 4) AS share_digital_{w}d""")
     kinds = []
     for w in (6, 12):
@@ -212,3 +213,14 @@ def absence_log(spark, d):
     out = features.absence_and_log(ol, ["mo_n_returned", "tq_std_price"], clip_at=5.0)
     return out.select("obl17_key", "mo_n_returned_absent", r6(F.col("mo_n_returned_log1p")).alias("mo_n_returned_log1p"),
                       "tq_std_price_absent", r6(F.col("tq_std_price_log1p")).alias("tq_std_price_log1p"))
+
+
+# --------------------------------------------------------------------------- X6
+@register("contact_features", oracle="""
+SELECT user_id, count(*) AS n_contacts, round(count_if(event_type = 'purchase') / count(*), 6) AS agreement_rate,
+       round(count_if(event_type = 'error') / count(*), 6) AS refusal_rate
+FROM events GROUP BY user_id""")
+def contact_features(spark, d):
+    out = features.contact_features(T.table(spark, d, "events"), ["user_id"], "event_type", ["purchase"], ["error"])
+    return out.select("user_id", "n_contacts", r6(F.col("agreement_rate")).alias("agreement_rate"),
+                      r6(F.col("refusal_rate")).alias("refusal_rate"))
