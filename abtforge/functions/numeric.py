@@ -42,6 +42,9 @@ def fround(c: Column | str, digits: int) -> Column:
     ``35.82375`` goes up even when its binary value lies just below the midpoint; this form
     rounds the value as stored, which is what most SQL engines do for DOUBLE.
     """
-    c = F.col(c) if isinstance(c, str) else c
     m = float(10 ** digits)
+    if isinstance(c, str):
+        # one expression object instead of a chain of builder calls (cheaper to plan for
+        # selects of many columns)
+        return F.expr(f"CAST(round(CAST(`{c}` AS DOUBLE) * {m!r}D, 0) / {m!r}D AS DOUBLE)")
     return (F.round(c.cast("double") * F.lit(m), 0) / F.lit(m)).cast("double")

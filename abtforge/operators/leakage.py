@@ -56,23 +56,42 @@ def perfect_leakage(df: DataFrame, cols: Sequence[str], target: str) -> DataFram
     return wide.select(F.explode(rows).alias("r")).select("r.*")
 
 
+def _checks(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
+    """Per column: binary, equals_target, equals_complement and corr, from ONE aggregate."""
+    y = F.col(target).cast("double")
+    exprs = []
+    for i, c in enumerate(cols):
+        x = F.col(f"`{c}`").cast("double")
+        exprs += [
+            (F.coalesce(F.bool_and(x.isNull() | x.isin(0.0, 1.0)), F.lit(False)) & (F.count(x) > 0)).alias(f"b{i}"),
+            F.coalesce(F.bool_and(x.eqNullSafe(y)), F.lit(False)).alias(f"e{i}"),
+            F.coalesce(F.bool_and((F.lit(1.0) - x).eqNullSafe(y)), F.lit(False)).alias(f"c{i}"),
+            safe_corr(x, y).alias(f"r{i}"),
+        ]
+    wide = df.agg(*exprs)
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"b{i}").alias("binary"),
+                              F.col(f"e{i}").alias("equals_target"), F.col(f"c{i}").alias("equals_complement"),
+                              F.col(f"r{i}").alias("corr"))
+                     for i, c in enumerate(cols)])
+    return wide.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def leakage_report(df: DataFrame, cols: Sequence[str], target: str, thr: float = 0.999) -> DataFrame:
     """(column_name, reason) for every column to drop: 'name', 'perfect' or 'corr'.
 
-    Name checks are plan-time; the two value checks are one aggregate each.
+    Name checks are plan-time; the value checks (perfect copy or complement of the target,
+    near-perfect correlation) share one aggregate, so the data is read once.
     """
     spark = df.sparkSession
     safe, by_name = leak_by_name(cols)
-    parts = [spark.createDataFrame([(c, "name") for c in by_name], "column_name string, reason string")]
+    out = spark.createDataFrame([(c, "name") for c in by_name], "column_name string, reason string")
     if safe:
-        perf = perfect_leakage(df, safe, target)
-        parts.append(perf.filter(F.col("binary") & (F.col("equals_target") | F.col("equals_complement")))
-                     .select("column_name", F.lit("perfect").alias("reason")))
-        corr = target_correlation(df, safe, target, thr)
-        parts.append(corr.filter("flagged").select("column_name", F.lit("corr").alias("reason")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        chk = _checks(df, safe, target)
+        perfect = F.col("binary") & (F.col("equals_target") | F.col("equals_complement"))
+        corr = F.coalesce(F.abs(F.col("corr")) >= F.lit(thr), F.lit(False))
+        reasons = chk.select("column_name", F.explode(F.array(
+            F.when(perfect, F.lit("perfect")), F.when(corr, F.lit("corr")))).alias("reason"))
+        out = out.unionByName(reasons.filter(F.col("reason").isNotNull()))
     return out
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
@@ -53,8 +54,14 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str = "target_f
                                predictionCol="_prediction"),
     ]
     data = train.withColumn("_label", F.col(label).cast("double"))
-    data = class_weight_column(data, "_label") if params.balanced else data
-    return Pipeline(stages=stages).fit(data)
+    # the class counts, the imputer and every tree level read the training rows: keep them
+    # (spilling to disk when memory is short; lost blocks are recomputed from lineage)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        data = class_weight_column(data, "_label") if params.balanced else data
+        return Pipeline(stages=stages).fit(data)
+    finally:
+        data.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], out: str = "score") -> DataFrame:

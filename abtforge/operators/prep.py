@@ -98,15 +98,33 @@ def sanitize_fit(train: DataFrame, features: Sequence[str], keep: Sequence[str]
                  clip_quantiles: tuple[float, float] | None = (0.001, 0.999), exact: bool = True):
     """TRAIN: coerce, drop all-NULL columns, fit clip bounds, clip.
 
-    Returns (clean DataFrame, kept feature list, bounds dict).
+    With clipping on, one quantile pass serves both purposes: a column without any value
+    has no quantile, which is how all-NULL columns are found.  Returns (clean DataFrame,
+    kept feature list, bounds dict).
     """
+    from abtforge.operators import quantiles as Q
+
+    features = list(features)
     coerced = coerce_numeric(train, features, keep)
-    empty = set(all_null_columns(coerced, list(features)))
-    kept = [c for c in features if c not in empty]
+    bounds: dict = {}
+    if clip_quantiles is not None and features:
+        q_low, q_high = clip_quantiles
+        if exact:
+            qdf = Q.pivot_quantiles(Q.exact_quantiles(coerced, features, [q_low, q_high]), ["column_name"],
+                                    [q_low, q_high], ["q_low", "q_high"])
+        else:
+            qdf = (Q.long_values(coerced, features).groupBy("column_name")
+                   .agg(F.percentile_approx("value", F.array(F.lit(q_low), F.lit(q_high)), 100000).alias("_q"))
+                   .select("column_name", F.col("_q")[0].alias("q_low"), F.col("_q")[1].alias("q_high")))
+        rows = qdf.collect()
+        present = {r["column_name"] for r in rows}
+        bounds = {r["column_name"]: (r["q_low"], r["q_high"]) for r in rows
+                  if r["q_low"] is not None and r["q_high"] is not None and r["q_high"] > r["q_low"]}
+        kept = [c for c in features if c in present]
+    else:
+        empty = set(all_null_columns(coerced, features))
+        kept = [c for c in features if c not in empty]
     coerced = coerced.select(*[F.col(k) for k in keep], *[F.col(f"`{c}`") for c in kept])
-    bounds = {}
-    if clip_quantiles is not None and kept:
-        bounds = bounds_dict(quantile_bounds(coerced, kept, *clip_quantiles, exact=exact))
     return apply_clip(coerced, bounds), kept, bounds
 
 

@@ -159,7 +159,7 @@ WHERE c.obl17_key IS NOT NULL"""
 
 
 def _round_doubles(df):
-    return df.select(*[fround(F.col(c), 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return df.select(*[fround(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def _base_oracle() -> str:

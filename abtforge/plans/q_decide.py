@@ -171,7 +171,7 @@ SELECT f.*, k.n_kinds_6d, k.n_kinds_12d FROM f JOIN k USING (user_id, day)"""
 @register("trailing_features", oracle=_trailing_sql())
 def trailing_features(spark, d):
     out = features.trailing_features(T.table(spark, d, "events"), digital_kinds=T.EVENT_FAMILIES["digital"])
-    return out.select(*[fround(F.col(c), 4).alias(c) if t == "double" else F.col(c) for c, t in out.dtypes])
+    return out.select(*[fround(c, 4).alias(c) if t == "double" else F.col(c) for c, t in out.dtypes])
 
 
 # --------------------------------------------------------------------------- X2

@@ -300,9 +300,12 @@ def trained_run(spark, d):
     key = (spark.sparkContext.applicationId, d)
     if key not in _MODEL_CACHE:
         base = work_dir(spark, "forest")
-        gold = training_frame(spark, d).drop("segmento", "prioridad")
+        # the analytic base table is materialised once (as the gold layer is), then read by
+        # training, evaluation and scoring
+        training_frame(spark, d).drop("segmento", "prioridad").write.mode("overwrite").parquet(f"{base}/gold")
+        gold = spark.read.parquet(f"{base}/gold")
         res = scoring.train_and_log(gold, f"{base}/model_runs", f"{base}/model", run_id="forest_run")
-        _MODEL_CACHE[key] = (res, base)
+        _MODEL_CACHE[key] = (res, base, gold)
     return _MODEL_CACHE[key]
 
 
@@ -310,8 +313,7 @@ def trained_run(spark, d):
 def forest_scores(spark, d):
     from abtforge.operators import scoring
 
-    res, base = trained_run(spark, d)
-    gold = training_frame(spark, d).drop("segmento", "prioridad")
+    res, base, gold = trained_run(spark, d)
     return scoring.score_best(gold, f"{base}/model_runs", "scores_best", database="abt_model_results",
                               table_path=f"{base}/scores_best")
 
@@ -321,7 +323,7 @@ def forest_decisions(spark, d):
     from abtforge.operators import scoring
 
     forest_scores(spark, d)
-    res, base = trained_run(spark, d)
+    res, base, _ = trained_run(spark, d)
     scores = spark.table("`abt_model_results`.`scores_best`")
     out = scoring.refresh(spark, scores, decisions_table="decision_final_v1", database="abt_model_results",
                           table_path=f"{base}/decision_final_v1")
@@ -332,5 +334,5 @@ def forest_decisions(spark, d):
 def forest_importances(spark, d):
     from pyspark.ml import PipelineModel
 
-    res, _ = trained_run(spark, d)
+    res, _, _ = trained_run(spark, d)
     return model.feature_importances(PipelineModel.load(res.model_path), res.features, top=30)
