@@ -282,11 +282,23 @@ def run_log_best(spark, d):
                        F.size("features").alias("n_features"))
 
 
-@register("run_stability")
+def _stability_oracle() -> str:
+    parts = []
+    for run_id, expr in _RUN_SCORES.items():
+        body = _metric_sql(expr)
+        parts.append(f"SELECT '{run_id}' AS run_id, max(CASE WHEN split_group = 'TEST' THEN auc END) AS auc_test, "
+                     f"max(CASE WHEN split_group = 'OOT' THEN auc END) AS auc_oot FROM ({body} SELECT * FROM m)")
+    union = "\nUNION ALL\n".join(parts)
+    return (f"SELECT run_id, round(auc_test, 6) AS auc_test, round(auc_oot, 6) AS auc_oot, "
+            f"round(auc_test - auc_oot, 6) AS gap FROM ({union})")
+
+
+@register("run_stability", oracle=_stability_oracle())
 def run_stability(spark, d):
     from abtforge.operators.features import stability
 
-    return stability(_runs_table(spark, d))
+    out = stability(_runs_table(spark, d))
+    return out.select("run_id", *[r6(F.col(c)).alias(c) for c in ("auc_test", "auc_oot", "gap")])
 
 
 # --------------------------------------------------------------------------- M1-M3, M8, M11-M15 (rows only)

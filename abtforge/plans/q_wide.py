@@ -167,7 +167,17 @@ def column_catalog(spark, d):
                       catalog.is_candidate("col").alias("is_candidate"))
 
 
-@register("catalog_counts", oracle=None)
+def _catalog_counts_oracle() -> str:
+    cat = _catalog_oracle()
+    dims = [("stat", "stat"), ("tipo", "tipo"), ("canal", "canal"), ("operacion", "operacion"), ("window", '"window"'),
+            ("is_smmlv", "CAST(is_smmlv AS VARCHAR)"), ("stat_tipo_window", "concat_ws('|', stat, tipo, \"window\")"),
+            ("detected_canal", "CAST(canal IS NOT NULL AS VARCHAR)")]
+    parts = [f"SELECT '{d}' AS dimension, CAST({e} AS VARCHAR) AS value, count(*) AS n_cols FROM cat GROUP BY 2"
+             for d, e in dims]
+    return "SELECT * FROM (WITH cat AS (" + cat + ")\n" + "\nUNION ALL\n".join(parts) + ")"
+
+
+@register("catalog_counts", oracle=_catalog_counts_oracle())
 def catalog_counts(spark, d):
     parsed = catalog.parse_column_names(_names_df(spark, d), T.EVENT_CHANNELS)
     return catalog.catalog_counts(parsed)
