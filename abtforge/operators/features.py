@@ -26,12 +26,16 @@ def create_features(df: DataFrame, amount: str | None = "monto_app", total: str
     return df.select(*cols)
 
 
-def daily_activity(events: DataFrame, key: str, ts: str, value: str, kind: str) -> DataFrame:
-    """One row per (key, day): count, sum, sum of squares, and the set of kinds seen."""
+def daily_activity(events: DataFrame, key: str, ts: str, value: str, kind: str,
+                   digital_kinds: Sequence[str] = ()) -> DataFrame:
+    """One row per (key, day): count, sum, sum of squares, max, the set of kinds seen and,
+    with ``digital_kinds``, the digital amount (all from one aggregate)."""
     v = F.col(value).cast("double")
-    return events.groupBy(F.col(key).alias(key), F.to_date(F.col(ts)).alias("day")).agg(
-        F.count(F.lit(1)).alias("_cnt"), F.sum(v).alias("_sum"), F.sum(v * v).alias("_sq"),
-        F.max(v).alias("_max"), F.collect_set(F.col(kind)).alias("_kinds"))
+    aggs = [F.count(F.lit(1)).alias("_cnt"), F.sum(v).alias("_sum"), F.sum(v * v).alias("_sq"),
+            F.max(v).alias("_max"), F.collect_set(F.col(kind)).alias("_kinds")]
+    if digital_kinds:
+        aggs.append(F.sum(F.when(F.col(kind).isin(*digital_kinds), v)).alias("_dig"))
+    return events.groupBy(F.col(key).alias(key), F.to_date(F.col(ts)).alias("day")).agg(*aggs)
 
 
 def trailing_features(events: DataFrame, key: str = "user_id", ts: str = "ts", value: str = "value",
@@ -45,13 +49,7 @@ def trailing_features(events: DataFrame, key: str = "user_id", ts: str = "ts", v
     The kinds set per day is bounded by the number of kinds, so the window's union of sets
     stays small.
     """
-    daily = daily_activity(events, key, ts, value, kind)
-    if digital_kinds:
-        dig = (events.filter(F.col(kind).isin(*digital_kinds))
-               .groupBy(F.col(key).alias(key), F.to_date(F.col(ts)).alias("day"))
-               .agg(F.sum(F.col(value).cast("double")).alias("_dig")))
-        daily = daily.join(dig, on=[key, "day"], how="left")
-    daily = daily.withColumn("_d", F.unix_date("day"))
+    daily = daily_activity(events, key, ts, value, kind, digital_kinds).withColumn("_d", F.unix_date("day"))
     out = [F.col(key), F.col("day")]
     for d in windows:
         w = Window.partitionBy(key).orderBy("_d").rangeBetween(-(d - 1), 0)
@@ -77,6 +75,25 @@ def trailing_features(events: DataFrame, key: str = "user_id", ts: str = "ts", v
     return daily.select(*out)
 
 
+def payment_features(payments: DataFrame, key: Sequence[str], ts: str, paid: str, due: str,
+                     months: int = 3, snapshot=None) -> DataFrame:
+    """Payment behaviour over the ``months`` before the snapshot (X3): number of payments,
+    full-payment ratio (paid >= due), mean and sample stddev of the paid amount, and the
+    surplus share (amount paid above what was due, over all paid).
+
+    ``snapshot`` defaults to the latest payment time of the table, a scalar subquery.
+    """
+    snap = snapshot if snapshot is not None else payments.select(F.max(ts)).scalar()
+    p, d = F.col(paid).cast("double"), F.col(due).cast("double")
+    recent = payments.filter((F.col(ts) > snap - F.expr(f"INTERVAL {int(months)} MONTHS")) & (F.col(ts) <= snap))
+    return recent.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n_payments"),
+        F.avg((p >= d).cast("double")).alias("full_payment_ratio"),
+        F.avg(p).alias("mean_paid"),
+        F.stddev_samp(p).alias("std_paid"),
+        F.try_divide(F.sum(F.greatest(p - d, F.lit(0.0))), F.sum(p)).alias("surplus_share"))
+
+
 def contact_features(contacts: DataFrame, key: Sequence[str], outcome: str, agreed: Sequence[str],
                      refused: Sequence[str]) -> DataFrame:
     """Collection-contact features per key (X6): number of contacts, agreement rate and

@@ -94,12 +94,17 @@ def score_best(gold: DataFrame, runs_path: str, scores_table: str, database: str
 def refresh(spark: SparkSession, scores: DataFrame, policy: str = "eq_1", threshold: float = 1.0,
             policy_version: str = decide.DEFAULT_POLICY, arrears_col: str | None = None,
             decisions_table: str | None = None, database: str = "model_results",
-            table_path: str | None = None) -> dict:
-    """Decisions (saved when a table name is given), counts, and the run metadata row."""
+            table_path: str | None = None, buckets: int | None = None) -> dict:
+    """Decisions (saved when a table name is given), counts, and the run metadata row.
+
+    The saved decision table is bucketed and sorted by client key, so the lookups by client
+    read one bucket instead of the whole table.
+    """
     dec = decide.decisions(scores, policy=policy, threshold=threshold, policy_version=policy_version,
                            arrears_col=arrears_col)
     if decisions_table:
-        tables.save_table(dec, decisions_table, database, mode="overwrite", path=table_path)
+        tables.save_table(dec, decisions_table, database, mode="overwrite", path=table_path,
+                          bucket_by=["num_doc_key"], buckets=buckets, sort_by=["num_doc_key", "obl17_key"])
         dec = spark.table(f"`{database}`.`{decisions_table}`")
     meta_cols = [c for c in ("run_id", "auc_oot") if c in dec.columns]
     return {"decisions": dec, "counts": decide.decision_counts(dec),

@@ -224,3 +224,26 @@ def contact_features(spark, d):
     out = features.contact_features(T.table(spark, d, "events"), ["user_id"], "event_type", ["purchase"], ["error"])
     return out.select("user_id", "n_contacts", r6(F.col("agreement_rate")).alias("agreement_rate"),
                       r6(F.col("refusal_rate")).alias("refusal_rate"))
+
+
+# --------------------------------------------------------------------------- X3
+@register("payment_features", oracle="""
+WITH p AS (SELECT o.o_custkey, l.l_shipdate, l.l_extendedprice AS due,
+                  l.l_extendedprice * (1 - l.l_discount) * (1 + l.l_tax) AS paid
+           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+r AS (SELECT * FROM p WHERE l_shipdate > (SELECT max(l_shipdate) FROM p) - INTERVAL 3 MONTH
+                        AND l_shipdate <= (SELECT max(l_shipdate) FROM p))
+SELECT o_custkey, count(*) AS n_payments, round(avg(CASE WHEN paid >= due THEN 1.0 ELSE 0.0 END), 6) AS full_payment_ratio,
+       round(avg(paid), 4) AS mean_paid, round(stddev_samp(paid), 4) AS std_paid,
+       round(sum(greatest(paid - due, 0)) / NULLIF(sum(paid), 0), 6) AS surplus_share
+FROM r GROUP BY o_custkey""")
+def payment_features(spark, d):
+    li = T.table(spark, d, "lineitem")
+    o = T.table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    pay = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "o_custkey", "l_shipdate", F.col("l_extendedprice").alias("due"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("paid"))
+    out = features.payment_features(pay, ["o_custkey"], "l_shipdate", "paid", "due", months=3)
+    return out.select("o_custkey", "n_payments", r6(F.col("full_payment_ratio")).alias("full_payment_ratio"),
+                      fround(F.col("mean_paid"), 4).alias("mean_paid"), fround(F.col("std_paid"), 4).alias("std_paid"),
+                      r6(F.col("surplus_share")).alias("surplus_share"))

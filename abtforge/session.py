@@ -43,6 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        # a machine-local folder is not visible to other executors: refuse rather than guess
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) for this cluster")
     target = configured or _LOCAL_DEFAULT
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target

@@ -96,10 +96,14 @@ def read_table(spark: SparkSession, table: str, database: str = "raw", *, refres
 
 
 def save_table(df: DataFrame | None, table: str, database: str, *, mode: str = "skip",
-               path: str | None = None, partition_by: Sequence[str] = ()) -> bool:
+               path: str | None = None, partition_by: Sequence[str] = (),
+               bucket_by: Sequence[str] = (), buckets: int | None = None,
+               sort_by: Sequence[str] = ()) -> bool:
     """Write ``df`` as ``database.table``.
 
     ``skip`` leaves an existing table alone; ``overwrite`` replaces it in one write.
+    ``bucket_by``/``buckets``/``sort_by`` write a bucketed table: equality filters on the
+    bucket column read one bucket, and joins on it need no shuffle of this side.
     Returns True when data was written.
     """
     if df is None:
@@ -113,6 +117,11 @@ def save_table(df: DataFrame | None, table: str, database: str, *, mode: str = "
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        w = w.bucketBy(n, *bucket_by)
+        if sort_by:
+            w = w.sortBy(*sort_by)
     if path:
         w = w.option("path", path)
     w.saveAsTable(f"`{database}`.`{table}`")

@@ -58,3 +58,22 @@ def test_parameterised_query(spark):
     assert tables.query(spark, "SELECT count(*) AS n FROM t_view WHERE x >= :lo", {"lo": 7}).first()["n"] == 3
     assert tables.query_one(spark, "SELECT x FROM t_view WHERE x = :v", {"v": 4}) == {"x": 4}
     assert tables.query_one(spark, "SELECT x FROM t_view WHERE x = :v", {"v": 40}) is None
+
+
+def test_bucketed_decisions_prune_lookups(spark):
+    import datetime as dt
+
+    from abtforge.operators import decide, scoring
+
+    rows = [(str(i % 50), str(i), dt.date(2024, 1, 1), "OOT", (i % 10) / 10.0) for i in range(500)]
+    scores = spark.createDataFrame(rows, "num_doc_key string, obl17_key string, f_analisis date, split_group string, score double")
+    out = scoring.refresh(spark, scores, decisions_table="t_dec", database="t_results",
+                          table_path=work_dir(spark, "t_dec"), buckets=8)
+    look = decide.lookup_by_client(out["decisions"], "7")
+    assert [r["num_doc_key"] for r in look.collect()] == ["7"] * 10
+    # the equality filter on the bucket column reads only that bucket's files
+    node = look._jdf.queryExecution().executedPlan()
+    while node.children().size() > 0:
+        node = node.children().apply(0)
+    rows_read = node.metrics().apply("numOutputRows").value()
+    assert 10 <= rows_read < 500 / 2  # about one bucket of the 500 rows, not the table
