@@ -65,7 +65,7 @@ def trailing_features(events: DataFrame, key: str = "user_id", ts: str = "ts", v
             mean.alias(f"avg_value_{d}d"),
             F.sqrt(F.greatest(var, F.lit(0.0))).alias(f"std_value_{d}d"),
             F.max("_max").over(w).alias(f"max_value_{d}d"),
-            F.size(F.array_distinct(F.flatten(F.collect_list("_kinds").over(w)))).alias(f"n_kinds_{d}d"),
+            F.size(F.array_distinct(F.flatten(F.collect_list("_kinds").over(w)))).cast("bigint").alias(f"n_kinds_{d}d"),
             # trend: least-squares slope of the daily amount over the day number
             F.regr_slope("_sum", "_d").over(w).alias(f"trend_value_{d}d"),
         ]

@@ -144,7 +144,7 @@ def _trailing_sql() -> str:
         frame = f"PARTITION BY user_id ORDER BY dn RANGE BETWEEN {w - 1} PRECEDING AND CURRENT ROW"
         parts.append(f"""
        count(*) OVER ({frame}) AS active_days_{w}d,
-       sum(cnt) OVER ({frame}) AS n_events_{w}d,
+       CAST(sum(cnt) OVER ({frame}) AS BIGINT) AS n_events_{w}d,
        round(sum(s) OVER ({frame}), 4) AS sum_value_{w}d,
        round(sum(s) OVER ({frame}) / sum(cnt) OVER ({frame}), 4) AS avg_value_{w}d,
        round(sqrt(greatest((sum(sq) OVER ({frame}) - sum(s) OVER ({frame}) * sum(s) OVER ({frame}) / sum(cnt) OVER ({frame}))

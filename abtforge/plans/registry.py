@@ -17,13 +17,36 @@ _QUERIES: dict[str, Builder] = {}
 _ORACLES: dict[str, str] = {}
 
 
+def _bigint_count_if(sql: str) -> str:
+    """``count_if(...)`` -> ``CAST(count_if(...) AS BIGINT)``: DuckDB types it HUGEINT, while
+    counts are BIGINT in Spark."""
+    out, i, token = [], 0, "count_if("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(token) - 1
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _bigint_count_if(sql[j + len(token):k])
+        out.append(sql[i:j] + f"CAST(count_if({inner}) AS BIGINT)")
+        i = k + 1
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn: Builder) -> Builder:
         if name in _QUERIES:
             raise ValueError(f"query {name!r} registered twice")
         _QUERIES[name] = fn
         if oracle is not None:
-            _ORACLES[name] = oracle
+            _ORACLES[name] = _bigint_count_if(oracle)
         return fn
     return deco
 

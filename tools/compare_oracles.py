@@ -35,6 +35,15 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                 "float": "FLOAT", "smallint": "SMALLINT"}
+
+
+def same_type(spark_t: str, duck_t: str) -> bool:
+    return SPARK_TO_DUCK.get(spark_t, spark_t).upper() == duck_t.upper()
+
+
 def rows_key(r):
     return tuple((x is None, str(type(x)), x if x is not None else 0) if not isinstance(x, tuple) else (False, "t", str(x)) for x in r)
 
@@ -71,6 +80,12 @@ def main():
         except Exception as e:  # noqa: BLE001
             print(f"FAIL-SQL   {name}: {type(e).__name__}: {str(e)[:600]}")
             continue
+        spark_types = dict(df.dtypes)
+        duck_types = {d[0]: str(d[1]) for d in rel.description}
+        tdiff = [(c, spark_types[c], duck_types.get(c)) for c in cols
+                 if c in duck_types and not same_type(spark_types[c], duck_types[c])]
+        if tdiff:
+            print(f"TYPES      {name}: {tdiff}")
         if sorted(cols) != sorted(ocols):
             print(f"COLS       {name}: spark-only {sorted(set(cols)-set(ocols))} sql-only {sorted(set(ocols)-set(cols))}")
             continue
