@@ -40,9 +40,12 @@ def cumulative_counts(df: DataFrame, label: str = "label", score: str = "score",
     by = list(by)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = _score_groups(df, label, score, by)
-    ranged = (g.repartitionByRange(slices, *[F.col(b) for b in by], F.col("_s").desc())
+    order = [*[F.col(b) for b in by], F.col("_s").desc()]
+    # without an explicit count AQE sizes the range shuffle to the data; coalescing merges
+    # adjacent ranges only, so slice ids stay in score order
+    ranged = (g.repartitionByRange(slices, *order) if slices else g.repartitionByRange(*order))
+    ranged = (ranged
               .withColumn("_slice", F.spark_partition_id())
               .checkpoint(eager=True))
     local_w = Window.partitionBy(*by, "_slice").orderBy(F.col("_s").desc()).rowsBetween(

@@ -40,11 +40,12 @@ def value_distribution(long: DataFrame, groups: Sequence[str], slices: int | Non
     (groups..., value, _c, _slice)."""
     spark = long.sparkSession
     ensure_checkpoint_dir(spark)
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = long.groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("_c"))
-    return (g.repartitionByRange(slices, *[F.col(x) for x in groups], F.col("value"))
-            .withColumn("_slice", F.spark_partition_id())
-            .checkpoint(eager=True))
+    order = [*[F.col(x) for x in groups], F.col("value")]
+    # without an explicit count AQE sizes the range shuffle to the data; coalescing merges
+    # adjacent ranges only, so slice ids stay in value order
+    ranged = g.repartitionByRange(slices, *order) if slices else g.repartitionByRange(*order)
+    return ranged.withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
 
 
 def quantiles_from_distribution(dist: DataFrame, groups: Sequence[str], qs: Sequence[float]) -> DataFrame:

@@ -33,3 +33,25 @@ def test_single_value_and_empty_group(spark):
     df = spark.createDataFrame([("a", 5.0), ("b", None)], "g string, x double")
     got = {r["g"]: r["value"] for r in exact_quantiles(df, ["x"], [0.5], by=["g"]).collect()}
     assert got == {"a": 5.0}
+
+
+def test_default_slicing_sized_by_aqe(spark):
+    # no explicit slice count: AQE sizes (and may coalesce) the range shuffle; results must
+    # still equal Spark's percentile and brute-force AUC
+    import random
+
+    from abtforge.operators.metrics import ranking_metrics
+
+    rnd = random.Random(5)
+    rows = [(rnd.randint(0, 1), rnd.random()) for _ in range(5000)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    with_q = exact_quantiles(df, ["score"], [0.1, 0.5, 0.9])
+    ref = df.agg(F.percentile("score", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))).first()[0]
+    got = {r["q"]: r["value"] for r in with_q.collect()}
+    assert [got[0.1], got[0.5], got[0.9]] == pytest.approx(ref, rel=1e-12)
+    pos = sorted(s for y, s in rows if y == 1)
+    neg = sorted(s for y, s in rows if y == 0)
+    import bisect
+
+    auc = sum(bisect.bisect_left(neg, p) for p in pos) / (len(pos) * len(neg))
+    assert ranking_metrics(df).first()["auc"] == pytest.approx(auc, rel=1e-9)
