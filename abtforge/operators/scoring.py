@@ -63,6 +63,8 @@ def train_and_log(gold: DataFrame, runs_path: str, model_path: str, experiment:
         if s in thr:
             for k in ("precision", "recall", "f1"):
                 m[f"{k}_{tag}_thr_{threshold}"] = thr[s][k]
+            for k in ("tn", "fp", "fn", "tp"):  # the confusion matrix at the threshold
+                m[f"{k}_{tag}_thr_{threshold}"] = float(thr[s][k])
     p = {"num_trees": params.num_trees, "max_depth": params.max_depth,
          "min_instances_per_node": params.min_instances_per_node, "seed": params.seed,
          "balanced": params.balanced, "threshold_metrics": threshold}

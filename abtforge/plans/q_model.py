@@ -271,7 +271,7 @@ def _runs_table(spark, d):
 
 
 @register("run_log_best", oracle="\n".join([
-    _metric_sql("score").replace("WITH ", "WITH r1 AS (SELECT 1), ", 1)
+    _metric_sql("score")
     + "SELECT 'run_total' AS run_id, round(auc, 6) AS metric_value, true AS tags_ok, 1 AS n_features FROM m WHERE split_group = 'OOT'"
     " AND auc >= 0.5"
     "\nUNION ALL\n"

@@ -202,3 +202,10 @@ def query(spark: SparkSession, sql: str, params: Mapping[str, object] | None = N
 def query_one(spark: SparkSession, sql: str, params: Mapping[str, object] | None = None) -> dict | None:
     row = query(spark, sql, params).limit(1).first()
     return None if row is None else row.asDict()
+
+
+def exec_sql(spark: SparkSession, statements: str) -> None:
+    """Run one or more ';'-separated statements (DDL, CTAS, INSERT) for their effect."""
+    for stmt in (x.strip() for x in statements.split(";")):
+        if stmt:
+            spark.sql(stmt)

@@ -77,3 +77,8 @@ def test_bucketed_decisions_prune_lookups(spark):
         node = node.children().apply(0)
     rows_read = node.metrics().apply("numOutputRows").value()
     assert 10 <= rows_read < 500 / 2  # about one bucket of the 500 rows, not the table
+
+
+def test_exec_sql_statements(spark):
+    tables.exec_sql(spark, "CREATE DATABASE IF NOT EXISTS t_exec; CREATE OR REPLACE TEMP VIEW t_exec_v AS SELECT 1 AS x")
+    assert spark.table("t_exec_v").first()["x"] == 1
