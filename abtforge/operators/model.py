@@ -15,6 +15,8 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+
+from abtforge.session import ensure_checkpoint_dir
 from pyspark.sql import functions as F
 
 
@@ -26,6 +28,12 @@ class ForestParams:
     seed: int = 42
     balanced: bool = True
     median_relative_error: float = 0.001
+    # Execution settings (the trees do not change): a larger per-executor budget for split
+    # statistics means fewer passes over the data per tree level.  Cached node ids (with
+    # checkpoints every few iterations) pay off for deep trees only.
+    max_memory_mb: int = 1024
+    cache_node_ids: bool = False
+    checkpoint_interval: int = 10
 
 
 def class_weight_column(df: DataFrame, label: str, out: str = "_w") -> DataFrame:
@@ -42,6 +50,7 @@ def class_weight_column(df: DataFrame, label: str, out: str = "_w") -> DataFrame
 def fit_forest(train: DataFrame, features: Sequence[str], label: str = "target_final",
                params: ForestParams = ForestParams()) -> PipelineModel:
     features = list(features)
+    ensure_checkpoint_dir(train.sparkSession)
     imputed = [f"_imp_{i}" for i in range(len(features))]
     stages = [
         Imputer(strategy="median", inputCols=features, outputCols=imputed,
@@ -51,7 +60,9 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str = "target_f
                                maxDepth=params.max_depth, minInstancesPerNode=params.min_instances_per_node,
                                seed=params.seed, weightCol="_w" if params.balanced else None,
                                probabilityCol="_probability", rawPredictionCol="_raw",
-                               predictionCol="_prediction"),
+                               predictionCol="_prediction", maxMemoryInMB=params.max_memory_mb,
+                               cacheNodeIds=params.cache_node_ids,
+                               checkpointInterval=params.checkpoint_interval),
     ]
     data = train.withColumn("_label", F.col(label).cast("double"))
     # the class counts, the imputer and every tree level read the training rows: keep them
