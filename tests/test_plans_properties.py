@@ -103,3 +103,33 @@ def test_left_joins_preserve_driver_rows_with_unique_sides(spark, n_driver, keep
     side2 = drv.select("num_doc_key").distinct().select("num_doc_key", F.lit(2.0).alias("y"))
     out = build_base_table(drv, [side, (side2, ["num_doc_key"])], keys=K)
     assert out.count() == n_driver
+
+
+def test_hot_client_key_is_split_by_aqe(spark):
+    """A client with a third of all rows: the left join on the client key is planned as a
+    skew join (the hot partition is split, the matching side rows replicated)."""
+    from abtforge.operators.joins import build_base_table
+
+    K = ["num_doc_key", "obl17_key", "f_analisis"]
+    n = 30000
+    drv = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("num_doc_key"),
+        F.col("id").cast("string").alias("obl17_key"), F.lit("2024-01-01").alias("f_analisis"),
+        F.rand(1).alias("x"))
+    # one row per client, read like a table (no aggregate feeding the join)
+    side = spark.range(n).select(
+        F.when(F.col("id") == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("num_doc_key"),
+        F.lit(1.0).alias("client_feature"))
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                        "spark.sql.adaptive.enabled": "true",
+                        "spark.sql.adaptive.skewJoin.enabled": "true",
+                        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                        "spark.sql.shuffle.partitions": "8"}):
+        out = build_base_table(drv, [(side, ["num_doc_key"])], keys=K)
+        assert len(out.collect()) == n  # runs this DataFrame's own adaptive plan
+        plan = _plan(out)
+    assert "isFinalPlan=true" in plan
+    assert "skew=true" in plan

@@ -71,3 +71,10 @@ def test_sanitize_fit_apply(spark):
     row = prep.sanitize_apply(test, kept, bounds).first()
     assert row["a"] == pytest.approx(bounds["a"][1]) and row["t"] is None
     assert prep.sanitize_apply(test, kept, bounds).columns == ["a", "t"]
+
+
+def test_label_not_duplicated(spark):
+    df = spark.createDataFrame([("1", 1, 0)], "num_doc_key string, var_rta int, target_final int")
+    out = split.add_label(df)
+    assert out.columns == ["target_final", "num_doc_key"]
+    assert out.first()["target_final"] == 1

@@ -71,3 +71,13 @@ def test_substring_mode_matches_inside_tokens(spark):
 def test_missing_key_raises(spark):
     with pytest.raises(ValueError):
         build_compact(spark.createDataFrame([(1.0,)], "sum_trx_mnt_gr_ult6 double"), CFG)
+
+
+def test_share_can_exceed_one_by_definition(spark):
+    # the global total uses the first stat prefix's *_total_* column only, family totals add
+    # every prefix: with avg columns present a share above 1 is possible (documented)
+    df = spark.createDataFrame([(1, 10.0, 50.0, 10.0)],
+                               "num_doc bigint, sum_trx_mnt_gr_ult6 double, avg_trx_mnt_gr_ult6 double, sum_trx_mnt_total_ult6 double")
+    row = build_compact(df, CFG).first()
+    assert row["total_mnt_all_ult6"] == 10.0 and row["total_mnt_fisico_ult6"] == 60.0
+    assert row["share_mnt_fisico_ult6"] > 1
