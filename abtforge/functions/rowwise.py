@@ -17,8 +17,19 @@ def _zeroed(cols: Sequence[str | Column]) -> list[Column]:
     return [F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(0)) for c in cols]
 
 
+def _names_only(cols: Sequence[str | Column]) -> bool:
+    return bool(cols) and all(isinstance(c, str) for c in cols)
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def row_sum(cols: Sequence[str | Column]) -> Column:
     """Sum across columns, NULL as 0.  No columns -> literal 0."""
+    if _names_only(cols) and len(cols) <= _WIDE:
+        # one expression text instead of a builder call per column and operator
+        return F.expr(" + ".join(f"coalesce({_q(c)}, 0)" for c in cols))
     parts = _zeroed(cols)
     if not parts:
         return F.lit(0)
@@ -30,6 +41,9 @@ def row_sum(cols: Sequence[str | Column]) -> Column:
 
 def row_max(cols: Sequence[str | Column]) -> Column:
     """Maximum across columns, NULL as 0.  Works for a single column (``greatest`` needs two)."""
+    if _names_only(cols):
+        z = [f"coalesce({_q(c)}, 0)" for c in cols]
+        return F.expr(z[0] if len(z) == 1 else f"greatest({', '.join(z)})")
     parts = _zeroed(cols)
     if not parts:
         return F.lit(0)

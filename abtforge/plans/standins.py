@@ -15,7 +15,7 @@ Every builder reads whole tables; the order-level sides come from one aggregatio
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abtforge.functions.keys import client_key, obligation_key
@@ -42,8 +42,17 @@ SCORE_SCALE = 400.0
 WIDE_CONFIG = CompactConfig(keys=("num_doc",), channel_groups=EVENT_FAMILIES, text_keys=("num_doc",))
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver table as a lazy DataFrame; the file listing and footer read are done once
+    per session and path."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def clientes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,31 +127,30 @@ def wide_names() -> list[str]:
 def canales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events pivoted per user: one conditional aggregate per wide column, one pass.
 
-    Windows are the ``d`` days before the last event of the table (a scalar subquery).
+    Windows are the ``d`` days before the last event of the table (a scalar subquery,
+    evaluated once and attached to each row as a flag per window).
     """
     ev = table(spark, sf_dir, "events")
     last = ev.select(F.max("ts")).scalar()
-    v = F.col("value").cast("double")
-    is_t = {t: F.col("event_type") == t for t in EVENT_CHANNELS}
-    in_w = {w: F.col("ts") > last - F.expr(f"INTERVAL {w} DAYS") for w in WIDE_WINDOWS}
-    one = F.lit(1.0)
-    exprs: list[Column] = [F.sum(v).alias("trx_mnt_total"), F.count(F.lit(1)).cast("double").alias("trx_cnt_total")]
+    flagged = ev.select("user_id", "event_type", F.col("value").cast("double").alias("v"),
+                        *[(F.col("ts") > last - F.expr(f"INTERVAL {w} DAYS")).alias(f"_w{w}") for w in WIDE_WINDOWS])
+    aggs = ["sum(v) AS trx_mnt_total", "CAST(count(1) AS DOUBLE) AS trx_cnt_total"]
     for t in EVENT_CHANNELS:
-        exprs += [F.sum(F.when(is_t[t], v)).alias(f"trx_mnt_can_{t}"),
-                  F.sum(F.when(is_t[t], one)).alias(f"trx_cnt_can_{t}")]
+        aggs += [f"sum(CASE WHEN event_type = '{t}' THEN v END) AS trx_mnt_can_{t}",
+                 f"sum(CASE WHEN event_type = '{t}' THEN 1.0D END) AS trx_cnt_can_{t}"]
     for w in WIDE_WINDOWS:
         for t in EVENT_CHANNELS:
-            c = is_t[t] & in_w[w]
-            exprs += [
-                F.sum(F.when(c, v)).alias(f"sum_trx_mnt_{t}_ult{w}"),
-                F.sum(F.when(c, one)).alias(f"sum_trx_cnt_{t}_ult{w}"),
-                F.avg(F.when(c, v)).alias(f"avg_trx_mnt_{t}_ult{w}"),
-                (F.sum(F.when(c, one)) / F.lit(float(w))).alias(f"avg_trx_cnt_{t}_ult{w}"),
-                (F.sum(F.when(c, v)) / F.lit(SMMLV_UNIT)).alias(f"sum_trx_mnt_{t}_smmlv_ult{w}"),
+            c = f"event_type = '{t}' AND _w{w}"
+            aggs += [
+                f"sum(CASE WHEN {c} THEN v END) AS sum_trx_mnt_{t}_ult{w}",
+                f"sum(CASE WHEN {c} THEN 1.0D END) AS sum_trx_cnt_{t}_ult{w}",
+                f"avg(CASE WHEN {c} THEN v END) AS avg_trx_mnt_{t}_ult{w}",
+                f"sum(CASE WHEN {c} THEN 1.0D END) / {float(w)}D AS avg_trx_cnt_{t}_ult{w}",
+                f"sum(CASE WHEN {c} THEN v END) / {SMMLV_UNIT}D AS sum_trx_mnt_{t}_smmlv_ult{w}",
             ]
-    exprs += [F.sum(F.when(in_w[6], v)).alias("sum_trx_mnt_total_ult6"),
-              F.sum(F.when(in_w[6], one)).alias("sum_trx_cnt_total_ult6")]
-    return ev.groupBy(F.col("user_id").alias("num_doc")).agg(*exprs)
+    aggs += ["sum(CASE WHEN _w6 THEN v END) AS sum_trx_mnt_total_ult6",
+             "sum(CASE WHEN _w6 THEN 1.0D END) AS sum_trx_cnt_total_ult6"]
+    return flagged.groupBy(F.col("user_id").alias("num_doc")).agg(*[F.expr(a) for a in aggs])
 
 
 def with_keys(df: DataFrame) -> DataFrame:

@@ -29,6 +29,9 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("ABT_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Python call-site capture for error messages costs a stack walk and several JVM
+        # round trips per builder call; off for batch runs
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
