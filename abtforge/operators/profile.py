@@ -71,7 +71,8 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, limit_cols
     dist = Q.value_distribution(long, ["column_name"], slices)
     basic = long.groupBy("column_name").agg(F.min("value").alias("min"), F.avg("value").alias("avg"),
                                             F.max("value").alias("max"))
-    qv = Q.pivot_quantiles(Q.quantiles_from_distribution(dist, ["column_name"], qs), ["column_name"], qs, names)
+    qv = Q.pivot_quantiles(Q.quantiles_from_distribution(dist, ["column_name"], qs, targets_bounded=True),
+                           ["column_name"], qs, names)
     return basic.join(qv, on="column_name", how="left").select("column_name", "min", "avg", "max", *names)
 
 

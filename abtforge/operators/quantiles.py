@@ -48,8 +48,13 @@ def value_distribution(long: DataFrame, groups: Sequence[str], slices: int | Non
     return ranged.withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
 
 
-def quantiles_from_distribution(dist: DataFrame, groups: Sequence[str], qs: Sequence[float]) -> DataFrame:
-    """(groups..., q, value) for each quantile ``q`` of each group."""
+def quantiles_from_distribution(dist: DataFrame, groups: Sequence[str], qs: Sequence[float],
+                                targets_bounded: bool = False) -> DataFrame:
+    """(groups..., q, value) for each quantile ``q`` of each group.
+
+    ``targets_bounded``: the groups are known to be few (for example one per column, no
+    data-driven grouping), so the target list (groups x quantiles x 2 rows) is broadcast.
+    """
     groups = list(groups)
     local_w = Window.partitionBy(*groups, "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = dist.withColumn("_cum", F.sum("_c").over(local_w))
@@ -68,6 +73,8 @@ def quantiles_from_distribution(dist: DataFrame, groups: Sequence[str], qs: Sequ
                                         F.struct(F.lit("hi").alias("side"), F.ceil("pos").alias("k")))).alias("r"))
     ranks = ranks.select(*groups, "_slice", "_off", "q", "pos", "r.side", "r.k").filter(
         (F.col("k") >= F.col("_off")) & (F.col("k") < F.col("_off") + F.col("_st")))
+    if targets_bounded:
+        ranks = F.broadcast(ranks)
     hit = local.join(ranks, on=[*groups, "_slice"], how="inner").filter(
         (F.col("k") - F.col("_off") >= F.col("_cum") - F.col("_c")) & (F.col("k") - F.col("_off") < F.col("_cum")))
     vals = hit.groupBy(*groups, "q").agg(
@@ -86,7 +93,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by:
     """(by..., column_name, q, value) for every column and quantile."""
     groups = [*by, "column_name"]
     dist = value_distribution(long_values(df, cols, by), groups, slices)
-    return quantiles_from_distribution(dist, groups, qs)
+    return quantiles_from_distribution(dist, groups, qs, targets_bounded=not by)
 
 
 def pivot_quantiles(qdf: DataFrame, groups: Sequence[str], qs: Sequence[float], names: Sequence[str]) -> DataFrame:
