@@ -107,3 +107,18 @@ def table_profile(df: DataFrame, table_name: str, key_names: Sequence[str] = CAN
                              (F.col("rows") - F.col(f"distinct__{j}")).cast("bigint").alias("value")))
     return wide.select(F.explode(F.array(*rows)).alias("r")).select(
         F.lit(table_name).alias("table_name"), "r.metric", "r.column_name", "r.value")
+
+
+def profile_table(df: DataFrame, table_name: str, sample_n: int = 10,
+                  key_names: Sequence[str] = CANDIDATE_KEY_NAMES) -> dict:
+    """The table profile as DataFrames (A11): ``metrics`` (rows, columns, NULLs per column,
+    distinct keys and duplicate rows per candidate key: one aggregate), ``schema``
+    (column, type), ``numeric`` (``numeric_summary`` of the numeric columns) and a
+    ``sample`` of ``sample_n`` rows."""
+    spark = df.sparkSession
+    return {
+        "metrics": table_profile(df, table_name, key_names),
+        "schema": spark.createDataFrame([(n, t) for n, t in df.dtypes], "column_name string, data_type string"),
+        "numeric": numeric_summary(df, numeric_columns(df)[:20]),
+        "sample": df.limit(sample_n),
+    }

@@ -348,3 +348,32 @@ def forest_importances(spark, d):
 
     res, _, _ = trained_run(spark, d)
     return model.feature_importances(PipelineModel.load(res.model_path), res.features, top=30)
+
+
+# --------------------------------------------------------------------------- M4-M7 on labelled documents
+_DOC_SCORE = "n_chars / (SELECT max(n_chars) FROM documents)"
+
+
+@register("label_metrics", oracle=f"""
+WITH sc AS (SELECT l.quality AS label, CAST(d.n_chars AS DOUBLE) / (SELECT max(n_chars) FROM documents) AS score
+            FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+g AS (SELECT score, sum(label) AS p, count(*) - sum(label) AS n FROM sc GROUP BY score),
+c AS (SELECT score, p, n, sum(p) OVER (ORDER BY score DESC) AS cp, sum(n) OVER (ORDER BY score DESC) AS cn,
+             sum(p) OVER () AS tp, sum(n) OVER () AS tn FROM g),
+m AS (SELECT sum((cp - p) * n + 0.5 * p * n) / max(tp * tn) AS auc, max(cp / tp - cn / tn) AS ks,
+             sum(p / tp * cp / (cp + cn)) AS ap FROM c),
+t AS (SELECT count_if(label = 1 AND score >= 0.5) AS tp_, count_if(label = 0 AND score >= 0.5) AS fp_,
+             count_if(label = 1 AND score < 0.5) AS fn_ FROM sc)
+SELECT 'auc' AS metric, round(auc, 6) AS value FROM m
+UNION ALL SELECT 'ks', round(ks, 6) FROM m
+UNION ALL SELECT 'ap', round(ap, 6) FROM m
+UNION ALL SELECT 'precision', round(COALESCE(tp_ / NULLIF(tp_ + fp_, 0), 0), 6) FROM t
+UNION ALL SELECT 'recall', round(COALESCE(tp_ / NULLIF(tp_ + fn_, 0), 0), 6) FROM t""")
+def label_metrics(spark, d):
+    docs = T.table(spark, d, "documents")
+    longest = docs.select(F.max("n_chars")).scalar()
+    sc = T.table(spark, d, "labels").join(docs, on="doc_id", how="inner").select(
+        F.col("quality").alias("label"), (F.col("n_chars").cast("double") / longest).alias("score"))
+    rank = metrics.ranking_metrics(sc).unpivot([], ["auc", "ks", "ap"], "metric", "value")
+    thr = metrics.threshold_metrics(sc, thr=0.5).unpivot([], ["precision", "recall"], "metric", "value")
+    return rank.unionByName(thr).select("metric", r6(F.col("value")).alias("value"))
