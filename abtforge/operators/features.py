@@ -120,16 +120,14 @@ def payment_label(lines: DataFrame, key: Sequence[str], channel: str, debit_valu
 
 def feature_screen(df: DataFrame, cols: Sequence[str], min_nonzero_rate: float = 0.01,
                    min_variance: float = 0.0) -> DataFrame:
-    """(column_name, nonzero_rate, variance, keep) from one aggregate."""
-    cols = list(cols)
-    exprs = []
-    for i, c in enumerate(cols):
-        x = F.col(f"`{c}`").cast("double")
-        exprs += [F.avg(F.when(x.isNotNull(), (x != 0).cast("double"))).alias(f"z{i}"), F.var_samp(x).alias(f"v{i}")]
-    wide = df.agg(*exprs)
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"z{i}").alias("nonzero_rate"),
-                              F.col(f"v{i}").alias("variance")) for i, c in enumerate(cols)])
-    out = wide.select(F.explode(rows).alias("r")).select("r.*")
+    """(column_name, nonzero_rate, variance, keep), aggregated in code-generated column
+    batches (X10)."""
+    from abtforge.operators.columnwise import column_stats
+
+    out = column_stats(df, cols, {
+        "nonzero_rate": lambda x: F.avg(F.when(x.isNotNull(), (x.cast("double") != 0).cast("double"))),
+        "variance": lambda x: F.var_samp(x.cast("double")),
+    }, buffer_fields=5)
     keep = (F.coalesce(F.col("nonzero_rate"), F.lit(0.0)) >= min_nonzero_rate) & \
            (F.coalesce(F.col("variance"), F.lit(0.0)) > min_variance)
     return out.withColumn("keep", keep)

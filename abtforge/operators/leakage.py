@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abtforge.functions.names import leak_by_name
 from abtforge.functions.stats import safe_corr
+from abtforge.operators.columnwise import column_stats
 
 
 def target_correlation(df: DataFrame, cols: Sequence[str], target: str, thr: float = 0.999) -> DataFrame:
@@ -21,16 +22,15 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str, thr: flo
     Constant columns get NULL and are never flagged (Spark's ``corr`` raises on them under
     ANSI, and NaN >= thr would be true).
     """
-    cols = list(cols)
-    wide = df.agg(*[safe_corr(F.col(f"`{c}`").cast("double"), F.col(target).cast("double")).alias(f"r{i}")
-                    for i, c in enumerate(cols)])
-    names = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(f"r{i}"), F.lit(c))])
-    long = wide.unpivot([], [f"r{i}" for i in range(len(cols))], "_slot", "corr")
-    return long.select(
-        names[F.col("_slot")].alias("column_name"),
-        F.col("corr"),
-        F.coalesce(F.abs(F.col("corr")) >= F.lit(thr), F.lit(False)).alias("flagged"),
-    )
+    y = F.col(target).cast("double")
+    out = column_stats(df, cols, {"corr": lambda x: safe_corr(x.cast("double"), y)}, buffer_fields=10)
+    return out.select("column_name", "corr",
+                      F.coalesce(F.abs(F.col("corr")) >= F.lit(thr), F.lit(False)).alias("flagged"))
+
+
+def _binary(x: Column) -> Column:
+    x = x.cast("double")
+    return F.coalesce(F.bool_and(x.isNull() | x.isin(0.0, 1.0)), F.lit(False)) & (F.count(x) > 0)
 
 
 def perfect_leakage(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
@@ -39,41 +39,24 @@ def perfect_leakage(df: DataFrame, cols: Sequence[str], target: str) -> DataFram
     A column counts as binary when every non-NULL value is 0 or 1 (and it has at least one).
     Equality is NULL-safe: a NULL in the column matches only a NULL target.
     """
-    cols = list(cols)
     y = F.col(target).cast("double")
-    exprs = []
-    for i, c in enumerate(cols):
-        x = F.col(f"`{c}`").cast("double")
-        exprs += [
-            (F.coalesce(F.bool_and(x.isNull() | x.isin(0.0, 1.0)), F.lit(False)) & (F.count(x) > 0)).alias(f"b{i}"),
-            F.coalesce(F.bool_and(x.eqNullSafe(y)), F.lit(False)).alias(f"e{i}"),
-            F.coalesce(F.bool_and((F.lit(1.0) - x).eqNullSafe(y)), F.lit(False)).alias(f"c{i}"),
-        ]
-    wide = df.agg(*exprs)
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"b{i}").alias("binary"),
-                              F.col(f"e{i}").alias("equals_target"), F.col(f"c{i}").alias("equals_complement"))
-                     for i, c in enumerate(cols)])
-    return wide.select(F.explode(rows).alias("r")).select("r.*")
+    return column_stats(df, cols, {
+        "binary": _binary,
+        "equals_target": lambda x: F.coalesce(F.bool_and(x.cast("double").eqNullSafe(y)), F.lit(False)),
+        "equals_complement": lambda x: F.coalesce(F.bool_and((F.lit(1.0) - x.cast("double")).eqNullSafe(y)), F.lit(False)),
+    }, buffer_fields=4)
 
 
 def _checks(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
-    """Per column: binary, equals_target, equals_complement and corr, from ONE aggregate."""
+    """Per column: binary, equals_target, equals_complement and corr, from one aggregate per
+    code-generated batch of columns."""
     y = F.col(target).cast("double")
-    exprs = []
-    for i, c in enumerate(cols):
-        x = F.col(f"`{c}`").cast("double")
-        exprs += [
-            (F.coalesce(F.bool_and(x.isNull() | x.isin(0.0, 1.0)), F.lit(False)) & (F.count(x) > 0)).alias(f"b{i}"),
-            F.coalesce(F.bool_and(x.eqNullSafe(y)), F.lit(False)).alias(f"e{i}"),
-            F.coalesce(F.bool_and((F.lit(1.0) - x).eqNullSafe(y)), F.lit(False)).alias(f"c{i}"),
-            safe_corr(x, y).alias(f"r{i}"),
-        ]
-    wide = df.agg(*exprs)
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"b{i}").alias("binary"),
-                              F.col(f"e{i}").alias("equals_target"), F.col(f"c{i}").alias("equals_complement"),
-                              F.col(f"r{i}").alias("corr"))
-                     for i, c in enumerate(cols)])
-    return wide.select(F.explode(rows).alias("r")).select("r.*")
+    return column_stats(df, cols, {
+        "binary": _binary,
+        "equals_target": lambda x: F.coalesce(F.bool_and(x.cast("double").eqNullSafe(y)), F.lit(False)),
+        "equals_complement": lambda x: F.coalesce(F.bool_and((F.lit(1.0) - x.cast("double")).eqNullSafe(y)), F.lit(False)),
+        "corr": lambda x: safe_corr(x.cast("double"), y),
+    }, buffer_fields=14)
 
 
 def leakage_report(df: DataFrame, cols: Sequence[str], target: str, thr: float = 0.999) -> DataFrame:

@@ -35,20 +35,22 @@ def coerce_numeric(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ())
 
 def infinite_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column_name, n_inf): how many +-inf each column holds (text that parses to inf included)."""
+    from abtforge.operators.columnwise import column_stats
+
     types = {f.name: f.dataType for f in df.schema.fields}
-    wide = df.agg(*[F.count_if(is_infinite(to_double(F.col(f"`{c}`"), types[c]))).alias(f"i{i}")
-                    for i, c in enumerate(cols)])
-    names = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(f"i{i}"), F.lit(c))])
-    return wide.unpivot([], [f"i{i}" for i in range(len(cols))], "_slot", "n_inf").select(
-        names[F.col("_slot")].alias("column_name"), "n_inf")
+    conv = df.select(*[to_double(F.col(f"`{c}`"), types[c]).alias(c) for c in cols])
+    return column_stats(conv, cols, {"n_inf": lambda x: F.count_if(is_infinite(x))}, buffer_fields=1)
 
 
 def all_null_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    """Columns without a single non-NULL value (one aggregate; returns names only)."""
+    """Columns without a single non-NULL value (returns names only)."""
+    from abtforge.operators.columnwise import column_stats
+
     if not cols:
         return []
-    row = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    return [c for i, c in enumerate(cols) if row[f"n{i}"] == 0]
+    rows = column_stats(df, cols, {"n": lambda x: F.count(x)}, buffer_fields=1).collect()
+    empty = {r["column_name"] for r in rows if r["n"] == 0}
+    return [c for c in cols if c in empty]
 
 
 def quantile_bounds(df: DataFrame, cols: Sequence[str], q_low: float = 0.001, q_high: float = 0.999,

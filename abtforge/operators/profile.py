@@ -28,17 +28,17 @@ def detect_candidate_keys(df: DataFrame, names: Sequence[str] = CANDIDATE_KEY_NA
 
 
 def null_profile(df: DataFrame, top: int | None = 20) -> DataFrame:
-    """(column_name, nulls, null_pct) ordered by nulls desc then name; ``null_pct`` to 4 places."""
-    cols = df.columns
-    wide = df.agg(F.count(F.lit(1)).alias("_rows"),
-                  *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"c{i}") for i, c in enumerate(cols)])
-    name_map = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(f"c{i}"), F.lit(c))])
-    long = wide.unpivot(["_rows"], [f"c{i}" for i in range(len(cols))], "_slot", "nulls")
-    out = long.select(
-        name_map[F.col("_slot")].alias("column_name"),
-        F.col("nulls"),
-        F.round(F.col("nulls") / F.greatest(F.col("_rows"), F.lit(1)), 4).alias("null_pct"),
-    ).orderBy(F.desc("nulls"), F.asc("column_name"))
+    """(column_name, nulls, null_pct) ordered by nulls desc then name; ``null_pct`` to 4 places.
+
+    NULL counts are conditional counts in code-generated batches of columns.
+    """
+    from abtforge.operators.columnwise import column_stats
+
+    stats = column_stats(df, df.columns, {"nulls": lambda x: F.count_if(x.isNull()),
+                                          "_rows": lambda x: F.count(F.lit(1))}, buffer_fields=2)
+    out = stats.select("column_name", "nulls",
+                       F.round(F.col("nulls") / F.greatest(F.col("_rows"), F.lit(1)), 4).alias("null_pct"))
+    out = out.orderBy(F.desc("nulls"), F.asc("column_name"))
     return out.limit(top) if top else out
 
 

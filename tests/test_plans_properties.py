@@ -133,3 +133,17 @@ def test_hot_client_key_is_split_by_aqe(spark):
         plan = _plan(out)
     assert "isFinalPlan=true" in plan
     assert "skew=true" in plan
+
+
+def test_wide_checks_stay_code_generated(spark):
+    """Per-column checks over many columns run in batches whose aggregation buffers fit
+    whole-stage codegen (no interpreted aggregate)."""
+    from abtforge.operators import leakage
+
+    cols = [f"c{i}" for i in range(40)]
+    df = spark.range(2000).select((F.col("id") % 2).alias("y"), *[(F.col("id") * i).cast("double").alias(f"c{i}") for i in range(40)])
+    rep = leakage.leakage_report(df, cols, "y")
+    rep.collect()
+    plan = rep._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    aggs = [l for l in plan.split("\n") if "HashAggregate(keys=[]" in l]
+    assert aggs and all(re.search(r"\*\(\d+\) HashAggregate", l) for l in aggs)
