@@ -83,30 +83,37 @@ def top_values(df: DataFrame, col: str, top: int = 10) -> DataFrame:
 
 
 def table_profile(df: DataFrame, table_name: str, key_names: Sequence[str] = CANDIDATE_KEY_NAMES) -> DataFrame:
-    """Long-format profile (table_name, metric, column_name, value) from one aggregate.
+    """Long-format profile (table_name, metric, column_name, value).
 
-    Metrics: rows, columns, nulls per column, and for every candidate key column its
-    distinct count and duplicate rows.
+    Metrics: rows, columns, NULLs per column (code-generated column batches), and for every
+    candidate key column its distinct count and duplicate rows (one grouped count per key).
     """
+    from abtforge.operators.columnwise import column_stats
+    from abtforge.operators.quality import duplicates_by_key
+
     cols = df.columns
-    keys = detect_candidate_keys(df, key_names)
-    exprs = [F.count(F.lit(1)).alias("rows")]
-    exprs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls__{i}") for i, c in enumerate(cols)]
-    exprs += [F.count_distinct(F.col(k)).alias(f"distinct__{j}") for j, k in enumerate(keys)]
-    wide = df.agg(*exprs)
-    rows = [F.struct(F.lit("rows").alias("metric"), F.lit(None).cast("string").alias("column_name"),
-                     F.col("rows").cast("bigint").alias("value")),
-            F.struct(F.lit("columns").alias("metric"), F.lit(None).cast("string").alias("column_name"),
-                     F.lit(len(cols)).cast("bigint").alias("value"))]
-    rows += [F.struct(F.lit("nulls").alias("metric"), F.lit(c).alias("column_name"),
-                      F.col(f"nulls__{i}").cast("bigint").alias("value")) for i, c in enumerate(cols)]
-    for j, k in enumerate(keys):
-        rows.append(F.struct(F.lit("distinct_keys").alias("metric"), F.lit(k).alias("column_name"),
-                             F.col(f"distinct__{j}").cast("bigint").alias("value")))
-        rows.append(F.struct(F.lit("dup_rows").alias("metric"), F.lit(k).alias("column_name"),
-                             (F.col("rows") - F.col(f"distinct__{j}")).cast("bigint").alias("value")))
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select(
-        F.lit(table_name).alias("table_name"), "r.metric", "r.column_name", "r.value")
+    nulls = column_stats(df, cols, {"nulls": lambda x: F.count_if(x.isNull()),
+                                    "_rows": lambda x: F.count(F.lit(1))}, buffer_fields=2)
+    first = F.lit(cols[0])
+    parts = [
+        nulls.filter(F.col("column_name") == first).select(
+            F.lit("rows").alias("metric"), F.lit(None).cast("string").alias("column_name"),
+            F.col("_rows").cast("bigint").alias("value")),
+        nulls.filter(F.col("column_name") == first).select(
+            F.lit("columns").alias("metric"), F.lit(None).cast("string").alias("column_name"),
+            F.lit(len(cols)).cast("bigint").alias("value")),
+        nulls.select(F.lit("nulls").alias("metric"), "column_name", F.col("nulls").cast("bigint").alias("value")),
+    ]
+    for k in detect_candidate_keys(df, key_names):
+        d = duplicates_by_key(df, k)
+        parts.append(d.select(F.lit("distinct_keys").alias("metric"), F.lit(k).alias("column_name"),
+                              F.col("distinct_keys").cast("bigint").alias("value")))
+        parts.append(d.select(F.lit("dup_rows").alias("metric"), F.lit(k).alias("column_name"),
+                              F.col("dup_rows").cast("bigint").alias("value")))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out.select(F.lit(table_name).alias("table_name"), "metric", "column_name", "value")
 
 
 def profile_table(df: DataFrame, table_name: str, sample_n: int = 10,
