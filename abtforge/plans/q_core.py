@@ -354,8 +354,20 @@ def preview_sample(spark, d):
     return tables.preview(df, n=20, order_by=["o_orderkey"])
 
 
-# --------------------------------------------------------------------------- S14 (rows only)
-@register("catalog_listing")
+# --------------------------------------------------------------------------- S14
+def _listing_oracle() -> str:
+    def describe(name: str, query: str) -> str:
+        typ = ("CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date' "
+               "WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END")
+        return (f"SELECT '{name}' AS table_name, CAST(row_number() OVER () AS INTEGER) AS ordinal_position, "
+                f"column_name, {typ} AS data_type FROM (DESCRIBE {query})")
+    cl = S.with_(S.CLIENTES) + "SELECT * FROM clientes"
+    tq = (S.with_(S.ORDER_LINES) + "SELECT num_doc, obl17, f_analisis, tq_sum_qty, tq_avg_price, tq_min_price, "
+          "tq_max_price, tq_std_price FROM order_lines")
+    return describe("clientes", cl) + "\nUNION ALL\n" + describe("tanque", tq)
+
+
+@register("catalog_listing", oracle=_listing_oracle())
 def catalog_listing(spark, d):
     db = "abt_catalog"
     base = work_dir(spark, "catalog")
