@@ -55,3 +55,24 @@ def test_default_slicing_sized_by_aqe(spark):
 
     auc = sum(bisect.bisect_left(neg, p) for p in pos) / (len(pos) * len(neg))
     assert ranking_metrics(df).first()["auc"] == pytest.approx(auc, rel=1e-9)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.one_of(st.none(), st.integers(-5, 5).map(float), st.floats(-1e6, 1e6, allow_nan=False)),
+                       min_size=1, max_size=80),
+       qs=st.lists(st.floats(0.0, 1.0), min_size=1, max_size=4, unique=True),
+       slices=st.integers(1, 6))
+def test_exact_quantiles_property(spark, values, qs, slices):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = {r["q"]: r["value"] for r in exact_quantiles(df, ["x"], qs, slices=slices).collect()}
+    present = [v for v in values if v is not None]
+    if not present:
+        assert got == {}
+        return
+    ref = df.agg(F.percentile("x", F.array(*[F.lit(q) for q in qs]))).first()[0]
+    for q, r in zip(qs, ref):
+        assert got[q] == pytest.approx(r, rel=1e-9, abs=1e-9)
