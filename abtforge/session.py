@@ -32,6 +32,8 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
         # Python call-site capture for error messages costs a stack walk and several JVM
         # round trips per builder call; off for batch runs
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # checkpoint files of slice tags are removed once nothing references them
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
