@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,11 +52,15 @@ def train_and_log(gold: DataFrame, runs_path: str, model_path: str, experiment:
     mdl.write().overwrite().save(model_path)
 
     held = prep.sanitize_apply(gold.filter(F.col("split_group").isin("TEST", "OOT")), kept, bounds, keep=keep)
-    scored = model.score(mdl, held, keep)
-    rank = {r["split_group"]: r for r in
-            metrics.ranking_metrics(scored, "target_final", "score", by=["split_group"]).collect()}
-    thr = {r["split_group"]: r for r in
-           metrics.threshold_metrics(scored, "target_final", "score", threshold, by=["split_group"]).collect()}
+    # two evaluations read the held-out scores: score once (lost blocks are recomputed)
+    scored = model.score(mdl, held, ["split_group", "target_final"]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rank = {r["split_group"]: r for r in
+                metrics.ranking_metrics(scored, "target_final", "score", by=["split_group"]).collect()}
+        thr = {r["split_group"]: r for r in
+               metrics.threshold_metrics(scored, "target_final", "score", threshold, by=["split_group"]).collect()}
+    finally:
+        scored.unpersist()
     m: dict = {"n_features_final": float(len(kept))}
     for s, tag in (("TEST", "test"), ("OOT", "oot")):
         if s in rank:
