@@ -75,3 +75,19 @@ def test_zero_fill_presence_flag(spark):
     df = spark.createDataFrame([(None,), (2.0,)], "x double")
     rows = zero_fill_numeric(df, presence_flags=["x"]).orderBy("x").collect()
     assert [(r["x"], r["has_x"]) for r in rows] == [(0.0, 0), (2.0, 1)]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ids=st.lists(st.integers(min_value=-(2**53), max_value=2**53), min_size=1, max_size=40))
+def test_obligation_key_forms_agree(spark, ids):
+    rows = [(float(i), i, str(i), f"{i}.0", f" {i} ") for i in ids]
+    df = spark.createDataFrame(rows, "d double, b bigint, s string, s0 string, sp string")
+    got = df.select(obligation_key("d", T.DoubleType()).alias("d"), obligation_key("b", T.LongType()).alias("b"),
+                    obligation_key("s", T.StringType()).alias("s"), obligation_key("s0", T.StringType()).alias("s0"),
+                    obligation_key("sp", T.StringType()).alias("sp")).collect()
+    for i, r in zip(ids, got):
+        assert r["d"] == r["b"] == r["s"] == r["s0"] == r["sp"] == str(i)

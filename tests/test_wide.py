@@ -81,3 +81,22 @@ def test_share_can_exceed_one_by_definition(spark):
     row = build_compact(df, CFG).first()
     assert row["total_mnt_all_ult6"] == 10.0 and row["total_mnt_fisico_ult6"] == 60.0
     assert row["share_mnt_fisico_ult6"] > 1
+
+
+def test_compaction_reads_only_needed_columns(spark):
+    """On a Parquet table with many unrelated columns, the scan's ReadSchema holds only the
+    key and the columns some family uses."""
+    from abtforge.session import work_dir
+
+    unused = [f"sum_trx_mnt_zz{i}_ult6" for i in range(150)] + [f"trx_cnt_can_x{i}" for i in range(50)]
+    used = ["sum_trx_mnt_svp_ult6", "sum_trx_mnt_gr_ult12", "avg_trx_cnt_cajero_ult6"]
+    cols = ["num_doc"] + used + unused
+    df = spark.range(10).select(*[(F.col("id") * 1.0).alias(c) if c != "num_doc" else F.col("id").alias(c) for c in cols])
+    path = work_dir(spark, "t_wide")
+    df.write.parquet(path)
+    out = build_compact(spark.read.parquet(path), CFG)
+    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    schema = [l for l in plan.split("\n") if l.startswith("ReadSchema")][0]
+    for c in used + ["num_doc"]:
+        assert c in schema
+    assert not any(c in schema for c in unused)
