@@ -34,6 +34,18 @@ class TrainResult:
     model_path: str
 
 
+def materialize_gold(gold: DataFrame, table: str, database: str = "gold", path: str | None = None,
+                     date_col: str = "f_analisis", grain: str = "month") -> DataFrame:
+    """Write the analytic base table partitioned by analysis period (``<date_col>_<grain>``,
+    the period's first day) and read it back: temporal splits, latest-month OOT and date
+    lookups then prune partitions.  ``month`` suits monthly snapshots; ``year`` suits daily
+    dates over many years (fewer, larger partitions)."""
+    part = f"{date_col}_{grain}"
+    out = gold.withColumn(part, F.trunc(F.col(date_col).cast("date"), grain))
+    tables.save_table(out, table, database, mode="overwrite", path=path, partition_by=[part])
+    return gold.sparkSession.table(f"`{database}`.`{table}`")
+
+
 def train_and_log(gold: DataFrame, runs_path: str, model_path: str, experiment: str = "debito_recurrente",
                   params: model.ForestParams = model.ForestParams(), threshold: float = 0.5,
                   exclude: Sequence[str] = prep.DEFAULT_EXCLUDE, run_id: str | None = None,

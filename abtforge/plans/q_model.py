@@ -314,6 +314,8 @@ def trained_run(spark, d):
         base = work_dir(spark, "forest")
         # the analytic base table is materialised once (as the gold layer is), then read by
         # training, evaluation and scoring
+        # training splits by hash, so no date filter would prune partitions here: plain files
+        # (scoring.materialize_gold partitions by period for temporal-split pipelines)
         training_frame(spark, d).drop("segmento", "prioridad").write.mode("overwrite").parquet(f"{base}/gold")
         gold = spark.read.parquet(f"{base}/gold")
         res = scoring.train_and_log(gold, f"{base}/model_runs", f"{base}/model", run_id="forest_run")

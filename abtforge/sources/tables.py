@@ -113,6 +113,10 @@ def save_table(df: DataFrame | None, table: str, database: str, *, mode: str = "
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     if mode == "skip" and table_exists(spark, database, table):
         return False
+    if partition_by and not bucket_by:
+        # one writer per partition value would put a hot value (a month with a third of the
+        # rows) in one task; the rebalance hint lets AQE split such partitions evenly
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)

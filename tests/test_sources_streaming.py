@@ -82,3 +82,17 @@ def test_bucketed_decisions_prune_lookups(spark):
 def test_exec_sql_statements(spark):
     tables.exec_sql(spark, "CREATE DATABASE IF NOT EXISTS t_exec; CREATE OR REPLACE TEMP VIEW t_exec_v AS SELECT 1 AS x")
     assert spark.table("t_exec_v").first()["x"] == 1
+
+
+def test_gold_partitioned_by_month_prunes(spark):
+    import datetime as dt
+
+    from abtforge.operators import scoring
+
+    rows = [(str(i), dt.date(2024, 1 + i % 3, 1 + i % 27), float(i)) for i in range(300)]
+    gold = spark.createDataFrame(rows, "num_doc_key string, f_analisis date, x double")
+    back = scoring.materialize_gold(gold, "t_gold", "t_gold_db", path=work_dir(spark, "t_gold"))
+    q = back.filter(F.col("f_analisis_month") == F.lit(dt.date(2024, 2, 1)))
+    plan = spark._jvm.PythonSQLUtils.explainString(q._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(f_analisis_month" in plan
+    assert q.count() == 100
