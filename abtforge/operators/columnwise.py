@@ -5,8 +5,8 @@ more fields than ``spark.sql.codegen.maxFields`` Spark stops generating code for
 evaluates every row through the interpreter.  ``column_stats`` therefore aggregates the
 columns in batches whose buffers stay under the limit and unions the batches into one
 long result (column_name, stat...).  On a columnar table each batch reads only its own
-columns, so the total I/O is about that of one scan; a derived frame is recomputed per
-batch, so materialise expensive inputs first.
+columns, so the total I/O is about that of one scan; a derived input (joins, aggregates)
+is cut once with a checkpoint of the needed columns instead of being recomputed per batch.
 """
 
 from __future__ import annotations
@@ -25,16 +25,31 @@ def batch_size(df: DataFrame, buffer_fields: int, max_fields: int | None = None)
     return max(1, (limit - 1) // max(1, buffer_fields))
 
 
+def _derived(df: DataFrame) -> bool:
+    """True when the optimised plan joins or aggregates (recomputing it per batch costs more
+    than writing the needed columns once)."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return "Join " in plan or "Aggregate [" in plan
+
+
 def column_stats(df: DataFrame, cols: Sequence[str], stats: Mapping[str, Stat], buffer_fields: int,
-                 max_fields: int | None = None) -> DataFrame:
+                 max_fields: int | None = None, extra: Sequence[str] = ()) -> DataFrame:
     """(column_name, <stat>...) with one row per column.
 
     ``stats`` maps an output name to a function of the column; ``buffer_fields`` is the
-    number of aggregation-buffer fields those functions need per column.
+    number of aggregation-buffer fields those functions need per column; ``extra`` names
+    other columns the functions read (a target, for example).  With more than one batch
+    over a derived input, the needed columns are checkpointed once first.
     """
     cols = list(cols)
     names = list(stats)
     per = batch_size(df, buffer_fields, max_fields)
+    if len(cols) > per and _derived(df):
+        from abtforge.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        needed = list(dict.fromkeys([*cols, *extra]))
+        df = df.select(*[F.col(f"`{c}`") for c in needed]).checkpoint(eager=True)
     parts = []
     for start in range(0, len(cols), per):
         chunk = cols[start:start + per]

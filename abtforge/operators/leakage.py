@@ -23,7 +23,8 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str, thr: flo
     ANSI, and NaN >= thr would be true).
     """
     y = F.col(target).cast("double")
-    out = column_stats(df, cols, {"corr": lambda x: safe_corr(x.cast("double"), y)}, buffer_fields=10)
+    out = column_stats(df, cols, {"corr": lambda x: safe_corr(x.cast("double"), y)}, buffer_fields=10,
+                       extra=[target])
     return out.select("column_name", "corr",
                       F.coalesce(F.abs(F.col("corr")) >= F.lit(thr), F.lit(False)).alias("flagged"))
 
@@ -44,7 +45,7 @@ def perfect_leakage(df: DataFrame, cols: Sequence[str], target: str) -> DataFram
         "binary": _binary,
         "equals_target": lambda x: F.coalesce(F.bool_and(x.cast("double").eqNullSafe(y)), F.lit(False)),
         "equals_complement": lambda x: F.coalesce(F.bool_and((F.lit(1.0) - x.cast("double")).eqNullSafe(y)), F.lit(False)),
-    }, buffer_fields=4)
+    }, buffer_fields=4, extra=[target])
 
 
 def _checks(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
@@ -56,7 +57,7 @@ def _checks(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
         "equals_target": lambda x: F.coalesce(F.bool_and(x.cast("double").eqNullSafe(y)), F.lit(False)),
         "equals_complement": lambda x: F.coalesce(F.bool_and((F.lit(1.0) - x.cast("double")).eqNullSafe(y)), F.lit(False)),
         "corr": lambda x: safe_corr(x.cast("double"), y),
-    }, buffer_fields=14)
+    }, buffer_fields=14, extra=[target])
 
 
 def leakage_report(df: DataFrame, cols: Sequence[str], target: str, thr: float = 0.999) -> DataFrame:
