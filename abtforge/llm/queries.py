@@ -39,6 +39,20 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes removed from every document as parts of repeated 200-byte strings."""
+    from abtforge.llm.suffix_dedup import removal_report
+
+    return removal_report(table(spark, sf_dir, "documents"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    from abtforge.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the weighted mix takes of every document."""
     from abtforge.llm.mixing import mix_report
@@ -91,6 +105,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL: dict[str, tuple[Query, str | None]] = {
     "op1_topk_search": (op1_topk_search, OP1_SQL),
+    "op5_suffix_dedup": (op5_suffix_dedup, None),
+    "op6_simhash": (op6_simhash, None),
     "op8_source_mixing": (op8_source_mixing, OP8_SQL),
     "op10_quality_rules": (op10_quality_rules, None),
 }
