@@ -20,6 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from abtforge.llm.samples import labelled_sample
+
+TRUSTED = 20_000
 BUCKETS = 1 << 13
 THRESHOLD = -0.1
 SMOOTHING = 1.0
@@ -82,15 +85,18 @@ def corpus_weights(hashed: DataFrame, buckets: int, smoothing: float) -> DataFra
     return sums.withColumn("_m", by_bucket).select(F.when(F.col("n_target") > 0, each).otherwise(flat).alias("weights"))
 
 
-def judge(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD,
+def judge(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, buckets: int = BUCKETS, threshold: float = THRESHOLD,
           smoothing: float = SMOOTHING) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, ratio, kept.
 
-    ``trusted_ids``: a frame with ``doc_id`` of the trusted target.  One row per row of ``docs``.
+    The trusted target is fitted on at most ``trusted`` documents labelled good (the smallest id
+    hashes); the raw corpus is all of ``docs``.  One row per row of ``docs``.
     """
     base = docs.select("doc_id", F.col("text").alias("text"))
-    ids = trusted_ids.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct().withColumn("_t", F.lit(True))
-    hashed = (base.join(ids, F.col("doc_id") == F.col("_id"), "left")
+    good = labelled_sample(docs, labels.where("quality = 1"), "quality", F.lit(False), trusted)
+    ids = good.select(F.col("doc_id").alias("_id"), F.lit(True).alias("_t"))
+    # at most ``trusted`` ids: bounded, so the texts need no shuffle for the join
+    hashed = (base.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left")
               .select(F.coalesce("_t", F.lit(False)).alias("trusted"), F.transform(word_array(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes")))
     weights = corpus_weights(hashed, buckets, smoothing)
     text = F.coalesce(F.col("text"), F.lit(""))

@@ -100,7 +100,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and the likelihood-ratio verdict of every document."""
     from abtforge.llm.quality_rules import judge
 
-    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where("quality = 1"))
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 _ALL: dict[str, tuple[Query, str | None]] = {

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
+BLOCK_ROWS = 1 << 10
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers = {"base": np.ones(1, np.uint64), "inverse": np.ones(1, np.uint64)}
@@ -33,8 +34,9 @@ class Block(NamedTuple):
     offsets: np.ndarray
 
 
-def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
-    """Cut a text column into runs of whole rows of about ``limit`` bytes; NULL counts as empty."""
+def blocks(column: pa.Array, limit: int = BLOCK_BYTES, most: int = BLOCK_ROWS) -> Iterator[Block]:
+    """Cut a text column into runs of at most ``most`` whole rows and about ``limit`` bytes (a longer
+    row is a block of its own); NULL counts as empty."""
     column = column.cast(pa.large_binary()).fill_null(b"")
     n = len(column)
     _, where, what = column.buffers()
@@ -43,7 +45,7 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     lo = 0
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
-        hi = min(hi, n)
+        hi = min(hi, n, lo + most)
         yield Block(lo, hi - lo, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
         lo = hi
 
@@ -76,6 +78,11 @@ def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def rows_of(offsets: np.ndarray) -> np.ndarray:
+    """Row of every byte of a block."""
+    return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+
+
 def _power(kind: str, n: int) -> np.ndarray:
     have = _powers[kind]
     if len(have) < n:
