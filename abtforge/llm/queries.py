@@ -39,6 +39,20 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    from abtforge.llm.quality import quality_report
+
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    from abtforge.llm.toxicity import toxicity_report
+
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes removed from every document as parts of repeated 200-byte strings."""
     from abtforge.llm.suffix_dedup import removal_report
@@ -105,6 +119,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL: dict[str, tuple[Query, str | None]] = {
     "op1_topk_search": (op1_topk_search, OP1_SQL),
+    "op3_quality_classifier": (op3_quality_classifier, None),
+    "op4_toxicity": (op4_toxicity, None),
     "op5_suffix_dedup": (op5_suffix_dedup, None),
     "op6_simhash": (op6_simhash, None),
     "op8_source_mixing": (op8_source_mixing, OP8_SQL),
