@@ -39,6 +39,13 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents packed into windows of 2048 tokens."""
+    from abtforge.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     from abtforge.llm.quality import quality_report
@@ -67,6 +74,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    from abtforge.llm.url_filter import judge_pages
+
+    return judge_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the weighted mix takes of every document."""
     from abtforge.llm.mixing import mix_report
@@ -110,6 +124,13 @@ FROM j
 """
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every document."""
+    from abtforge.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and the likelihood-ratio verdict of every document."""
     from abtforge.llm.quality_rules import judge
@@ -117,14 +138,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole corpus pipeline (``corpus_pipeline.py``) over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 _ALL: dict[str, tuple[Query, str | None]] = {
     "op1_topk_search": (op1_topk_search, OP1_SQL),
+    "op2_packing": (op2_packing, None),
     "op3_quality_classifier": (op3_quality_classifier, None),
     "op4_toxicity": (op4_toxicity, None),
     "op5_suffix_dedup": (op5_suffix_dedup, None),
     "op6_simhash": (op6_simhash, None),
+    "op7_url_filter": (op7_url_filter, None),
     "op8_source_mixing": (op8_source_mixing, OP8_SQL),
+    "op9_license_scan": (op9_license_scan, None),
     "op10_quality_rules": (op10_quality_rules, None),
+    "pipeline": (pipeline, None),
 }
 
 
