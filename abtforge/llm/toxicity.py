@@ -24,7 +24,7 @@ from abtforge.llm.samples import fold, labelled_sample
 from abtforge.llm.store import written
 from abtforge.llm.textarrays import ALNUM, Block, blocks, lower_ascii, mix, prefix_hash, span_hash, words
 
-BUCKETS = 1 << 20
+BUCKETS = 1 << 22
 SAMPLE = 16384
 SHARDS = 2
 ROUNDS = 5
@@ -104,12 +104,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, shards: int
             .groupBy("doc_id").agg(F.max("y").alias("y"), F.max("x").alias("x")))
     rows = written(rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(shards)).cast("int")), "toxicity")
     context = docs.sparkSession.sparkContext
-    state = Ftrl(np.zeros(buckets + 1), np.zeros(buckets + 1))
+    state = Ftrl(np.zeros(buckets + 1, np.float32), np.zeros(buckets + 1, np.float32))
     for turn in range(rounds):
         shared = context.broadcast((state.z, state.n))
         learned = sorted((r["z"], r["n"]) for r in rows.groupBy("shard").applyInArrow(_learn_shard(shared, turn), "z binary, n binary").collect())
         if learned:
-            state = Ftrl(*(np.mean([np.frombuffer(r[i]) for r in learned], axis=0) for i in (0, 1)))
+            state = Ftrl(*(sum(np.frombuffer(r[i], np.float32) for r in learned) / np.float32(len(learned)) for i in (0, 1)))
         shared.destroy()
     weights = state.weights()
     at = np.flatnonzero(weights[:-1])
@@ -123,14 +123,14 @@ def with_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float],
     @F.arrow_udf("double")
     def scored(text: pa.Array) -> pa.Array:
         at, weight, bias = shared.value
-        dense, used = np.zeros(buckets), np.zeros(buckets, bool)
-        dense[at], used[at] = weight, True
+        used = np.zeros(buckets, bool)
+        used[at] = True
         out = []
         for block in blocks(text):
             row, bucket = block_features(block, buckets)
             hit = np.flatnonzero(used[bucket])
             pair = np.unique(row[hit] * buckets + bucket[hit])
-            total = bias + np.bincount(pair // buckets, dense[pair % buckets], block.rows)
+            total = bias + np.bincount(pair // buckets, weight[np.searchsorted(at, pair % buckets)], block.rows)
             out.append(1 / (1 + np.exp(-np.clip(total, -35, 35))))
         return pa.array(np.round(np.concatenate(out), 6) if out else np.zeros(0))
 
