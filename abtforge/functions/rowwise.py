@@ -2,51 +2,34 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Above this many inputs a nested ``a + b + ...`` tree gets deep enough to slow planning
-# and code generation; fold over an array instead.
-_WIDE = 64
 
-
-def _zeroed(cols: Sequence[str | Column]) -> list[Column]:
-    return [F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(0)) for c in cols]
-
-
-def _names_only(cols: Sequence[str | Column]) -> bool:
-    return bool(cols) and all(isinstance(c, str) for c in cols)
-
-
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+def _zeroed(c: str | Column) -> Column:
+    return F.coalesce(F.col("`" + c.replace("`", "``") + "`") if isinstance(c, str) else c, F.lit(0))
 
 
 def row_sum(cols: Sequence[str | Column]) -> Column:
-    """Sum across columns, NULL as 0.  No columns -> literal 0."""
-    if _names_only(cols) and len(cols) <= _WIDE:
-        # one expression text instead of a builder call per column and operator
-        return F.expr(" + ".join(f"coalesce({_q(c)}, 0)" for c in cols))
-    parts = _zeroed(cols)
-    if not parts:
+    """Sum across columns, NULL as 0.  No columns -> literal 0.
+
+    One rule at every width: a balanced tree of additions, so the result keeps the columns' own
+    type and the expression is only log2(n) deep however many columns there are.
+    """
+    level = [_zeroed(c) for c in cols]
+    if not level:
         return F.lit(0)
-    if len(parts) <= _WIDE:
-        return reduce(lambda a, b: a + b, parts)
-    arr = F.array(*[p.cast("double") for p in parts])
-    return F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
+    while len(level) > 1:
+        paired = [a + b for a, b in zip(level[::2], level[1::2])]
+        level = paired + level[len(paired) * 2:]
+    return level[0]
 
 
 def row_max(cols: Sequence[str | Column]) -> Column:
     """Maximum across columns, NULL as 0.  Works for a single column (``greatest`` needs two)."""
-    if _names_only(cols):
-        z = [f"coalesce({_q(c)}, 0)" for c in cols]
-        return F.expr(z[0] if len(z) == 1 else f"greatest({', '.join(z)})")
-    parts = _zeroed(cols)
-    if not parts:
-        return F.lit(0)
-    if len(parts) == 1:
-        return parts[0]
+    parts = [_zeroed(c) for c in cols]
+    if len(parts) < 2:
+        return parts[0] if parts else F.lit(0)
     return F.greatest(*parts)

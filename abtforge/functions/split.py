@@ -44,7 +44,7 @@ def temporal_split(c: Column | str, train_before: str | dt.date, test_start: str
         if v is None or v == "":
             raise ValueError(f"temporal split needs {name}")
     c = F.col(c) if isinstance(c, str) else c
-    d = c.cast("date")
+    d = c.try_cast("date")
     return (
         F.when(d.isNull(), F.lit(None).cast("string"))
         .when(d < _date(train_before), "TRAIN")

@@ -13,6 +13,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from abtforge.functions.stats import safe_corr
+
 # Channel codes with their description.
 CHANNEL_CATALOG = [
     ("gr", "gr"),
@@ -102,8 +104,8 @@ def parse_column_names(names: DataFrame, channels: Sequence[str], col: str = "co
 
 
 def describe_channels(parsed: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Attach ``canal_desc`` from the channel dimension (a small seed: broadcast)."""
-    return parsed.join(F.broadcast(dimension), on="canal", how="left")
+    """Attach ``canal_desc`` from the channel dimension (Spark decides by its size whether to broadcast it)."""
+    return parsed.join(dimension, on="canal", how="left")
 
 
 def is_candidate(col: str = "col", keep_prefixes: Sequence[str] = ("sum_trx_", "avg_trx_"),
@@ -129,6 +131,25 @@ def smmlv_pairs(names: DataFrame, col: str = "col") -> DataFrame:
     return sm.join(base, on="base", how="inner").select("base", "smmlv")
 
 
+def smmlv_column_pairs(columns: Sequence[str]) -> list[tuple[str, str]]:
+    """The same pairs from a list of names, in order of the base name."""
+    there = set(columns)
+    pairs = [(c.replace("_smmlv", ""), c) for c in columns if "smmlv" in c]
+    return sorted(p for p in pairs if p[0] in there and p[0] != p[1])
+
+
+def pair_correlation(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(base, smmlv, corr) for every pair of columns, from one scan (A14); NULL where a side is
+    constant or fewer than two rows hold both values."""
+    named = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "_position int, base string, smmlv string")
+    both = [F.struct(F.col(f"`{a}`").cast("double").alias("x"), F.col(f"`{b}`").cast("double").alias("y")) for a, b in pairs]
+    if not both:
+        return named.select("base", "smmlv", F.lit(None).cast("double").alias("corr"))
+    rows = df.select(F.posexplode(F.array(*both)).alias("_position", "p"))
+    found = rows.groupBy("_position").agg(safe_corr(F.col("p.x"), F.col("p.y")).alias("corr"))
+    return named.join(found, "_position", "left").select("base", "smmlv", "corr")
+
+
 def catalog_counts(parsed: DataFrame) -> DataFrame:
     """Columns per value of each catalog dimension (A15): (dimension, value, n_cols)."""
     dims = ["stat", "tipo", "canal", "operacion", "window"]

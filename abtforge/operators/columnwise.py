@@ -1,17 +1,12 @@
-"""Per-column statistics of many columns, in code-generated batches.
-
-One ``agg`` over hundreds of columns is a single scan, but once its aggregation buffer has
-more fields than ``spark.sql.codegen.maxFields`` Spark stops generating code for it and
-evaluates every row through the interpreter.  ``column_stats`` therefore aggregates the
-columns in batches whose buffers stay under the limit and unions the batches into one
-long result (column_name, stat...).  On a columnar table each batch reads only its own
-columns, so the total I/O is about that of one scan; a derived input (joins, aggregates)
-is cut once with a checkpoint of the needed columns instead of being recomputed per batch.
+"""Per-column statistics of any number of columns, in one scan.
+
+Each row is turned into (position, value) pairs and aggregated by position.  Partial aggregation
+leaves at most columns x tasks rows to shuffle, buffers hold the statistics of one column only, and
+the plan is the same for ten columns and for ten thousand: one scan, one generator, one aggregate.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,41 +15,23 @@ from pyspark.sql import functions as F
 Stat = Callable[[Column], Column]
 
 
-def batch_size(df: DataFrame, buffer_fields: int, max_fields: int | None = None) -> int:
-    limit = max_fields or int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100"))
-    return max(1, (limit - 1) // max(1, buffer_fields))
-
-
-def _derived(df: DataFrame) -> bool:
-    """True when the optimised plan joins or aggregates (recomputing it per batch costs more
-    than writing the needed columns once)."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return "Join " in plan or "Aggregate [" in plan
+def as_double(c: Column) -> Column:
+    return c.cast("double")
 
 
-def column_stats(df: DataFrame, cols: Sequence[str], stats: Mapping[str, Stat], buffer_fields: int,
-                 max_fields: int | None = None, extra: Sequence[str] = ()) -> DataFrame:
+def column_stats(df: DataFrame, cols: Sequence[str], stats: Mapping[str, Stat], value: Stat = as_double,
+                 extra: Sequence[str] = (), empty: Mapping[str, object] | None = None) -> DataFrame:
     """(column_name, <stat>...) with one row per column.
 
-    ``stats`` maps an output name to a function of the column; ``buffer_fields`` is the
-    number of aggregation-buffer fields those functions need per column; ``extra`` names
-    other columns the functions read (a target, for example).  With more than one batch
-    over a derived input, the needed columns are checkpointed once first.
+    ``value`` brings every column to one common type; ``stats`` maps an output name to an
+    aggregate of that value; ``extra`` names further columns the aggregates read (a target, for
+    example).  A table without rows still gives one row per column, with ``empty``'s values.
     """
     cols = list(cols)
-    names = list(stats)
-    per = batch_size(df, buffer_fields, max_fields)
-    if len(cols) > per and _derived(df):
-        from abtforge.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(df.sparkSession)
-        needed = list(dict.fromkeys([*cols, *extra]))
-        df = df.select(*[F.col(f"`{c}`") for c in needed]).checkpoint(eager=True)
-    parts = []
-    for start in range(0, len(cols), per):
-        chunk = cols[start:start + per]
-        wide = df.agg(*[fn(F.col(f"`{c}`")).alias(f"{n}__{i}") for i, c in enumerate(chunk) for n, fn in stats.items()])
-        rows = F.array(*[F.struct(F.lit(c).alias("column_name"), *[F.col(f"{n}__{i}").alias(n) for n in names])
-                         for i, c in enumerate(chunk)])
-        parts.append(wide.select(F.explode(rows).alias("r")).select("r.*"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    spark = df.sparkSession
+    names = spark.createDataFrame(list(enumerate(cols)), "_position int, column_name string")
+    pairs = df.select(*[F.col(f"`{c}`") for c in extra],
+                      F.posexplode(F.array(*[value(F.col(f"`{c}`")) for c in cols])).alias("_position", "_value"))
+    found = pairs.groupBy("_position").agg(*[fn(F.col("_value")).alias(n) for n, fn in stats.items()])
+    out = names.join(found, "_position", "left").select("column_name", *stats)
+    return out.fillna(dict(empty)) if empty else out

@@ -87,23 +87,30 @@ def _check_limit(limit: int, hi: int) -> None:
         raise ValueError(f"limit must be between 1 and {hi}")
 
 
+def _wanted(key: str, name: str):
+    """The key to look up; None would silently search for the text 'None'."""
+    if key is None:
+        raise ValueError(f"lookup needs {name}")
+    return F.lit(str(key))
+
+
 def lookup_detail(dec: DataFrame, num_doc: str, obl17_key: str, date_col: str = "f_analisis") -> DataFrame:
     """At most one decision for (client, obligation); the latest analysis date wins."""
-    return (dec.filter((F.col("num_doc_key") == F.lit(str(num_doc))) & (F.col("obl17_key") == F.lit(str(obl17_key))))
+    return (dec.filter((F.col("num_doc_key") == _wanted(num_doc, "num_doc")) & (F.col("obl17_key") == _wanted(obl17_key, "obl17_key")))
             .orderBy(F.desc_nulls_last(date_col)).limit(1))
 
 
 def lookup_by_obligation(dec: DataFrame, obl17_key: str, limit: int = 200) -> DataFrame:
     """Decisions of one obligation, at most ``limit`` (1..5000)."""
     _check_limit(limit, 5000)
-    return (dec.filter(F.col("obl17_key") == F.lit(str(obl17_key)))
+    return (dec.filter(F.col("obl17_key") == _wanted(obl17_key, "obl17_key"))
             .orderBy(F.desc_nulls_last("f_analisis"), "num_doc_key").limit(limit))
 
 
 def lookup_by_client(dec: DataFrame, num_doc: str, limit: int = 2000) -> DataFrame:
     """Decisions of one client, highest score first, at most ``limit`` (1..20000)."""
     _check_limit(limit, 20000)
-    return (dec.filter(F.col("num_doc_key") == F.lit(str(num_doc)))
+    return (dec.filter(F.col("num_doc_key") == _wanted(num_doc, "num_doc"))
             .orderBy(F.desc("score"), "obl17_key", F.desc_nulls_last("f_analisis")).limit(limit))
 
 

@@ -28,10 +28,11 @@ def create_features(df: DataFrame, amount: str | None = "monto_app", total: str
 
 def daily_activity(events: DataFrame, key: str, ts: str, value: str, kind: str,
                    digital_kinds: Sequence[str] = ()) -> DataFrame:
-    """One row per (key, day): count, sum, sum of squares, max, the set of kinds seen and,
+    """One row per (key, day): count, sum, mean and centred second moment, max, the set of kinds seen and,
     with ``digital_kinds``, the digital amount (all from one aggregate)."""
     v = F.col(value).cast("double")
-    aggs = [F.count(F.lit(1)).alias("_cnt"), F.sum(v).alias("_sum"), F.sum(v * v).alias("_sq"),
+    aggs = [F.count(F.lit(1)).alias("_cnt"), F.count(v).alias("_n"), F.sum(v).alias("_sum"), F.avg(v).alias("_mean"),
+            (F.var_pop(v) * F.count(v)).alias("_m2"),
             F.max(v).alias("_max"), F.collect_set(F.col(kind)).alias("_kinds")]
     if digital_kinds:
         aggs.append(F.sum(F.when(F.col(kind).isin(*digital_kinds), v)).alias("_dig"))
@@ -50,20 +51,26 @@ def trailing_features(events: DataFrame, key: str = "user_id", ts: str = "ts", v
     stays small.
     """
     daily = daily_activity(events, key, ts, value, kind, digital_kinds).withColumn("_d", F.unix_date("day"))
+    # squares are taken around the key's own mean: sums of raw squares lose all digits of a small
+    # spread around a large value
+    whole = Window.partitionBy(key)
+    daily = daily.withColumn("_off", F.col("_mean") - F.sum("_sum").over(whole) / F.sum("_n").over(whole))
     out = [F.col(key), F.col("day")]
     for d in windows:
         w = Window.partitionBy(key).orderBy("_d").rangeBetween(-(d - 1), 0)
         n = F.sum("_cnt").over(w)
         s = F.sum("_sum").over(w)
-        sq = F.sum("_sq").over(w)
-        mean = F.try_divide(s, n.cast("double"))
-        var = F.try_divide(sq - s * s / n, (n - 1).cast("double"))
+        nv = F.sum("_n").over(w)
+        off = F.sum(F.col("_n") * F.col("_off")).over(w)
+        squares = F.sum(F.col("_m2") + F.col("_n") * F.col("_off") * F.col("_off")).over(w)
+        mean = F.try_divide(s, nv.cast("double"))
+        var = F.try_divide(squares - F.try_divide(off * off, nv), F.when(nv > 1, nv - 1).cast("double"))
         out += [
             F.count(F.lit(1)).over(w).alias(f"active_days_{d}d"),
             n.alias(f"n_events_{d}d"),
             s.alias(f"sum_value_{d}d"),
             mean.alias(f"avg_value_{d}d"),
-            F.sqrt(F.greatest(var, F.lit(0.0))).alias(f"std_value_{d}d"),
+            F.sqrt(F.when(var < 0, F.lit(0.0)).otherwise(var)).alias(f"std_value_{d}d"),
             F.max("_max").over(w).alias(f"max_value_{d}d"),
             F.size(F.array_distinct(F.flatten(F.collect_list("_kinds").over(w)))).cast("bigint").alias(f"n_kinds_{d}d"),
             # trend: least-squares slope of the daily amount over the day number
@@ -120,14 +127,13 @@ def payment_label(lines: DataFrame, key: Sequence[str], channel: str, debit_valu
 
 def feature_screen(df: DataFrame, cols: Sequence[str], min_nonzero_rate: float = 0.01,
                    min_variance: float = 0.0) -> DataFrame:
-    """(column_name, nonzero_rate, variance, keep), aggregated in code-generated column
-    batches (X10)."""
+    """(column_name, nonzero_rate, variance, keep), from one scan."""
     from abtforge.operators.columnwise import column_stats
 
     out = column_stats(df, cols, {
-        "nonzero_rate": lambda x: F.avg(F.when(x.isNotNull(), (x.cast("double") != 0).cast("double"))),
-        "variance": lambda x: F.var_samp(x.cast("double")),
-    }, buffer_fields=5)
+        "nonzero_rate": lambda x: F.avg(F.when(x.isNotNull(), (x != 0).cast("double"))),
+        "variance": F.var_samp,
+    })
     keep = (F.coalesce(F.col("nonzero_rate"), F.lit(0.0)) >= min_nonzero_rate) & \
            (F.coalesce(F.col("variance"), F.lit(0.0)) > min_variance)
     return out.withColumn("keep", keep)

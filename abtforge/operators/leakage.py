@@ -1,6 +1,6 @@
 """Leakage checks (P31, A12, A13, M9): by name, perfect copies, near-perfect correlation.
 
-All value checks run on every row in one aggregate; only the verdict per column (a handful
+All value checks run on every row in one scan (see ``columnwise``); only the verdict per column (a handful
 of booleans or one correlation) reaches the driver.
 """
 
@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abtforge.functions.names import leak_by_name
 from abtforge.functions.stats import safe_corr
 from abtforge.operators.columnwise import column_stats
 
+_CHECKS = ("binary", "equals_target", "equals_complement", "corr")
+
 
 def target_correlation(df: DataFrame, cols: Sequence[str], target: str, thr: float = 0.999) -> DataFrame:
     """(column_name, corr, flagged): Pearson r with the target over pairwise-complete rows.
@@ -22,42 +24,32 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str, thr: flo
     Constant columns get NULL and are never flagged (Spark's ``corr`` raises on them under
     ANSI, and NaN >= thr would be true).
     """
-    y = F.col(target).cast("double")
-    out = column_stats(df, cols, {"corr": lambda x: safe_corr(x.cast("double"), y)}, buffer_fields=10,
-                       extra=[target])
+    out = _checks(df, cols, target, ("corr",))
     return out.select("column_name", "corr",
                       F.coalesce(F.abs(F.col("corr")) >= F.lit(thr), F.lit(False)).alias("flagged"))
 
 
-def _binary(x: Column) -> Column:
-    x = x.cast("double")
-    return F.coalesce(F.bool_and(x.isNull() | x.isin(0.0, 1.0)), F.lit(False)) & (F.count(x) > 0)
-
-
 def perfect_leakage(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """(column_name, binary, equals_target, equals_complement) over all rows.
 
     A column counts as binary when every non-NULL value is 0 or 1 (and it has at least one).
     Equality is NULL-safe: a NULL in the column matches only a NULL target.
     """
-    y = F.col(target).cast("double")
-    return column_stats(df, cols, {
-        "binary": _binary,
-        "equals_target": lambda x: F.coalesce(F.bool_and(x.cast("double").eqNullSafe(y)), F.lit(False)),
-        "equals_complement": lambda x: F.coalesce(F.bool_and((F.lit(1.0) - x.cast("double")).eqNullSafe(y)), F.lit(False)),
-    }, buffer_fields=4, extra=[target])
-
-
-def _checks(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
-    """Per column: binary, equals_target, equals_complement and corr, from one aggregate per
-    code-generated batch of columns."""
-    y = F.col(target).cast("double")
-    return column_stats(df, cols, {
-        "binary": _binary,
-        "equals_target": lambda x: F.coalesce(F.bool_and(x.cast("double").eqNullSafe(y)), F.lit(False)),
-        "equals_complement": lambda x: F.coalesce(F.bool_and((F.lit(1.0) - x.cast("double")).eqNullSafe(y)), F.lit(False)),
-        "corr": lambda x: safe_corr(x.cast("double"), y),
-    }, buffer_fields=14, extra=[target])
+    return _checks(df, cols, target, ("binary", "equals_target", "equals_complement"))
+
+
+def _checks(df: DataFrame, cols: Sequence[str], target: str, wanted: Sequence[str] = _CHECKS) -> DataFrame:
+    """The wanted checks of every column against the target, from one scan."""
+    y = F.col(f"`{target}`").cast("double")
+    always = lambda cond: F.coalesce(F.bool_and(cond), F.lit(False))
+    every = {
+        "binary": lambda x: always(x.isNull() | x.isin(0.0, 1.0)) & (F.count(x) > 0),
+        "equals_target": lambda x: always(x.eqNullSafe(y)),
+        "equals_complement": lambda x: always((F.lit(1.0) - x).eqNullSafe(y)),
+        "corr": lambda x: safe_corr(x, y),
+    }
+    flags = {name: False for name in wanted if name != "corr"}
+    return column_stats(df, cols, {name: every[name] for name in wanted}, extra=[target], empty=flags or None)
 
 
 def leakage_report(df: DataFrame, cols: Sequence[str], target: str, thr: float = 0.999) -> DataFrame:

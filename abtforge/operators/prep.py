@@ -39,7 +39,7 @@ def infinite_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     types = {f.name: f.dataType for f in df.schema.fields}
     conv = df.select(*[to_double(F.col(f"`{c}`"), types[c]).alias(c) for c in cols])
-    return column_stats(conv, cols, {"n_inf": lambda x: F.count_if(is_infinite(x))}, buffer_fields=1)
+    return column_stats(conv, cols, {"n_inf": lambda x: F.count_if(is_infinite(x))}, empty={"n_inf": 0})
 
 
 def all_null_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -48,7 +48,7 @@ def all_null_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
 
     if not cols:
         return []
-    rows = column_stats(df, cols, {"n": lambda x: F.count(x)}, buffer_fields=1).collect()
+    rows = column_stats(df, cols, {"n": lambda x: F.count_if(x)}, value=F.isnotnull, empty={"n": 0}).collect()
     empty = {r["column_name"] for r in rows if r["n"] == 0}
     return [c for c in cols if c in empty]
 

@@ -1,7 +1,6 @@
 """Profiling (A7-A11): NULL profile, numeric summary, top values, table profile.
 
-Every profile is one scan of the table: per-column statistics are aggregates of a single
-``agg`` (or of one ``groupBy`` over an unpivoted frame), never one query per column.
+Per-column statistics are one scan of the table (see ``columnwise``), never one query per column.
 """
 
 from __future__ import annotations
@@ -30,19 +29,19 @@ def detect_candidate_keys(df: DataFrame, names: Sequence[str] = CANDIDATE_KEY_NA
 def null_profile(df: DataFrame, top: int | None = 20) -> DataFrame:
     """(column_name, nulls, null_pct) ordered by nulls desc then name; ``null_pct`` to 4 places.
 
-    NULL counts are conditional counts in code-generated batches of columns.
+    NULL counts of all columns come from one scan.
     """
     from abtforge.operators.columnwise import column_stats
 
-    stats = column_stats(df, df.columns, {"nulls": lambda x: F.count_if(x.isNull()),
-                                          "_rows": lambda x: F.count(F.lit(1))}, buffer_fields=2)
+    stats = column_stats(df, df.columns, {"nulls": lambda x: F.count_if(x), "_rows": lambda x: F.count(F.lit(1))},
+                         value=F.isnull, empty={"nulls": 0, "_rows": 0})
     out = stats.select("column_name", "nulls",
                        F.round(F.col("nulls") / F.greatest(F.col("_rows"), F.lit(1)), 4).alias("null_pct"))
     out = out.orderBy(F.desc("nulls"), F.asc("column_name"))
     return out.limit(top) if top else out
 
 
-def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, limit_cols: int | None = None,
+def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None,
                     exact: bool = True, accuracy: int = 10000, slices: int | None = None) -> DataFrame:
     """Per numeric column: min, avg, max, p50, p95, p99 (one row per column).
 
@@ -56,7 +55,7 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, limit_cols
 
     if cols is None:
         cols = numeric_columns(df)
-    cols = list(cols)[:limit_cols] if limit_cols else list(cols)
+    cols = list(cols)
     if not cols:
         return df.sparkSession.createDataFrame(
             [], "column_name string, min double, avg double, max double, p50 double, p95 double, p99 double")
@@ -85,15 +84,15 @@ def top_values(df: DataFrame, col: str, top: int = 10) -> DataFrame:
 def table_profile(df: DataFrame, table_name: str, key_names: Sequence[str] = CANDIDATE_KEY_NAMES) -> DataFrame:
     """Long-format profile (table_name, metric, column_name, value).
 
-    Metrics: rows, columns, NULLs per column (code-generated column batches), and for every
+    Metrics: rows, columns, NULLs per column (one scan), and for every
     candidate key column its distinct count and duplicate rows (one grouped count per key).
     """
     from abtforge.operators.columnwise import column_stats
     from abtforge.operators.quality import duplicates_by_key
 
     cols = df.columns
-    nulls = column_stats(df, cols, {"nulls": lambda x: F.count_if(x.isNull()),
-                                    "_rows": lambda x: F.count(F.lit(1))}, buffer_fields=2)
+    nulls = column_stats(df, cols, {"nulls": lambda x: F.count_if(x), "_rows": lambda x: F.count(F.lit(1))},
+                         value=F.isnull, empty={"nulls": 0, "_rows": 0})
     first = F.lit(cols[0])
     parts = [
         nulls.filter(F.col("column_name") == first).select(
@@ -126,6 +125,6 @@ def profile_table(df: DataFrame, table_name: str, sample_n: int = 10,
     return {
         "metrics": table_profile(df, table_name, key_names),
         "schema": spark.createDataFrame([(n, t) for n, t in df.dtypes], "column_name string, data_type string"),
-        "numeric": numeric_summary(df, numeric_columns(df)[:20]),
+        "numeric": numeric_summary(df, numeric_columns(df)),
         "sample": df.limit(sample_n),
     }

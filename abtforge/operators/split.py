@@ -43,13 +43,15 @@ def with_latest_month_oot(df: DataFrame, date_col: str = "f_analisis", test_frac
     """OOT = the latest calendar month present (X8); earlier rows keep the hash split given in
     ``test_fraction_col`` when provided, else TRAIN.
 
-    The latest month is a scalar subquery (one small aggregate), not a join.
+    The latest month is a scalar subquery (one small aggregate), not a join.  A missing or
+    malformed date gets a NULL split, as in the temporal split.
     """
     labelled = add_label(df, source, target)
-    month = F.trunc(F.col(date_col).cast("date"), "month")
-    latest = labelled.select(F.max(F.trunc(F.col(date_col).cast("date"), "month"))).scalar()
+    month = F.trunc(F.col(date_col).try_cast("date"), "month")
+    # from the date column alone: the label and the other columns are not computed for it
+    latest = df.select(F.max(month)).scalar()
     base = F.col(test_fraction_col) if test_fraction_col else F.lit("TRAIN")
-    return labelled.withColumn("split_group", F.when(month == latest, "OOT").otherwise(base))
+    return labelled.withColumn("split_group", F.when(month.isNull(), F.lit(None).cast("string")).when(month == latest, "OOT").otherwise(base))
 
 
 def split_counts(df: DataFrame) -> DataFrame:

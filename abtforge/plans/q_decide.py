@@ -147,25 +147,25 @@ def _trailing_sql() -> str:
        CAST(sum(cnt) OVER ({frame}) AS BIGINT) AS n_events_{w}d,
        round(sum(s) OVER ({frame}), 4) AS sum_value_{w}d,
        round(sum(s) OVER ({frame}) / sum(cnt) OVER ({frame}), 4) AS avg_value_{w}d,
-       round(sqrt(greatest((sum(sq) OVER ({frame}) - sum(s) OVER ({frame}) * sum(s) OVER ({frame}) / sum(cnt) OVER ({frame}))
-              / NULLIF(sum(cnt) OVER ({frame}) - 1, 0), 0)), 4) AS std_value_{w}d,
        round(max(mx) OVER ({frame}), 4) AS max_value_{w}d,
        CASE WHEN count(*) OVER ({frame}) > 1 THEN round(regr_slope(s, dn) OVER ({frame}), 4) END AS trend_value_{w}d,
        round(COALESCE(sum(COALESCE(dig, 0)) OVER ({frame}) / NULLIF(sum(s) OVER ({frame}), 0), 0), 4) AS share_digital_{w}d""")
     kinds = []
     for w in (6, 12):
+        # from the raw rows of the window, not from daily sums
+        kinds.append(f"round(stddev_samp(value) OVER (PARTITION BY user_id ORDER BY dn RANGE BETWEEN {w - 1} PRECEDING AND CURRENT ROW), 4) AS std_value_{w}d")
         kinds.append(f"count(DISTINCT event_type) OVER (PARTITION BY user_id ORDER BY dn RANGE BETWEEN {w - 1} PRECEDING AND CURRENT ROW) AS n_kinds_{w}d")
     dig = ", ".join(f"'{k}'" for k in T.EVENT_FAMILIES["digital"])
     return f"""
 WITH daily AS (SELECT user_id, CAST(ts AS DATE) AS day, CAST(CAST(ts AS DATE) - DATE '1970-01-01' AS BIGINT) AS dn,
-                      count(*) AS cnt, sum(value) AS s, sum(value * value) AS sq, max(value) AS mx,
+                      count(*) AS cnt, sum(value) AS s, max(value) AS mx,
                       sum(CASE WHEN event_type IN ({dig}) THEN value END) AS dig
                FROM events GROUP BY 1, 2, 3),
-k AS (SELECT DISTINCT user_id, day, n_kinds_6d, n_kinds_12d FROM (
-        SELECT user_id, CAST(ts AS DATE) AS day, CAST(CAST(ts AS DATE) - DATE '1970-01-01' AS BIGINT) AS dn, event_type,
+k AS (SELECT DISTINCT user_id, day, n_kinds_6d, n_kinds_12d, std_value_6d, std_value_12d FROM (
+        SELECT user_id, CAST(ts AS DATE) AS day, CAST(CAST(ts AS DATE) - DATE '1970-01-01' AS BIGINT) AS dn, event_type, value,
                {", ".join(kinds)} FROM events)),
 f AS (SELECT user_id, day, {",".join(parts)} FROM daily)
-SELECT f.*, k.n_kinds_6d, k.n_kinds_12d FROM f JOIN k USING (user_id, day)"""
+SELECT f.*, k.n_kinds_6d, k.n_kinds_12d, k.std_value_6d, k.std_value_12d FROM f JOIN k USING (user_id, day)"""
 
 
 @register("trailing_features", oracle=_trailing_sql())

@@ -2,87 +2,70 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import functions as F
 
 from abtforge.functions.numeric import fround
-
 from abtforge.operators import catalog
-from abtforge.operators.wide import build_compact
+from abtforge.operators.columnwise import column_stats
+from abtforge.operators.wide import build_compact, compact_columns
 from abtforge.plans import sql_standins as S
 from abtforge.plans import standins as T
 from abtforge.plans.registry import register
 
-FAMILIES = T.EVENT_FAMILIES
-WINDOWS = ("ult6", "ult12")
-METRICS = ("mnt", "cnt")
+FAMILIES = T.WIDE_CONFIG.families
 
 
 # ---------------------------------------------------------------- oracle-side compaction
-def _members(family: str, window: str, metric: str) -> list[str]:
-    chans = "|".join(FAMILIES[family])
-    pat = re.compile(rf"^(sum|avg)_trx_{metric}_({chans})_{window}$")
-    return [c for c in T.wide_names() if pat.match(c)]
-
-
-def _level1() -> list[tuple[str, str]]:
-    out = []
-    fam_totals: dict = {}
-    for g in FAMILIES:
-        for w in WINDOWS:
-            for m in METRICS:
-                cols = _members(g, w, m)
-                if not cols:
-                    continue
-                z = [f"COALESCE({c}, 0)" for c in cols]
-                fam_totals[(g, w, m)] = "(" + " + ".join(z) + ")"
-                out.append((f"total_{m}_{g}_{w}", fam_totals[(g, w, m)]))
-                out.append((f"max_{m}_{g}_{w}", z[0] if len(z) == 1 else f"GREATEST({', '.join(z)})"))
-    names = set(T.wide_names())
-    for w in WINDOWS:
-        for m in METRICS:
-            col = next((f"{p}{m}_total_{w}" for p in ("sum_trx_", "avg_trx_") if f"{p}{m}_total_{w}" in names), None)
-            if col:
-                out.append((f"total_{m}_all_{w}", f"COALESCE({col}, 0)"))
-            else:
-                parts = [fam_totals[(g, w, m)] for g in FAMILIES if (g, w, m) in fam_totals]
-                out.append((f"total_{m}_all_{w}", " + ".join(parts) if parts else "0"))
-    return out
-
-
-def _level2(level1_names: set[str]) -> list[tuple[str, str]]:
-    out = []
-    for w in WINDOWS:
-        for g in FAMILIES:
-            if f"total_mnt_{g}_{w}" in level1_names:
-                out.append((f"share_mnt_{g}_{w}", f"total_mnt_{g}_{w} / (total_mnt_all_{w} + 1)"))
-        out.append((f"index_digitalizacion_{w}",
-                    f"total_mnt_digital_{w} / (total_mnt_digital_{w} + total_mnt_fisico_{w} + 1)"))
-        out.append((f"preferencia_efectivo_{w}", f"total_mnt_efectivo_{w} / (total_mnt_all_{w} + 1)"))
-    for g in FAMILIES:
-        if f"total_mnt_{g}_ult6" in level1_names and f"total_mnt_{g}_ult12" in level1_names:
-            out.append((f"trend_mnt_{g}_ult6_vs_ult12", f"total_mnt_{g}_ult6 / (total_mnt_{g}_ult12 + 1)"))
-    return out
-
-
 def compact_feature_names() -> list[str]:
-    l1 = _level1()
-    return [n for n, _ in l1] + [n for n, _ in _level2({n for n, _ in l1})]
+    return compact_columns(T.wide_names(), T.WIDE_CONFIG)
 
 
 DOUBLE_FEATURES = set(compact_feature_names())
 
 
+def _feature_sql(name: str) -> str:
+    """A feature's value over ``per`` (one row per client, metric, window, family; family 'all' for
+    the global totals)."""
+    pick = lambda family, w, metric="mnt", of="total": (
+        f"COALESCE(max({of}) FILTER (family = '{family}' AND metric = '{metric}' AND win = '{w}'), 0)")
+    kind, *mid, last = name.split("_")
+    if kind in ("total", "max"):
+        return pick(mid[1], last, mid[0], kind)
+    if kind == "share":
+        return f"{pick(mid[1], last)} / ({pick('all', last)} + 1)"
+    if kind == "index":
+        return f"{pick('digital', last)} / ({pick('digital', last)} + {pick('fisico', last)} + 1)"
+    if kind == "preferencia":
+        return f"{pick('efectivo', last)} / ({pick('all', last)} + 1)"
+    return f"{pick(mid[1], 'ult6')} / ({pick(mid[1], 'ult12')} + 1)"
+
+
 def compact_select_sql() -> str:
-    l1 = _level1()
-    l2 = _level2({n for n, _ in l1})
-    s1 = ", ".join(f"{e} AS {n}" for n, e in l1)
-    s2 = ", ".join([n for n, _ in l1] + [f"{e} AS {n}" for n, e in l2])
-    feats = [n for n, _ in l1] + [n for n, _ in l2]
-    s3 = ", ".join(f"COALESCE({n}, 0) AS {n}" for n in feats)
-    return (f"SELECT num_doc, {s3} FROM (SELECT num_doc, {s2} FROM ("
-            f"SELECT CAST(num_doc AS VARCHAR) AS num_doc, {s1} FROM canales_wide) a) b")
+    """The compact table by unpivoting the wide one: names are parsed in SQL and grouped by family."""
+    grammar = "'^(sum|avg)_trx_(mnt|cnt)_(.*)_(ult6|ult12)$'"
+    part = lambda i: f"regexp_extract(col, {grammar}, {i})"
+    codes = ", ".join(f"('{code}', '{family}')" for family, cs in FAMILIES.items() for code in cs)
+    features = ", ".join(f"{_feature_sql(n)} AS {n}" for n in compact_feature_names())
+    return f"""
+  WITH long AS (
+    SELECT num_doc, col, v FROM canales_wide UNPIVOT INCLUDE NULLS (v FOR col IN ({", ".join(T.wide_names())}))
+  ), parsed AS (
+    SELECT num_doc, col, COALESCE(v, 0) AS v, {part(1)} AS stat, {part(2)} AS metric, {part(3)} AS subject, {part(4)} AS win
+    FROM long WHERE regexp_matches(col, {grammar}) AND NOT contains(col, 'smmlv')
+  ), member AS (
+    SELECT DISTINCT num_doc, col, metric, win, family, v
+    FROM parsed JOIN (VALUES {codes}) f(code, family) ON contains('_' || subject || '_', '_' || code || '_')
+  ), fam AS (
+    SELECT num_doc, metric, win, family, sum(v) AS total, max(v) AS max FROM member GROUP BY ALL
+  ), ready AS (
+    SELECT num_doc, metric, win, arg_max(v, stat) AS total FROM parsed WHERE subject = 'total' GROUP BY ALL
+  ), per AS (
+    SELECT * FROM fam
+    UNION ALL
+    SELECT f.num_doc, f.metric, f.win, 'all', COALESCE(max(r.total), sum(f.total)), NULL
+    FROM fam f LEFT JOIN ready r USING (num_doc, metric, win) GROUP BY f.num_doc, f.metric, f.win
+  )
+  SELECT CAST(num_doc AS VARCHAR) AS num_doc, {features} FROM per GROUP BY num_doc"""
 
 
 def _compact_oracle(cols: list[str]) -> str:
@@ -90,7 +73,7 @@ def _compact_oracle(cols: list[str]) -> str:
     return S.with_(S.canales_wide(), f"canales AS ({compact_select_sql()})") + f"SELECT num_doc, {sel} FROM canales"
 
 
-_L1 = [n for n, _ in _level1()]
+_L1 = [n for n in compact_feature_names() if n.startswith(("total_", "max_"))]
 _L2 = [n for n in compact_feature_names() if n not in set(_L1)]
 
 
@@ -112,19 +95,21 @@ def wide_shares_trend(spark, d):
     return c.select("num_doc", *[fround(n, 6).alias(n) for n in _L2])
 
 
-# --------------------------------------------------------------------------- C1-C3, A15
+# --------------------------------------------------------------------------- C1-C3, A15, S13
+CHANNELS = [code for code, _ in catalog.CHANNEL_CATALOG]
+
+
 def _names_df(spark, d):
+    """The catalog's rows: one per column of the wide table, with its non-NULL count (one scan)."""
     wide = T.canales_wide(spark, d)
-    # The catalog is metadata of the wide table: one row per column, with the column's
-    # non-NULL count computed from the data in one aggregate.
     cols = [c for c in wide.columns if c != "num_doc"]
-    counts = wide.agg(*[F.count(F.col(c)).alias(c) for c in cols])
-    return counts.unpivot([], cols, "col", "n_nonnull")
+    counts = column_stats(wide, cols, {"n_nonnull": F.count_if}, value=F.isnotnull, empty={"n_nonnull": 0})
+    return counts.withColumnRenamed("column_name", "col")
 
 
 def _catalog_oracle() -> str:
     names = [c for c in T.wide_names()]
-    channels = sorted(T.EVENT_CHANNELS, key=len, reverse=True)
+    channels = sorted(CHANNELS, key=len, reverse=True)
     counts = "\nUNION ALL\n".join(f"SELECT '{c}' AS col, count({c}) AS n_nonnull FROM canales_wide" for c in names)
     canal = "CASE " + " ".join(f"WHEN regexp_matches(remaining, '(^|_){ch}(_|$)') THEN '{ch}'" for ch in channels) + " END"
     oper = "CASE " + " ".join(
@@ -148,22 +133,21 @@ SELECT col, n_nonnull, stat,
        CASE WHEN stat IS NOT NULL THEN tipo0 END AS tipo,
        CASE WHEN stat IS NOT NULL THEN canal0 END AS canal,
        CASE WHEN stat IS NOT NULL THEN oper0 END AS operacion,
-       "window", is_smmlv, fam.family,
+       "window", is_smmlv, dim.canal_desc,
        (NOT is_smmlv) AND (col IN ('trx_cnt_total', 'trx_mnt_total') OR starts_with(col, 'trx_cnt_can_')
          OR starts_with(col, 'trx_mnt_can_')
          OR ((starts_with(col, 'sum_trx_') OR starts_with(col, 'avg_trx_')) AND toks_last IN ('ult6', 'ult12'))) AS is_candidate
 FROM (SELECT *, string_split(col, '_')[-1] AS toks_last FROM h) h2
-LEFT JOIN (VALUES {", ".join(f"('{e}', '{f}')" for e, f in T.FAMILY_OF_EVENT)}) fam(canal_f, family)
-  ON CASE WHEN h2.stat IS NOT NULL THEN h2.canal0 END = fam.canal_f"""
+LEFT JOIN (VALUES {", ".join(f"('{c}', '{n}')" for c, n in catalog.CHANNEL_CATALOG)}) dim(code, canal_desc)
+  ON CASE WHEN h2.stat IS NOT NULL THEN h2.canal0 END = dim.code"""
 
 
 @register("column_catalog", oracle=_catalog_oracle())
 def column_catalog(spark, d):
     names = _names_df(spark, d)
-    parsed = catalog.parse_column_names(names, T.EVENT_CHANNELS)
-    fam = spark.createDataFrame(T.FAMILY_OF_EVENT, "canal string, family string")
-    out = catalog.describe_channels(parsed, fam)
-    return out.select("col", "n_nonnull", "stat", "tipo", "canal", "operacion", "window", "is_smmlv", "family",
+    parsed = catalog.parse_column_names(names, CHANNELS)
+    out = catalog.describe_channels(parsed, catalog.channel_dimension(spark))
+    return out.select("col", "n_nonnull", "stat", "tipo", "canal", "operacion", "window", "is_smmlv", "canal_desc",
                       catalog.is_candidate("col").alias("is_candidate"))
 
 
@@ -179,7 +163,7 @@ def _catalog_counts_oracle() -> str:
 
 @register("catalog_counts", oracle=_catalog_counts_oracle())
 def catalog_counts(spark, d):
-    parsed = catalog.parse_column_names(_names_df(spark, d), T.EVENT_CHANNELS)
+    parsed = catalog.parse_column_names(_names_df(spark, d), CHANNELS)
     return catalog.catalog_counts(parsed)
 
 
@@ -201,13 +185,6 @@ def _pair_oracle() -> str:
 
 @register("pair_correlation", oracle=_pair_oracle())
 def pair_correlation(spark, d):
-    from abtforge.functions.stats import safe_corr
-
     wide = T.canales_wide(spark, d)
-    names = spark.createDataFrame([(c,) for c in wide.columns if c != "num_doc"], "col string")
-    pairs = [(r["base"], r["smmlv"]) for r in catalog.smmlv_pairs(names).orderBy("base", "smmlv").collect()]
-    wide_corr = wide.agg(*[safe_corr(b, s).alias(f"r{i}") for i, (b, s) in enumerate(pairs)])
-    rows = F.array(*[F.struct(F.lit(b).alias("base"), F.lit(s).alias("smmlv"), F.col(f"r{i}").alias("corr"))
-                     for i, (b, s) in enumerate(pairs)])
-    out = wide_corr.select(F.explode(rows).alias("r")).select("r.*")
-    return out.filter(F.col("corr").isNotNull()).select("base", "smmlv", fround("corr", 6).alias("corr"))
+    out = catalog.pair_correlation(wide, catalog.smmlv_column_pairs(wide.columns))
+    return out.where("corr IS NOT NULL").select("base", "smmlv", fround("corr", 6).alias("corr"))

@@ -5,7 +5,7 @@ Independent of the Spark builders in ``standins``: same definitions, other engin
 
 from __future__ import annotations
 
-from abtforge.plans.standins import EVENT_CHANNELS, SCORE_SCALE, SMMLV_UNIT, WIDE_WINDOWS
+from abtforge.plans.standins import EVENT_CHANNELS, SCORE_SCALE, SMMLV_UNIT, WIDE_CHANNELS, WIDE_WINDOWS
 
 MD5_BUCKET = "(CAST(('0x' || substr(md5(COALESCE(CAST({x} AS VARCHAR), 'NA')), 1, 8)) AS BIGINT) % 10)"
 
@@ -55,12 +55,13 @@ MORAS = """moras AS (
 def canales_wide() -> str:
     last = "(SELECT max(ts) FROM events)"
     cols = ["sum(value) AS trx_mnt_total", "CAST(count(*) AS DOUBLE) AS trx_cnt_total"]
-    for t in EVENT_CHANNELS:
-        cols += [f"sum(CASE WHEN event_type = '{t}' THEN value END) AS trx_mnt_can_{t}",
-                 f"sum(CASE WHEN event_type = '{t}' THEN 1.0::DOUBLE END) AS trx_cnt_can_{t}"]
+    event = {t: f"event_type = '{EVENT_CHANNELS[i // 5]}' AND event_id % 5 = {i % 5}" for i, t in enumerate(WIDE_CHANNELS)}
+    for t in WIDE_CHANNELS:
+        cols += [f"sum(CASE WHEN {event[t]} THEN value END) AS trx_mnt_can_{t}",
+                 f"sum(CASE WHEN {event[t]} THEN 1.0::DOUBLE END) AS trx_cnt_can_{t}"]
     for w in WIDE_WINDOWS:
-        for t in EVENT_CHANNELS:
-            c = f"event_type = '{t}' AND ts > {last} - INTERVAL {w} DAY"
+        for t in WIDE_CHANNELS:
+            c = f"{event[t]} AND ts > {last} - INTERVAL {w} DAY"
             cols += [
                 f"sum(CASE WHEN {c} THEN value END) AS sum_trx_mnt_{t}_ult{w}",
                 f"sum(CASE WHEN {c} THEN 1.0::DOUBLE END) AS sum_trx_cnt_{t}_ult{w}",

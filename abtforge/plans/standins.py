@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 
 from abtforge.functions.keys import client_key, obligation_key
 from abtforge.functions.split import hash_split
-from abtforge.operators.wide import CompactConfig
+from abtforge.operators.catalog import CHANNEL_CATALOG
+from abtforge.operators.wide import Compaction
 
-# The event types of the driver's events table play the channel codes, and
-# the channel families group them.
+# The event types of the driver's events table, and families that group them.
 EVENT_CHANNELS = ("click", "error", "purchase", "signup", "view")
 EVENT_FAMILIES = {
     "digital": ["view", "click"],
@@ -39,7 +39,9 @@ WIDE_WINDOWS = (6, 12)
 SMMLV_UNIT = 1000.0
 SCORE_SCALE = 400.0
 
-WIDE_CONFIG = CompactConfig(keys=("num_doc",), channel_groups=EVENT_FAMILIES, text_keys=("num_doc",))
+# the 25 real channel codes, every fifth with an operation after it
+WIDE_CHANNELS = tuple(code + ("_cmpr" if i % 5 == 4 else "") for i, (code, _) in enumerate(CHANNEL_CATALOG))
+WIDE_CONFIG = Compaction(keys=("num_doc",), text_keys=("num_doc",))
 
 
 _TABLES: dict = {}
@@ -114,10 +116,10 @@ def moras(spark: SparkSession, sf_dir: str) -> DataFrame:
 def wide_names() -> list[str]:
     """Column names of the wide stand-in, in table order (without the key)."""
     names = ["trx_mnt_total", "trx_cnt_total"]
-    for t in EVENT_CHANNELS:
+    for t in WIDE_CHANNELS:
         names += [f"trx_mnt_can_{t}", f"trx_cnt_can_{t}"]
     for w in WIDE_WINDOWS:
-        for t in EVENT_CHANNELS:
+        for t in WIDE_CHANNELS:
             names += [f"sum_trx_mnt_{t}_ult{w}", f"sum_trx_cnt_{t}_ult{w}", f"avg_trx_mnt_{t}_ult{w}",
                       f"avg_trx_cnt_{t}_ult{w}", f"sum_trx_mnt_{t}_smmlv_ult{w}"]
     names += ["sum_trx_mnt_total_ult6", "sum_trx_cnt_total_ult6"]
@@ -125,32 +127,36 @@ def wide_names() -> list[str]:
 
 
 def canales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events pivoted per user: one conditional aggregate per wide column, one pass.
+    """events pivoted per user into 300 columns: one aggregate per (user, channel), then a pivot.
 
-    Windows are the ``d`` days before the last event of the table (a scalar subquery,
-    evaluated once and attached to each row as a flag per window).
+    An event's channel is one of the 25 real codes, by its type and id.  Windows are the ``d``
+    days before the last event of the table (a scalar subquery, evaluated once and attached to
+    each row as a flag per window).
     """
     ev = table(spark, sf_dir, "events")
     last = ev.select(F.max("ts")).scalar()
-    flagged = ev.select("user_id", "event_type", F.col("value").cast("double").alias("v"),
+    kind = F.array_position(F.array(*[F.lit(t) for t in EVENT_CHANNELS]), F.col("event_type"))
+    at = ((kind - 1) * 5 + F.col("event_id") % 5 + 1).cast("int")
+    flagged = ev.select("user_id", F.element_at(F.array(*[F.lit(c) for c in WIDE_CHANNELS]), at).alias("channel"),
+                        F.col("value").cast("double").alias("v"),
                         *[(F.col("ts") > last - F.expr(f"INTERVAL {w} DAYS")).alias(f"_w{w}") for w in WIDE_WINDOWS])
-    aggs = ["sum(v) AS trx_mnt_total", "CAST(count(1) AS DOUBLE) AS trx_cnt_total"]
-    for t in EVENT_CHANNELS:
-        aggs += [f"sum(CASE WHEN event_type = '{t}' THEN v END) AS trx_mnt_can_{t}",
-                 f"sum(CASE WHEN event_type = '{t}' THEN 1.0D END) AS trx_cnt_can_{t}"]
+    sums = [F.sum("v").alias("trx_mnt_can"), F.sum(F.lit(1.0)).alias("trx_cnt_can")]
     for w in WIDE_WINDOWS:
-        for t in EVENT_CHANNELS:
-            c = f"event_type = '{t}' AND _w{w}"
-            aggs += [
-                f"sum(CASE WHEN {c} THEN v END) AS sum_trx_mnt_{t}_ult{w}",
-                f"sum(CASE WHEN {c} THEN 1.0D END) AS sum_trx_cnt_{t}_ult{w}",
-                f"avg(CASE WHEN {c} THEN v END) AS avg_trx_mnt_{t}_ult{w}",
-                f"sum(CASE WHEN {c} THEN 1.0D END) / {float(w)}D AS avg_trx_cnt_{t}_ult{w}",
-                f"sum(CASE WHEN {c} THEN v END) / {SMMLV_UNIT}D AS sum_trx_mnt_{t}_smmlv_ult{w}",
-            ]
-    aggs += ["sum(CASE WHEN _w6 THEN v END) AS sum_trx_mnt_total_ult6",
-             "sum(CASE WHEN _w6 THEN 1.0D END) AS sum_trx_cnt_total_ult6"]
-    return flagged.groupBy(F.col("user_id").alias("num_doc")).agg(*[F.expr(a) for a in aggs])
+        sums += [F.sum(F.when(F.col(f"_w{w}"), F.col("v"))).alias(f"mnt_{w}"), F.sum(F.when(F.col(f"_w{w}"), 1.0)).alias(f"cnt_{w}"),
+                 F.avg(F.when(F.col(f"_w{w}"), F.col("v"))).alias(f"avg_{w}")]
+    per = flagged.groupBy(F.col("user_id").alias("num_doc"), "channel").agg(*sums)
+    values = [c for c in per.columns if c not in ("num_doc", "channel")]
+    wide = per.groupBy("num_doc").pivot("channel", list(WIDE_CHANNELS)).agg(*[F.first(c).alias(c) for c in values])
+    total = per.groupBy("num_doc").agg(F.sum("trx_mnt_can").alias("trx_mnt_total"), F.sum("trx_cnt_can").alias("trx_cnt_total"),
+                                       F.sum("mnt_6").alias("sum_trx_mnt_total_ult6"), F.sum("cnt_6").alias("sum_trx_cnt_total_ult6"))
+    out = {n: F.col(n) for n in total.columns}
+    for t in WIDE_CHANNELS:
+        out |= {f"trx_mnt_can_{t}": F.col(f"{t}_trx_mnt_can"), f"trx_cnt_can_{t}": F.col(f"{t}_trx_cnt_can")}
+        for w in WIDE_WINDOWS:
+            out |= {f"sum_trx_mnt_{t}_ult{w}": F.col(f"{t}_mnt_{w}"), f"sum_trx_cnt_{t}_ult{w}": F.col(f"{t}_cnt_{w}"),
+                    f"avg_trx_mnt_{t}_ult{w}": F.col(f"{t}_avg_{w}"), f"avg_trx_cnt_{t}_ult{w}": F.col(f"{t}_cnt_{w}") / F.lit(float(w)),
+                    f"sum_trx_mnt_{t}_smmlv_ult{w}": F.col(f"{t}_mnt_{w}") / F.lit(SMMLV_UNIT)}
+    return wide.join(total, "num_doc").select("num_doc", *[out[n].alias(n) for n in wide_names()])
 
 
 def with_keys(df: DataFrame) -> DataFrame:

@@ -1 +1 @@
-"""Sources and sinks: files, catalog tables, views, seeds."""
+"""Sources and sinks: files, catalog tables, views."""

@@ -117,11 +117,14 @@ def save_table(df: DataFrame | None, table: str, database: str, *, mode: str = "
         # one writer per partition value would put a hot value (a month with a third of the
         # rows) in one task; the rebalance hint lets AQE split such partitions evenly
         df = df.hint("rebalance", *partition_by)
+    if bucket_by:
+        # one task per bucket: files are buckets, not tasks x buckets
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(n, *bucket_by)
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by:
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         w = w.bucketBy(n, *bucket_by)
         if sort_by:
             w = w.sortBy(*sort_by)

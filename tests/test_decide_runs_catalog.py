@@ -74,3 +74,29 @@ def test_parse_column_names(spark):
 def test_smmlv_pairs(spark):
     names = spark.createDataFrame([("sum_trx_mnt_gr_ult6",), ("sum_trx_mnt_gr_smmlv_ult6",), ("sum_trx_mnt_pos_smmlv_ult6",)], "col string")
     assert [tuple(r) for r in catalog.smmlv_pairs(names).collect()] == [("sum_trx_mnt_gr_ult6", "sum_trx_mnt_gr_smmlv_ult6")]
+
+
+def test_lookups_reject_a_missing_key(spark):
+    import pytest
+
+    dec = spark.createDataFrame([("1", "2", "2024-01-01", 0.5)], "num_doc_key string, obl17_key string, f_analisis string, score double")
+    for call in (lambda: decide.lookup_detail(dec, None, "2"), lambda: decide.lookup_by_client(dec, None), lambda: decide.lookup_by_obligation(dec, None)):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_trailing_stddev_of_a_small_spread_around_a_large_value(spark):
+    from abtforge.operators import features
+
+    rows = [(1, f"2024-01-0{1 + i // 2} 10:00:00", 1e9 + i, "view") for i in range(4)] + [(1, "2024-01-02 11:00:00", None, "view")]
+    ev = spark.createDataFrame(rows, "user_id long, ts string, value double, event_type string")
+    got = {str(r.day): r for r in features.trailing_features(ev, windows=(6,)).collect()}
+    assert abs(got["2024-01-02"].std_value_6d - 1.2909944) < 1e-6 and got["2024-01-02"].avg_value_6d == 1e9 + 1.5
+
+
+def test_latest_month_gives_bad_dates_no_split(spark):
+    from abtforge.operators import split
+
+    df = spark.createDataFrame([("2024-03-01", 1), ("2024-02-01", 0), ("2024-13-40", 0), (None, 1)], "f_analisis string, var_rta int")
+    got = sorted((str(r.f_analisis), r.split_group) for r in split.with_latest_month_oot(df).collect())
+    assert got == [("2024-02-01", "TRAIN"), ("2024-03-01", "OOT"), ("2024-13-40", None), ("None", None)]

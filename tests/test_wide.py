@@ -2,10 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from abtforge.functions.rowwise import row_max, row_sum
-from abtforge.operators.wide import CompactConfig, build_compact, compaction_plan
+from abtforge.operators.wide import ALL, Compaction, build_compact, compact_columns, grouped_columns
 
-CFG = CompactConfig(keys=("num_doc",), channel_groups={"digital": ["app_per", "svp"], "fisico": ["gr"],
-                                                        "efectivo": ["cajero"], "tarjeta": ["pos"]})
+CFG = Compaction(keys=("num_doc",), families={"digital": ["app_per", "svp"], "fisico": ["gr"],
+                                                  "efectivo": ["cajero"], "tarjeta": ["pos"]})
 
 
 def _wide(spark):
@@ -24,21 +24,49 @@ def test_row_max_single_column_and_nulls(spark):
     assert [r[0] for r in df.select(row_sum(["a", "b"])).collect()] == [-3.0, 5.0]
 
 
-def test_row_sum_very_wide_uses_array_fold(spark):
-    n = 100
-    df = spark.range(3).select(*[(F.col("id") + i).cast("double").alias(f"c{i}") for i in range(n)])
-    got = [r[0] for r in df.select(row_sum([f"c{i}" for i in range(n)])).collect()]
-    assert got == [float(sum(i + k for i in range(n))) for k in range(3)]
+@pytest.mark.parametrize("kind", ["bigint", "double", "decimal(12,2)"])
+def test_row_sum_keeps_type_and_value_at_every_width(spark, kind):
+    big = 9007199254740993 if kind == "bigint" else 3
+    types = set()
+    for n in (1, 2, 64, 65, 1000):
+        df = spark.range(1).select(*[F.lit(big if i == 0 else 1).cast(kind).alias(f"c{i}") for i in range(n)])
+        out = df.select(row_sum([f"c{i}" for i in range(n)]).alias("s"))
+        assert out.first()[0] == big + n - 1
+        types.add(out.dtypes[0][1].split("(")[0])
+    assert types == {kind.split("(")[0]}
 
 
 def test_family_membership(spark):
-    plan = compaction_plan(_wide(spark).columns, CFG)
-    fam = plan["family"]
+    fam = grouped_columns(_wide(spark).columns, CFG)
     assert fam[("digital", "ult6", "mnt")] == ["sum_trx_mnt_app_per_pag_ult6", "sum_trx_mnt_svp_ult6", "avg_trx_mnt_svp_ult6"]
     assert fam[("fisico", "ult6", "cnt")] == ["sum_trx_cnt_gr_ult6"]  # one column: max must still work
     assert ("tarjeta", "ult6", "mnt") not in fam  # no matching column -> no feature
     # no *_total_* column: the global total falls back to the sum of family totals
-    assert plan["global"][("ult6", "mnt")][0] == "families"
+    assert (ALL, "ult6", "mnt") not in fam
+
+
+def test_ready_total_prefers_the_first_statistic():
+    names = ["avg_trx_mnt_total_ult6", "sum_trx_mnt_total_ult6", "avg_trx_cnt_total_ult6", "sum_trx_mnt_total_smmlv_ult6"]
+    got = grouped_columns(names, CFG)
+    assert got == {(ALL, "ult6", "mnt"): ["sum_trx_mnt_total_ult6"], (ALL, "ult6", "cnt"): ["avg_trx_cnt_total_ult6"]}
+
+
+def test_real_codes_on_4000_columns_give_63_features(spark):
+    from abtforge.operators.catalog import CHANNEL_CATALOG
+
+    ops = ["", "_cmpr", "_rec", "_ret", "_trf", "_avn", "_cons"]
+    cols = [f"{s}_trx_{m}_{c}{o}{u}_{w}" for s in ("sum", "avg", "max") for m in ("mnt", "cnt") for c, _ in CHANNEL_CATALOG for o in ops
+            for u in ("", "_smmlv") for w in ("ult6", "ult12")] + ["sum_trx_mnt_total_ult6"]
+    assert len(cols) > 4000
+    spec = Compaction()
+    names = [*spec.keys, *cols]
+    assert len(compact_columns(names, spec)) == 63
+    df = spark.range(2).select(*[F.lit("k").alias(k) for k in spec.keys], *[F.lit(1.0).alias(c) for c in cols])
+    out = build_compact(df, spec)
+    assert out.columns == [*spec.keys, *compact_columns(names, spec)] and len(out.columns) == 66
+    row = out.first()
+    # cajero: one code x 7 operations x 2 statistics
+    assert row["total_mnt_efectivo_ult6"] == 14.0 and row["max_cnt_otros_ult12"] == 1.0
 
 
 def test_compaction_values(spark):
@@ -61,9 +89,8 @@ def test_compaction_values(spark):
 
 def test_substring_mode_matches_inside_tokens(spark):
     df = spark.createDataFrame([(1, 1.0, 2.0)], "num_doc bigint, sum_trx_mnt_grx_ult6 double, sum_trx_mnt_gr_ult6 double")
-    token = compaction_plan(df.columns, CFG)["family"][("fisico", "ult6", "mnt")]
-    sub = compaction_plan(df.columns, CompactConfig(keys=("num_doc",), channel_groups=CFG.channel_groups,
-                                                    match="substring"))["family"][("fisico", "ult6", "mnt")]
+    token = grouped_columns(df.columns, CFG)[("fisico", "ult6", "mnt")]
+    sub = grouped_columns(df.columns, Compaction(keys=("num_doc",), families=CFG.families, anywhere=True))[("fisico", "ult6", "mnt")]
     assert token == ["sum_trx_mnt_gr_ult6"]
     assert sub == ["sum_trx_mnt_grx_ult6", "sum_trx_mnt_gr_ult6"]
 
