@@ -340,7 +340,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = docs.select(row_key().alias("key"), "text")
     anchors = written(keyed.mapInArrow(_emit_anchors(length, gram), _ANCHORS), "anchors")
-    repeated = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
+    # written, so that the join has a plain side and AQE can split an anchor that very many rows hold
+    repeated = written(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"), "anchors-repeated")
     shared = written(anchors.join(repeated, "h"), "anchors-shared")
     full = shared.groupBy("h", "full").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at", "before", "windows")).alias("one"))
     full = written(full, "anchors-blocks")
@@ -349,7 +350,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     whole = shared.join(twice, ["h", "full"]).select("key", (F.col("at") - F.col("before")).alias("b"),
                                                      (F.col("at") - F.col("before") + F.col("windows") - 1 + length).alias("e"))
     # groups with different blocks: their distinct blocks, with text
-    kinds = full.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    kinds = written(full.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "anchors-kinds")
     wanted = full.join(kinds, "h").select("h", "n", "one.*", "kinds")
     per_row = wanted.groupBy("key").agg(F.collect_list(F.struct("h", "n", "at", "before", "windows")).alias("wanted"))
     block = written(keyed.join(per_row, "key").dropDuplicates(["key"]).mapInArrow(
