@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 from abtforge.session import ensure_checkpoint_dir
 
+SLICE_ROWS = 1 << 20
+
 
 def _score_groups(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
     y = F.col(label).cast("long")
@@ -42,10 +44,10 @@ def cumulative_counts(df: DataFrame, label: str = "label", score: str = "score",
     ensure_checkpoint_dir(spark)
     g = _score_groups(df, label, score, by)
     order = [*[F.col(b) for b in by], F.col("_s").desc()]
-    # without an explicit count AQE sizes the range shuffle to the data; coalescing merges
-    # adjacent ranges only, so slice ids stay in score order
-    ranged = (g.repartitionByRange(slices, *order) if slices else g.repartitionByRange(*order))
-    ranged = (ranged
+    if not slices:  # follow the number of distinct scores, so that a slice stays small at any size
+        g = g.checkpoint(eager=True)
+        slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-g.count() // SLICE_ROWS))
+    ranged = (g.repartitionByRange(slices, *order)
               .withColumn("_slice", F.spark_partition_id())
               .checkpoint(eager=True))
     local_w = Window.partitionBy(*by, "_slice").orderBy(F.col("_s").desc()).rowsBetween(

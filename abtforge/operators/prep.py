@@ -57,9 +57,9 @@ def quantile_bounds(df: DataFrame, cols: Sequence[str], q_low: float = 0.001, q_
                     exact: bool = True, accuracy: int = 100000, slices: int | None = None) -> DataFrame:
     """(column_name, q_low, q_high) per column, kept only when both exist and q_high > q_low.
 
-    Exact interpolated quantiles by distributed rank search (``quantiles.exact_quantiles``:
-    no column's values are ever gathered in one task); ``exact=False`` uses one
-    ``percentile_approx`` per column with bounded memory.
+    Exact interpolated quantiles from two scans (``quantiles.exact_quantiles``: no column's values
+    are shuffled or gathered in one task); ``exact=False`` uses one ``percentile_approx`` per column
+    with bounded memory.
     """
     from abtforge.operators import quantiles as Q
 
@@ -71,9 +71,7 @@ def quantile_bounds(df: DataFrame, cols: Sequence[str], q_low: float = 0.001, q_
         out = Q.pivot_quantiles(Q.exact_quantiles(df, cols, [q_low, q_high], slices=slices), ["column_name"],
                                 [q_low, q_high], ["q_low", "q_high"])
     else:
-        qs = F.array(F.lit(q_low), F.lit(q_high))
-        long = Q.long_values(df, cols)
-        out = long.groupBy("column_name").agg(F.percentile_approx("value", qs, accuracy).alias("_q")).select(
+        out = Q.approximate_quantiles(df, cols, [q_low, q_high], accuracy).select(
             "column_name", F.col("_q")[0].cast("double").alias("q_low"), F.col("_q")[1].cast("double").alias("q_high"))
     return out.filter(F.col("q_low").isNotNull() & F.col("q_high").isNotNull() & (F.col("q_high") > F.col("q_low")))
 
@@ -115,8 +113,7 @@ def sanitize_fit(train: DataFrame, features: Sequence[str], keep: Sequence[str]
             qdf = Q.pivot_quantiles(Q.exact_quantiles(coerced, features, [q_low, q_high]), ["column_name"],
                                     [q_low, q_high], ["q_low", "q_high"])
         else:
-            qdf = (Q.long_values(coerced, features).groupBy("column_name")
-                   .agg(F.percentile_approx("value", F.array(F.lit(q_low), F.lit(q_high)), 100000).alias("_q"))
+            qdf = (Q.approximate_quantiles(coerced, features, [q_low, q_high], 100000)
                    .select("column_name", F.col("_q")[0].alias("q_low"), F.col("_q")[1].alias("q_high")))
         rows = qdf.collect()
         present = {r["column_name"] for r in rows}

@@ -45,34 +45,23 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None,
                     exact: bool = True, accuracy: int = 10000, slices: int | None = None) -> DataFrame:
     """Per numeric column: min, avg, max, p50, p95, p99 (one row per column).
 
-    ``exact`` (default): the columns are unpivoted to (column_name, value), reduced to
-    distinct values with counts, and quantiles are found by distributed rank search
-    (``quantiles.exact_quantiles``); min/avg/max are a plain grouped aggregate (partial on
-    the map side).  ``exact=False``: one grouped ``percentile_approx`` with
-    bounded memory per column.
+    ``exact`` (default): two scans (``quantiles.quantile_summary``), the first of which also gives
+    min, avg and max.  ``exact=False``: one scan with ``percentile_approx``, bounded memory per
+    column.
     """
     from abtforge.operators import quantiles as Q
 
-    if cols is None:
-        cols = numeric_columns(df)
-    cols = list(cols)
+    cols = numeric_columns(df) if cols is None else list(cols)
     if not cols:
         return df.sparkSession.createDataFrame(
             [], "column_name string, min double, avg double, max double, p50 double, p95 double, p99 double")
     qs, names = [0.5, 0.95, 0.99], ["p50", "p95", "p99"]
-    long = Q.long_values(df, cols)
+    basic = {"min": F.min("value"), "avg": F.avg("value"), "max": F.max("value")}
     if not exact:
-        pct = F.percentile_approx(F.col("value"), F.array(*[F.lit(q) for q in qs]), accuracy)
-        agg = long.groupBy("column_name").agg(
-            F.min("value").alias("min"), F.avg("value").alias("avg"), F.max("value").alias("max"), pct.alias("_q"))
-        return agg.select("column_name", "min", "avg", "max",
-                          *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(names)])
-    dist = Q.value_distribution(long, ["column_name"], slices)
-    basic = long.groupBy("column_name").agg(F.min("value").alias("min"), F.avg("value").alias("avg"),
-                                            F.max("value").alias("max"))
-    qv = Q.pivot_quantiles(Q.quantiles_from_distribution(dist, ["column_name"], qs, targets_bounded=True),
-                           ["column_name"], qs, names)
-    return basic.join(qv, on="column_name", how="left").select("column_name", "min", "avg", "max", *names)
+        agg = Q.approximate_quantiles(df, cols, qs, accuracy, **basic)
+        return agg.select("column_name", *basic, *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(names)])
+    summary, found = Q.quantile_summary(df, cols, qs, slices=slices, **basic)
+    return summary.join(Q.pivot_quantiles(found, ["column_name"], qs, names), "column_name", "left").select("column_name", *basic, *names)
 
 
 def top_values(df: DataFrame, col: str, top: int = 10) -> DataFrame:

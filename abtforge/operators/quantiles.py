@@ -1,21 +1,18 @@
-"""Exact interpolated quantiles without a single-task buffer.
-
-Spark's ``percentile`` is exact but merges every distinct value of a column into one
-aggregation buffer in one task.  Here the work is spread by value instead:
-
-1. ``(group, value) -> count``: one aggregate with map-side partial counts, so a value
-   repeated a billion times is one row per task before the shuffle;
-2. range-partition those rows by (group, value) into ``slices`` balanced slices, tag each
-   row with its slice and cut lineage (``checkpoint``) so the tag is fixed;
-3. running counts inside each slice (a window per slice) and, per slice, the count of all
-   earlier slices of the group (a window over groups x slices rows);
-4. every wanted rank (lower and upper neighbour of ``q * (n - 1)``) is placed in its slice
-   from that small offsets table, and one join on (group, slice) against the target list
-   (groups x quantiles x 2 rows) picks the values.
-
-Interpolation is ``(hi - pos) * v_lo + (pos - lo) * v_hi`` as in Spark's ``percentile`` and
-other SQL engines' continuous quantile.  NULL values are ignored; a group without values
-gets no row.
+"""Exact interpolated quantiles: a sketch brackets every rank, a second scan resolves it.
+
+Spark's ``percentile`` is exact but merges every distinct value of a column into one buffer in one
+task.  Here the values themselves are hardly shuffled at all:
+
+1. one scan keeps a mergeable quantile sketch per column (``percentile_approx``: bounded memory,
+   rank error at most n / accuracy) and reads from it, for every wanted quantile, a value surely
+   below and one surely above the rank;
+2. a second scan counts what lies below and above each bracket and keeps only the distinct values
+   inside it, with counts - about 4 / accuracy of the rows - by map-side sums;
+3. the values of a bracket are ranked: range-partitioned into slices, tagged (``checkpoint`` fixes
+   the tag), running counts inside each slice plus the counts of all earlier slices.
+
+Interpolation is ``(hi - pos) * v_lo + (pos - lo) * v_hi`` as in Spark's ``percentile`` and other
+SQL engines' continuous quantile.  NULL values are ignored; a group without values gets no row.
 """
 
 from __future__ import annotations
@@ -27,73 +24,96 @@ from pyspark.sql import functions as F
 
 from abtforge.session import ensure_checkpoint_dir
 
+ACCURACY = 10_000
+
 
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., column_name, value DOUBLE) for the non-NULL values of ``cols``."""
-    cols = list(cols)
-    sel = df.select(*by, *[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
-    return sel.unpivot(list(by), cols, "column_name", "value").filter(F.col("value").isNotNull())
-
-
-def value_distribution(long: DataFrame, groups: Sequence[str], slices: int | None = None) -> DataFrame:
-    """Distinct values with their counts, range-sliced and checkpointed:
-    (groups..., value, _c, _slice)."""
-    spark = long.sparkSession
-    ensure_checkpoint_dir(spark)
-    g = long.groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("_c"))
-    order = [*[F.col(x) for x in groups], F.col("value")]
-    # without an explicit count AQE sizes the range shuffle to the data; coalescing merges
-    # adjacent ranges only, so slice ids stay in value order
-    ranged = g.repartitionByRange(slices, *order) if slices else g.repartitionByRange(*order)
-    return ranged.withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
+    """(by..., _position, value DOUBLE) for the non-NULL values of ``cols``, from one scan."""
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
+    return df.select(*by, F.posexplode(values).alias("_position", "value")).filter(F.col("value").isNotNull())
+
 
+def brackets(long: DataFrame, by: Sequence[str], qs: Sequence[float], accuracy: int = ACCURACY, **more) -> DataFrame:
+    """(by..., _position, _lo, _hi, more...): arrays of values around each wanted rank, and any
+    further aggregates of ``value`` that the same scan can give.  A small written table: groups x
+    quantiles."""
+    ensure_checkpoint_dir(long.sparkSession)
+    slack = 2.0 / accuracy
+    at = lambda side: F.percentile_approx("value", F.array(*[F.lit(min(1.0, max(0.0, q + side * slack))) for q in qs]), accuracy)
+    return (long.groupBy(*by, "_position").agg(at(-1).alias("_lo"), at(1).alias("_hi"), *[c.alias(n) for n, c in more.items()])
+            .checkpoint(eager=True))
 
-def quantiles_from_distribution(dist: DataFrame, groups: Sequence[str], qs: Sequence[float],
-                                targets_bounded: bool = False) -> DataFrame:
-    """(groups..., q, value) for each quantile ``q`` of each group.
 
-    ``targets_bounded``: the groups are known to be few (for example one per column, no
-    data-driven grouping), so the target list (groups x quantiles x 2 rows) is broadcast.
+def bracketed_distribution(long: DataFrame, bounds: DataFrame, by: Sequence[str], qs: Sequence[float],
+                           slices: int | None = None) -> DataFrame:
+    """(by..., _position, q, value, _c, _slice): per quantile the distinct values inside its bracket,
+    and one row each for all values below (as their maximum) and above (as their minimum).
+
+    The two outer rows also stand for the neighbour just outside the bracket, which an
+    interpolated rank may need.
     """
-    groups = list(groups)
-    local_w = Window.partitionBy(*groups, "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = dist.withColumn("_cum", F.sum("_c").over(local_w))
-    tot = dist.groupBy(*groups, "_slice").agg(F.sum("_c").alias("_st"))
+    keys = [*by, "_position"]
+    bounds = bounds.select(*keys, "_lo", "_hi")
+    # without further groups the bounds have one row per column
+    joined = long.join(bounds if by else F.broadcast(bounds), keys)
+    side = lambda i: F.when(F.col("value") < F.col("_lo")[i], 0).when(F.col("value") > F.col("_hi")[i], 2).otherwise(1)
+    cells = joined.select(*keys, "value", F.explode(F.array(*[F.struct(F.lit(float(q)).alias("q"), side(i).alias("cell"))
+                                                              for i, q in enumerate(qs)])).alias("x"))
+    counted = cells.groupBy(*keys, "x.q", "x.cell", F.when(F.col("x.cell") == 1, F.col("value")).alias("_in")).agg(
+        F.count(F.lit(1)).alias("_c"), F.max("value").alias("_max"), F.min("value").alias("_min"))
+    value = F.when(F.col("cell") == 0, F.col("_max")).otherwise(F.col("_min"))
+    dist = counted.select(*keys, "q", value.alias("value"), "_c")
+    order = [F.col(k) for k in (*keys, "q", "value")]
+    ranged = dist.repartitionByRange(slices, *order) if slices else dist.repartitionByRange(*order)
+    return ranged.withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
+
+
+def ranked_quantiles(dist: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys..., q, value): the interpolated value at rank q * (n - 1) of each distribution."""
+    groups = [*keys, "q"]
+    inside = Window.partitionBy(*groups, "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = dist.groupBy(*groups, "_slice").agg(F.sum("_c").alias("_st"))
     before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*groups, "_slice", "_st", F.coalesce(F.sum("_st").over(before), F.lit(0)).alias("_off"),
-                     F.sum("_st").over(Window.partitionBy(*groups)).alias("_n"))
-    pos = [F.struct(F.lit(float(q)).alias("q"), ((F.col("_n") - 1).cast("double") * F.lit(float(q))).alias("pos"))
-           for q in qs]
-    # targets placed in their slice: at most groups x slices x quantiles x 2 candidate rows,
-    # of which groups x quantiles x 2 survive the filter
-    tg = off.select(*groups, "_slice", "_off", "_st", F.explode(F.array(*pos)).alias("t")).select(
-        *groups, "_slice", "_off", "_st", "t.q", "t.pos")
-    ranks = tg.select(*groups, "_slice", "_off", "_st", "q", "pos",
-                      F.explode(F.array(F.struct(F.lit("lo").alias("side"), F.floor("pos").alias("k")),
-                                        F.struct(F.lit("hi").alias("side"), F.ceil("pos").alias("k")))).alias("r"))
-    ranks = ranks.select(*groups, "_slice", "_off", "q", "pos", "r.side", "r.k").filter(
-        (F.col("k") >= F.col("_off")) & (F.col("k") < F.col("_off") + F.col("_st")))
-    if targets_bounded:
-        ranks = F.broadcast(ranks)
-    hit = local.join(ranks, on=[*groups, "_slice"], how="inner").filter(
-        (F.col("k") - F.col("_off") >= F.col("_cum") - F.col("_c")) & (F.col("k") - F.col("_off") < F.col("_cum")))
-    vals = hit.groupBy(*groups, "q").agg(
-        F.max("pos").alias("pos"),
-        F.max(F.when(F.col("side") == "lo", F.col("value"))).alias("_vlo"),
-        F.max(F.when(F.col("side") == "hi", F.col("value"))).alias("_vhi"))
-    p = F.col("pos")
+    offsets = totals.select(*groups, "_slice", F.coalesce(F.sum("_st").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_st").over(Window.partitionBy(*groups)).alias("_n"))
+    placed = dist.withColumn("_cum", F.sum("_c").over(inside)).join(offsets, [*groups, "_slice"])
+    pos = (F.col("_n") - 1).cast("double") * F.col("q")
+    end = F.col("_off") + F.col("_cum")
+    holds = lambda rank: (rank >= end - F.col("_c")) & (rank < end)
+    found = placed.groupBy(*groups).agg(F.max(pos).alias("_pos"), F.max(F.when(holds(F.floor(pos)), F.col("value"))).alias("_vlo"),
+                                        F.max(F.when(holds(F.ceil(pos)), F.col("value"))).alias("_vhi"))
+    p = F.col("_pos")
     lo, hi = F.floor(p), F.ceil(p)
-    value = F.when(lo == hi, F.col("_vlo")).otherwise(
-        (hi - p) * F.col("_vlo") + (p - lo) * F.col("_vhi"))
-    return vals.select(*groups, "q", value.cast("double").alias("value"))
+    value = F.when(lo == hi, F.col("_vlo")).otherwise((hi - p) * F.col("_vlo") + (p - lo) * F.col("_vhi"))
+    return found.select(*groups, value.cast("double").alias("value"))
+
+
+def _named(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "_position int, column_name string")
+    return df.join(names, "_position").drop("_position")
+
+
+def quantile_summary(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str] = (), slices: int | None = None,
+                     accuracy: int = ACCURACY, **more) -> tuple[DataFrame, DataFrame]:
+    """((by..., column_name, more...), (by..., column_name, q, value)) from two scans of ``df``."""
+    by, cols = list(by), list(cols)
+    long = long_values(df, cols, by)
+    bounds = brackets(long, by, qs, accuracy, **more)
+    found = ranked_quantiles(bracketed_distribution(long, bounds, by, qs, slices), [*by, "_position"])
+    return _named(bounds.drop("_lo", "_hi"), cols), _named(found, cols)
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str] = (),
-                    slices: int | None = None) -> DataFrame:
+                    slices: int | None = None, accuracy: int = ACCURACY) -> DataFrame:
     """(by..., column_name, q, value) for every column and quantile."""
-    groups = [*by, "column_name"]
-    dist = value_distribution(long_values(df, cols, by), groups, slices)
-    return quantiles_from_distribution(dist, groups, qs, targets_bounded=not by)
+    return quantile_summary(df, cols, qs, by, slices, accuracy)[1].select(*by, "column_name", "q", "value")
+
+
+def approximate_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], accuracy: int, **more) -> DataFrame:
+    """(column_name, _q array, more...) from one scan with bounded memory."""
+    wanted = F.percentile_approx("value", F.array(*[F.lit(q) for q in qs]), accuracy)
+    out = long_values(df, list(cols)).groupBy("_position").agg(wanted.alias("_q"), *[c.alias(n) for n, c in more.items()])
+    return _named(out, cols)
 
 
 def pivot_quantiles(qdf: DataFrame, groups: Sequence[str], qs: Sequence[float], names: Sequence[str]) -> DataFrame:

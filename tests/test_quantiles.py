@@ -35,9 +35,29 @@ def test_single_value_and_empty_group(spark):
     assert got == {"a": 5.0}
 
 
-def test_default_slicing_sized_by_aqe(spark):
-    # no explicit slice count: AQE sizes (and may coalesce) the range shuffle; results must
-    # still equal Spark's percentile and brute-force AUC
+@pytest.mark.parametrize("accuracy", [10, 100])
+def test_coarse_sketch_still_gives_exact_quantiles(spark, accuracy):
+    """Brackets from a sketch far coarser than the data: outer values are only counted."""
+    df = spark.range(20_000).select(((F.col("id") * 7919) % 20_011).cast("double").alias("x"), F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id")).alias("y"))
+    got = {(r["column_name"], r["q"]): r["value"] for r in exact_quantiles(df, ["x", "y"], QS, accuracy=accuracy).collect()}
+    for c in ("x", "y"):
+        ref = df.agg(F.percentile(c, F.array(*[F.lit(q) for q in QS]))).first()[0]
+        assert [got[(c, q)] for q in QS] == pytest.approx(ref, rel=1e-12)
+
+
+def test_quantiles_shuffle_only_brackets(spark):
+    """The source is read twice, and no more than the values inside the brackets is kept."""
+    from abtforge.operators import quantiles as Q
+
+    df = spark.range(200_000).select(F.col("id").cast("double").alias("x"))
+    long = Q.long_values(df, ["x"])
+    dist = Q.bracketed_distribution(long, Q.brackets(long, [], [0.5, 0.9]), [], [0.5, 0.9])
+    assert dist.count() < 2 * 200_000 * 8 / Q.ACCURACY + 4
+    assert [r["_c"] for r in dist.agg(F.sum("_c").alias("_c")).collect()] == [400_000]
+
+
+def test_default_slices_follow_the_data(spark):
+    # no explicit slice count: results must equal Spark's percentile and brute-force AUC
     import random
 
     from abtforge.operators.metrics import ranking_metrics
