@@ -80,21 +80,21 @@ NAMED = (
     (1, "gpl-3.0", "gpl", r"(?:gnu )?gpl (?:version |v )?v?3(?: 0)?"),
     (2, "gpl", "gpl", rf"(?:gnu )?gpl(?: {_L})?"),
     (2, "gpl", "general public", rf"(?:gnu )?general public {_L}"),
-    (1, "lgpl-2.0", "general public", rf"library general public {_L}(?: {_V}2(?: 0)?)?"),
-    (1, "lgpl-2.1", "general public", rf"lesser general public {_L} {_V}2 1"),
-    (1, "lgpl-3.0", "general public", rf"lesser general public {_L} {_V}3(?: 0)?"),
-    (1, "lgpl", "general public", rf"(?:gnu )?lesser general public {_L}"),
+    (1, "lgpl-2.0", "general public", rf"(?:gnu )?library general public {_L}(?: {_V}2(?: 0)?)?"),
+    (1, "lgpl-2.1", "general public", rf"(?:gnu )?lesser general public {_L} {_V}2 1"),
+    (1, "lgpl-3.0", "general public", rf"(?:gnu )?lesser general public {_L} {_V}3(?: 0)?"),
+    (2, "lgpl", "general public", rf"(?:gnu )?lesser general public {_L}"),
     (1, "lgpl-2.1", "lgpl", r"lgpl(?: v|v| version )? ?2 1"),
     (1, "lgpl-3.0", "lgpl", r"lgpl(?: v|v| version )? ?3(?: 0)?"),
     (2, "lgpl", "lgpl", r"(?:gnu )?lgpl"),
-    (1, "agpl-1.0", "affero", rf"affero general public {_L} {_V}1(?: 0)?"),
-    (1, "agpl-3.0", "affero", rf"affero general public {_L} {_V}3(?: 0)?"),
-    (1, "agpl", "affero", rf"(?:gnu )?affero general public {_L}"),
+    (1, "agpl-1.0", "affero", rf"(?:gnu )?affero general public {_L} {_V}1(?: 0)?"),
+    (1, "agpl-3.0", "affero", rf"(?:gnu )?affero general public {_L} {_V}3(?: 0)?"),
+    (2, "agpl", "affero", rf"(?:gnu )?affero general public {_L}"),
     (1, "agpl-3.0", "agpl", r"agpl(?: v|v| version )? ?3(?: 0)?"),
     (2, "agpl", "agpl", r"(?:gnu )?agpl"),
-    (1, "gfdl-1.1", "documentation", rf"free documentation {_L} {_V}1 1"),
-    (1, "gfdl-1.2", "documentation", rf"free documentation {_L} {_V}1 2"),
-    (1, "gfdl-1.3", "documentation", rf"free documentation {_L} {_V}1 3"),
+    (1, "gfdl-1.1", "documentation", rf"(?:gnu )?free documentation {_L} {_V}1 1"),
+    (1, "gfdl-1.2", "documentation", rf"(?:gnu )?free documentation {_L} {_V}1 2"),
+    (1, "gfdl-1.3", "documentation", rf"(?:gnu )?free documentation {_L} {_V}1 3"),
     (2, "gfdl", "documentation", rf"(?:gnu )?free documentation {_L}"),
     (2, "gfdl", "gfdl", r"gfdl"),
     (1, "mpl-1.0", "mozilla", rf"mozilla public {_L} {_V}1 0"),
