@@ -7,7 +7,7 @@ as a sparse list of at most ``BUCKETS`` entries.
 
 Training is iterated parameter mixing: a bounded labelled sample is dealt to ``SHARDS`` tasks, each
 runs FTRL over its rows from the shared state, and the states are averaged; ``ROUNDS`` rounds.
-States have fixed size, whatever the corpus.  Scoring is one pass over the texts, no shuffle.
+States have fixed size, whatever the corpus, and stay on the executors.  Scoring is one pass over the texts, no shuffle.
 
 Defined results: NULL and empty texts score as the bias alone; without labelled rows every score
 is 0.5; NULL ids are scored, and are not held out; repeated rows score alike.
@@ -30,6 +30,7 @@ SHARDS = 2
 ROUNDS = 5
 ALPHA, BETA, L1, L2 = 1.5, 1.0, 6.0, 0.1
 TOXIC_WEIGHT = 1.5
+CHUNKS = 64
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 
@@ -49,44 +50,78 @@ def block_features(block: Block, buckets: int = BUCKETS) -> tuple[np.ndarray, np
     return np.concatenate(rows), (np.concatenate(grams) % np.uint64(buckets)).astype(np.int64)
 
 
+def ftrl_weights(z: np.ndarray, n: np.ndarray, l1: np.ndarray | float = L1) -> np.ndarray:
+    """Weights of a state: zero within the L1 threshold, else with each coordinate's own rate."""
+    return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+
+
 class Ftrl:
-    """Per-coordinate state (z, n) of FTRL-proximal; coordinate ``BUCKETS`` is the bias, without L1."""
+    """Per-coordinate state (z, n) of FTRL-proximal; the last coordinate is the bias, without L1."""
 
     def __init__(self, z: np.ndarray, n: np.ndarray):
         self.z, self.n = z, n
 
-    def weights(self, at: np.ndarray | slice = slice(None)) -> np.ndarray:
-        z, n = self.z[at], self.n[at]
-        l1 = np.full(len(z), L1)
-        l1[(np.arange(len(self.z))[at] if isinstance(at, slice) else at) == len(self.z) - 1] = 0
-        return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
-
     def learn(self, features: np.ndarray, y: float) -> None:
         at = np.append(features, len(self.z) - 1)
-        w = self.weights(at)
+        l1 = np.full(len(at), L1)
+        l1[-1] = 0
+        w = ftrl_weights(self.z[at], self.n[at], l1)
         gradient = (1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - y) * (TOXIC_WEIGHT if y else 1.0)
         sigma = (np.sqrt(self.n[at] + gradient ** 2) - np.sqrt(self.n[at])) / ALPHA
         self.z[at] += gradient - sigma * w
         self.n[at] += gradient ** 2
 
 
-def _learn_shard(shared, turn: int):
-    """applyInArrow body: FTRL over one shard from the shared state, in a hashed order."""
+_STATE = "chunk int, z binary, n binary"
+
 
-    def run(table: pa.Table) -> pa.Table:
-        own = Ftrl(*(x.copy() for x in shared.value))
-        ids, ys, xs = table["doc_id"].to_numpy(), table["y"].to_numpy(), table["x"].combine_chunks()
+def _learn_shard(turn: int, buckets: int):
+    """Cogrouped body: FTRL over one shard's rows, in a hashed order, from the shared state."""
+
+    def run(rows: pa.Table, state: pa.Table) -> pa.Table:
+        size = buckets + 1
+        parts = sorted(zip(*(state[c].to_pylist() for c in ("chunk", "z", "n"))))
+        join = lambda i: np.frombuffer(b"".join(p[i] for p in parts), np.float32).copy() if parts else np.zeros(size, np.float32)
+        own = Ftrl(join(1), join(2))
+        ids, ys, xs = rows["doc_id"].to_numpy(), rows["y"].to_numpy(), rows["x"].combine_chunks()
         mixed = mix(ids.astype(np.int64).view(np.uint64) + np.uint64(turn + 1))
         for i in np.lexsort((ids, mixed)):
             own.learn(xs[int(i)].values.to_numpy().astype(np.int64), float(ys[i]))
-        return pa.table({"z": pa.array([own.z.tobytes()], pa.binary()), "n": pa.array([own.n.tobytes()], pa.binary())})
+        cut = lambda v: pa.array([c.tobytes() for c in np.array_split(v, CHUNKS)], pa.binary())
+        return pa.table({"chunk": pa.array(range(CHUNKS), pa.int32()), "z": cut(own.z), "n": cut(own.n)})
+
+    return run
+
+
+def _mean_state(parts: pa.Table) -> pa.Table:
+    """The shards' states of one chunk, averaged."""
+    mean = lambda c: sum(np.frombuffer(x, np.float32) for x in sorted(parts[c].to_pylist())) / np.float32(len(parts))
+    return pa.table({"chunk": parts["chunk"][:1].combine_chunks(), "z": pa.array([mean("z").tobytes()], pa.binary()), "n": pa.array([mean("n").tobytes()], pa.binary())})
+
+
+def _chunk_weights(buckets: int):
+    """mapInArrow body: the non-zero weights of state chunks."""
+
+    def run(batches):
+        first = np.r_[0, np.cumsum([len(c) for c in np.array_split(np.zeros(buckets + 1, bool), CHUNKS)])]
+        for batch in batches:
+            for chunk, z, n in zip(*(batch[c].to_pylist() for c in ("chunk", "z", "n"))):
+                z, n = np.frombuffer(z, np.float32), np.frombuffer(n, np.float32)
+                at = first[chunk] + np.arange(len(z))
+                w = ftrl_weights(z.astype(float), n.astype(float), np.where(at == buckets, 0.0, L1))
+                hit = np.flatnonzero(w)
+                yield pa.RecordBatch.from_arrays([pa.array(at[hit]), pa.array(w[hit])], ["bucket", "weight"])
 
     return run
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, shards: int = SHARDS, rounds: int = ROUNDS,
           folds: int = FOLDS, held_out: int = HELD_OUT, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, float]:
-    """(buckets with weight, their weights, bias) from at most ``sample`` labelled rows."""
+    """(buckets with weight in order, their weights, bias) from at most ``sample`` labelled rows.
+
+    The state stays on the executors, as a written table of ``CHUNKS`` chunks; only the non-zero
+    weights come to the driver.
+    """
     chosen = labelled_sample(docs, labels, "toxic", fold(F.col("doc_id"), folds) == held_out, sample)
 
     @F.arrow_udf("array<int>")
@@ -103,17 +138,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, shards: int
             .select("doc_id", "y", features(F.col("text")).alias("x"))
             .groupBy("doc_id").agg(F.max("y").alias("y"), F.max("x").alias("x")))
     rows = written(rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(shards)).cast("int")), "toxicity")
-    context = docs.sparkSession.sparkContext
-    state = Ftrl(np.zeros(buckets + 1, np.float32), np.zeros(buckets + 1, np.float32))
+    state = docs.sparkSession.createDataFrame([], _STATE)
     for turn in range(rounds):
-        shared = context.broadcast((state.z, state.n))
-        learned = sorted((r["z"], r["n"]) for r in rows.groupBy("shard").applyInArrow(_learn_shard(shared, turn), "z binary, n binary").collect())
-        if learned:
-            state = Ftrl(*(sum(np.frombuffer(r[i], np.float32) for r in learned) / np.float32(len(learned)) for i in (0, 1)))
-        shared.destroy()
-    weights = state.weights()
-    at = np.flatnonzero(weights[:-1])
-    return at, weights[:-1][at], float(weights[-1])
+        copies = state.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "chunk", "z", "n")
+        learned = rows.groupBy("shard").cogroup(copies.groupBy("shard")).applyInArrow(_learn_shard(turn, buckets), _STATE)
+        state = written(learned.groupBy("chunk").applyInArrow(_mean_state, _STATE), "toxicity-state")
+    found = state.mapInArrow(_chunk_weights(buckets), "bucket long, weight double").orderBy("bucket").collect()
+    at, weights = np.array([r["bucket"] for r in found], np.int64), np.array([r["weight"] for r in found])
+    inner = at < buckets
+    return at[inner], weights[inner], float(weights[~inner].sum())
 
 
 def with_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], column: str = "score", buckets: int = BUCKETS) -> DataFrame:
