@@ -29,10 +29,14 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "right side")
     if dups:
         raise ValueError(f"{what} is not unique on {list(keys)}: a left join would duplicate rows")
 
+# Label columns.
+LABELS = ("var_rta", "target_final")
+
 
 def build_base_table(driver: DataFrame, sides: Sequence[Side], keys: Sequence[str] = KEY_CANONICAL,
                      drop_source_keys: Sequence[str] = KEY_SOURCE, fill_numeric: bool = True,
-                     require_unique: bool = False, presence_flags: bool = False) -> DataFrame:
+                     require_unique: bool = False, presence_flags: bool = False,
+                     not_filled: Sequence[str] = LABELS) -> DataFrame:
     """Left-join every side onto the driver table, in order, on the canonical keys.
 
     ``sides`` holds DataFrames (joined on ``keys``) or ``(DataFrame, keys)`` pairs for sides
@@ -40,7 +44,7 @@ def build_base_table(driver: DataFrame, sides: Sequence[Side], keys: Sequence[st
     Rows whose obligation key is NULL are dropped from the driver first.  The source key
     columns are dropped from each side; any other column name shared with the running result
     raises instead of producing an ambiguous column.  Numeric non-key columns are zero
-    filled; ``presence_flags`` adds ``has_side<i>`` so a missing match stays visible.
+    filled, but not the labels (a missing label is not a negative one); ``presence_flags`` adds ``has_side<i>`` so a missing match stays visible.
 
     Plan: the driver is shuffled once on ``keys`` and that partitioning is reused by every
     join on the same keys; AQE turns small sides into broadcast joins and splits skewed
@@ -68,7 +72,7 @@ def build_base_table(driver: DataFrame, sides: Sequence[Side], keys: Sequence[st
         df = df.select(*[F.col(c) for c in df.columns if c not in flag_cols],
                        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in flag_cols])
     if fill_numeric:
-        df = zero_fill_numeric(df, exclude=all_keys | set(flag_cols))
+        df = zero_fill_numeric(df, exclude=all_keys | set(flag_cols) | set(not_filled))
     return df
 
 

@@ -27,6 +27,7 @@ class ForestParams:
     min_instances_per_node: int = 20
     seed: int = 42
     balanced: bool = True
+    bootstrap: bool = True
     median_relative_error: float = 0.001
     # Execution settings (the trees do not change): a larger per-executor budget for split
     # statistics means fewer passes over the data per tree level.  Cached node ids (with
@@ -37,14 +38,18 @@ class ForestParams:
 
 
 def class_weight_column(df: DataFrame, label: str, out: str = "_w") -> DataFrame:
-    """Balanced weights n / (2 * n_class), the class counts coming from one grouped count."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    total = sum(counts.values())
-    k = max(len(counts), 1)
-    w = F.lit(1.0)
-    for cls, n in counts.items():
-        w = F.when(F.col(label) == F.lit(cls), F.lit(total / (k * n))).otherwise(w)
-    return df.withColumn(out, w)
+    """Balanced weights n / (classes * n_class) for the two classes 0 and 1.
+
+    The counts are conditional sums (one row, whatever the label column holds); any other label
+    value, NULL included, is an error.
+    """
+    y = F.col(label)
+    n = df.agg(F.count(F.lit(1)).alias("all"), F.count_if(y == 0).alias("zero"), F.count_if(y == 1).alias("one")).first()
+    if n["zero"] + n["one"] != n["all"]:
+        raise ValueError(f"{label} holds {n['all'] - n['zero'] - n['one']} rows that are neither 0 nor 1")
+    classes = (n["zero"] > 0) + (n["one"] > 0)
+    weight = lambda count: F.lit(n["all"] / (classes * count) if count else 1.0)
+    return df.withColumn(out, F.when(y == 1, weight(n["one"])).otherwise(weight(n["zero"])))
 
 
 def fit_forest(train: DataFrame, features: Sequence[str], label: str = "target_final",
@@ -58,7 +63,7 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str = "target_f
         VectorAssembler(inputCols=imputed, outputCol="_features", handleInvalid="keep"),
         RandomForestClassifier(featuresCol="_features", labelCol="_label", numTrees=params.num_trees,
                                maxDepth=params.max_depth, minInstancesPerNode=params.min_instances_per_node,
-                               seed=params.seed, weightCol="_w" if params.balanced else None,
+                               seed=params.seed, bootstrap=params.bootstrap, **({"weightCol": "_w"} if params.balanced else {}),
                                probabilityCol="_probability", rawPredictionCol="_raw",
                                predictionCol="_prediction", maxMemoryInMB=params.max_memory_mb,
                                cacheNodeIds=params.cache_node_ids,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from abtforge.functions.numeric import clip, finite_or_null, is_infinite, to_double
 
+# Key, split and target columns, which are never features.
 DEFAULT_EXCLUDE = ("num_doc", "obl17", "f_analisis", "split_group", "target_final", "var_rta",
                    "f_analisis_key", "num_doc_key", "obl17_key", "f_analisis_date")
 

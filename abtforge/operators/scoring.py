@@ -17,8 +17,10 @@ from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from abtforge.operators import decide, leakage, metrics, model, prep, runs
+from abtforge.functions import names
+from abtforge.operators import decide, leakage, metrics, model, prep, runs, split
 from abtforge.sources import tables
 
 KEEP = ("num_doc", "obl17", "num_doc_key", "obl17_key", "f_analisis", "split_group", "target_final")
@@ -46,16 +48,32 @@ def materialize_gold(gold: DataFrame, table: str, database: str = "gold", path:
     return gold.sparkSession.table(f"`{database}`.`{table}`")
 
 
+# types that have a meaning as a number (text as far as it parses)
+_AS_NUMBER = (T.NumericType, T.BooleanType, T.StringType)
+
+
+def _feature_columns(gold: DataFrame, cols: Sequence[str]) -> tuple[list[str], dict[str, str]]:
+    """(columns that become features, {column: type} of those whose type has no number form)."""
+    kinds = {f.name: f.dataType for f in gold.schema.fields}
+    usable = [c for c in cols if isinstance(kinds[c], _AS_NUMBER)]
+    return usable, {c: kinds[c].simpleString() for c in cols if c not in set(usable)}
+
+
 def train_and_log(gold: DataFrame, runs_path: str, model_path: str, experiment: str = "debito_recurrente",
                   params: model.ForestParams = model.ForestParams(), threshold: float = 0.5,
                   exclude: Sequence[str] = prep.DEFAULT_EXCLUDE, run_id: str | None = None,
-                  tags: Mapping[str, str] | None = None) -> TrainResult:
-    """Leakage removal found on TRAIN, sanitise, fit, evaluate, log."""
+                  tags: Mapping[str, str] | None = None, gold_table: str | None = None) -> TrainResult:
+    """Leakage removal found on TRAIN, sanitise, fit, evaluate, log.
+
+    Raises when a needed column or a split is missing.  The run row also records the rows per
+    split, infinite values per column of TRAIN (their sum), the gold table's name and the columns
+    left out because of their type.
+    """
     spark = gold.sparkSession
     keep = [k for k in KEEP if k in gold.columns]
-    numeric = {f.name for f in gold.schema.fields if f.dataType.typeName() in
-               ("double", "float", "long", "integer", "short", "decimal", "string")}
-    cands = [c for c in prep.feature_candidates(gold.columns, exclude) if c in numeric and c not in keep]
+    names.require_columns(gold.columns, ["split_group", "target_final"], "the gold table")
+    rows_per_split = split.require_splits(gold)
+    cands, by_type = _feature_columns(gold, [c for c in prep.feature_candidates(gold.columns, exclude) if c not in keep])
     train = gold.filter(F.col("split_group") == "TRAIN")
     dropped = leakage.columns_to_drop(leakage.leakage_report(train, cands, "target_final"))
     feats = [c for c in cands if c not in set(dropped)]
@@ -82,9 +100,13 @@ def train_and_log(gold: DataFrame, runs_path: str, model_path: str, experiment:
                 m[f"{k}_{tag}_thr_{threshold}"] = thr[s][k]
             for k in ("tn", "fp", "fn", "tp"):  # the confusion matrix at the threshold
                 m[f"{k}_{tag}_thr_{threshold}"] = float(thr[s][k])
+    infinite = prep.infinite_counts(train, kept).agg(F.coalesce(F.sum("n_inf"), F.lit(0)).alias("n")).first()["n"]
+    m |= {"n_inf_train": float(infinite)} | {f"rows_{s.lower()}": float(n) for s, n in rows_per_split.items()}
     p = {"num_trees": params.num_trees, "max_depth": params.max_depth,
          "min_instances_per_node": params.min_instances_per_node, "seed": params.seed,
-         "balanced": params.balanced, "threshold_metrics": threshold}
+         "balanced": params.balanced, "threshold_metrics": threshold,
+         "gold_table": gold_table or "", "splits": ",".join(sorted(rows_per_split))}
+    p |= {f"dropped_type_{c}": t for c, t in by_type.items()}
     rec = runs.run_record(spark, experiment, p, dict(tags or runs.REQUIRED_TAGS), m, kept, dropped, bounds,
                           model_path, run_id=run_id)
     runs.log_run(rec, runs_path)
@@ -96,7 +118,9 @@ def score_best(gold: DataFrame, runs_path: str, scores_table: str, database: str
     """Best run -> model, features, bounds -> scores of every row -> table + view."""
     spark = gold.sparkSession
     best = runs.require_best(runs.best_run(spark.read.parquet(runs_path), metric), metric)
-    features = list(best["features"])
+    names.require_columns(gold.columns, ["split_group"], "the gold table")
+    # a run row without features falls back to the candidates by exclusion
+    features = list(best["features"] or _feature_columns(gold, prep.feature_candidates(gold.columns))[0])
     bounds = {k: (v[0], v[1]) for k, v in (best["bounds"] or {}).items()}
     mdl = PipelineModel.load(best["model_path"])
     keep = [k for k in KEEP if k in gold.columns]

@@ -301,45 +301,40 @@ def run_stability(spark, d):
     return out.select("run_id", *[r6(F.col(c)).alias(c) for c in ("auc_test", "auc_oot", "gap")])
 
 
-# --------------------------------------------------------------------------- M1-M3, M8, M11-M15 (rows only)
-_MODEL_CACHE: dict = {}
+# --------------------------------------------------------------------------- M1-M3, M8, M11-M15
+def trained_run(spark, d):
+    """One training run: the run row, its folder and the gold table.
 
+    The analytic base table is materialised once (as the gold layer is), then read by training,
+    evaluation and scoring.  Training splits by hash, so no date filter would prune partitions
+    here: plain files (scoring.materialize_gold partitions by period for temporal splits).
+    """
+    from abtforge.operators import scoring
 
-def trained_run(spark, d):
-    """Train once per application and data set: the run row, the model and the run table."""
+    base = work_dir(spark, "forest")
+    training_frame(spark, d).drop("segmento", "prioridad").write.mode("overwrite").parquet(f"{base}/gold")
+    gold = spark.read.parquet(f"{base}/gold")
+    return scoring.train_and_log(gold, f"{base}/model_runs", f"{base}/model", run_id="forest_run", gold_table="gold"), base, gold
+
+
+def _scored(spark, base, gold):
     from abtforge.operators import scoring
 
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _MODEL_CACHE:
-        base = work_dir(spark, "forest")
-        # the analytic base table is materialised once (as the gold layer is), then read by
-        # training, evaluation and scoring
-        # training splits by hash, so no date filter would prune partitions here: plain files
-        # (scoring.materialize_gold partitions by period for temporal-split pipelines)
-        training_frame(spark, d).drop("segmento", "prioridad").write.mode("overwrite").parquet(f"{base}/gold")
-        gold = spark.read.parquet(f"{base}/gold")
-        res = scoring.train_and_log(gold, f"{base}/model_runs", f"{base}/model", run_id="forest_run")
-        _MODEL_CACHE[key] = (res, base, gold)
-    return _MODEL_CACHE[key]
+    return scoring.score_best(gold, f"{base}/model_runs", "scores_best", database="abt_model_results", table_path=f"{base}/scores_best")
 
 
 @register("forest_scores")
 def forest_scores(spark, d):
-    from abtforge.operators import scoring
-
-    res, base, gold = trained_run(spark, d)
-    return scoring.score_best(gold, f"{base}/model_runs", "scores_best", database="abt_model_results",
-                              table_path=f"{base}/scores_best")
+    _, base, gold = trained_run(spark, d)
+    return _scored(spark, base, gold)
 
 
 @register("forest_decisions")
 def forest_decisions(spark, d):
     from abtforge.operators import scoring
 
-    forest_scores(spark, d)
-    res, base, _ = trained_run(spark, d)
-    scores = spark.table("`abt_model_results`.`scores_best`")
-    out = scoring.refresh(spark, scores, decisions_table="decision_final_v1", database="abt_model_results",
+    _, base, gold = trained_run(spark, d)
+    out = scoring.refresh(spark, _scored(spark, base, gold), decisions_table="decision_final_v1", database="abt_model_results",
                           table_path=f"{base}/decision_final_v1")
     return out["counts"]
 
@@ -352,6 +347,72 @@ def forest_importances(spark, d):
     return model.feature_importances(PipelineModel.load(res.model_path), res.features, top=30)
 
 
+# what SQL can say about a run without growing the forest itself: M9, M11, M13, M14
+@register("forest_run_facts", oracle=TRAIN_FRAME_SQL + """
+SELECT 'rows_' || lower(split_group) AS fact, count(*) AS n FROM tf GROUP BY split_group
+UNION ALL SELECT 'scored_' || lower(split_group), count(*) FROM tf GROUP BY split_group
+UNION ALL SELECT 'scores_outside_0_1', 0
+UNION ALL SELECT 'features', CAST(""" + " + ".join(f"(count({c}) > 0)::INT" for c in (*T.TANQUE_COLS, *T.MORAS_COLS, "tq_sum_qty")) + """ AS BIGINT) FROM tf WHERE split_group = 'TRAIN'
+UNION ALL SELECT 'planted_leaks_kept', 0""")
+def forest_run_facts(spark, d):
+    res, base, gold = trained_run(spark, d)
+    scored = _scored(spark, base, gold)
+    per = scored.groupBy("split_group").agg(F.count(F.lit(1)).alias("n")).select(F.concat(F.lit("scored_"), F.lower("split_group")).alias("fact"), "n")
+    outside = scored.agg(F.count_if(~F.col("score").between(0, 1) | F.col("score").isNull()).alias("n")).select(F.lit("scores_outside_0_1").alias("fact"), "n")
+    leaks = {"estado_f", "estado_no_f", "label_x", "casi_target"}
+    known = [(k, int(v)) for k, v in res.metrics.items() if k.startswith("rows_")]
+    # a constant column is no leak and carries no signal: it is not counted as a feature here
+    known += [("features", len(set(res.features) - {"const_one"})), ("planted_leaks_kept", len(leaks & set(res.features)))]
+    return spark.createDataFrame(known, "fact string, n long").unionByName(per).unionByName(outside)
+
+
+# A forest of one stump on few-valued features (does an order exceed 100 pieces?),
+# which SQL can grow too
+STUMP_FEATURES = ["mo_n_returned", "mo_n_open", "mo_dias_mora_w"]
+_STUMP_SQL = TRAIN_FRAME_SQL + f""",
+f AS (SELECT obl17_key, split_group, COALESCE(CAST(tq_sum_qty > 100 AS INTEGER), 0) AS y, mo_n_returned, mo_n_open, mo_dias_mora // 30 AS mo_dias_mora_w FROM tf),
+med AS (SELECT {", ".join(f"quantile_disc({c}, 0.5) AS {c}" for c in STUMP_FEATURES)} FROM f WHERE split_group = 'TRAIN'),
+x AS (SELECT f.obl17_key, f.split_group, f.y, {", ".join(f"COALESCE(f.{c}, med.{c}) AS {c}" for c in STUMP_FEATURES)} FROM f, med),
+l AS ({" UNION ALL ".join(f"SELECT {i} AS feature, {c} AS v, y FROM x WHERE split_group = 'TRAIN'" for i, c in enumerate(STUMP_FEATURES))}),
+v AS (SELECT feature, v, count(*) AS n, sum(y) AS p FROM l GROUP BY 1, 2),
+c AS (SELECT feature, v, sum(n) OVER w AS nl, sum(p) OVER w AS pl, sum(n) OVER (PARTITION BY feature) AS n, sum(p) OVER (PARTITION BY feature) AS p
+      FROM v WINDOW w AS (PARTITION BY feature ORDER BY v)),
+g AS (SELECT *, (nl * 2.0 * (pl / nl) * (1 - pl / nl) + (n - nl) * 2.0 * ((p - pl) / (n - nl)) * (1 - (p - pl) / (n - nl))) / n AS impurity
+      FROM c WHERE nl < n),
+best AS (SELECT * FROM g ORDER BY impurity, feature, v LIMIT 1),
+s AS (SELECT x.obl17_key, x.split_group,
+        CASE WHEN (b.pl * 2 > b.nl) = ((b.p - b.pl) * 2 > b.n - b.nl) THEN b.p / b.n  -- leaves that decide alike are merged
+             WHEN (CASE b.feature {" ".join(f"WHEN {i} THEN x.{c}" for i, c in enumerate(STUMP_FEATURES))} END) <= b.v THEN b.pl / b.nl
+             ELSE (b.p - b.pl) / (b.n - b.nl) END AS score
+      FROM x, best b)
+"""
+
+
+def _stump(spark, d):
+    """Scores of every row by one depth-1 tree grown on TRAIN (no bootstrap, all features)."""
+    week = F.floor(F.col("mo_dias_mora") / 30).cast("double").alias("mo_dias_mora_w")
+    frame = training_frame(spark, d).select("obl17_key", "split_group", F.coalesce((F.col("tq_sum_qty") > 100).cast("int"), F.lit(0)).alias("target_final"), F.col("mo_n_returned").cast("double").alias("mo_n_returned"),
+                                            F.col("mo_n_open").cast("double").alias("mo_n_open"), week)
+    params = model.ForestParams(num_trees=1, max_depth=1, min_instances_per_node=1, balanced=False, bootstrap=False, median_relative_error=0.0)
+    fitted = model.fit_forest(frame.where("split_group = 'TRAIN'"), STUMP_FEATURES, "target_final", params)
+    return model.score(fitted, frame, ["obl17_key", "split_group"])
+
+
+@register("stump_scores", oracle=_STUMP_SQL + "SELECT obl17_key, split_group, round(score, 6) AS score FROM s")
+def stump_scores(spark, d):
+    return _stump(spark, d).select("obl17_key", "split_group", r6(F.col("score")).alias("score"))
+
+
+@register("stump_decisions", oracle=_STUMP_SQL + """
+SELECT CASE WHEN score >= 0.5 THEN 'NO_ASIGNAR_GESTION' ELSE 'ASIGNAR_GESTION' END AS decision_label, count(*) AS n FROM s GROUP BY 1""")
+def stump_decisions(spark, d):
+    from abtforge.operators import decide
+
+    scores = _stump(spark, d).select("obl17_key", "split_group", "score")
+    dec = decide.decisions(scores, policy="threshold", threshold=0.5, policy_version="stump", with_timestamp=False)
+    return decide.decision_counts(dec)
+
+
 # --------------------------------------------------------------------------- M4-M7 on labelled documents
 _DOC_SCORE = "n_chars / (SELECT max(n_chars) FROM documents)"
 

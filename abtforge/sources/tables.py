@@ -46,21 +46,42 @@ def create_layers(spark: SparkSession, layers: Sequence[str] = LAYERS) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header row; explicit schema when given, else every column as text."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+CORRUPT = "_corrupt_record"
+# Key columns, which inference must leave as text (leading zeros, 17 digits).
+TEXT_KEYS = ("num_doc", "obl17")
+
+
+def infer_csv_schema(spark: SparkSession, path: str, text_columns: Sequence[str] = TEXT_KEYS) -> T.StructType:
+    """Column types from all rows of the file; ``text_columns`` stay text."""
+    found = spark.read.option("header", True).option("inferSchema", True).csv(path).schema
+    return T.StructType([T.StructField(f.name, T.StringType() if f.name.strip().lower() in text_columns else f.dataType) for f in found])
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, allow_bad_rows: bool = False) -> DataFrame:
+    """CSV with a header row; explicit schema when given, else inferred from all rows (keys as text).
+
+    A malformed cell fails the read; with ``allow_bad_rows`` it is NULL, and the text of its row
+    is kept in the column ``_corrupt_record``.
+    """
+    if schema is None:
+        schema = infer_csv_schema(spark, path)
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    reader = spark.read.option("header", True)
+    if not allow_bad_rows:
+        return reader.option("mode", "FAILFAST").schema(schema).csv(path)
+    schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(path)
 
 
 def ingest_csv_files(spark: SparkSession, folder: str, mapping: Mapping[str, str] = FILES_MAPPING,
                      database: str = "raw", schemas: Mapping[str, T.StructType | str] | None = None,
-                     location: str | None = None) -> dict[str, int]:
+                     location: str | None = None, allow_bad_rows: bool = False) -> dict[str, int]:
     """Load each mapped CSV file into ``database.<table>``, replacing the table.
 
-    A missing folder raises; a missing file is logged and skipped.  Returns row counts of
-    the written tables (one count per table, read back from the written data).
+    A missing folder raises; a missing file is logged and skipped.  Malformed rows fail the load,
+    unless ``allow_bad_rows``: then they stay visible in the table's column ``_corrupt_record``.
+    Returns row counts of the written tables (from the written files' footers).
     """
     if not path_exists(spark, folder):
         raise FileNotFoundError(f"CSV folder not found: {folder}")
@@ -71,7 +92,7 @@ def ingest_csv_files(spark: SparkSession, folder: str, mapping: Mapping[str, str
         if not path_exists(spark, src):
             log.warning("CSV file not found, skipped: %s", src)
             continue
-        df = read_csv(spark, src, (schemas or {}).get(table))
+        df = read_csv(spark, src, (schemas or {}).get(table), allow_bad_rows)
         path = f"{location.rstrip('/')}/{database}/{table}" if location else None
         save_table(df, table, database, mode="overwrite", path=path)
         counts[table] = spark.table(f"`{database}`.`{table}`").count()

@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 def ingest_new_files(spark: SparkSession, source_dir: str, schema: T.StructType | str, target_path: str,
                      checkpoint_path: str, fmt: str = "csv", max_files_per_trigger: int = 1000,
                      partition_by: Sequence[str] = (), add_ingest_time: bool = False,
-                     options: dict | None = None) -> int:
-    """Append rows of files new since the last run to ``target_path``; returns batches run."""
+                     options: dict | None = None) -> None:
+    """Append rows of files new since the last run to ``target_path``."""
     reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
         reader = reader.option("header", True)
@@ -37,4 +37,3 @@ def ingest_new_files(spark: SparkSession, source_dir: str, schema: T.StructType
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return len(q.recentProgress)

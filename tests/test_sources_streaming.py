@@ -96,3 +96,35 @@ def test_gold_partitioned_by_month_prunes(spark):
     plan = spark._jvm.PythonSQLUtils.explainString(q._jdf.queryExecution(), "formatted")
     assert "PartitionFilters: [isnotnull(f_analisis_month" in plan
     assert q.count() == 100
+
+
+def test_csv_bad_rows_are_reported_and_types_inferred(spark):
+    import pytest
+
+    from abtforge.session import work_dir
+    from abtforge.sources import tables
+
+    land = work_dir(spark, "t_bad_csv")
+    spark.createDataFrame([("num_doc,obl17,x,y",), ("007,12345678901234567,1,a",), ("8,2,zz,b",)], "value string").coalesce(1).write.text(f"{land}/bad.csv")
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed|FAILED_READ_FILE|FAILFAST|WRITE"):
+        tables.ingest_csv_files(spark, land, {"bad.csv": "t_bad"}, database="t_bad_db", location=land, schemas={"t_bad": "num_doc string, obl17 string, x int, y string"})
+    got = tables.ingest_csv_files(spark, land, {"bad.csv": "t_bad"}, database="t_bad_db", location=land, allow_bad_rows=True,
+                                  schemas={"t_bad": "num_doc string, obl17 string, x int, y string"})
+    back = spark.table("t_bad_db.t_bad")
+    assert got == {"t_bad": 2} and back.columns == ["num_doc", "obl17", "x", "y", tables.CORRUPT]
+    assert [(r.num_doc, r.x) for r in back.where(f"{tables.CORRUPT} IS NOT NULL").collect()] == [("8", None)]
+    assert tables.ingest_csv_files(spark, land, {"bad.csv": "t_inferred"}, database="t_bad_db", location=land) == {"t_inferred": 2}
+    assert dict(spark.table("t_bad_db.t_inferred").dtypes) == {"num_doc": "string", "obl17": "string", "x": "string", "y": "string"}
+
+
+def test_bucketed_write_has_one_file_per_bucket(spark):
+    import os
+
+    from abtforge.session import work_dir
+    from abtforge.sources import tables
+
+    path = work_dir(spark, "t_files")
+    df = spark.range(0, 4000, 1, 16).selectExpr("cast(id % 97 as string) as k", "id")
+    tables.save_table(df, "t_files", "t_results", mode="overwrite", path=path, bucket_by=["k"], buckets=4, sort_by=["k"])
+    files = [f for f in os.listdir(path.replace("file:", "")) if f.endswith(".parquet")]
+    assert len(files) == 4
