@@ -2,8 +2,8 @@
 
 The library never creates a session behind the caller's back; these helpers are for tests,
 the bench and scripts.  ``work_dir`` returns the shared folder used for lineage cuts and
-file round trips: the cluster's ``spark.checkpoint.dir`` when set, else a folder in the
-warehouse, which driver and executors share as well.
+file round trips: the cluster's ``spark.checkpoint.dir``; in local mode without one, a folder in
+the session's warehouse.
 """
 
 from __future__ import annotations
@@ -39,12 +39,15 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; one in the warehouse is set only when none is configured."""
+    """Return the session's checkpoint folder; one in the warehouse is set only in local mode, when none is configured."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        # which folder the executors share is the cluster's to say: refuse rather than guess
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) for this cluster")
     target = configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
