@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from abtforge.functions.keys import client_key
 from abtforge.functions.numeric import fround
 
 from abtforge.operators import clean, joins, profile, quality, split
@@ -121,39 +122,38 @@ def save_skip_overwrite(spark, d):
 
 # --------------------------------------------------------------------------- J1, P7, P8
 def base_table(spark, d):
-    """clientes LEFT JOIN order-level features LEFT JOIN user-level channel features.
-
-    The moras and tanque stand-ins are two projections of one lineitem aggregate, so they
-    are joined as one side: lineitem is scanned, pre-aggregated and shuffled once.
-    """
+    """clientes LEFT JOIN its five sources: moras, tanque and excedentes by obligation, canales and
+    gestiones by client."""
     cl = keyed_clientes(spark, d)
-    ol = T.with_keys(T.order_lines(spark, d)).select(
-        "num_doc", "obl17", *KEYS3, *T.MORAS_COLS, *T.TANQUE_COLS)
+    by_order = [T.with_keys(side(spark, d)) for side in (T.moras, T.tanque, T.excedentes)]
+    ge = T.gestiones(spark, d).withColumn("num_doc_key", client_key("num_doc"))
     ca = build_compact(T.canales_wide(spark, d), T.WIDE_CONFIG)
     ca = ca.withColumn("num_doc_key", F.trim(F.col("num_doc")))
-    return joins.build_base_table(cl, [ol, (ca, ["num_doc_key"])], keys=KEYS3)
+    return joins.build_base_table(cl, [*by_order, (ca, ["num_doc_key"]), (ge, ["num_doc_key"])], keys=KEYS3)
 
 
 def _base_table_sql() -> str:
     from abtforge.plans.q_wide import compact_select_sql
     comp = compact_select_sql()
-    return S.with_(S.CLIENTES, S.CLIENTES_KEYS, S.ORDER_LINES, S.TANQUE, S.MORAS, S.canales_wide(),
+    return S.with_(S.CLIENTES, S.CLIENTES_KEYS, S.ORDER_LINES, S.TANQUE, S.MORAS, S.EXCEDENTES, S.GESTIONES, S.canales_wide(),
                    f"canales AS ({comp})")
 
 
 def _base_select() -> tuple[str, list[str]]:
     from abtforge.plans.q_wide import compact_feature_names
-    num = list(T.MORAS_COLS) + list(T.TANQUE_COLS) + compact_feature_names()
+    side = {"m": T.MORAS_COLS, "t": T.TANQUE_COLS, "e": T.EXCEDENTES_COLS, "w": compact_feature_names(), "g": T.GESTIONES_COLS}
+    num = [c for cols in side.values() for c in cols]
     num_expr = []
-    for c in num:
-        src = "m" if c in T.MORAS_COLS else ("t" if c in T.TANQUE_COLS else "w")
+    for src, c in ((s, c) for s, cols in side.items() for c in cols):
         num_expr.append(f"COALESCE({src}.{c}, 0) AS {c}")
-    sel = ("c.num_doc, c.obl17, c.f_analisis, COALESCE(c.var_rta, 0) AS var_rta, c.segmento, c.prioridad, "
+    sel = ("c.num_doc, c.obl17, c.f_analisis, c.var_rta, c.segmento, c.prioridad, "
            "c.num_doc_key, c.obl17_key, " + ", ".join(num_expr))
     frm = """FROM clientes_k c
 LEFT JOIN moras m ON c.num_doc_key = m.num_doc_key AND c.obl17_key = m.obl17_key AND c.f_analisis = m.f_analisis
 LEFT JOIN tanque t ON c.num_doc_key = t.num_doc_key AND c.obl17_key = t.obl17_key AND c.f_analisis = t.f_analisis
+LEFT JOIN excedentes e ON c.num_doc_key = e.num_doc_key AND c.obl17_key = e.obl17_key AND c.f_analisis = e.f_analisis
 LEFT JOIN canales w ON c.num_doc_key = trim(w.num_doc)
+LEFT JOIN gestiones g ON c.num_doc_key = g.num_doc_key
 WHERE c.obl17_key IS NOT NULL"""
     return sel, frm, num
 
@@ -169,7 +169,7 @@ def _base_oracle() -> str:
              "num_doc_key", "obl17_key"]
     from abtforge.plans.q_wide import DOUBLE_FEATURES
     for c in num:
-        outer.append(f"round({c}, 6) AS {c}" if c in DOUBLE_FEATURES else c)
+        outer.append(f"round({c}, 6) AS {c}" if c in DOUBLE_FEATURES | {*T.EXCEDENTES_COLS, "ge_tasa_acuerdo"} else c)
     return _base_table_sql() + f"SELECT {', '.join(outer)} FROM ({inner}) b"
 
 

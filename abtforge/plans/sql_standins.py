@@ -52,6 +52,19 @@ MORAS = """moras AS (
   FROM order_lines)"""
 
 
+EXCEDENTES = """excedentes AS (
+  SELECT CAST(o.o_custkey AS VARCHAR) AS num_doc_key, CAST(o.o_orderkey AS VARCHAR) AS obl17_key, CAST(o.o_orderdate AS DATE) AS f_analisis,
+         avg(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS ex_avg_pago, max(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS ex_max_pago,
+         sum(greatest(l_extendedprice * (1 - l_discount) * (1 + l_tax) - l_extendedprice, 0)) AS ex_surplus,
+         avg(l_extendedprice * (1 - l_discount) * (1 + l_tax) / nullif(l_extendedprice, 0)) AS ex_porc_pago
+  FROM lineitem JOIN orders o ON l_orderkey = o.o_orderkey GROUP BY ALL)"""
+
+GESTIONES = """gestiones AS (
+  SELECT CAST(user_id AS VARCHAR) AS num_doc_key, count(*) AS ge_n_contactos, count_if(event_type = 'purchase') AS ge_n_acuerdos,
+         count_if(event_type = 'purchase') / count(*) AS ge_tasa_acuerdo, count(DISTINCT CAST(ts AS DATE)) AS ge_dias_activos
+  FROM events GROUP BY user_id)"""
+
+
 def canales_wide() -> str:
     last = "(SELECT max(ts) FROM events)"
     cols = ["sum(value) AS trx_mnt_total", "CAST(count(*) AS DOUBLE) AS trx_cnt_total"]

@@ -5,6 +5,8 @@
 | clientes (base + label)  | orders joined to customer; label = status 'F'         | order        |
 | tanque_movimiento        | lineitem aggregated per order (price statistics)      | order        |
 | moras                    | lineitem aggregated per order (flags, status, delay)  | order        |
+| excedentes               | lineitem payments per order                           | order        |
+| gestiones                | events as contacts per client                         | user         |
 | canales (raw, wide)      | events pivoted per user into the wide naming grammar  | user         |
 | scores                   | order total scaled to [0, 1], some exactly 1.0        | order        |
 
@@ -113,6 +115,33 @@ def moras(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_lines(spark, sf_dir).select("num_doc", "obl17", "f_analisis", *MORAS_COLS)
 
 
+EXCEDENTES_COLS = ("ex_avg_pago", "ex_max_pago", "ex_surplus", "ex_porc_pago")
+GESTIONES_COLS = ("ge_n_contactos", "ge_n_acuerdos", "ge_tasa_acuerdo", "ge_dias_activos")
+
+
+def excedentes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments per order: what was paid (price less discount plus tax) against the price."""
+    li = table(spark, sf_dir, "lineitem")
+    due = F.col("l_extendedprice")
+    paid = due * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    agg = li.groupBy(F.col("l_orderkey").alias("_ok")).agg(
+        F.avg(paid).alias("ex_avg_pago"), F.max(paid).alias("ex_max_pago"), F.sum(F.greatest(paid - due, F.lit(0.0))).alias("ex_surplus"),
+        F.avg(F.try_divide(paid, due)).alias("ex_porc_pago"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return agg.join(o, agg._ok == o.o_orderkey, "inner").select(
+        F.col("o_custkey").alias("num_doc"), F.col("o_orderkey").cast("double").alias("obl17"),
+        F.col("o_orderdate").cast("date").alias("f_analisis"), *EXCEDENTES_COLS)
+
+
+def gestiones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contacts per client: events, those that end in an agreement (purchase), active days."""
+    ev = table(spark, sf_dir, "events")
+    agreed = F.count_if(F.col("event_type") == "purchase")
+    return ev.groupBy(F.col("user_id").alias("num_doc")).agg(
+        F.count(F.lit(1)).alias("ge_n_contactos"), agreed.alias("ge_n_acuerdos"), (agreed / F.count(F.lit(1))).alias("ge_tasa_acuerdo"),
+        F.count_distinct(F.to_date("ts")).alias("ge_dias_activos"))
+
+
 def wide_names() -> list[str]:
     """Column names of the wide stand-in, in table order (without the key)."""
     names = ["trx_mnt_total", "trx_cnt_total"]

@@ -48,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and not sc.master.startswith("local"):
         # which folder the executors share is the cluster's to say: refuse rather than guess
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) for this cluster")
-    target = configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    target = configured or (spark.conf.get("spark.sql.warehouse.dir", None) or "spark-warehouse").rstrip("/") + "/_work"
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 

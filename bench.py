@@ -10,6 +10,7 @@ import json
 import os
 import sys
 import time
+from statistics import median
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -51,11 +52,15 @@ def main() -> None:
     if os.path.isdir(warm_dir):
         for name in names:
             qs[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
+    # the median of three runs; queries of over 20 s run once (the forest job)
     times = {}
     for name in names:
-        t0 = time.perf_counter()
-        qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        runs = []
+        while len(runs) < 3 and not (runs and runs[0] > 20):
+            t0 = time.perf_counter()
+            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - t0)
+        times[name] = round(median(runs), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf, "cpus": int(cpus)}))

@@ -28,7 +28,9 @@ def test_checkpoint_dir_required_on_clusters():
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(_fake_spark("yarn", {}))
     assert session.ensure_checkpoint_dir(_fake_spark("yarn", {"spark.checkpoint.dir": "hdfs:///ckpt"})) == "hdfs:///ckpt"
-    assert session.ensure_checkpoint_dir(_fake_spark("local[4]", {})) == session._LOCAL_DEFAULT
+    # local sessions: in the warehouse, never in a machine-wide temporary folder
+    assert session.ensure_checkpoint_dir(_fake_spark("local[4]", {"spark.sql.warehouse.dir": "file:/w/"})) == "file:/w/_work"
+    assert session.ensure_checkpoint_dir(_fake_spark("local[4]", {})) == "spark-warehouse/_work"
 
 
 def test_export_csv_name_and_content(spark):
