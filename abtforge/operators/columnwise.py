@@ -16,7 +16,7 @@ Stat = Callable[[Column], Column]
 
 
 def as_double(c: Column) -> Column:
-    return c.cast("double")
+    return c.try_cast("double")  # text that is no number counts as NULL
 
 
 def column_stats(df: DataFrame, cols: Sequence[str], stats: Mapping[str, Stat], value: Stat = as_double,

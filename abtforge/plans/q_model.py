@@ -11,7 +11,8 @@ from abtforge.operators import leakage, metrics, model, prep, runs, split
 from abtforge.operators.features import create_features
 from abtforge.plans import sql_standins as S
 from abtforge.plans import standins as T
-from abtforge.plans.q_core import KEYS3, keyed_clientes
+from abtforge.plans.q_core import KEYS3, base_table, keyed_clientes
+from abtforge.plans.q_wide import compact_feature_names
 from abtforge.plans.registry import register
 from abtforge.session import work_dir
 
@@ -25,17 +26,26 @@ def r6(c):
     return fround(c, 6)
 
 
-def training_frame(spark, d):
-    """Keyed clientes + order-level features + label + hash split + planted leak columns."""
-    cl = keyed_clientes(spark, d)
-    ol = T.with_keys(T.order_lines(spark, d)).drop("num_doc", "obl17")
-    df = split.with_hash_split(cl.join(ol, on=KEYS3, how="left"), "num_doc_key")
+def with_planted_leaks(df):
     y = F.col("target_final")
     return df.select("*", y.cast("double").alias("estado_f"), (1 - y).cast("double").alias("estado_no_f"),
                      y.alias("label_x"), F.lit(1.0).alias("const_one"),
                      (y * F.lit(1000.0) + F.col("mo_avg_disc")).alias("casi_target"))
 
 
+def gold_frame(spark, d):
+    """The five-source base table with label, hash split and planted leak columns.  Its text columns
+    (segment, priority) are not numbers: coercion makes them all NULL and training drops them."""
+    return with_planted_leaks(split.with_hash_split(base_table(spark, d), "num_doc_key"))
+
+
+def training_frame(spark, d):
+    """Keyed clientes + order-level features + label + hash split + planted leak columns."""
+    cl = keyed_clientes(spark, d)
+    ol = T.with_keys(T.order_lines(spark, d)).drop("num_doc", "obl17")
+    return with_planted_leaks(split.with_hash_split(cl.join(ol, on=KEYS3, how="left"), "num_doc_key"))
+
+
 TRAIN_FRAME_SQL = S.with_(S.CLIENTES, S.CLIENTES_KEYS, S.ORDER_LINES) + f""",
 tf AS (
   SELECT c.var_rta AS target_final, {S.md5_split('c.num_doc_key')} AS split_group, c.num_doc_key, c.obl17_key, c.f_analisis,
@@ -312,7 +322,7 @@ def trained_run(spark, d):
     from abtforge.operators import scoring
 
     base = work_dir(spark, "forest")
-    training_frame(spark, d).drop("segmento", "prioridad").write.mode("overwrite").parquet(f"{base}/gold")
+    gold_frame(spark, d).write.mode("overwrite").parquet(f"{base}/gold")
     gold = spark.read.parquet(f"{base}/gold")
     return scoring.train_and_log(gold, f"{base}/model_runs", f"{base}/model", run_id="forest_run", gold_table="gold"), base, gold
 
@@ -352,7 +362,7 @@ def forest_importances(spark, d):
 SELECT 'rows_' || lower(split_group) AS fact, count(*) AS n FROM tf GROUP BY split_group
 UNION ALL SELECT 'scored_' || lower(split_group), count(*) FROM tf GROUP BY split_group
 UNION ALL SELECT 'scores_outside_0_1', 0
-UNION ALL SELECT 'features', CAST(""" + " + ".join(f"(count({c}) > 0)::INT" for c in (*T.TANQUE_COLS, *T.MORAS_COLS, "tq_sum_qty")) + """ AS BIGINT) FROM tf WHERE split_group = 'TRAIN'
+UNION ALL SELECT 'features', """ + str(len([*T.MORAS_COLS, *T.TANQUE_COLS, *T.EXCEDENTES_COLS, *T.GESTIONES_COLS, *compact_feature_names()])) + """
 UNION ALL SELECT 'planted_leaks_kept', 0""")
 def forest_run_facts(spark, d):
     res, base, gold = trained_run(spark, d)
