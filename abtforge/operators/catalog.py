@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from abtforge.functions.stats import safe_corr
@@ -150,6 +150,19 @@ def pair_correlation(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFra
     return named.join(found, "_position", "left").select("base", "smmlv", "corr")
 
 
+def name_part_counts(names: DataFrame, top: int = 20, col: str = "col") -> DataFrame:
+    """(part, value, n_cols): the ``top`` most frequent prefixes, suffixes and prefix-suffix
+    combinations of the names (A15, K4); ties by value."""
+    tokens = F.split(F.col(col), "_")
+    first, last = F.element_at(tokens, 1), F.element_at(tokens, -1)
+    parts = names.select(F.explode(F.array(
+        F.struct(F.lit("prefix").alias("part"), first.alias("value")), F.struct(F.lit("suffix").alias("part"), last.alias("value")),
+        F.struct(F.lit("prefix_suffix").alias("part"), F.concat_ws("|", first, last).alias("value")))).alias("x"))
+    counts = parts.groupBy("x.part", "x.value").agg(F.count(F.lit(1)).alias("n_cols"))
+    best = Window.partitionBy("part").orderBy(F.desc("n_cols"), "value")
+    return counts.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= top).drop("_rank")
+
+
 def catalog_counts(parsed: DataFrame) -> DataFrame:
     """Columns per value of each catalog dimension (A15): (dimension, value, n_cols)."""
     dims = ["stat", "tipo", "canal", "operacion", "window"]

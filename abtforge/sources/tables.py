@@ -12,6 +12,7 @@ import logging
 from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
@@ -195,10 +196,23 @@ def export_csv(df: DataFrame, folder: str, prefix: str, when: dt.datetime | None
     return path
 
 
-def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    """Tables of a layer, by name."""
+def list_schemas(spark: SparkSession) -> DataFrame:
+    """The layers, by name."""
+    return spark.createDataFrame(sorted((x.name,) for x in spark.catalog.listDatabases()), "schema_name string")
+
+
+def list_tables(spark: SparkSession, database: str, pattern: str | None = None) -> DataFrame:
+    """Tables of a layer, by name; ``pattern`` filters names like SQL's ILIKE."""
     rows = [(t.name, t.tableType, bool(t.isTemporary)) for t in spark.catalog.listTables(database)]
-    return spark.createDataFrame(sorted(rows), "table_name string, table_type string, is_temporary boolean")
+    out = spark.createDataFrame(sorted(rows), "table_name string, table_type string, is_temporary boolean")
+    return out.where(F.col("table_name").ilike(pattern)) if pattern else out
+
+
+def columns_by_type(spark: SparkSession, database: str) -> DataFrame:
+    """(table_name, data_type, n_columns) of a layer (S14): metadata only."""
+    rows = [(t.name, c.dataType) for t in spark.catalog.listTables(database) for c in spark.catalog.listColumns(f"{database}.{t.name}")]
+    found = spark.createDataFrame(rows, "table_name string, data_type string")
+    return found.groupBy("table_name", "data_type").agg(F.count(F.lit(1)).alias("n_columns")).orderBy("table_name", "data_type")
 
 
 def list_columns(spark: SparkSession, database: str, table: str) -> DataFrame:

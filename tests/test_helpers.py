@@ -59,3 +59,13 @@ def test_profile_composition(spark):
     assert m[("distinct_keys", "num_doc")] == 2 and m[("dup_rows", "num_doc")] == 1
     assert out["sample"].count() == 2
     assert {r["column_name"] for r in out["numeric"].collect()} == {"num_doc", "v"}
+
+
+def test_listing_by_pattern_and_type(spark):
+    base = work_dir(spark, "t_list2")
+    for name in ("Alpha_one", "beta_two"):
+        tables.save_table(spark.range(2).select("id", F.lit("a").alias("s"), F.lit("b").alias("r")), name, "t_listing2", mode="overwrite", path=f"{base}/{name}")
+    assert [r[0] for r in tables.list_tables(spark, "t_listing2", "ALPHA%").collect()] == ["alpha_one"]
+    assert "t_listing2" in [r[0] for r in tables.list_schemas(spark).collect()]
+    assert [tuple(r) for r in tables.columns_by_type(spark, "t_listing2").where("table_name = 'beta_two'").collect()] == [
+        ("beta_two", "bigint", 1), ("beta_two", "string", 2)]
