@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence, Union
 
 from pyspark.sql import DataFrame
@@ -76,24 +77,31 @@ def build_base_table(driver: DataFrame, sides: Sequence[Side], keys: Sequence[st
     return df
 
 
-def match_rate(left: DataFrame, right: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Distinct keys of ``left`` found in ``right``: one row (name, left_keys, matched_keys, match_rate).
+def match_rates(left: DataFrame, sides: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
+    """(name, left_keys, matched_keys, match_rate) for every (name, right, keys) side.
 
-    Both sides are reduced to distinct keys (partial aggregation before the shuffle), the
-    right side is tagged and left-joined, and both counts come from one aggregate.
+    Sides on the same keys share one pass: the distinct keys of ``left`` are built once, each side's
+    distinct keys (partial aggregation before the shuffle) are tagged and left-joined on that
+    partitioning, and all counts come from one aggregate.
     """
-    keys = list(keys)
-    lk = left.select(*keys).distinct()
-    rk = right.select(*keys).distinct().withColumn("_hit", F.lit(1))
-    j = lk.join(rk, on=keys, how="left")
-    return j.agg(
-        F.lit(name).alias("name"),
-        F.count(F.lit(1)).alias("left_keys"),
-        F.count("_hit").alias("matched_keys"),
-    ).withColumn(
-        "match_rate",
-        F.coalesce(F.try_divide(F.col("matched_keys").cast("double"), F.col("left_keys").cast("double")), F.lit(0.0)),
-    )
+    by_keys: dict[tuple[str, ...], list[tuple[str, DataFrame]]] = {}
+    for name, right, keys in sides:
+        by_keys.setdefault(tuple(keys), []).append((name, right))
+    parts = []
+    for keys, group in by_keys.items():
+        joined = left.select(*keys).distinct()
+        for i, (_, right) in enumerate(group):
+            joined = joined.join(right.select(*keys).distinct().withColumn(f"_hit{i}", F.lit(1)), list(keys), "left")
+        counts = joined.agg(F.count(F.lit(1)).alias("left_keys"), *[F.count(f"_hit{i}").alias(f"_n{i}") for i in range(len(group))])
+        rows = F.array(*[F.struct(F.lit(name).alias("name"), F.col("left_keys"), F.col(f"_n{i}").alias("matched_keys")) for i, (name, _) in enumerate(group)])
+        parts.append(counts.select(F.explode(rows).alias("r")).select("r.*"))
+    rate = F.try_divide(F.col("matched_keys").cast("double"), F.col("left_keys").cast("double"))
+    return reduce(DataFrame.unionByName, parts).withColumn("match_rate", F.coalesce(rate, F.lit(0.0)))
+
+
+def match_rate(left: DataFrame, right: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Distinct keys of ``left`` found in ``right``: one row (name, left_keys, matched_keys, match_rate)."""
+    return match_rates(left, [(name, right, keys)])
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_keys: Sequence[str],

@@ -196,12 +196,9 @@ SELECT 'canales', (SELECT count(*) FROM lc),
     "SELECT 'moras' AS name", "SELECT * , round(matched_keys / left_keys, 6) AS match_rate FROM (\nSELECT 'moras' AS name") + ")")
 def key_match_rate(spark, d):
     cl = keyed_clientes(spark, d)
-    mo = T.with_keys(T.moras(spark, d))
-    tq = T.with_keys(T.tanque(spark, d))
     ev = T.table(spark, d, "events").select(F.col("user_id").cast("string").alias("num_doc_key"))
-    out = (joins.match_rate(cl, mo, KEYS3, "moras")
-           .unionByName(joins.match_rate(cl, tq, KEYS3, "tanque"))
-           .unionByName(joins.match_rate(cl, ev, ["num_doc_key"], "canales")))
+    out = joins.match_rates(cl, [("moras", T.with_keys(T.moras(spark, d)), KEYS3), ("tanque", T.with_keys(T.tanque(spark, d)), KEYS3),
+                                 ("canales", ev, ["num_doc_key"])])
     return out.withColumn("match_rate", r6(F.col("match_rate")))
 
 

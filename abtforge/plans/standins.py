@@ -46,17 +46,9 @@ WIDE_CHANNELS = tuple(code + ("_cmpr" if i % 5 == 4 else "") for i, (code, _) in
 WIDE_CONFIG = Compaction(keys=("num_doc",), text_keys=("num_doc",))
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver table as a lazy DataFrame; the file listing and footer read are done once
-    per session and path."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    """The driver table as a lazy DataFrame."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def clientes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
