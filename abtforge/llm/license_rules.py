@@ -169,7 +169,7 @@ NAMED = (
     (3, "license-statement", "distributed under", r"distributed under (?:the )?(?:terms of )?(?:the )?\w+"),
     (3, "license-statement", "see the license", r"see the licen[sc]e (?:file )?for (?:more |the |further )?(?:details|specific language)"),
     (3, "warranty-disclaimer", "without warranty", r"without warranty of any kind"),
-    (3, "warranty-disclaimer", "as is", r"provided (?:by .{1,60}? )?as is"),
+    (3, "warranty-disclaimer", "provided", r"provided (?:by .{1,60}? )?as is"),
 )
 
 # Creative Commons variants: (code, words of the long name)
@@ -182,8 +182,9 @@ CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 
 # strings of which a text must hold one to be scanned by rule (the base phrases all hold "licen")
 GATES = ("licen", "copyright", "gpl", "gfdl", "public domain", "spdx", "creative commons", "cc by", "cc-by", "cc0", "rights reserved", "wtfpl",
-         "cecill", "redistribut", "warranty", "permission", "proprietary", "as is", "beer", "bsd", "apache", "mpl", "advertising", "neither the name",
-         "x consortium", "distributed under", "released under", "share", "unencumbered")
+         "cecill", "redistribution and use", "without warranty", "permission is hereby", "permission to use", "proprietary and", "provided as", "provided by",
+         "provided \"as", "beerware", "beer-ware", "beer ware", "bsd", "apache", " mpl", "(mpl", "advertising materials", "neither the name",
+         "x consortium", "distributed under", "released under", "share alike", "share-alike", "unencumbered")
 
 
 def _words(identifier: str) -> str:

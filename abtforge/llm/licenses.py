@@ -28,7 +28,7 @@ from abtforge.llm.license_rules import CONFIDENCE, GATES, all_rules
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def let(value: Column, body) -> Column:
@@ -36,6 +36,13 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def word_count(text: Column) -> Column:
+    """Number of words of a text in any case: the pieces between separators, without empty ends."""
+    empty = lambda a, i: F.when(F.get(a, i) == "", 1).otherwise(0)
+    return let(F.split(text, _BETWEEN_WORDS, -1),
+               lambda a: F.size(a) - empty(a, F.lit(0)) - F.when(F.size(a) > 1, empty(a, F.size(a) - 1)).otherwise(0)).cast("long")
+
+
 def _whole(pattern: str) -> str:
     return f"(?<= )(?:{pattern})(?= )"
 
@@ -80,13 +87,13 @@ def scan(docs: DataFrame, rules: list[tuple[int, str, str, str]] | None = None)
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score: one row per row."""
     rules = all_rules() if rules is None else rules
     text = F.coalesce(F.col("text"), F.lit(""))
-    lowered = F.lower(text)  # keeps every ASCII match; only opens the gate
+    lowered = F.concat(F.lit(" "), F.lower(text))  # keeps every ASCII match; only opens the gate
     gate = F.lit(False)
     for keyword in GATES:
         gate = gate | F.contains(lowered, F.lit(keyword))
     exact = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
     normal = F.concat(F.lit(" "), F.array_join(F.regexp_extract_all(exact, F.lit(f"({_WORD})"), F.lit(1)), " "), F.lit(" "))
-    rows = docs.select("doc_id", F.regexp_count(text, F.lit(_WORD_ANY_CASE)).cast("long").alias("n_words"), F.when(gate, normal).alias("normal"))
+    rows = docs.select("doc_id", word_count(text).alias("n_words"), F.when(gate, normal).alias("normal"))
 
     def measured(t: Column) -> Column:
         counts = [F.regexp_count(t, F.lit(_whole(p))).cast("long") for p, _ in BASE]
