@@ -1,4 +1,27 @@
-"""Shared texts of these tests."""
+"""Shared fixtures and texts of these tests (imported by name: only one conftest module can exist)."""
+
+import pytest
+from pyspark.sql import types as T
+
+DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
+                     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
+LABELS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("quality", T.IntegerType()), T.StructField("toxic", T.IntegerType())])
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """Frame of documents from (doc_id, text[, source]) tuples."""
+
+    def make(rows):
+        full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", None if r[1] is None else len(r[1])) for r in rows]
+        return spark.createDataFrame(full, DOCS)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def make_labels(spark):
+    return lambda rows: spark.createDataFrame(rows, LABELS)
 
 SF_SMALL = "/root/testdata/sf0.001"
 

@@ -5,7 +5,7 @@ import pyarrow as pa
 
 from abtforge.llm import quality, toxicity
 from abtforge.llm.textarrays import ALNUM, SPACE, blocks, prefix_hash, span_hash, words
-from conftest_llm import AWKWARD, sentence
+from conftest_llm import AWKWARD, make_docs, make_labels, sentence  # noqa: F401
 
 
 def corpus():

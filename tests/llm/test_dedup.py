@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from abtforge.llm import simhash, suffix_dedup
 from abtforge.llm.components import component_labels, components
-from conftest_llm import AWKWARD, sentence
+from conftest_llm import AWKWARD, make_docs, sentence  # noqa: F401
 
 
 def brute_removal(texts, length=200):

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from abtforge.llm import mixing, packing
-from conftest_llm import AWKWARD, SF_SMALL, sentence
+from conftest_llm import AWKWARD, SF_SMALL, make_docs, sentence  # noqa: F401
 
 
 def brute_targets(sizes, weights=(5, 2, 1), cap=3):

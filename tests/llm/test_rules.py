@@ -2,7 +2,7 @@ import collections
 import re
 
 from abtforge.llm import license_rules, licenses, quality_rules, url_filter
-from conftest_llm import AWKWARD, sentence
+from conftest_llm import AWKWARD, make_docs, make_labels, sentence  # noqa: F401
 
 
 def base_counts(t):
