@@ -5,8 +5,9 @@ Words are summed per source, targets follow from the weights, and every document
 rate as probability (rate = target / words of the source).
 
 Everything is one scan for the sizes (written narrow, without texts), one aggregation with
-map-side sums - a hot source costs one row per task - and a broadcast-free join on the source,
-which AQE splits when a source holds most rows.
+map-side sums - a hot source costs one row per task - and a join with one row per source.  Up to
+``BROADCAST_SOURCES`` sources (counted) that table is broadcast and no document moves; beyond, it
+is an ordinary join that AQE splits when a source holds most rows.  Results are the same.
 
 Defined results: NULL text has size 0; NULL source is a source of its own, ordered last; NULL or
 repeated ids draw by their value, so equal ids draw alike; a source without words has target 0
@@ -23,6 +24,7 @@ from abtforge.llm.store import written
 WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = "mix-1"
+BROADCAST_SOURCES = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -63,7 +65,9 @@ def with_copies(sized: DataFrame, targets: DataFrame, seed: str = SEED) -> DataF
     """Adds source_size, target and ``copies`` to rows with (doc_id, source, size)."""
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    t = targets.withColumnRenamed("source", "_s")
+    t = written(targets.withColumnRenamed("source", "_s"), "mix-targets")
+    if t.count() <= BROADCAST_SOURCES:
+        t = F.broadcast(t)
     joined = sized.join(t, sized["source"].eqNullSafe(t["_s"]), "left").drop("_s").withColumn("_rate", rate)
     copies = F.floor("_rate") + F.when(draw < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
     return joined.withColumn("copies", copies.cast("long")).drop("_rate")
@@ -79,8 +83,8 @@ def mix_report(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = C
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as its rate and draw say, same columns.
 
-    Only (source, size) is gathered; the texts are read a second time and never shuffled, as the
-    targets (one row per source) join by broadcast or by AQE's choice.
+    Only (source, size) is gathered; the texts are read a second time and, with a bounded number of
+    sources, never shuffled.
     """
     names = docs.columns
     size = word_count(F.col("text"))
