@@ -237,8 +237,9 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
     own = F.xxhash64("doc_id", "text").alias("_own")
     rows = written(docs.select("doc_id", own, fingerprints(F.col("text"), shingle).alias("fp")), "simhash")
     linked = with_components(rows.select("fp").distinct(), max_bits)
-    first = (rows.join(linked, "fp").groupBy("root")
-             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_own")).alias("k"))
+    # copies meet by map-side minima before any join
+    per = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_own")).alias("k"))
+    first = (per.join(linked, "fp").groupBy("root").agg(F.min("k").alias("k"))
              .select(F.col("k.doc_id").alias("k_id"), F.col("k._own").alias("k_own")))
     plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col("doc_id").alias("_id"), own)
     kept = plain.join(first, (plain["_own"] == first["k_own"]) & plain["_id"].eqNullSafe(first["k_id"]))
