@@ -180,11 +180,11 @@ CC_VARIANTS = (
 )
 CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 
-# strings of which a text must hold one to be scanned by rule (the base phrases all hold "licen")
-GATES = ("licen", "copyright", "gpl", "gfdl", "public domain", "spdx", "creative commons", "cc by", "cc-by", "cc0", "rights reserved", "wtfpl",
+# strings of which a normalised text must hold one to be scanned by rule (the base phrases all hold "licen")
+GATES = ("licen", "copyright", "gpl", "gfdl", "public domain", "spdx", "creative commons", " cc by", "cc0", "rights reserved", "wtfpl",
          "cecill", "redistribution and use", "without warranty", "permission is hereby", "permission to use", "proprietary and", "provided as", "provided by",
-         "provided \"as", "beerware", "beer-ware", "beer ware", "bsd", "apache", " mpl", "(mpl", "advertising materials", "neither the name",
-         "x consortium", "distributed under", "released under", "share alike", "share-alike", "unencumbered")
+         "beerware", "beer ware", "bsd", "apache", " mpl", "advertising materials", "neither the name",
+         "x consortium", "distributed under", "released under", "share alike", "unencumbered")
 
 
 def _words(identifier: str) -> str:

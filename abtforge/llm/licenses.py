@@ -1,7 +1,8 @@
 """License scan: ordered signature rules behind a keyword prefilter.
 
-Texts that hold none of the gate strings get their word count and nothing else.  The others are
-normalised to lower-case words with single blanks; every rule whose keyword they hold is tried,
+Texts are normalised to words with single blanks.  Gates, keywords and rules all read this form, so
+it does not matter what separates the words of a text.  Texts that hold none of the gate strings
+get their word count and nothing else; on the others every rule whose keyword they hold is tried,
 and its detections are intervals of the normalised text.  A detection that lies inside another one
 of a better or equal level is suppressed, so "Apache License 2.0" is not also reported as an
 unversioned Apache license.
@@ -27,7 +28,6 @@ from abtforge.llm.license_rules import CONFIDENCE, GATES, all_rules
 # phrase and label: fixed values
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -36,11 +36,15 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def word_count(text: Column) -> Column:
-    """Number of words of a text in any case: the pieces between separators, without empty ends."""
-    empty = lambda a, i: F.when(F.get(a, i) == "", 1).otherwise(0)
-    return let(F.split(text, _BETWEEN_WORDS, -1),
-               lambda a: F.size(a) - empty(a, F.lit(0)) - F.when(F.size(a) > 1, empty(a, F.size(a) - 1)).otherwise(0)).cast("long")
+def single_blanks(text: Column) -> Column:
+    """The words of a text in any case, with one blank between them."""
+    return F.trim(F.regexp_replace(text, F.lit(_BETWEEN_WORDS), F.lit(" ")))
+
+
+def word_count(spaced: Column) -> Column:
+    """Number of words of a text with single blanks."""
+    blanks = F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit("")))
+    return F.when(spaced == "", 0).otherwise(blanks + 1).cast("long")
 
 
 def _whole(pattern: str) -> str:
@@ -83,17 +87,17 @@ def detections(text: Column, rules: list[tuple[int, str, str, str]]) -> Column:
     return F.aggregate(ordered, start, step, lambda acc: acc["kept"])
 
 
-def scan(docs: DataFrame, rules: list[tuple[int, str, str, str]] | None = None) -> DataFrame:
+def scan(docs: DataFrame, rules: list[tuple[int, str, str, str]] | None = None, gates: tuple[str, ...] = GATES) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score: one row per row."""
     rules = all_rules() if rules is None else rules
-    text = F.coalesce(F.col("text"), F.lit(""))
-    lowered = F.concat(F.lit(" "), F.lower(text))  # keeps every ASCII match; only opens the gate
+    spaced = docs.select("doc_id", single_blanks(F.coalesce(F.col("text"), F.lit(""))).alias("spaced"))
+    # lower() keeps every ASCII match, so it can open the gate; the rules read exactly the ASCII letters in lower case
+    opened = spaced.select("doc_id", "spaced", F.concat(F.lit(" "), F.lower("spaced"), F.lit(" ")).alias("lowered"))
     gate = F.lit(False)
-    for keyword in GATES:
-        gate = gate | F.contains(lowered, F.lit(keyword))
-    exact = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
-    normal = F.concat(F.lit(" "), F.array_join(F.regexp_extract_all(exact, F.lit(f"({_WORD})"), F.lit(1)), " "), F.lit(" "))
-    rows = docs.select("doc_id", word_count(text).alias("n_words"), F.when(gate, normal).alias("normal"))
+    for words in gates:
+        gate = gate | F.contains(F.col("lowered"), F.lit(words))
+    normal = F.concat(F.lit(" "), F.translate(F.col("spaced"), string.ascii_uppercase, string.ascii_lowercase), F.lit(" "))
+    rows = opened.select("doc_id", word_count(F.col("spaced")).alias("n_words"), F.when(gate, normal).alias("normal"))
 
     def measured(t: Column) -> Column:
         counts = [F.regexp_count(t, F.lit(_whole(p))).cast("long") for p, _ in BASE]

@@ -87,6 +87,46 @@ def test_license_rules_hold_their_keywords():
         assert 0 <= level < len(license_rules.CONFIDENCE) and label == label.lower()
 
 
+def samples(pattern):
+    """Strings that a rule's pattern matches: every alternative, optional parts left out and taken, one choice per repeated or wild character."""
+    def of(node):
+        op, arg = str(node[0]), node[1]
+        if op == "LITERAL":
+            return [chr(arg)]
+        if op in ("ANY", "NOT_LITERAL"):
+            return ["x"]
+        if op == "IN":
+            return [chr(a) for o, a in arg if str(o) == "LITERAL"] or ["w"]
+        if op == "SUBPATTERN":
+            return sequence(arg[3])
+        if op == "BRANCH":
+            return [t for branch in arg[1] for t in sequence(branch)]
+        assert op in ("MAX_REPEAT", "MIN_REPEAT"), op
+        low, high, inner = arg
+        return [t * n for n in sorted({low, min(int(high), low + 1)}) for t in sequence(inner)]
+
+    def sequence(nodes):
+        out = [""]
+        for node in nodes:
+            out = [a + b for a in out for b in of(node)]
+        return out
+
+    found = [" ".join(t.split()) for t in sequence(re._parser.parse(pattern))]
+    return [t for t in found if re.fullmatch(pattern, t)]
+
+
+def test_license_labels_do_not_depend_on_what_separates_the_words(make_docs):
+    texts = [t for *_, p in license_rules.all_rules() for t in (min(samples(p), key=len), max(samples(p), key=len))]
+    rows = [(i, f"x{gap}" + t.replace(" ", gap) + f"{gap}y") for i, t in enumerate(texts) for gap in ("\n", "\t", "-", '"', " / ")]
+    opened = {r.doc_id: r for r in licenses.scan(make_docs([(i, f"x {t} y") for i, t in enumerate(texts)]), gates=("",)).collect()}
+    wrong = [(texts[r.doc_id], r.labels) for r in licenses.scan(make_docs(rows)).collect()
+             if (r.labels, r.score) != (opened[r.doc_id].labels, opened[r.doc_id].score)]
+    assert wrong == []
+    cases = {"released into the public\ndomain": "public-domain", "Creative\nCommons Attribution 4.0": "cc-by-4.0", "CC\tBY 4.0": "cc-by-4.0",
+             "all rights\nreserved": "proprietary", "without\nwarranty of any kind": "warranty-disclaimer", "see\n'MPL-2.0'": "mpl-2.0", 'provided "as is"': "warranty-disclaimer"}
+    assert {r.doc_id: r.labels for r in licenses.scan(make_docs(list(enumerate(cases)))).collect()} == dict(enumerate(cases.values()))
+
+
 PAGES = "page_id long, url string, html string, host string"
 
 
