@@ -136,7 +136,8 @@ NAMED = (
     (1, "odbl-1.0", "open database", rf"open database {_L}(?: {_V}1(?: 0)?)?"),
     (1, "odc-by-1.0", "open data commons", rf"open data commons attribution {_L}"),
     (1, "pddl-1.0", "public domain dedication", rf"public domain dedication and {_L}"),
-    (1, "psf-2.0", "python", rf"(?:python software foundation|psf) {_L}(?: {_V}2)?"),
+    (1, "psf-2.0", "python", rf"python software foundation {_L}(?: {_V}2)?"),
+    (1, "psf-2.0", "psf", rf"psf {_L}(?: {_V}2)?"),
     (1, "php-3.01", "php", rf"php {_L}(?: {_V}3 01)?"),
     (1, "ruby", "ruby", rf"ruby(?: s)? {_L}"),
     (1, "postgresql", "postgresql", rf"postgresql {_L}"),
@@ -160,14 +161,15 @@ NAMED = (
     (1, "cc0-1.0", "creative commons", r"creative commons zero"),
     (2, "cc", "creative commons", rf"creative commons(?: {_L})?"),
     (2, "public-domain", "public domain", r"(?:released |placed |dedicated |in )?(?:in )?(?:to |into )?the public domain"),
-    (3, "proprietary", "rights reserved", r"all rights (?:are )?reserved"),
+    (3, "proprietary", "rights reserved", r"all rights reserved"),
+    (3, "proprietary", "rights are reserved", r"all rights are reserved"),
     (3, "proprietary", "proprietary", r"proprietary and confidential"),
     (3, "proprietary", "commercial", rf"commercial {_L} (?:agreement|required)"),
     (3, "copyleft-statement", "share", r"share alike"),
     (3, "license-statement", "licensed under", r"licensed under (?:the )?(?:terms of )?"r"(?:the )?\w+"),
     (3, "license-statement", "released under", r"released under (?:the )?(?:terms of )?(?:the )?\w+"),
     (3, "license-statement", "distributed under", r"distributed under (?:the )?(?:terms of )?(?:the )?\w+"),
-    (3, "license-statement", "see the license", r"see the licen[sc]e (?:file )?for (?:more |the |further )?(?:details|specific language)"),
+    (3, "license-statement", "see the licen", r"see the licen[sc]e (?:file )?for (?:more |the |further )?(?:details|specific language)"),
     (3, "warranty-disclaimer", "without warranty", r"without warranty of any kind"),
     (3, "warranty-disclaimer", "provided", r"provided (?:by .{1,60}? )?as is"),
 )
@@ -181,7 +183,7 @@ CC_VARIANTS = (
 CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 
 # strings of which a normalised text must hold one to be scanned by rule (the base phrases all hold "licen")
-GATES = ("licen", "copyright", "gpl", "gfdl", "public domain", "spdx", "creative commons", " cc by", "cc0", "rights reserved", "wtfpl",
+GATES = ("licen", "copyright", "gpl", "gfdl", "public domain", "spdx", "creative commons", " cc by", "cc0", "rights reserved", "rights are reserved", "wtfpl",
          "cecill", "redistribution and use", "without warranty", "permission is hereby", "permission to use", "proprietary and", "provided as", "provided by",
          "beerware", "beer ware", "bsd", "apache", " mpl", "advertising materials", "neither the name",
          "x consortium", "distributed under", "released under", "share alike", "unencumbered")

@@ -115,6 +115,18 @@ def samples(pattern):
     return [t for t in found if re.fullmatch(pattern, t)]
 
 
+def test_every_alternative_of_a_license_rule_holds_its_keyword_and_opens_the_gate(make_docs):
+    for level, label, keyword, pattern in license_rules.all_rules():
+        texts = samples(pattern)
+        assert texts
+        for t in texts:
+            assert f" {keyword}" in f" {t} ", (label, keyword, t)
+            assert any(g in f" {t} " for g in license_rules.GATES), (label, t)
+    cases = {"PSF License Version 2": "psf-2.0", "All rights are reserved.": "proprietary",
+             "See the licence for details": "license-statement"}
+    assert {r.doc_id: r.labels for r in licenses.scan(make_docs(list(enumerate(cases)))).collect()} == dict(enumerate(cases.values()))
+
+
 def test_license_labels_do_not_depend_on_what_separates_the_words(make_docs):
     texts = [t for *_, p in license_rules.all_rules() for t in (min(samples(p), key=len), max(samples(p), key=len))]
     rows = [(i, f"x{gap}" + t.replace(" ", gap) + f"{gap}y") for i, t in enumerate(texts) for gap in ("\n", "\t", "-", '"', " / ")]
