@@ -7,8 +7,10 @@ mean is at least ``threshold``: the decision is deterministic.
 
 DataFrame functions only.  Both multinomials have a fixed number of buckets: the counts are
 map-side sums over every n-gram of every document (a hot word is one row per task and bucket),
-and the weights are one array of ``buckets`` doubles, read as a scalar subquery.  The rules
-themselves are per-row expressions without any shuffle.
+and the weights are one array of ``buckets`` doubles, read as a scalar subquery.  Up to
+``BROADCAST_IDS`` trusted ids (counted) are broadcast and no document moves; beyond, each document's
+buckets (two bytes an n-gram, no text) meet the ids in an ordinary join.  Results are the same.
+The rules themselves are per-row expressions without any shuffle.
 
 Defined results: NULL text counts as no words (base fails); a document without n-grams has ratio
 0; without trusted documents every ratio is 0; repeated rows are judged alike, each counts in
@@ -20,9 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abtforge.llm.samples import labelled_sample
+from abtforge.llm.store import written
 
-TRUSTED = 20_000
+BROADCAST_IDS = 1_000_000
 BUCKETS = 1 << 13
 THRESHOLD = -0.1
 SMOOTHING = 1.0
@@ -72,10 +74,23 @@ def repeated_words(words: Column, hashes: Column, window: int = WINDOW) -> Colum
         F.when(any_twice, covered(words)).otherwise(F.lit(0).cast("long")))
 
 
-def corpus_weights(hashed: DataFrame, buckets: int, smoothing: float) -> DataFrame:
-    """One row, ``weights``: log(p_target / p_raw) per bucket, from (hashes, trusted) rows."""
-    grams = hashed.select(F.explode(hashed_grams(F.col("hashes"), buckets)).alias("bucket"), F.col("trusted").cast("long").alias("t"))
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target"))
+def gram_counts(docs: DataFrame, ids: DataFrame, buckets: int, broadcast: bool) -> DataFrame:
+    """(bucket, raw, target): n-grams of all documents and of those in ``ids`` (distinct ``_id``)."""
+    grams = hashed_grams(F.transform(word_array(F.col("text")), lambda w: F.xxhash64(w)), buckets)
+    if broadcast:
+        marked = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left")
+        each = marked.select(F.explode(grams).alias("bucket"), F.col("_id").isNotNull().cast("long").alias("t"))
+        return each.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target"))
+    kind = "array<smallint>" if buckets <= 1 << 15 else "array<int>"
+    raw = docs.select(F.explode(grams).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"))
+    compact = docs.where("doc_id IS NOT NULL").select("doc_id", grams.cast(kind).alias("grams"))
+    target = (compact.join(ids, F.col("doc_id") == F.col("_id")).select(F.explode(F.col("grams").cast("array<int>")).alias("bucket"))
+              .groupBy("bucket").agg(F.count(F.lit(1)).alias("target")))
+    return raw.join(target, "bucket", "left").fillna(0, ["target"])
+
+
+def corpus_weights(counts: DataFrame, buckets: int, smoothing: float) -> DataFrame:
+    """One row, ``weights``: log(p_target / p_raw) per bucket, from (bucket, raw, target) rows."""
     sums = counts.agg(F.collect_list(F.struct("bucket", "raw", "target")).alias("rows"), F.sum("raw").alias("n_raw"), F.sum("target").alias("n_target"))
     by_bucket = F.map_from_entries(F.transform("rows", lambda x: F.struct(x["bucket"], x)))
     target = lambda x: (F.coalesce(x["target"], F.lit(0)) + smoothing) / (F.col("n_target") + smoothing * buckets)
@@ -85,20 +100,16 @@ def corpus_weights(hashed: DataFrame, buckets: int, smoothing: float) -> DataFra
     return sums.withColumn("_m", by_bucket).select(F.when(F.col("n_target") > 0, each).otherwise(flat).alias("weights"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, buckets: int = BUCKETS, threshold: float = THRESHOLD,
-          smoothing: float = SMOOTHING) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD,
+          smoothing: float = SMOOTHING, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, ratio, kept.
 
-    The trusted target is fitted on at most ``trusted`` documents labelled good (the smallest id
-    hashes); the raw corpus is all of ``docs``.  One row per row of ``docs``.
+    The trusted target is all documents labelled good; the raw corpus is all of ``docs``.  One row
+    per row of ``docs``.
     """
     base = docs.select("doc_id", F.col("text").alias("text"))
-    good = labelled_sample(docs, labels.where("quality = 1"), "quality", F.lit(False), trusted)
-    ids = good.select(F.col("doc_id").alias("_id"), F.lit(True).alias("_t"))
-    # at most ``trusted`` ids: bounded, so the texts need no shuffle for the join
-    hashed = (base.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left")
-              .select(F.coalesce("_t", F.lit(False)).alias("trusted"), F.transform(word_array(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes")))
-    weights = corpus_weights(hashed, buckets, smoothing)
+    ids = written(labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct(), "trusted")
+    weights = corpus_weights(gram_counts(base, ids, buckets, ids.count() <= broadcast_ids), buckets, smoothing)
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     body = base.select("doc_id", word_array(F.col("text")).alias("words"), weights.scalar().alias("weights"),

@@ -43,6 +43,20 @@ def test_without_labels_or_rows(make_docs, make_labels):
     assert quality_rules.judge(make_docs([]), make_labels([])).collect() == []
 
 
+def test_every_trusted_document_counts(spark, make_labels):
+    docs = spark.range(20_500).selectExpr("id AS doc_id", "concat('a', id % 97, ' b', id % 89) AS text")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    assert {r.ratio for r in quality_rules.judge(docs, labels).select("ratio").distinct().collect()} == {0.0}  # target and corpus are the same
+
+
+def test_trusted_ids_broadcast_or_joined(make_docs, make_labels):
+    docs = make_docs([r for r in AWKWARD if r[0] != 6] + [(20 + i, sentence(i % 9, 30)) for i in range(40)] + [(20, sentence(77, 40)), (None, sentence(78, 25))])
+    labels = make_labels([(i, int(i % 3 == 0), 0) for i in range(60)] + [(21, 1, 0), (21, 1, 0), (4, 1, 0), (None, 1, 0), (999, 1, 0)])
+    rows = [sorted(map(str, quality_rules.judge(docs, labels, broadcast_ids=n).collect())) for n in (1000, 0)]
+    assert rows[0] == rows[1] and len(rows[0]) == docs.count()
+    assert len({r.ratio for r in quality_rules.judge(docs, labels).collect()}) > 5
+
+
 def base_licenses(t):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
