@@ -12,7 +12,7 @@ and the weights are one array of ``buckets`` doubles, read as a scalar subquery.
 buckets (two bytes an n-gram, no text) meet the ids in an ordinary join.  Results are the same.
 The rules themselves are per-row expressions without any shuffle.
 
-Defined results: NULL text counts as no words (base fails); a document without n-grams has ratio
+Defined results: NULL text counts as no words (base fails); very long texts are linear work; a document without n-grams has ratio
 0; without trusted documents every ratio is 0; repeated rows are judged alike, each counts in
 the raw multinomial; any further columns are carried by the caller through ``doc_id``.
 """
@@ -76,7 +76,8 @@ def repeated_words(words: Column, hashes: Column, window: int = WINDOW) -> Colum
 
 def gram_counts(docs: DataFrame, ids: DataFrame, buckets: int, broadcast: bool) -> DataFrame:
     """(bucket, raw, target): n-grams of all documents and of those in ``ids`` (distinct ``_id``)."""
-    grams = hashed_grams(F.transform(word_array(F.col("text")), lambda w: F.xxhash64(w)), buckets)
+    # the hashes are bound: as a plain expression they would be computed anew for every bigram
+    grams = let(F.transform(word_array(F.col("text")), lambda w: F.xxhash64(w)), lambda h: hashed_grams(h, buckets))
     if broadcast:
         marked = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left")
         each = marked.select(F.explode(grams).alias("bucket"), F.col("_id").isNotNull().cast("long").alias("t"))

@@ -1,5 +1,9 @@
 import collections
+import math
 import re
+import struct
+
+import xxhash
 
 from abtforge.llm import license_rules, licenses, quality_rules, url_filter
 from conftest_llm import AWKWARD, make_docs, make_labels, sentence  # noqa: F401
@@ -17,7 +21,7 @@ def base_counts(t):
 
 def test_quality_rules_match_brute_force(make_docs, make_labels):
     eight = "one two three four five six seven eight"
-    rows = [r for r in AWKWARD if r[0] != 6] + [(20, eight + " " + eight), (21, eight + " x " + eight + " " + eight), (22, "la " * 40), (23, "la " * 8),
+    rows = AWKWARD + [(20, eight + " " + eight), (21, eight + " x " + eight + " " + eight), (22, "la " * 40), (23, "la " * 8),
             (24, "a b\na b\n\n\nc\nc \nc"), (25, "# $ | <b> 50%"), (26, sentence(3, 200)), (27, sentence(4, 19)), (28, sentence(5, 3000))]
     docs = make_docs(rows).withColumnRenamed("lang", "n_words").withColumnRenamed("source", "bucket")
     got = quality_rules.judge(docs, make_labels([(26, 1, 0), (28, 1, 0), (26, 1, 0), (None, 1, 0), (27, None, 0), (22, 0, 0)])).collect()
@@ -37,6 +41,35 @@ def test_ratio_prefers_the_trusted_language(make_docs, make_labels):
     assert not any(got[100 + i].kept for i in range(20)) and sum(got[i].base_failed for i in range(40)) == sum(not got[i].kept for i in range(40))
 
 
+def plain_ratios(rows, good, buckets, smoothing):
+    """The ratio of every row, in plain Python: (doc_id, ratio) pairs."""
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+
+    def grams(t):
+        h = [signed(xxhash.xxh64_intdigest(w.encode(), seed=42)) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")]
+        two = [signed(xxhash.xxh64_intdigest(struct.pack("<q", a), seed=xxhash.xxh64_intdigest(struct.pack("<q", b), seed=42))) for a, b in zip(h, h[1:])]
+        return [v % buckets for v in h + two]
+
+    raw, target = collections.Counter(), collections.Counter()
+    for i, t in rows:
+        raw.update(grams(t))
+        target.update(grams(t) if i in good else [])
+    weight = [math.log((target[b] + smoothing) / (target.total() + smoothing * buckets) / ((raw[b] + smoothing) / (raw.total() + smoothing * buckets)))
+              for b in range(buckets)]
+    return [(i, sum(weight[b] for b in g) / max(len(g), 1)) for i, t in rows for g in [grams(t)]]
+
+
+def test_ratio_and_verdict_match_plain_python(make_docs, make_labels):
+    rows = AWKWARD + [(20 + i, sentence(i % 11, 30) + " tail " * (i % 3)) for i in range(60)] + [(20, sentence(77, 40)), (None, sentence(78, 25))]
+    good = {20 + i for i in range(0, 60, 3)} | {6}
+    for ids in (1000, 0):
+        got = quality_rules.judge(make_docs(rows), make_labels([(i, 1, 0) for i in good] + [(21, 0, 0)]), buckets=512, broadcast_ids=ids).collect()
+        want = sorted(plain_ratios(rows, good, 512, quality_rules.SMOOTHING), key=str)
+        seen = sorted(((r.doc_id, r.ratio) for r in got), key=str)
+        assert collections.Counter((str(i), round(v, 6)) for i, v in seen) == collections.Counter((str(i), round(v, 6)) for i, v in want)
+        assert all(r.kept == (not r.base_failed and r.ratio >= quality_rules.THRESHOLD) for r in got) and len({r.kept for r in got}) == 2
+
+
 def test_without_labels_or_rows(make_docs, make_labels):
     rows = quality_rules.judge(make_docs([(1, sentence(1, 50))]), make_labels([])).collect()
     assert [(r.ratio, r.kept) for r in rows] == [(0.0, True)]
@@ -50,7 +83,7 @@ def test_every_trusted_document_counts(spark, make_labels):
 
 
 def test_trusted_ids_broadcast_or_joined(make_docs, make_labels):
-    docs = make_docs([r for r in AWKWARD if r[0] != 6] + [(20 + i, sentence(i % 9, 30)) for i in range(40)] + [(20, sentence(77, 40)), (None, sentence(78, 25))])
+    docs = make_docs(AWKWARD + [(20 + i, sentence(i % 9, 30)) for i in range(40)] + [(20, sentence(77, 40)), (None, sentence(78, 25))])
     labels = make_labels([(i, int(i % 3 == 0), 0) for i in range(60)] + [(21, 1, 0), (21, 1, 0), (4, 1, 0), (None, 1, 0), (999, 1, 0)])
     rows = [sorted(map(str, quality_rules.judge(docs, labels, broadcast_ids=n).collect())) for n in (1000, 0)]
     assert rows[0] == rows[1] and len(rows[0]) == docs.count()
