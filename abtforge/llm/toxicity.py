@@ -1,23 +1,28 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features are the distinct hashed words, word pairs and pairs that skip one word of a text
-(``BUCKETS`` of them).  FTRL keeps two sums per coordinate: its own learning rate and an L1
-threshold below which the weight is exactly zero, so the trained weights are few and are broadcast
-as a sparse list of at most ``BUCKETS`` entries.
-
-Training is iterated parameter mixing: a bounded labelled sample is dealt to ``SHARDS`` tasks, each
-runs FTRL over its rows from the shared state, and the states are averaged; ``ROUNDS`` rounds.
-States have fixed size, whatever the corpus, and stay on the executors.  Scoring is one pass over the texts, no shuffle.
+Features are the distinct hashed words, word pairs and pairs that skip one word of a text, and the
+same over word stems (the first ``STEMS`` bytes of longer words): single stems, and a stem with its
+2nd to 4th occurrence in the text, a skip-gram of any gap.  There are ``BUCKETS`` of them.  FTRL
+keeps two sums per coordinate: its own learning rate and an L1 threshold below which the weight is
+exactly zero, so the trained weights are few and are broadcast as a sparse list of at most
+``BUCKETS`` entries.
+
+Training runs ``ROUNDS`` passes in a hashed order over a bounded labelled sample, in one task of the
+cluster: at most ``SAMPLE`` rows, those with the smallest id hashes, and of these in that order as
+many as hold ``FEATURES`` features together (256 MB), so neither the corpus nor the length of its
+texts changes the memory.  The state never leaves that task; it returns the non-zero weights.
+Scoring is one pass over the texts, no shuffle.
 
 Defined results: NULL and empty texts score as the bias alone; without labelled rows every score
-is 0.5; NULL ids are scored, and are not held out; repeated rows score alike.
+is 0.5; NULL ids are scored, and are not held out; repeated rows score alike; very long texts are
+scored whole, in linear work, and are left out of the sample only beyond ``FEATURES``.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from abtforge.llm.samples import fold, labelled_sample
@@ -26,27 +31,46 @@ from abtforge.llm.textarrays import ALNUM, Block, blocks, lower_ascii, mix, pref
 
 BUCKETS = 1 << 22
 SAMPLE = 16384
-SHARDS = 2
+FEATURES = 1 << 26
+STEMS = (6, 7, 8)
 ROUNDS = 5
 ALPHA, BETA, L1, L2 = 1.5, 1.0, 6.0, 0.1
 TOXIC_WEIGHT = 1.5
-CHUNKS = 64
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 
 
+def occurrences(row: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """How often each hash stands in its row, counted along the array (from 0)."""
+    order = np.lexsort((h, row))
+    first = np.ones(len(h), bool)
+    first[1:] = (np.diff(row[order]) != 0) | (h[order][1:] != h[order][:-1])
+    at = np.arange(len(h))
+    out = np.empty(len(h), np.int64)
+    out[order] = at - np.maximum.accumulate(np.where(first, at, 0))
+    return out
+
+
 def block_features(block: Block, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """(row, bucket) of every word, word pair and skip pair of a block, repeats included."""
+    """(row, bucket) of every word, word pair, skip pair and stem of a block, repeats included."""
     data = lower_ascii(block.data)
     start, end, row = words(data, block.offsets, ALNUM)
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    h = span_hash(prefix_hash(data), start, end)
+    prefix = prefix_hash(data)
+    h = span_hash(prefix, start, end)
     rows, grams = [row], [h]
     for step, salt in ((1, 0xA0761D6478BD642F), (2, 0xE7037ED1A0B428DB)):
         same = row[step:] == row[:-step]
         rows.append(row[step:][same])
         grams.append(mix(h[:-step][same] * np.uint64(salt) + h[step:][same]))
+    for size in STEMS:
+        longer = end - start > size
+        stem = span_hash(prefix, start[longer], start[longer] + size)
+        nth = occurrences(row[longer], stem)
+        early = nth < 4
+        rows.append(row[longer][early])
+        grams.append(mix(stem[early] + np.uint64(0x8EBC6AF09C88C6E3) * (nth[early] + 1).astype(np.uint64)))
     return np.concatenate(rows), (np.concatenate(grams) % np.uint64(buckets)).astype(np.int64)
 
 
@@ -72,55 +96,29 @@ class Ftrl:
         self.n[at] += gradient ** 2
 
 
-_STATE = "chunk int, z binary, n binary"
+def _learn(rounds: int, buckets: int):
+    """Grouped body: FTRL over the sample, ``rounds`` times in a hashed order; the non-zero weights."""
 
-
-def _learn_shard(turn: int, buckets: int):
-    """Cogrouped body: FTRL over one shard's rows, in a hashed order, from the shared state."""
-
-    def run(rows: pa.Table, state: pa.Table) -> pa.Table:
-        size = buckets + 1
-        parts = sorted(zip(*(state[c].to_pylist() for c in ("chunk", "z", "n"))))
-        join = lambda i: np.frombuffer(b"".join(p[i] for p in parts), np.float32).copy() if parts else np.zeros(size, np.float32)
-        own = Ftrl(join(1), join(2))
+    def run(rows: pa.Table) -> pa.Table:
+        model = Ftrl(np.zeros(buckets + 1), np.zeros(buckets + 1))
         ids, ys, xs = rows["doc_id"].to_numpy(), rows["y"].to_numpy(), rows["x"].combine_chunks()
-        mixed = mix(ids.astype(np.int64).view(np.uint64) + np.uint64(turn + 1))
-        for i in np.lexsort((ids, mixed)):
-            own.learn(xs[int(i)].values.to_numpy().astype(np.int64), float(ys[i]))
-        cut = lambda v: pa.array([c.tobytes() for c in np.array_split(v, CHUNKS)], pa.binary())
-        return pa.table({"chunk": pa.array(range(CHUNKS), pa.int32()), "z": cut(own.z), "n": cut(own.n)})
-
-    return run
-
-
-def _mean_state(parts: pa.Table) -> pa.Table:
-    """The shards' states of one chunk, averaged."""
-    mean = lambda c: sum(np.frombuffer(x, np.float32) for x in sorted(parts[c].to_pylist())) / np.float32(len(parts))
-    return pa.table({"chunk": parts["chunk"][:1].combine_chunks(), "z": pa.array([mean("z").tobytes()], pa.binary()), "n": pa.array([mean("n").tobytes()], pa.binary())})
-
-
-def _chunk_weights(buckets: int):
-    """mapInArrow body: the non-zero weights of state chunks."""
-
-    def run(batches):
-        first = np.r_[0, np.cumsum([len(c) for c in np.array_split(np.zeros(buckets + 1, bool), CHUNKS)])]
-        for batch in batches:
-            for chunk, z, n in zip(*(batch[c].to_pylist() for c in ("chunk", "z", "n"))):
-                z, n = np.frombuffer(z, np.float32), np.frombuffer(n, np.float32)
-                at = first[chunk] + np.arange(len(z))
-                w = ftrl_weights(z.astype(float), n.astype(float), np.where(at == buckets, 0.0, L1))
-                hit = np.flatnonzero(w)
-                yield pa.RecordBatch.from_arrays([pa.array(at[hit]), pa.array(w[hit])], ["bucket", "weight"])
+        for turn in range(rounds):
+            mixed = mix(ids.astype(np.int64).view(np.uint64) + np.uint64(turn + 1))
+            for i in np.lexsort((ids, mixed)):
+                model.learn(xs[int(i)].values.to_numpy().astype(np.int64), float(ys[i]))
+        l1 = np.where(np.arange(buckets + 1) == buckets, 0.0, L1)
+        w = ftrl_weights(model.z, model.n, l1)
+        hit = np.flatnonzero(w)
+        return pa.table({"bucket": hit, "weight": w[hit]})
 
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, shards: int = SHARDS, rounds: int = ROUNDS,
-          folds: int = FOLDS, held_out: int = HELD_OUT, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, float]:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS, folds: int = FOLDS,
+          held_out: int = HELD_OUT, buckets: int = BUCKETS, features_limit: int = FEATURES) -> tuple[np.ndarray, np.ndarray, float]:
     """(buckets with weight in order, their weights, bias) from at most ``sample`` labelled rows.
 
-    The state stays on the executors, as a written table of ``CHUNKS`` chunks; only the non-zero
-    weights come to the driver.
+    Only the non-zero weights come to the driver: at most one per bucket.
     """
     chosen = labelled_sample(docs, labels, "toxic", fold(F.col("doc_id"), folds) == held_out, sample)
 
@@ -137,13 +135,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, shards: int
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
             .select("doc_id", "y", features(F.col("text")).alias("x"))
             .groupBy("doc_id").agg(F.max("y").alias("y"), F.max("x").alias("x")))
-    rows = written(rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(shards)).cast("int")), "toxicity")
-    state = docs.sparkSession.createDataFrame([], _STATE)
-    for turn in range(rounds):
-        copies = state.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "chunk", "z", "n")
-        learned = rows.groupBy("shard").cogroup(copies.groupBy("shard")).applyInArrow(_learn_shard(turn, buckets), _STATE)
-        state = written(learned.groupBy("chunk").applyInArrow(_mean_state, _STATE), "toxicity-state")
-    found = state.mapInArrow(_chunk_weights(buckets), "bucket long, weight double").orderBy("bucket").collect()
+    rows = written(rows, "toxicity")
+    # the ids are at most ``sample`` rows, so one window task can add up their features
+    so_far = F.sum(F.size("x").cast("long")).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    fit = rows.select("doc_id", so_far.alias("upto")).where(F.col("upto") <= features_limit).select("doc_id")
+    learned = rows.join(F.broadcast(fit), "doc_id", "left_semi").withColumn("sample", F.lit(0)).groupBy("sample").applyInArrow(_learn(rounds, buckets), "bucket long, weight double")
+    found = learned.orderBy("bucket").collect()
     at, weights = np.array([r["bucket"] for r in found], np.int64), np.array([r["weight"] for r in found])
     inner = at < buckets
     return at[inner], weights[inner], float(weights[~inner].sum())

@@ -1,10 +1,12 @@
+import collections
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 
 from abtforge.llm import quality, toxicity
-from abtforge.llm.textarrays import ALNUM, SPACE, blocks, prefix_hash, span_hash, words
+from abtforge.llm.textarrays import ALNUM, SPACE, blocks, mix, prefix_hash, span_hash, words
 from conftest_llm import AWKWARD, make_docs, make_labels, sentence  # noqa: F401
 
 
@@ -85,6 +87,56 @@ def test_ftrl_follows_its_definition():
     assert np.allclose(model.z, z) and np.allclose(model.n, n)
 
 
+def plain_features(text, buckets):
+    """Bucket set of one text, with the module's hashes but plain loops."""
+    data = bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode())
+    h = lambda b: span_hash(prefix_hash(np.frombuffer(b, np.uint8)), np.array([0]), np.array([len(b)]))
+    found = re.findall(rb"[0-9A-Za-z\x80-\xff]+", data)
+    one = [h(w) for w in found]
+    out = [int(x[0]) for x in one]
+    for step, salt in ((1, 0xA0761D6478BD642F), (2, 0xE7037ED1A0B428DB)):
+        out += [int(mix(a * np.uint64(salt) + b)[0]) for a, b in zip(one, one[step:])]
+    for size in toxicity.STEMS:
+        often = collections.Counter(w[:size] for w in found if len(w) > size)
+        out += [int(mix(h(stem) + np.array([0x8EBC6AF09C88C6E3], np.uint64) * np.uint64(n + 1))[0]) for stem, k in often.items() for n in range(min(k, 4))]
+    return {x % buckets for x in out}
+
+
+def test_toxicity_scores_match_plain_training(make_docs, make_labels):
+    """The whole way, features to scores, against plain Python over the same sample."""
+    buckets, rounds = 1 << 16, 2
+    rows = [(i, sentence(i % 40, 12) + (" zorgface grublings" if i % 4 == 0 else "") + " Same-stem01 samestem02 SAMESTEM03") for i in range(10, 130)]
+    y = {i: int(i % 4 == 0) for i, _ in rows}
+    train = sorted(i for i in y if zlib.crc32(str(i).encode()) % 3 != 1)
+    xs = {i: plain_features(t, buckets) for i, t in rows}
+    z, n = collections.Counter(), collections.Counter()
+
+    def weight(i):
+        l1 = 0 if i == buckets else toxicity.L1
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - np.sign(z[i]) * l1) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for turn in range(rounds):
+        for i in sorted(train, key=lambda i: (int(mix(np.array([i], np.uint64) + np.uint64(turn + 1))[0]), i)):
+            at = [*xs[i], buckets]
+            w = {k: weight(k) for k in at}
+            p = 1 / (1 + np.exp(-sum(w.values())))
+            g = (p - y[i]) * (toxicity.TOXIC_WEIGHT if y[i] else 1)
+            for k in at:
+                s = ((n[k] + g * g) ** 0.5 - n[k] ** 0.5) / toxicity.ALPHA
+                z[k] += g - s * w[k]
+                n[k] += g * g
+    model = toxicity.train(make_docs(rows), make_labels([(i, 1, v) for i, v in y.items()]), rounds=rounds, buckets=buckets)
+    want = {k: weight(k) for k in z if k < buckets and weight(k)}
+    assert dict(zip(model[0].tolist(), np.round(model[1], 9))) == {k: round(v, 9) for k, v in sorted(want.items())} and want
+    assert abs(model[2] - weight(buckets)) < 1e-9
+    got = toxicity.with_toxicity(make_docs(rows + AWKWARD), model, buckets=buckets).collect()
+    for r in got:
+        total = weight(buckets) + sum(want.get(k, 0.0) for k in plain_features(r.text, buckets))
+        assert abs(r.score - 1 / (1 + np.exp(-np.clip(total, -35, 35)))) < 2e-6
+    few = toxicity.train(make_docs(rows), make_labels([(i, 1, v) for i, v in y.items()]), rounds=1, buckets=buckets, features_limit=100)
+    assert len(few[0]) <= len(want)
+
+
 def test_text_blocks_and_words():
     texts = ["one two", None, "", " three\n", "a", "b" * 50]
     seen, keys = [], {}
