@@ -185,6 +185,13 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 OP11_SQL = _op11_sql()
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from abtforge.llm.html_text import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and checked proof of every document."""
     from abtforge.llm.merkle import manifest_report
@@ -265,6 +272,7 @@ _ALL: dict[str, tuple[Query, str | None]] = {
     "op9_license_scan": (op9_license_scan, None),
     "op10_quality_rules": (op10_quality_rules, None),
     "op11_vector_codes": (op11_vector_codes, OP11_SQL),
+    "op12_html_extraction": (op12_html_extraction, None),
     "op13_merkle_manifest": (op13_merkle_manifest, OP13_SQL),
     "pipeline": (pipeline, None),
 }
