@@ -22,7 +22,7 @@ labels (counted), else by an ordinary join that AQE splits where a label holds m
 Defined results: a vector that is NULL or holds a NULL or non-finite component is dropped.  A NULL id
 comes after all others, rows of equal id go by vector; fewer than ``entries`` rows make smaller
 codebooks.  The first of these rows sets the length: a vector of another length stays, with NULL
-code and error, and takes no part; a length that ``parts`` does not divide gives the first parts one
+code and error, and takes no part (a label of such rows only has a NULL sum); a length that ``parts`` does not divide gives the first parts one
 component more.  Components beyond ``SMALL`` are compared without elimination, as unbounded
 integers; errors beyond 64 bits are clipped to them.  Repeated rows count and are coded each; further
 columns are ignored; an empty table gives no rows.
@@ -254,7 +254,8 @@ def compress_report(embeddings: DataFrame, parts: int = PARTS, entries: int = EN
     books = fit_codebooks(vectors.select("vec_id", "vector"), parts, entries, rounds, scale)
     coded = vectors.select("vec_id", "label", F.lit(None).cast("string").alias("code"), F.lit(None).cast("long").alias("error")) \
         if books is None else written(encode(vectors, books, scale), "codes")
-    total = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(_LONG).cast("decimal(38,0)")).cast("long")
+    exact = F.sum(F.col("error").cast("decimal(38,0)"))
+    total = F.when(exact.isNotNull(), F.least(exact, F.lit(_LONG).cast("decimal(38,0)")).cast("long"))
     labels = coded.groupBy(F.col("label").alias("_label")).agg(total.alias("label_error"))
     if books is not None:
         labels = written(labels, "code-labels")
