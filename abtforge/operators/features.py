@@ -3,16 +3,20 @@
 Trailing-window features are computed per (key, day): events are first pre-aggregated to
 one row per key and day (partial aggregation, so a key with a third of all events still
 becomes at most one row per day), then range windows over the day number give the trailing
-sums.  A window partition is one key's days, never its raw events.
+sums.  The days of a key are cut into blocks as long as the longest window; a block's task sees
+its own days and those of the block before, so no task holds a key's whole history.  Month windows,
+as-of values and arrears are in ``snapshots``.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from abtforge.operators.snapshots import distinct_in_window
+
 
 def create_features(df: DataFrame, amount: str | None = "monto_app", total: str | None = "monto_total",
                     arrears: str | None = "dias_mora", arrears_threshold: int = 30) -> DataFrame:
@@ -26,16 +30,14 @@ def create_features(df: DataFrame, amount: str | None = "monto_app", total: str
     return df.select(*cols)
 
 
-def daily_activity(events: DataFrame, key: str, ts: str, value: str, kind: str,
-                   digital_kinds: Sequence[str] = ()) -> DataFrame:
-    """One row per (key, day): count, sum, mean and centred second moment, max, the set of kinds seen and,
-    with ``digital_kinds``, the digital amount (all from one aggregate)."""
+def daily_activity(events: DataFrame, key: str, ts: str, value: str, digital: Column | None = None) -> DataFrame:
+    """One row per (key, day): count, sum, mean and centred second moment, max and, with ``digital`` (a
+    condition), the digital amount (all from one aggregate)."""
     v = F.col(value).cast("double")
     aggs = [F.count(F.lit(1)).alias("_cnt"), F.count(v).alias("_n"), F.sum(v).alias("_sum"), F.avg(v).alias("_mean"),
-            (F.var_pop(v) * F.count(v)).alias("_m2"),
-            F.max(v).alias("_max"), F.collect_set(F.col(kind)).alias("_kinds")]
-    if digital_kinds:
-        aggs.append(F.sum(F.when(F.col(kind).isin(*digital_kinds), v)).alias("_dig"))
+            (F.var_pop(v) * F.count(v)).alias("_m2"), F.max(v).alias("_max")]
+    if digital is not None:
+        aggs.append(F.sum(F.when(digital, v)).alias("_dig"))
     return events.groupBy(F.col(key).alias(key), F.to_date(F.col(ts)).alias("day")).agg(*aggs)
 
 
@@ -47,17 +49,24 @@ def trailing_features(events: DataFrame, key: str = "user_id", ts: str = "ts", v
     kinds (diversity), trend (slope of the daily amount per day) and, when
     ``digital_kinds`` is given, the share of digital amount.
 
-    The kinds set per day is bounded by the number of kinds, so the window's union of sets
-    stays small.
+    The distinct kinds come from an interval sweep over sightings (``snapshots.distinct_in_window``), at
+    any number of kinds.  Events without key or time take no part.
     """
-    daily = daily_activity(events, key, ts, value, kind, digital_kinds).withColumn("_d", F.unix_date("day"))
-    # squares are taken around the key's own mean: sums of raw squares lose all digits of a small
+    known = events.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    daily = daily_activity(known, key, ts, value, F.col(kind).isin(*digital_kinds) if digital_kinds else None).withColumn("_d", F.unix_date("day"))
+    seen = known.select(key, F.to_date(F.col(ts)).alias("day"), F.col(kind).alias("_kind")).distinct()
+    for d in windows:
+        daily = distinct_in_window(seen, daily, key, "_kind", F.date_add("day", int(d))).withColumnRenamed("total", f"n_kinds_{d}d")
+    length = max(windows)
+    own = F.floor(F.col("_d") / length)
+    daily = daily.withColumn("_own", own).withColumn("_block", F.explode(F.array(own, own + 1)))
+    # squares are taken around the block's own mean: sums of raw squares lose all digits of a small
     # spread around a large value
-    whole = Window.partitionBy(key)
-    daily = daily.withColumn("_off", F.col("_mean") - F.sum("_sum").over(whole) / F.sum("_n").over(whole))
+    whole = Window.partitionBy(key, "_block")
+    daily = daily.withColumn("_off", F.col("_mean") - F.try_divide(F.sum("_sum").over(whole), F.sum("_n").over(whole)))
     out = [F.col(key), F.col("day")]
     for d in windows:
-        w = Window.partitionBy(key).orderBy("_d").rangeBetween(-(d - 1), 0)
+        w = Window.partitionBy(key, "_block").orderBy("_d").rangeBetween(-(d - 1), 0)
         n = F.sum("_cnt").over(w)
         s = F.sum("_sum").over(w)
         nv = F.sum("_n").over(w)
@@ -72,14 +81,15 @@ def trailing_features(events: DataFrame, key: str = "user_id", ts: str = "ts", v
             mean.alias(f"avg_value_{d}d"),
             F.sqrt(F.when(var < 0, F.lit(0.0)).otherwise(var)).alias(f"std_value_{d}d"),
             F.max("_max").over(w).alias(f"max_value_{d}d"),
-            F.size(F.array_distinct(F.flatten(F.collect_list("_kinds").over(w)))).cast("bigint").alias(f"n_kinds_{d}d"),
+            F.col(f"n_kinds_{d}d"),
             # trend: least-squares slope of the daily amount over the day number
             F.regr_slope("_sum", "_d").over(w).alias(f"trend_value_{d}d"),
         ]
         if digital_kinds:
             out.append(F.coalesce(F.try_divide(F.sum(F.coalesce("_dig", F.lit(0.0))).over(w), s), F.lit(0.0))
                        .alias(f"share_digital_{d}d"))
-    return daily.select(*out)
+    placed = daily.select("_own", "_block", *out)
+    return placed.where(F.col("_own") == F.col("_block")).drop("_own", "_block")
 
 
 def payment_features(payments: DataFrame, key: Sequence[str], ts: str, paid: str, due: str,
