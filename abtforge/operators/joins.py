@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Sequence, Union
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abtforge.operators.clean import KEY_CANONICAL, KEY_SOURCE, zero_fill_numeric
@@ -19,6 +19,11 @@ def _side(s: Side, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
     return s, list(keys)
 
 
+def type_of(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    kinds = dict(df.dtypes)
+    return [kinds[c] for c in cols]
+
+
 def duplicate_key_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key groups that occur more than once (one aggregate, partial on the map side)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
@@ -34,10 +39,36 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "right side")
 LABELS = ("var_rta", "target_final")
 
 
+def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = 0.02, tracked: int = 10_000) -> dict[int, int]:
+    """{hash of the key: pieces} for the keys that hold more than ``share`` of the rows.
+
+    One pass with a mergeable frequent-items sketch per task; nothing is shuffled by key.  At most
+    1 / ``share`` keys come to the driver.  The sketch never misses a key above rows / ``tracked``.
+    """
+    top = F.expr(f"approx_top_k(_h, {max(1, min(tracked, int(2 / share)))}, {tracked})")
+    found = df.select(F.xxhash64(*keys).alias("_h")).agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    return {t["item"]: min(1024, -(-t["count"] // max(1, int(share * found["n"])))) for t in found["top"] or [] if t["count"] > share * found["n"]}
+
+
+def _pieces(on: Sequence[str], heavy: dict[int, int]) -> Column:
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in heavy.items() for x in kv]), F.xxhash64(*on)), F.lit(1)).cast("long")
+
+
+def with_piece(df: DataFrame, on: Sequence[str], heavy: dict[int, int], name: str = "_piece") -> DataFrame:
+    """``df`` with the piece of its key that a row belongs to, by the hash of the whole row (0 if the key is not heavy)."""
+    hashed = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+    return df.withColumn(name, F.pmod(F.xxhash64(*hashed), _pieces(on, heavy)))
+
+
+def in_all_pieces(side: DataFrame, on: Sequence[str], heavy: dict[int, int], name: str = "_piece") -> DataFrame:
+    """``side`` with its rows of heavy keys once per piece."""
+    return side.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), _pieces(on, heavy) - 1)))
+
+
 def build_base_table(driver: DataFrame, sides: Sequence[Side], keys: Sequence[str] = KEY_CANONICAL,
                      drop_source_keys: Sequence[str] = KEY_SOURCE, fill_numeric: bool = True,
                      require_unique: bool = False, presence_flags: bool = False,
-                     not_filled: Sequence[str] = LABELS) -> DataFrame:
+                     not_filled: Sequence[str] = LABELS, hot_share: float | None = 0.02) -> DataFrame:
     """Left-join every side onto the driver table, in order, on the canonical keys.
 
     ``sides`` holds DataFrames (joined on ``keys``) or ``(DataFrame, keys)`` pairs for sides
@@ -49,12 +80,16 @@ def build_base_table(driver: DataFrame, sides: Sequence[Side], keys: Sequence[st
 
     Plan: the driver is shuffled once on ``keys`` and that partitioning is reused by every
     join on the same keys; AQE turns small sides into broadcast joins and splits skewed
-    partitions at run time.
+    partitions at run time.  A side at a coarser grain can meet a hot key, which AQE cannot split
+    where the side is aggregated on that key or a grouping follows: the driver's keys that hold more
+    than ``hot_share`` of its rows are counted first and joined in pieces (None: never).
     """
     keys = list(keys)
     df = driver.filter(F.col(keys[1]).isNotNull()) if len(keys) > 1 else driver
     flag_cols = []
     all_keys = set(keys) | set(drop_source_keys)
+    heavy: dict[tuple[str, ...], dict[int, int]] = {}
+    names = list(df.columns)
     for i, s in enumerate(sides):
         side, on = _side(s, keys)
         side = side.drop(*[c for c in drop_source_keys if c in side.columns and c not in on])
@@ -68,7 +103,20 @@ def build_base_table(driver: DataFrame, sides: Sequence[Side], keys: Sequence[st
             side = side.withColumn(flag, F.lit(1))
             flag_cols.append(flag)
         all_keys |= set(on)
-        df = df.join(side, on=on, how="left")
+        names += [c for c in side.columns if c not in on]
+        coarse = hot_share and set(on) < set(keys) and type_of(df, on) == type_of(side, on)
+        if coarse and tuple(on) not in heavy:
+            heavy[tuple(on)] = heavy_keys(driver, on, hot_share)
+            if heavy[tuple(on)]:
+                df = with_piece(df, on, heavy[tuple(on)], f"_piece_{'_'.join(on)}")
+        if coarse and heavy[tuple(on)]:
+            # all sides on these keys share the partitioning of the pieces
+            piece = f"_piece_{'_'.join(on)}"
+            df = df.join(in_all_pieces(side, on, heavy[tuple(on)], piece), on=[*on, piece], how="left")
+        else:
+            df = df.join(side, on=on, how="left")
+    if any(heavy.values()):
+        df = df.select(*[F.col(f"`{c}`") for c in names])
     if flag_cols:
         df = df.select(*[F.col(c) for c in df.columns if c not in flag_cols],
                        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in flag_cols])

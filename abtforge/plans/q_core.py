@@ -179,6 +179,25 @@ def base_table_left_joins(spark, d):
 
 
 # --------------------------------------------------------------------------- J2
+@register("base_table_hot_client", oracle="""
+WITH c AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'HOT' ELSE CAST(o_custkey AS VARCHAR) END AS num_doc_key, o_orderstatus, o_orderpriority, o_totalprice FROM orders),
+g AS (SELECT num_doc_key, count(*) AS n_obligaciones, max(o_totalprice) AS max_total FROM c GROUP BY num_doc_key),
+f AS (SELECT num_doc_key, min(o_orderpriority) AS prioridad_min FROM c WHERE o_orderstatus = 'F' GROUP BY num_doc_key)
+SELECT num_doc_key, count(*) AS n_filas, count(prioridad_min) AS n_con_f, max(n_obligaciones) AS n_obligaciones, max(max_total) AS max_total
+FROM c LEFT JOIN g USING (num_doc_key) LEFT JOIN f USING (num_doc_key) GROUP BY num_doc_key""")
+def base_table_hot_client(spark, d):
+    """A third of all obligations on one client; both sides are aggregated on the join key and a grouping follows."""
+    o = T.table(spark, d, "orders")
+    drv = o.select(F.when(F.col("o_orderkey") % 3 == 0, F.lit("HOT")).otherwise(F.col("o_custkey").cast("string")).alias("num_doc_key"),
+                   F.col("o_orderkey").cast("string").alias("obl17_key"), F.col("o_orderdate").cast("date").alias("f_analisis"),
+                   "o_orderstatus", "o_orderpriority", "o_totalprice")
+    clients = drv.groupBy("num_doc_key").agg(F.count(F.lit(1)).alias("n_obligaciones"), F.max("o_totalprice").alias("max_total"))
+    closed = drv.where("o_orderstatus = 'F'").groupBy("num_doc_key").agg(F.min("o_orderpriority").alias("prioridad_min"))
+    base = joins.build_base_table(drv, [(clients, ["num_doc_key"]), (closed, ["num_doc_key"])], keys=KEYS3, fill_numeric=False)
+    return base.groupBy("num_doc_key").agg(F.count(F.lit(1)).alias("n_filas"), F.count("prioridad_min").alias("n_con_f"),
+                                           F.max("n_obligaciones").alias("n_obligaciones"), F.max("max_total").alias("max_total"))
+
+
 @register("key_match_rate", oracle=S.with_(S.CLIENTES, S.CLIENTES_KEYS, S.ORDER_LINES, S.MORAS, S.TANQUE) + """
 , l AS (SELECT DISTINCT num_doc_key, obl17_key, f_analisis FROM clientes_k),
   lc AS (SELECT DISTINCT num_doc_key FROM clientes_k),
