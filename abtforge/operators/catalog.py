@@ -54,8 +54,25 @@ def channel_dimension(spark: SparkSession, rows: Sequence[tuple[str, str]] = CHA
     return spark.createDataFrame(list(rows), "canal string, canal_desc string")
 
 
-def _lit_in(c: Column, values: Sequence[str]) -> Column:
-    return c.isin(*values)
+def longest_code(tokens: Column, codes: Sequence[str]) -> Column:
+    """(start, n, code) of the longest code among the token spans of ``tokens``; NULL if there is none.
+
+    Every span of up to as many tokens as a code has is looked up in the set of codes, so the work grows
+    with the spans, whatever the number of codes.  Equal lengths go by the order of ``codes``, equal
+    codes by place.
+    """
+    codes = list(dict.fromkeys(codes))
+    most = max((c.count("_") + 1 for c in codes), default=1)
+    size = F.size(tokens)
+    text = lambda start, n: F.array_join(F.slice(tokens, start, n), "_")
+    from_start = lambda start: F.transform(F.sequence(F.lit(1), F.least(F.lit(most), size - start + 1)),
+                                           lambda n: F.struct(start.alias("start"), n.alias("n"), text(start, n).alias("code")))
+    spans = F.flatten(F.transform(F.sequence(F.lit(1), size), from_start))
+    known = F.filter(spans, lambda x: x["code"].isin(codes))
+    order = F.array(*[F.lit(c) for c in codes])
+    best = F.array_max(F.transform(known, lambda x: F.struct(F.length(x["code"]).alias("length"), (-F.array_position(order, x["code"])).alias("order"),
+                                                             (-x["start"]).alias("at"), x.alias("span"))))
+    return F.when(size > 0, best["span"])
 
 
 def parse_column_names(names: DataFrame, channels: Sequence[str], col: str = "col") -> DataFrame:
@@ -64,43 +81,24 @@ def parse_column_names(names: DataFrame, channels: Sequence[str], col: str = "co
     The channel is the longest code (ties: catalog order) found as a '_'-delimited block of
     what is left after stat and tipo; the rest is the operation ('none' when empty).
     """
-    name = F.col(col)
-    toks = F.split(name, "_")
-    last = F.element_at(toks, -1)
-    window = F.when(_lit_in(last, WINDOWS), last).otherwise(F.lit("none"))
-    body_toks = F.when(window != "none", F.slice(toks, 1, F.size(toks) - 1)).otherwise(toks)
-    is_smmlv = F.array_contains(body_toks, "smmlv")
-    t = F.filter(body_toks, lambda x: x != "smmlv")
-    first = F.try_element_at(t, F.lit(1))
-    stat = F.when(_lit_in(first, STATS), first)
-    second = F.try_element_at(t, F.lit(2))
+    last = F.element_at("_toks", -1)
+    step = names.select("*", F.split(F.col(col), "_").alias("_toks"))
+    step = step.select("*", F.when(last.isin(*WINDOWS), last).otherwise(F.lit("none")).alias("_window"))
+    step = step.withColumn("_toks", F.when(F.col("_window") != "none", F.slice("_toks", 1, F.size("_toks") - 1)).otherwise(F.col("_toks")))
+    step = step.select("*", F.array_contains("_toks", "smmlv").alias("_smmlv"), F.filter("_toks", lambda x: x != "smmlv").alias("_t"))
+    first, second = F.try_element_at("_t", F.lit(1)), F.try_element_at("_t", F.lit(2))
+    stat = F.when(first.isin(*STATS), first)
     # index (1-based) of the tipo token
-    tipo_at = F.when(stat == "trx", F.lit(2)).when(second == "trx", F.lit(3)).otherwise(F.lit(2))
-    tipo = F.try_element_at(t, tipo_at)
-    rest_len = F.greatest(F.size(t) - tipo_at, F.lit(0))
-    remaining = F.array_join(F.slice(t, tipo_at + 1, rest_len), "_")
-
-    ordered = sorted(channels, key=len, reverse=True)
-    canal = F.lit(None).cast("string")
-    operacion = F.lit(None).cast("string")
-    for ch in reversed(ordered):
-        hit = remaining.rlike(f"(^|_){ch}(_|$)")
-        stripped = F.regexp_replace(
-            F.regexp_replace(remaining, f"^(.*?)(?:^|_){ch}(?:_|$)(.*)$", "$1_$2"), "^_+|_+$", "")
-        canal = F.when(hit, F.lit(ch)).otherwise(canal)
-        operacion = F.when(hit, F.when(stripped == "", "none").otherwise(stripped)).otherwise(operacion)
-    operacion = F.coalesce(operacion, F.when(remaining == "", "none").otherwise(remaining))
-
-    parsed = names.select(
-        "*",
-        F.when(stat.isNotNull(), stat).alias("stat"),
-        F.when(stat.isNotNull(), tipo).alias("tipo"),
-        F.when(stat.isNotNull(), canal).alias("canal"),
-        F.when(stat.isNotNull(), operacion).alias("operacion"),
-        window.alias("window"),
-        is_smmlv.alias("is_smmlv"),
-    )
-    return parsed
+    step = step.select("*", stat.alias("_stat"), F.when(stat == "trx", F.lit(2)).when(second == "trx", F.lit(3)).otherwise(F.lit(2)).alias("_at"))
+    step = step.select("*", F.slice("_t", F.col("_at") + 1, F.greatest(F.size("_t") - F.col("_at"), F.lit(0))).alias("_rest"))
+    step = step.select("*", longest_code(F.col("_rest"), channels).alias("_span"))
+    start, after = F.col("_span.start"), F.col("_span.start") + F.col("_span.n")
+    without = F.concat(F.slice("_rest", F.lit(1), start - 1), F.slice("_rest", after, F.greatest(F.size("_rest") - after + 1, F.lit(0))))
+    operacion = F.coalesce(F.btrim(F.array_join(without, "_"), F.lit("_")), F.array_join("_rest", "_"))
+    has = F.col("_stat").isNotNull()
+    return step.select(*names.columns, F.col("_stat").alias("stat"), F.when(has, F.try_element_at("_t", "_at")).alias("tipo"),
+                       F.when(has, F.col("_span.code")).alias("canal"), F.when(has, F.when(operacion == "", "none").otherwise(operacion)).alias("operacion"),
+                       F.col("_window").alias("window"), F.col("_smmlv").alias("is_smmlv"))
 
 
 def describe_channels(parsed: DataFrame, dimension: DataFrame) -> DataFrame:

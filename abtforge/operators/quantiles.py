@@ -3,13 +3,15 @@
 Spark's ``percentile`` is exact but merges every distinct value of a column into one buffer in one
 task.  Here the values themselves are hardly shuffled at all:
 
-1. one scan keeps a mergeable quantile sketch per column (``percentile_approx``: bounded memory,
-   rank error at most n / accuracy) and reads from it, for every wanted quantile, a value surely
-   below and one surely above the rank;
+1. one scan keeps one mergeable quantile sketch per column (``percentile_approx``: bounded memory,
+   rank error at most n / accuracy) and reads from it, for every wanted quantile, a value expected
+   below and one expected above the rank;
 2. a second scan counts what lies below and above each bracket and keeps only the distinct values
    inside it, with counts - about 4 / accuracy of the rows - by map-side sums;
 3. the values of a bracket are ranked: range-partitioned into slices, tagged (``checkpoint`` fixes
-   the tag), running counts inside each slice plus the counts of all earlier slices.
+   the tag), running counts inside each slice plus the counts of all earlier slices;
+4. the counts prove each bracket: a rank that lies outside, whatever the sketch promised, is resolved
+   by one more scan with the side it lies on as its bracket.
 
 Interpolation is ``(hi - pos) * v_lo + (pos - lo) * v_hi`` as in Spark's ``percentile`` and other
 SQL engines' continuous quantile.  NULL values are ignored; a group without values gets no row.
@@ -17,9 +19,10 @@ SQL engines' continuous quantile.  NULL values are ignored; a group without valu
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from abtforge.session import ensure_checkpoint_dir
@@ -34,44 +37,46 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
 
 
 def brackets(long: DataFrame, by: Sequence[str], qs: Sequence[float], accuracy: int = ACCURACY, **more) -> DataFrame:
-    """(by..., _position, _lo, _hi, more...): arrays of values around each wanted rank, and any
+    """(by..., _position, _brackets, more...): an array of (q, lo, hi) around each wanted rank, and any
     further aggregates of ``value`` that the same scan can give.  A small written table: groups x
     quantiles."""
     ensure_checkpoint_dir(long.sparkSession)
     slack = 2.0 / accuracy
-    at = lambda side: F.percentile_approx("value", F.array(*[F.lit(min(1.0, max(0.0, q + side * slack))) for q in qs]), accuracy)
-    return (long.groupBy(*by, "_position").agg(at(-1).alias("_lo"), at(1).alias("_hi"), *[c.alias(n) for n, c in more.items()])
-            .checkpoint(eager=True))
+    ranks = [min(1.0, max(0.0, q + side * slack)) for side in (-1, 1) for q in qs]
+    found = long.groupBy(*by, "_position").agg(F.percentile_approx("value", F.array(*map(F.lit, ranks)), accuracy).alias("_at"), *[c.alias(n) for n, c in more.items()])
+    each = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.col("_at")[i].alias("lo"), F.col("_at")[i + len(qs)].alias("hi")) for i, q in enumerate(qs)])
+    return found.withColumn("_brackets", each).drop("_at").checkpoint(eager=True)
 
 
-def bracketed_distribution(long: DataFrame, bounds: DataFrame, by: Sequence[str], qs: Sequence[float],
-                           slices: int | None = None) -> DataFrame:
-    """(by..., _position, q, value, _c, _slice): per quantile the distinct values inside its bracket,
-    and one row each for all values below (as their maximum) and above (as their minimum).
+def bracketed_distribution(long: DataFrame, bounds: DataFrame, by: Sequence[str], slices: int | None = None) -> DataFrame:
+    """(by..., _position, q, cell, value, _c, _slice): per quantile the distinct values inside its bracket
+    (cell 1), and one row each for all values below (0, as their maximum) and above (2, as their minimum).
 
     The two outer rows also stand for the neighbour just outside the bracket, which an
-    interpolated rank may need.
+    interpolated rank may need.  A NULL end of a bracket is open.
     """
     keys = [*by, "_position"]
-    bounds = bounds.select(*keys, "_lo", "_hi")
+    bounds = bounds.select(*keys, "_brackets")
     # without further groups the bounds have one row per column
     joined = long.join(bounds if by else F.broadcast(bounds), keys)
-    side = lambda i: F.when(F.col("value") < F.col("_lo")[i], 0).when(F.col("value") > F.col("_hi")[i], 2).otherwise(1)
-    cells = joined.select(*keys, "value", F.explode(F.array(*[F.struct(F.lit(float(q)).alias("q"), side(i).alias("cell"))
-                                                              for i, q in enumerate(qs)])).alias("x"))
+    cell = lambda x: F.when(F.col("value") < x["lo"], 0).when(F.col("value") > x["hi"], 2).otherwise(1)
+    cells = joined.select(*keys, "value", F.explode(F.transform("_brackets", lambda x: F.struct(x["q"].alias("q"), cell(x).alias("cell")))).alias("x"))
     counted = cells.groupBy(*keys, "x.q", "x.cell", F.when(F.col("x.cell") == 1, F.col("value")).alias("_in")).agg(
         F.count(F.lit(1)).alias("_c"), F.max("value").alias("_max"), F.min("value").alias("_min"))
     value = F.when(F.col("cell") == 0, F.col("_max")).otherwise(F.col("_min"))
-    dist = counted.select(*keys, "q", value.alias("value"), "_c")
-    order = [F.col(k) for k in (*keys, "q", "value")]
+    dist = counted.select(*keys, "q", "cell", value.alias("value"), "_c")
+    order = [F.col(k) for k in (*keys, "q", "value", "cell")]
     ranged = dist.repartitionByRange(slices, *order) if slices else dist.repartitionByRange(*order)
     return ranged.withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
 
 
 def ranked_quantiles(dist: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys..., q, value): the interpolated value at rank q * (n - 1) of each distribution."""
+    """(keys..., q, value, _side): the interpolated value at rank q * (n - 1) of each distribution.
+
+    ``_side`` is -1 or 1 where the rank lies below or above its bracket, so that the value is not proven.
+    """
     groups = [*keys, "q"]
-    inside = Window.partitionBy(*groups, "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(*groups, "_slice").orderBy("value", "cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = dist.groupBy(*groups, "_slice").agg(F.sum("_c").alias("_st"))
     before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*groups, "_slice", F.coalesce(F.sum("_st").over(before), F.lit(0)).alias("_off"),
@@ -80,12 +85,31 @@ def ranked_quantiles(dist: DataFrame, keys: Sequence[str]) -> DataFrame:
     pos = (F.col("_n") - 1).cast("double") * F.col("q")
     end = F.col("_off") + F.col("_cum")
     holds = lambda rank: (rank >= end - F.col("_c")) & (rank < end)
+    beyond = lambda cell: F.coalesce(F.sum(F.when(F.col("cell") == cell, F.col("_c"))), F.lit(0))
     found = placed.groupBy(*groups).agg(F.max(pos).alias("_pos"), F.max(F.when(holds(F.floor(pos)), F.col("value"))).alias("_vlo"),
-                                        F.max(F.when(holds(F.ceil(pos)), F.col("value"))).alias("_vhi"))
+                                        F.max(F.when(holds(F.ceil(pos)), F.col("value"))).alias("_vhi"),
+                                        F.max("_n").alias("_n"), beyond(0).alias("_below"), beyond(2).alias("_above"))
     p = F.col("_pos")
     lo, hi = F.floor(p), F.ceil(p)
     value = F.when(lo == hi, F.col("_vlo")).otherwise((hi - p) * F.col("_vlo") + (p - lo) * F.col("_vhi"))
-    return found.select(*groups, value.cast("double").alias("value"))
+    side = F.when(lo < F.col("_below") - 1, -1).when(hi > F.col("_n") - F.col("_above"), 1).otherwise(0)
+    return found.select(*groups, value.cast("double").alias("value"), side.alias("_side"))
+
+
+def proven_quantiles(long: DataFrame, bounds: DataFrame, by: Sequence[str], slices: int | None = None) -> DataFrame:
+    """(by..., _position, q, value): ranks outside their bracket are resolved again, on the side they lie on."""
+    keys = [*by, "_position"]
+    found = ranked_quantiles(bracketed_distribution(long, bounds, by, slices), keys).checkpoint(eager=True)
+    missed = found.where("_side <> 0")
+    if missed.isEmpty():
+        return found.drop("_side")
+    each = bounds.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)], F.explode("_brackets").alias("_x"))
+    same = [F.col(k).eqNullSafe(F.col(f"_b{i}")) for i, k in enumerate(keys)]
+    open_side = F.struct(F.col("q"), F.when(F.col("_side") > 0, F.col("_x.hi")).alias("lo"), F.when(F.col("_side") < 0, F.col("_x.lo")).alias("hi"))
+    wider = missed.join(each, reduce(Column.__and__, same, F.col("q") == F.col("_x.q")))
+    wider = wider.groupBy(*keys).agg(F.collect_list(open_side).alias("_brackets"))
+    again = ranked_quantiles(bracketed_distribution(long, wider, by, slices), keys)
+    return found.where("_side = 0").drop("_side").unionByName(again.drop("_side"))
 
 
 def _named(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -99,8 +123,8 @@ def quantile_summary(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by
     by, cols = list(by), list(cols)
     long = long_values(df, cols, by)
     bounds = brackets(long, by, qs, accuracy, **more)
-    found = ranked_quantiles(bracketed_distribution(long, bounds, by, qs, slices), [*by, "_position"])
-    return _named(bounds.drop("_lo", "_hi"), cols), _named(found, cols)
+    found = proven_quantiles(long, bounds, by, slices)
+    return _named(bounds.drop("_brackets"), cols), _named(found, cols)
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str] = (),

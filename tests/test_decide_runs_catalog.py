@@ -52,6 +52,33 @@ def test_best_run_rules(spark):
         runs.require_best(runs.best_run(df.filter("run_id in ('null_auc', 'leaky')")))
 
 
+def test_longest_code_against_patterns(spark):
+    """Random names and 400 codes, against one pattern per code."""
+    import random
+    import re
+
+    rng = random.Random(4)
+    parts = ["app", "per", "pag", "suc", "tel", "ut", "c", "x1", "sv", "pyme", ""]
+    codes = list(dict.fromkeys("_".join(rng.choice(parts[:-1]) for _ in range(rng.randrange(1, 5))) for _ in range(400)))
+    names = ["_".join([rng.choice(["trx", "sum_trx", "avg", "other", "max_trx"]), rng.choice(["mnt", "cnt"]), *(rng.choice(parts) for _ in range(rng.randrange(0, 7)))])
+             + rng.choice(["", "_ult3", "_ult12", "_smmlv_ult6"]) for _ in range(500)] + ["", "_", "trx", "sum_trx", "trx_mnt", "ult3"]
+    some = rng.sample(codes, 40)
+    for chans in (codes, some, ["app"], []):
+        got = catalog.parse_column_names(spark.createDataFrame([(n, i) for i, n in enumerate(names)], "col string, span int"), chans).collect()
+        assert len(got) == len(names) and {r["col"]: r["span"] for r in got}
+        for r in got:
+            toks = [t for t in re.sub(r"(^|_)ult(3|6|9|12)$", "", r["col"]).split("_") if t != "smmlv"] if r["window"] != "none" else \
+                [t for t in r["col"].split("_") if t != "smmlv"]
+            if r["stat"] is None:
+                assert r["canal"] is r["operacion"] is None
+                continue
+            at = 2 if r["stat"] == "trx" or toks[1:2] != ["trx"] else 3
+            rest = "_".join(toks[at:])
+            canal = next((c for c in sorted(chans, key=len, reverse=True) if re.search(rf"(^|_){c}(_|$)", rest)), None)
+            left = re.sub(rf"(^|_){canal}(_|$)", "_", rest, count=1).strip("_") if canal else rest
+            assert (r["canal"], r["operacion"]) == (canal, left or "none"), r
+
+
 def test_parse_column_names(spark):
     names = spark.createDataFrame([(n,) for n in [
         "sum_trx_mnt_app_per_pag_pag_ult6", "trx_cnt_total", "avg_trx_cnt_suc_tel_ut_c_smmlv_ult12",

@@ -51,11 +51,28 @@ def test_quantiles_shuffle_only_brackets(spark):
 
     df = spark.range(200_000).select(F.col("id").cast("double").alias("x"))
     long = Q.long_values(df, ["x"])
-    dist = Q.bracketed_distribution(long, Q.brackets(long, [], [0.5, 0.9]), [], [0.5, 0.9])
+    dist = Q.bracketed_distribution(long, Q.brackets(long, [], [0.5, 0.9]), [])
     assert dist.count() < 2 * 200_000 * 8 / Q.ACCURACY + 4
     assert [r["_c"] for r in dist.agg(F.sum("_c").alias("_c")).collect()] == [400_000]
 
 
+@pytest.mark.parametrize("lo,hi", [(-5.0, -1.0), (300.0, 400.0), (10.0, 10.0), (90.0, 95.0), (None, 3.0), (60.0, None), (49.4, 49.6)])
+def test_brackets_that_miss_their_rank_still_give_the_exact_value(spark, lo, hi):
+    """Whatever a bracket says, the counts prove or refute it."""
+    from abtforge.operators import quantiles as Q
+
+    df = spark.range(1000).select((F.col("id") % 2).cast("string").alias("g"), (F.col("id") * 7 % 100 + 0.0).alias("x"), F.lit(2.5).alias("y"))
+    qs = [0.0, 0.1, 0.5, 0.505, 0.97, 1.0]
+    long = Q.long_values(df, ["x", "y"], ["g"])
+    wrong = F.array(*[F.struct(F.lit(q).alias("q"), F.lit(lo).cast("double").alias("lo"), F.lit(hi).cast("double").alias("hi")) for q in qs])
+    bounds = long.groupBy("g", "_position").count().select("g", "_position", wrong.alias("_brackets"))
+    got = {(r["g"], r["_position"], r["q"]): r["value"] for r in Q.proven_quantiles(long, bounds, ["g"], 3).collect()}
+    for r in df.groupBy("g").agg(*[F.percentile(c, F.array(*[F.lit(q) for q in qs])).alias(c) for c in ("x", "y")]).collect():
+        for k, c in enumerate(("x", "y")):
+            assert [got[r["g"], k, q] for q in qs] == pytest.approx(r[c], rel=1e-12)
+    assert len(got) == 4 * len(qs)
+
+
 def test_default_slices_follow_the_data(spark):
     # no explicit slice count: results must equal Spark's percentile and brute-force AUC
     import random
