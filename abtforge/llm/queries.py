@@ -90,7 +90,8 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = """
 WITH RECURSIVE d AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size, md5(coalesce(text, '')) AS digest,
+         row_number() OVER (PARTITION BY doc_id, coalesce(text, '') ORDER BY source NULLS FIRST) - 1 AS turn FROM documents
 ), p AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS s,
          [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS w
@@ -114,7 +115,7 @@ WITH RECURSIVE d AS (
 ), j AS (
   SELECT d.doc_id, d.source, d.size, t.s AS source_size, t.target,
          CASE WHEN t.s > 0 THEN t.target / t.s ELSE 1.0 END AS rate,
-         CAST(CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 AS draw
+         CAST(CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || d.digest || ':' || d.turn), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 AS draw
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,
