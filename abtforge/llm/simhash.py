@@ -234,7 +234,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the smallest id, then the smallest text."""
     names = docs.columns
-    own = F.xxhash64("doc_id", "text").alias("_own")
+    # two hashes with different orders: rows are told apart by 128 bits and the id
+    own = F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64("text", "doc_id", F.lit(1)).alias("b")).alias("_own")
     rows = written(docs.select("doc_id", own, fingerprints(F.col("text"), shingle).alias("fp")), "simhash")
     linked = with_components(rows.select("fp").distinct(), max_bits)
     # copies meet by map-side minima before any join
@@ -243,4 +244,4 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
              .select(F.col("k.doc_id").alias("k_id"), F.col("k._own").alias("k_own")))
     plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col("doc_id").alias("_id"), own)
     kept = plain.join(first, (plain["_own"] == first["k_own"]) & plain["_id"].eqNullSafe(first["k_id"]))
-    return kept.dropDuplicates(["_own"]).select(*[F.col("_row").getField(c).alias(c) for c in names])
+    return kept.dropDuplicates(["_id", "_own"]).select(*[F.col("_row").getField(c).alias(c) for c in names])

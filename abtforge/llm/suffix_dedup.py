@@ -9,9 +9,10 @@ sort is split by content first:
    repeat inside a group of equal anchors; a text has about one anchor per 80 bytes.  All windows
    of one anchor are one *block* of text.  Anchors are found with prefix polynomial hashes and a
    sliding minimum, block-wise over arrays.
-2. Groups whose anchor occurs once are done.  Blocks that are equal as a whole (two independent
-   64-bit hashes) repeat as a whole: sums with map-side combining, so copies and very common
-   passages cost one row per task.
+2. Groups whose anchor occurs once are done.  Blocks that are equal as a whole (in the anchor's hash
+   and a 128-bit digest of the block and the anchor's place in it, which stands for the comparison of the
+   bytes) repeat as a whole: sums with map-side combining, so copies and very common passages cost one
+   row per task.
 3. The remaining distinct blocks of each group are suffix-sorted: a bottom-up mergesort orders
    them by the text from the anchor on, and once more by the text before it read backwards.  Two
    suffixes are compared by finding their common extension with a binary search over prefix
@@ -20,9 +21,11 @@ sort is split by content first:
    repeated windows.  Extensions that decide a removal are verified byte by byte.  Windows that
    no neighbour settles are compared by their own hash within the group.
 4. Groups of more than ``GROUP_LIMIT`` distinct blocks never go to one task: their windows are
-   counted one by one over the cluster, with the same result.
+   counted one by one over the cluster (by two independent 64-bit hashes), with the same result.
 
-Repeated windows go back to the rows as byte spans (joined on a row key, AQE splits hot keys).
+Repeated windows go back to the rows as byte spans, joined on a 64-bit key of id and text; keys that rows
+of different content share are found first and those rows get another hash, until none are shared.
+A table is deleted when its successors are written.
 
 Defined results: NULL text is empty; texts shorter than ``length`` lose nothing, and neither does
 text that occurs once; a row that is repeated as a whole counts as often as it occurs; strings are
@@ -40,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abtforge.llm.store import written
+from abtforge.llm.store import spent, written
 from abtforge.llm.textarrays import blocks, prefix_hash, span_hash
 
 LENGTH = 200
@@ -50,9 +53,31 @@ _PLACE_BITS = 24  # of a position inside a piece, beside the hash that ranks anc
 _PIECE = 1 << 22
 
 
-def row_key() -> Column:
-    """Key of a row's text: equal only for rows with equal id and text."""
-    return F.xxhash64("doc_id", "text")
+def row_key(shared: tuple[list[int], ...] = (), bits: int = 64) -> Column:
+    """Key of a row by id and text.  ``shared`` lists, seed by seed, the keys to be hashed anew."""
+    hashed = lambda seed: F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 64 - bits) if bits < 64 else F.xxhash64("doc_id", "text", F.lit(seed))
+    key = hashed(0)
+    for seed, keys in enumerate(shared, 1):
+        key = F.when(key.isin(keys), hashed(seed)).otherwise(key)
+    return key
+
+
+def exact_key(docs: DataFrame, bits: int = 64) -> Column:
+    """A ``row_key`` that no two rows of different id or text share.
+
+    A second hash tells rows of one key apart: one narrow aggregate per seed, nearly always one in all.
+    About rows^2 / 2^65 keys come to the driver.
+    """
+    shared: tuple[list[int], ...] = ()
+    for _ in range(64):
+        key = row_key(shared, bits)
+        other = F.xxhash64("text", "doc_id", F.lit("other"))
+        each = docs.select(key.alias("key"), other.alias("other")).groupBy("key").agg(F.min("other").alias("least"), F.max("other").alias("most"))
+        found = [r["key"] for r in each.where("least <> most").select("key").collect()]
+        if not found:
+            return key
+        shared += (found,)
+    raise ValueError("no key without collisions found")
 
 
 def _pieces(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -99,12 +124,12 @@ def find_anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     return hashes[anchor[change]], anchor[change], starts[change], last, row[starts[change]]
 
 
-_ANCHORS = "h long, full long, key long, at long, before int, windows int"
+_ANCHORS = "h long, full long, full2 long, key long, at long, before int, windows int"
 
 
 def _emit_anchors(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
+        digest = xxhash.xxh3_128_digest
         for batch in batches:
             keys = batch["key"].to_numpy(zero_copy_only=False)
             for block in blocks(batch["text"]):
@@ -114,11 +139,11 @@ def _emit_anchors(length: int, gram: int):
                         continue
                     raw = data.tobytes()
                     before = (anchor - lo).tolist()
-                    full = np.array([digest(raw[a:b], s) for a, b, s in zip(lo.tolist(), (hi + length).tolist(), before)], np.uint64)
+                    full = np.frombuffer(b"".join([digest(raw[a:b], s) for a, b, s in zip(lo.tolist(), (hi + length).tolist(), before)]), np.int64).reshape(-1, 2)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h.view(np.int64)), pa.array(full.view(np.int64)), pa.array(keys[block.first + first + row]),
+                        [pa.array(h.view(np.int64)), pa.array(full[:, 0]), pa.array(full[:, 1]), pa.array(keys[block.first + first + row]),
                          pa.array(anchor - offsets[row] + start[row]), pa.array((anchor - lo).astype(np.int32)),
-                         pa.array((hi - lo + 1).astype(np.int32))], ["h", "full", "key", "at", "before", "windows"])
+                         pa.array((hi - lo + 1).astype(np.int32))], ["h", "full", "full2", "key", "at", "before", "windows"])
 
     return run
 
@@ -335,19 +360,20 @@ def _one_by_one(length: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """key, spans (array of (b, e) byte spans, may overlap) of every row with a repeated window."""
+def repeated_spans(docs: DataFrame, key: Column, length: int = LENGTH, gram: int = GRAM, group_limit: int = GROUP_LIMIT) -> DataFrame:
+    """key, spans (distinct (b, e) byte spans, may overlap) of every row with a repeated window."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = docs.select(row_key().alias("key"), "text")
+    keyed = docs.select(key.alias("key"), "text")
     anchors = written(keyed.mapInArrow(_emit_anchors(length, gram), _ANCHORS), "anchors")
     # written, so that the join has a plain side and AQE can split an anchor that very many rows hold
     repeated = written(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"), "anchors-repeated")
     shared = written(anchors.join(repeated, "h"), "anchors-shared")
-    full = shared.groupBy("h", "full").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at", "before", "windows")).alias("one"))
+    spent(anchors, repeated)
+    full = shared.groupBy("h", "full", "full2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at", "before", "windows")).alias("one"))
     full = written(full, "anchors-blocks")
     # blocks that repeat as a whole
-    twice = full.where("n > 1").select("h", "full")
-    whole = shared.join(twice, ["h", "full"]).select("key", (F.col("at") - F.col("before")).alias("b"),
+    twice = full.where("n > 1").select("h", "full", "full2")
+    whole = shared.join(twice, ["h", "full", "full2"]).select("key", (F.col("at") - F.col("before")).alias("b"),
                                                      (F.col("at") - F.col("before") + F.col("windows") - 1 + length).alias("e"))
     # groups with different blocks: their distinct blocks, with text
     kinds = written(full.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "anchors-kinds")
@@ -363,7 +389,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     counted = window.groupBy("h", "d", "x", "y").agg(F.sum("n").alias("c")).where("c > 1").drop("c")
     single = window.where("n = 1").join(counted, ["h", "d", "x", "y"]).select("key", "b", (F.col("b") + length).alias("e"))
     every = whole.unionByName(sorted_).unionByName(single)
-    return every.groupBy("key").agg(F.collect_list(F.struct("b", "e")).alias("spans"))
+    # a set: equal rows share their key, and each span counts once however many copies there are
+    return every.groupBy("key").agg(F.collect_set(F.struct("b", "e")).alias("spans"))
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -384,15 +411,16 @@ def _kept(text: bytes, spans: list[tuple[int, int]]) -> list[bytes]:
     return [*parts, text[at:]]
 
 
-def _with_spans(docs: DataFrame, length: int, gram: int, group_limit: int) -> tuple[DataFrame, list[str]]:
+def _with_spans(docs: DataFrame, length: int, gram: int, group_limit: int, bits: int = 64) -> tuple[DataFrame, list[str]]:
     names = docs.columns
-    spans = repeated_spans(docs, length, gram, group_limit)
+    key = exact_key(docs, bits)
+    spans = repeated_spans(docs, key, length, gram, group_limit)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col("doc_id").alias("_id"),
-                       F.col("text").alias("_text"), row_key().alias("_key"))
+                       F.col("text").alias("_text"), key.alias("_key"))
     return rows.join(spans, rows["_key"] == spans["key"], "left").drop("key"), names
 
 
-def removal_report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def removal_report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_limit: int = GROUP_LIMIT, bits: int = 64) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per row of ``docs``."""
 
     @F.arrow_udf("n_removed long, n_spans long, kept_sha256 string")
@@ -408,7 +436,7 @@ def removal_report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
         return pa.array(out, pa.struct([("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]))
 
     rows = docs.select("doc_id", "text")
-    joined, _ = _with_spans(rows, length, gram, group_limit)
+    joined, _ = _with_spans(rows, length, gram, group_limit, bits)
     out = joined.select(F.col("_id").alias("doc_id"), F.coalesce(F.octet_length("_text"), F.lit(0)).cast("long").alias("n_bytes"),
                         measure(F.col("_text"), F.col("spans")).alias("m"))
     return out.select("doc_id", "n_bytes", "m.n_removed", "m.n_spans", "m.kept_sha256")

@@ -41,12 +41,32 @@ def passages():
 @pytest.mark.parametrize("limit", [50_000, 1])
 def test_removal_matches_brute_force(spark, make_docs, limit):
     rows = passages()
-    rows = [r for r in rows if r[0] != 6] + [(6, sentence(1, 900))]
     got = suffix_dedup.removal_report(make_docs(rows).repartition(3), group_limit=limit).collect()
     want = sorted((str(i), *x) for (i, _), x in zip(rows, brute_removal([t for _, t in rows])))
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
 
 
+def test_keys_that_collide_are_told_apart(make_docs):
+    """Keys of 7 bits: some rows share theirs with others."""
+    rows = [r for r in passages() if r[0] != 6] + [(40, sentence(900, 60))] * 3
+    docs = make_docs(rows).repartition(3)
+    assert len({r.k for r in docs.select(suffix_dedup.row_key(bits=7).alias("k")).collect()}) < len(set(rows))
+    keys = docs.select("doc_id", "text", suffix_dedup.exact_key(docs, bits=7).alias("k")).distinct().collect()
+    assert len({r.k for r in keys}) == len(keys) == len(set(rows))
+    got = suffix_dedup.removal_report(docs, bits=7).collect()
+    want = sorted((str(i), *x) for (i, _), x in zip(rows, brute_removal([t for _, t in rows])))
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
+
+
+def test_many_equal_rows_keep_short_span_lists(make_docs):
+    rows = [(5, sentence(3, 60))] * 400 + [(6, sentence(4, 60))]
+    docs = make_docs(rows).repartition(8)
+    spans = suffix_dedup.repeated_spans(docs, suffix_dedup.exact_key(docs)).collect()
+    assert len(spans) == 1 and len(spans[0].spans) < 12
+    got = suffix_dedup.removal_report(docs).collect()
+    assert {(r.doc_id, r.n_removed == r.n_bytes) for r in got} == {(5, True), (6, False)} and len(got) == 401
+
+
 def test_windows_that_only_several_partners_explain():
     """Left and right neighbours differ: the per-window comparison must find the third partner."""
     core, a, b, c, d = (sentence(i, 30).encode()[:80] for i in range(5))
@@ -120,7 +140,7 @@ def brute_components(values, ids):
 def test_near_duplicates_match_brute_force(make_docs):
     rows = [(i, sentence(i // 4, 120) + (f" tail{i}" if i % 4 else "")) for i in range(40)]
     rows += [(100 + i, sentence(60, 80)) for i in range(30)]  # copies
-    rows += [(i and 500 + i, t) for i, t in AWKWARD if i != 6] + [(600, "One  two\tTHREE"), (601, "one two three")]
+    rows += [(i and 500 + i, t) for i, t in AWKWARD] + [(600, "One  two\tTHREE"), (601, "one two three")]
     values = [brute_fingerprint(t) for _, t in rows]
     want = sorted((str(i), f"{v:016x}", str(c)) for (i, _), v, c in zip(rows, values, brute_components(values, [i for i, _ in rows])))
     got = simhash.near_duplicates(make_docs(rows)).collect()
