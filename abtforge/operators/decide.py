@@ -100,9 +100,34 @@ def lookup_detail(dec: DataFrame, num_doc: str, obl17_key: str, date_col: str =
             .orderBy(F.desc_nulls_last(date_col)).limit(1))
 
 
-def lookup_by_obligation(dec: DataFrame, obl17_key: str, limit: int = 200) -> DataFrame:
-    """Decisions of one obligation, at most ``limit`` (1..5000)."""
+def obligation_index(dec: DataFrame) -> DataFrame:
+    """The second access path to decisions that are bucketed by client: the clients of every obligation.
+
+    Two narrow columns, one row per (obligation, client); stored bucketed and sorted by obligation.
+    """
+    return dec.where("obl17_key IS NOT NULL").select("obl17_key", "num_doc_key").distinct()
+
+
+def clients_of(index: DataFrame, obl17_key: str, limit: int = 5000) -> list[str | None]:
+    """The clients of one obligation in order, from one bucket of the index; more than ``limit`` is an error."""
+    found = index.filter(F.col("obl17_key") == _wanted(obl17_key, "obl17_key")).select("num_doc_key").distinct().limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"obligation {obl17_key!r} belongs to more than {limit} clients")
+    return sorted((r["num_doc_key"] for r in found), key=lambda c: (c is None, c))
+
+
+def lookup_by_obligation(dec: DataFrame, obl17_key: str, limit: int = 200, index: DataFrame | None = None) -> DataFrame:
+    """Decisions of one obligation, at most ``limit`` (1..5000).
+
+    With ``index`` (``obligation_index``, stored) the obligation's clients are looked up first, and of a
+    table bucketed by client only their buckets are read; without it the whole table is scanned.
+    """
     _check_limit(limit, 5000)
+    if index is not None:
+        clients = clients_of(index, obl17_key)
+        known = [c for c in clients if c is not None]
+        hit = F.col("num_doc_key").isin(known) if known else F.lit(False)
+        dec = dec.filter(hit | F.col("num_doc_key").isNull() if None in clients else hit)
     return (dec.filter(F.col("obl17_key") == _wanted(obl17_key, "obl17_key"))
             .orderBy(F.desc_nulls_last("f_analisis"), "num_doc_key").limit(limit))
 

@@ -141,14 +141,20 @@ def refresh(spark: SparkSession, scores: DataFrame, policy: str = "eq_1", thresh
     """Decisions (saved when a table name is given), counts, and the run metadata row.
 
     The saved decision table is bucketed and sorted by client key, so the lookups by client
-    read one bucket instead of the whole table.
+    read one bucket instead of the whole table; ``<decisions_table>_by_obligation`` (``index``), bucketed by
+    obligation, does the same for the lookups by obligation.
     """
+    index = None
     dec = decide.decisions(scores, policy=policy, threshold=threshold, policy_version=policy_version,
                            arrears_col=arrears_col)
     if decisions_table:
         tables.save_table(dec, decisions_table, database, mode="overwrite", path=table_path,
                           bucket_by=["num_doc_key"], buckets=buckets, sort_by=["num_doc_key", "obl17_key"])
         dec = spark.table(f"`{database}`.`{decisions_table}`")
+        by_obligation = f"{decisions_table}_by_obligation"
+        tables.save_table(decide.obligation_index(dec), by_obligation, database, mode="overwrite", path=f"{table_path}_by_obligation" if table_path else None,
+                          bucket_by=["obl17_key"], buckets=buckets, sort_by=["obl17_key", "num_doc_key"])
+        index = spark.table(f"`{database}`.`{by_obligation}`")
     meta_cols = [c for c in ("run_id", "auc_oot") if c in dec.columns]
-    return {"decisions": dec, "counts": decide.decision_counts(dec),
+    return {"decisions": dec, "index": index, "counts": decide.decision_counts(dec),
             "meta": dec.select(*meta_cols).limit(1) if meta_cols else None}

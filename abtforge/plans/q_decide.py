@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from abtforge.functions.numeric import fround
-
-from abtforge.operators import decide, features
+from abtforge.operators import decide, features, scoring
 from abtforge.plans import sql_standins as S
 from abtforge.plans import standins as T
 from abtforge.plans.registry import register
+from abtforge.session import work_dir
 
 THRESHOLDS = (0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 LOOKUP_OBLIGATION = "7"
@@ -63,15 +65,25 @@ def score_quantiles(spark, d):
 
 
 # --------------------------------------------------------------------------- P34
+def stored_decisions(spark, d) -> dict:
+    """Decision table bucketed by client with its index by obligation, as the scoring job leaves them."""
+    path = work_dir(spark, "lookup_decisions")
+    return scoring.refresh(spark, T.scores(spark, d), decisions_table=f"decisions_{uuid.uuid4().hex[:8]}", database="abt_lookups", table_path=path)
+
+
+def _columns(df):
+    return df.select(*[c.strip() for c in DEC_COLS.split(",")])
+
+
 @register("lookup_detail", oracle=DECISIONS_SQL + f"""
 SELECT {DEC_COLS} FROM dec
 WHERE obl17_key = '{LOOKUP_OBLIGATION}'
   AND num_doc_key = (SELECT min(num_doc_key) FROM dec WHERE obl17_key = '{LOOKUP_OBLIGATION}')
 ORDER BY f_analisis DESC NULLS LAST LIMIT 1""")
 def lookup_detail(spark, d):
-    dec = decision_frame(spark, d)
-    client = dec.filter(F.col("obl17_key") == LOOKUP_OBLIGATION).agg(F.min("num_doc_key")).first()[0]
-    return decide.lookup_detail(dec, client, LOOKUP_OBLIGATION).select(*[c.strip() for c in DEC_COLS.split(",")])
+    out = stored_decisions(spark, d)
+    client = decide.clients_of(out["index"], LOOKUP_OBLIGATION)[0]
+    return _columns(decide.lookup_detail(out["decisions"], client, LOOKUP_OBLIGATION))
 
 
 # --------------------------------------------------------------------------- P35, P36
@@ -80,16 +92,21 @@ SELECT {DEC_COLS} FROM dec
 WHERE num_doc_key = (SELECT min(num_doc_key) FROM dec WHERE obl17_key = '{LOOKUP_OBLIGATION}')
 ORDER BY score DESC, obl17_key, f_analisis DESC LIMIT 2000""")
 def lookup_client_topn(spark, d):
-    dec = decision_frame(spark, d)
-    client = dec.filter(F.col("obl17_key") == LOOKUP_OBLIGATION).agg(F.min("num_doc_key")).first()[0]
-    return decide.lookup_by_client(dec, client, 2000).select(*[c.strip() for c in DEC_COLS.split(",")])
+    out = stored_decisions(spark, d)
+    client = decide.clients_of(out["index"], LOOKUP_OBLIGATION)[0]
+    return _columns(decide.lookup_by_client(out["decisions"], client, 2000))
 
 
 @register("lookup_obligation", oracle=DECISIONS_SQL + f"""
 SELECT {DEC_COLS} FROM dec WHERE obl17_key = '{LOOKUP_OBLIGATION}' ORDER BY f_analisis DESC, num_doc_key LIMIT 200""")
 def lookup_obligation(spark, d):
-    dec = decision_frame(spark, d)
-    return decide.lookup_by_obligation(dec, LOOKUP_OBLIGATION, 200).select(*[c.strip() for c in DEC_COLS.split(",")])
+    out = stored_decisions(spark, d)
+    return _columns(decide.lookup_by_obligation(out["decisions"], LOOKUP_OBLIGATION, 200, out["index"]))
+
+
+@register("obligation_index", oracle=S.with_(S.SCORES) + "SELECT DISTINCT obl17_key, num_doc_key FROM scores WHERE obl17_key IS NOT NULL")
+def obligation_index(spark, d):
+    return stored_decisions(spark, d)["index"]
 
 
 # --------------------------------------------------------------------------- K1, K3

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,10 +101,29 @@ def ingest_csv_files(spark: SparkSession, folder: str, mapping: Mapping[str, str
     return counts
 
 
-def table_exists(spark: SparkSession, database: str, table: str) -> bool:
+def _registered(spark: SparkSession, database: str, table: str) -> bool:
     return spark.catalog.tableExists(f"{database}.{table}")
 
 
+def _next_name(table: str) -> str:
+    return f"{table}__next"
+
+
+def recover_table(spark: SparkSession, database: str, table: str) -> bool:
+    """Finish a replacement that stopped between its last two steps; True if there was one.
+
+    ``<table>__next`` exists only after its rows were written and counted.
+    """
+    if _registered(spark, database, table) or not _registered(spark, database, _next_name(table)):
+        return False
+    spark.sql(f"ALTER TABLE `{database}`.`{_next_name(table)}` RENAME TO `{database}`.`{table}`")
+    return True
+
+
+def table_exists(spark: SparkSession, database: str, table: str) -> bool:
+    return _registered(spark, database, table) or recover_table(spark, database, table)
+
+
 def read_table(spark: SparkSession, table: str, database: str = "raw", *, refresh: bool = False,
                limit: int | None = None) -> DataFrame:
     """Scan a catalog table (S4); ``refresh`` drops cached file listings first."""
@@ -116,13 +136,51 @@ def read_table(spark: SparkSession, table: str, database: str = "raw", *, refres
     return df.limit(limit) if limit is not None else df
 
 
+def table_versions(spark: SparkSession, base: str) -> list[str]:
+    """The version folders of a table, oldest first."""
+    fs, p = _hadoop_fs(spark, base)
+    if not fs.exists(p):
+        return []
+    return sorted(x.getPath().toString() for x in fs.listStatus(p) if x.isDirectory() and x.getPath().getName().startswith("v_"))
+
+
+def _replace(df: DataFrame, table: str, database: str, base: str, keep_versions: int, options: Callable) -> None:
+    """Write a new version beside the current one, count it, then point the table's name to it."""
+    spark = df.sparkSession
+    version = f"{base}/v_{dt.datetime.now(dt.timezone.utc).strftime('%Y%m%dT%H%M%S%f')}_{uuid.uuid4().hex[:8]}"
+    stage = f"{table}__stage_{uuid.uuid4().hex[:8]}"
+    seen = Observation()
+    try:
+        options(df.observe(seen, F.count(F.lit(1)).alias("n"))).option("path", version).saveAsTable(f"`{database}`.`{stage}`")
+        stored = spark.table(f"`{database}`.`{stage}`").count()
+        if stored != seen.get["n"]:
+            raise RuntimeError(f"{database}.{table}: {seen.get['n']} rows written, {stored} rows stored; the old version stays")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{stage}`")
+        fs, p = _hadoop_fs(spark, version)
+        fs.delete(p, True)
+        raise
+    # all tables are external: these steps change names only
+    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{_next_name(table)}`")
+    spark.sql(f"ALTER TABLE `{database}`.`{stage}` RENAME TO `{database}`.`{_next_name(table)}`")
+    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
+    recover_table(spark, database, table)
+    for old in table_versions(spark, base)[:-1 - keep_versions]:
+        fs, p = _hadoop_fs(spark, old)
+        fs.delete(p, True)
+
+
 def save_table(df: DataFrame | None, table: str, database: str, *, mode: str = "skip",
                path: str | None = None, partition_by: Sequence[str] = (),
                bucket_by: Sequence[str] = (), buckets: int | None = None,
-               sort_by: Sequence[str] = ()) -> bool:
+               sort_by: Sequence[str] = (), keep_versions: int = 1) -> bool:
     """Write ``df`` as ``database.table``.
 
-    ``skip`` leaves an existing table alone; ``overwrite`` replaces it in one write.
+    ``skip`` leaves an existing table alone; ``overwrite`` replaces it.  Each write goes to a version
+    folder of its own under ``path`` (or the database's folder), is counted against the rows that
+    went in, and only then takes the table's name: a job that fails midway leaves the old table as it
+    was, and a job that dies between the last steps is finished by the next access.  ``df`` may read the table
+    that it replaces.  ``keep_versions`` older versions stay for readers that have begun.
     ``bucket_by``/``buckets``/``sort_by`` write a bucketed table: equality filters on the
     bucket column read one bucket, and joins on it need no shuffle of this side.
     Returns True when data was written.
@@ -139,20 +197,23 @@ def save_table(df: DataFrame | None, table: str, database: str, *, mode: str = "
         # one writer per partition value would put a hot value (a month with a third of the
         # rows) in one task; the rebalance hint lets AQE split such partitions evenly
         df = df.hint("rebalance", *partition_by)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if bucket_by:
         # one task per bucket: files are buckets, not tasks x buckets
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartition(n, *bucket_by)
-    w = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if bucket_by:
-        w = w.bucketBy(n, *bucket_by)
-        if sort_by:
-            w = w.sortBy(*sort_by)
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(f"`{database}`.`{table}`")
+
+    def options(frame: DataFrame):
+        w = frame.write.mode("overwrite").format("parquet")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        if bucket_by:
+            w = w.bucketBy(n, *bucket_by)
+            if sort_by:
+                w = w.sortBy(*sort_by)
+        return w
+
+    base = path or f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}"
+    _replace(df, table, database, base.rstrip("/"), keep_versions, options)
     return True
 
 
@@ -210,7 +271,8 @@ def list_tables(spark: SparkSession, database: str, pattern: str | None = None)
 
 def columns_by_type(spark: SparkSession, database: str) -> DataFrame:
     """(table_name, data_type, n_columns) of a layer (S14): metadata only."""
-    rows = [(t.name, c.dataType) for t in spark.catalog.listTables(database) for c in spark.catalog.listColumns(f"{database}.{t.name}")]
+    rows = [(t.name, c.dataType) for t in spark.catalog.listTables(database) if not t.isTemporary
+            for c in spark.catalog.listColumns(f"{database}.{t.name}")]
     found = spark.createDataFrame(rows, "table_name string, data_type string")
     return found.groupBy("table_name", "data_type").agg(F.count(F.lit(1)).alias("n_columns")).orderBy("table_name", "data_type")
 

@@ -126,5 +126,94 @@ def test_bucketed_write_has_one_file_per_bucket(spark):
     path = work_dir(spark, "t_files")
     df = spark.range(0, 4000, 1, 16).selectExpr("cast(id % 97 as string) as k", "id")
     tables.save_table(df, "t_files", "t_results", mode="overwrite", path=path, bucket_by=["k"], buckets=4, sort_by=["k"])
-    files = [f for f in os.listdir(path.replace("file:", "")) if f.endswith(".parquet")]
+    folder = tables.table_versions(spark, path)[-1]
+    files = [f for f in os.listdir(folder.replace("file:", "")) if f.endswith(".parquet")]
     assert len(files) == 4
+
+
+class _CountsOneMore(tables.Observation):
+    @property
+    def get(self):
+        return {"n": super().get["n"] + 1}
+
+
+def _scanned(df):
+    """Rows that the scan of a frame reads."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    while node.children().size() > 0:
+        node = node.children().apply(0)
+    return node.metrics().apply("numOutputRows").value()
+
+
+def _file_sizes(df):
+    return sorted(r["count"] for r in df.groupBy(F.input_file_name()).count().collect())
+
+
+def test_lookup_by_obligation_reads_one_bucket_of_each_table(spark):
+    import datetime as dt
+
+    from abtforge.operators import decide, scoring
+
+    rows = [(str(i % 400), str(i), dt.date(2024, 1, 1), "OOT", (i % 10) / 10.0) for i in range(4000)]
+    rows += [("shared1", "both", dt.date(2024, 1, 1), "OOT", 0.5), ("shared2", "both", dt.date(2024, 2, 1), "OOT", 0.6), (None, "both", dt.date(2024, 3, 1), "OOT", 0.7),
+             ("c", None, dt.date(2024, 3, 1), "OOT", 0.7)]
+    scores = spark.createDataFrame(rows, "num_doc_key string, obl17_key string, f_analisis date, split_group string, score double")
+    out = scoring.refresh(spark, scores, decisions_table="t_idx", database="t_results", table_path=work_dir(spark, "t_idx"), buckets=16)
+    plain = decide.lookup_by_obligation(out["decisions"], "77")
+    found = decide.lookup_by_obligation(out["decisions"], "77", index=out["index"])
+    assert [tuple(r) for r in found.collect()] == [tuple(r) for r in plain.collect()] and found.count() == 1
+    one_bucket = (decide.lookup_by_obligation(out["decisions"], "77", index=out["index"]), out["index"].where("obl17_key = '77'"))
+    for frame, stored in zip(one_bucket, (out["decisions"], out["index"])):
+        sizes = _file_sizes(stored)
+        assert len(sizes) == 16 and _scanned(frame) in sizes  # the rows of one file of sixteen
+    assert _scanned(decide.lookup_by_obligation(out["decisions"], "77")) == 4004
+    assert decide.clients_of(out["index"], "both") == ["shared1", "shared2", None]
+    assert [r["num_doc_key"] for r in decide.lookup_by_obligation(out["decisions"], "both", index=out["index"]).collect()] == [None, "shared2", "shared1"]
+    assert decide.lookup_by_obligation(out["decisions"], "absent", index=out["index"]).collect() == []
+    with pytest.raises(ValueError, match="more than 2 clients"):
+        decide.clients_of(out["index"], "both", limit=2)
+
+
+def test_a_failing_replacement_leaves_the_old_table(spark):
+    base = work_dir(spark, "t_crash")
+    save = lambda df: tables.save_table(df, "t_crash", "t_results", mode="overwrite", path=base)
+    save(spark.range(10).toDF("x"))
+    bad = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("dies midway"))).otherwise(F.col("id")).cast("long").alias("x"))
+    with pytest.raises(Exception, match="dies midway"):
+        save(bad)
+    assert spark.table("t_results.t_crash").count() == 10 and len(tables.table_versions(spark, base)) == 1
+    assert [t.name for t in spark.catalog.listTables("t_results") if t.name.startswith("t_crash")] == ["t_crash"]
+
+
+def test_replacement_that_dies_between_its_steps_is_finished(spark, monkeypatch):
+    base = work_dir(spark, "t_steps")
+    save = lambda df: tables.save_table(df, "t_steps", "t_results", mode="overwrite", path=base)
+    save(spark.range(3).toDF("x"))
+    monkeypatch.setattr(tables, "recover_table", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        save(spark.range(7).toDF("x"))
+    monkeypatch.undo()
+    assert not spark.catalog.tableExists("t_results.t_steps")  # the name is free, the new version is complete
+    assert tables.read_table(spark, "t_steps", "t_results").count() == 7
+    save(spark.range(8).toDF("x"))
+    assert tables.read_table(spark, "t_steps", "t_results").count() == 8 and len(tables.table_versions(spark, base)) == 2
+
+
+def test_replacement_is_counted_and_may_read_itself(spark, monkeypatch):
+    base = work_dir(spark, "t_self")
+    save = lambda df, **more: tables.save_table(df, "t_self", "t_results", mode="overwrite", path=base, **more)
+    save(spark.range(5).toDF("x"))
+    reader = spark.table("t_results.t_self")
+    for n in range(4):
+        save(tables.read_table(spark, "t_self", "t_results").selectExpr("x + 1 AS x"))
+    assert sorted(r.x for r in tables.read_table(spark, "t_self", "t_results").collect()) == [4, 5, 6, 7, 8]
+    assert len(tables.table_versions(spark, base)) == 2
+    save(spark.range(9).selectExpr("id AS y", "id % 2 AS p"), partition_by=["p"], keep_versions=0)  # other columns, partitioned
+    assert tables.read_table(spark, "t_self", "t_results").columns == ["y", "p"] and len(tables.table_versions(spark, base)) == 1
+    assert reader is not None
+    monkeypatch.setattr(tables, "Observation", _CountsOneMore)
+    with pytest.raises(RuntimeError, match="rows stored; the old version stays"):
+        save(spark.range(9).toDF("x"))
+    monkeypatch.undo()
+    assert tables.read_table(spark, "t_self", "t_results").count() == 9
