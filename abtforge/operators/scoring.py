@@ -128,7 +128,7 @@ def score_best(gold: DataFrame, runs_path: str, scores_table: str, database: str
     scored = model.score(mdl, ready, keep)
     out = decide.score_projection(scored, best["run_id"], metric, best["metrics"][metric],
                                   keys=[k for k in keep if k not in ("split_group", "target_final")])
-    tables.save_table(out, scores_table, database, mode="overwrite", path=table_path)
+    tables.save_table(out, scores_table, database, mode="overwrite", path=table_path, expected_rows=gold.count())
     saved = spark.table(f"`{database}`.`{scores_table}`")
     tables.create_view(decide.top_scores(saved, top_n), f"top_scores_{scores_table}")
     return saved
@@ -149,7 +149,7 @@ def refresh(spark: SparkSession, scores: DataFrame, policy: str = "eq_1", thresh
                            arrears_col=arrears_col)
     if decisions_table:
         tables.save_table(dec, decisions_table, database, mode="overwrite", path=table_path,
-                          bucket_by=["num_doc_key"], buckets=buckets, sort_by=["num_doc_key", "obl17_key"])
+                          bucket_by=["num_doc_key"], buckets=buckets, sort_by=["num_doc_key", "obl17_key"], expected_rows=scores.count())
         dec = spark.table(f"`{database}`.`{decisions_table}`")
         by_obligation = f"{decisions_table}_by_obligation"
         tables.save_table(decide.obligation_index(dec), by_obligation, database, mode="overwrite", path=f"{table_path}_by_obligation" if table_path else None,

@@ -12,7 +12,7 @@ import logging
 import uuid
 from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,7 +112,7 @@ def _next_name(table: str) -> str:
 def recover_table(spark: SparkSession, database: str, table: str) -> bool:
     """Finish a replacement that stopped between its last two steps; True if there was one.
 
-    ``<table>__next`` exists only after its rows were written and counted.
+    ``<table>__next`` exists only after it was written, read back and counted.
     """
     if _registered(spark, database, table) or not _registered(spark, database, _next_name(table)):
         return False
@@ -144,17 +144,18 @@ def table_versions(spark: SparkSession, base: str) -> list[str]:
     return sorted(x.getPath().toString() for x in fs.listStatus(p) if x.isDirectory() and x.getPath().getName().startswith("v_"))
 
 
-def _replace(df: DataFrame, table: str, database: str, base: str, keep_versions: int, options: Callable) -> None:
-    """Write a new version beside the current one, count it, then point the table's name to it."""
+def _replace(df: DataFrame, table: str, database: str, base: str, keep_versions: int, expected_rows: int | None, options: Callable) -> None:
+    """Write a new version beside the current one, check it, then point the table's name to it."""
     spark = df.sparkSession
     version = f"{base}/v_{dt.datetime.now(dt.timezone.utc).strftime('%Y%m%dT%H%M%S%f')}_{uuid.uuid4().hex[:8]}"
     stage = f"{table}__stage_{uuid.uuid4().hex[:8]}"
-    seen = Observation()
     try:
-        options(df.observe(seen, F.count(F.lit(1)).alias("n"))).option("path", version).saveAsTable(f"`{database}`.`{stage}`")
-        stored = spark.table(f"`{database}`.`{stage}`").count()
-        if stored != seen.get["n"]:
-            raise RuntimeError(f"{database}.{table}: {seen.get['n']} rows written, {stored} rows stored; the old version stays")
+        options(df).option("path", version).saveAsTable(f"`{database}`.`{stage}`")
+        stored = spark.table(f"`{database}`.`{stage}`").count()  # reads every file's footer
+        if not path_exists(spark, f"{version}/_SUCCESS"):
+            raise RuntimeError(f"{database}.{table}: the write was not committed; the old version stays")
+        if expected_rows is not None and stored != expected_rows:
+            raise RuntimeError(f"{database}.{table}: {expected_rows} rows expected, {stored} rows stored; the old version stays")
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{stage}`")
         fs, p = _hadoop_fs(spark, version)
@@ -173,13 +174,13 @@ def _replace(df: DataFrame, table: str, database: str, base: str, keep_versions:
 def save_table(df: DataFrame | None, table: str, database: str, *, mode: str = "skip",
                path: str | None = None, partition_by: Sequence[str] = (),
                bucket_by: Sequence[str] = (), buckets: int | None = None,
-               sort_by: Sequence[str] = (), keep_versions: int = 1) -> bool:
+               sort_by: Sequence[str] = (), keep_versions: int = 1, expected_rows: int | None = None) -> bool:
     """Write ``df`` as ``database.table``.
 
     ``skip`` leaves an existing table alone; ``overwrite`` replaces it.  Each write goes to a version
-    folder of its own under ``path`` (or the database's folder), is counted against the rows that
-    went in, and only then takes the table's name: a job that fails midway leaves the old table as it
-    was, and a job that dies between the last steps is finished by the next access.  ``df`` may read the table
+    folder of its own under ``path`` (or the database's folder), is read back and counted (against
+    ``expected_rows``, where given), and only then takes the table's name: a job that fails midway leaves the
+    old table as it was, and a job that dies between the last steps is finished by the next access.  ``df`` may read the table
     that it replaces.  ``keep_versions`` older versions stay for readers that have begun.
     ``bucket_by``/``buckets``/``sort_by`` write a bucketed table: equality filters on the
     bucket column read one bucket, and joins on it need no shuffle of this side.
@@ -213,7 +214,7 @@ def save_table(df: DataFrame | None, table: str, database: str, *, mode: str = "
         return w
 
     base = path or f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}"
-    _replace(df, table, database, base.rstrip("/"), keep_versions, options)
+    _replace(df, table, database, base.rstrip("/"), keep_versions, expected_rows, options)
     return True
 
 

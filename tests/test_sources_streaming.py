@@ -131,12 +131,6 @@ def test_bucketed_write_has_one_file_per_bucket(spark):
     assert len(files) == 4
 
 
-class _CountsOneMore(tables.Observation):
-    @property
-    def get(self):
-        return {"n": super().get["n"] + 1}
-
-
 def _scanned(df):
     """Rows that the scan of a frame reads."""
     df.collect()
@@ -212,8 +206,11 @@ def test_replacement_is_counted_and_may_read_itself(spark, monkeypatch):
     save(spark.range(9).selectExpr("id AS y", "id % 2 AS p"), partition_by=["p"], keep_versions=0)  # other columns, partitioned
     assert tables.read_table(spark, "t_self", "t_results").columns == ["y", "p"] and len(tables.table_versions(spark, base)) == 1
     assert reader is not None
-    monkeypatch.setattr(tables, "Observation", _CountsOneMore)
-    with pytest.raises(RuntimeError, match="rows stored; the old version stays"):
+    with pytest.raises(RuntimeError, match="10 rows expected, 9 rows stored"):
+        save(spark.range(9).toDF("x"), expected_rows=10)
+    monkeypatch.setattr(tables, "path_exists", lambda *a: False)
+    with pytest.raises(RuntimeError, match="not committed"):
         save(spark.range(9).toDF("x"))
     monkeypatch.undo()
+    assert len(tables.table_versions(spark, base)) == 1
     assert tables.read_table(spark, "t_self", "t_results").count() == 9
