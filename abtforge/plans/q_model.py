@@ -398,16 +398,81 @@ s AS (SELECT x.obl17_key, x.split_group,
 """
 
 
-def _stump(spark, d):
-    """Scores of every row by one depth-1 tree grown on TRAIN (no bootstrap, all features)."""
+def _one_tree(spark, d, depth: int):
+    """(fitted model, frame): one tree of ``depth`` levels grown on TRAIN (no bootstrap, all features)."""
     week = F.floor(F.col("mo_dias_mora") / 30).cast("double").alias("mo_dias_mora_w")
     frame = training_frame(spark, d).select("obl17_key", "split_group", F.coalesce((F.col("tq_sum_qty") > 100).cast("int"), F.lit(0)).alias("target_final"), F.col("mo_n_returned").cast("double").alias("mo_n_returned"),
                                             F.col("mo_n_open").cast("double").alias("mo_n_open"), week)
-    params = model.ForestParams(num_trees=1, max_depth=1, min_instances_per_node=1, balanced=False, bootstrap=False, median_relative_error=0.0)
-    fitted = model.fit_forest(frame.where("split_group = 'TRAIN'"), STUMP_FEATURES, "target_final", params)
+    params = model.ForestParams(num_trees=1, max_depth=depth, min_instances_per_node=1, balanced=False, bootstrap=False, median_relative_error=0.0)
+    return model.fit_forest(frame.where("split_group = 'TRAIN'"), STUMP_FEATURES, "target_final", params), frame
+
+
+def _stump(spark, d):
+    """Scores of every row by one depth-1 tree."""
+    fitted, frame = _one_tree(spark, d, 1)
     return model.score(fitted, frame, ["obl17_key", "split_group"])
 
 
+# A tree of two levels, its importances and the refresh with both labels.  The SQL grows level two
+# below the best split of level one (``best``) and merges leaves that decide alike, from the bottom.
+_OF = "CASE {f} " + " ".join(f"WHEN {i} THEN x.{c}" for i, c in enumerate(STUMP_FEATURES)) + " END"
+_GINI = "2.0 * (({p}) / ({n})) * (1 - ({p}) / ({n}))"
+_TREE_SQL = _STUMP_SQL + f""",
+x2 AS (SELECT x.*, CASE WHEN {_OF.format(f="b.feature")} <= b.v THEN 0 ELSE 1 END AS side FROM x, best b),
+l2 AS ({" UNION ALL ".join(f"SELECT side, {i} AS feature, {c} AS v, y FROM x2 WHERE split_group = 'TRAIN'" for i, c in enumerate(STUMP_FEATURES))}),
+v2 AS (SELECT side, feature, v, count(*) AS n, sum(y) AS p FROM l2 GROUP BY 1, 2, 3),
+c2 AS (SELECT side, feature, v, sum(n) OVER w AS nl, sum(p) OVER w AS pl, sum(n) OVER (PARTITION BY side, feature) AS n, sum(p) OVER (PARTITION BY side, feature) AS p
+       FROM v2 WINDOW w AS (PARTITION BY side, feature ORDER BY v)),
+g2 AS (SELECT *, {_GINI.format(p="p", n="n")} - (nl * {_GINI.format(p="pl", n="nl")} + (n - nl) * {_GINI.format(p="p - pl", n="(n - nl)")}) / n AS gain FROM c2 WHERE nl < n),
+k2 AS (SELECT *, row_number() OVER (PARTITION BY side ORDER BY round(gain, 12) DESC, feature, v) AS place FROM g2 WHERE gain > 1e-9),
+-- one row per child of the root: split again only if its two leaves decide differently
+h AS (SELECT DISTINCT c2.side, c2.n, c2.p, k.feature, k.v, k.nl, k.pl, k.gain, k.side IS NOT NULL AS again
+      FROM c2 LEFT JOIN (SELECT * FROM k2 WHERE place = 1 AND (pl * 2 > nl) <> ((p - pl) * 2 > n - nl)) k ON k.side = c2.side),
+r AS (SELECT b.feature, b.v, b.n, b.p, {_GINI.format(p="b.p", n="b.n")} - b.impurity AS gain,
+             bool_or(again) OR max(CASE WHEN h.p * 2 > h.n THEN 1 ELSE 0 END) <> min(CASE WHEN h.p * 2 > h.n THEN 1 ELSE 0 END) AS again
+      FROM best b, h GROUP BY ALL),
+s2 AS (SELECT x.obl17_key, x.split_group, CASE WHEN NOT r.again THEN r.p / r.n WHEN NOT h.again THEN h.p / h.n
+             WHEN {_OF.format(f="h.feature")} <= h.v THEN h.pl / h.nl ELSE (h.p - h.pl) / (h.n - h.nl) END AS score
+       FROM x2 x JOIN h ON h.side = x.side, r)
+"""
+
+
+@register("tree_scores", oracle=_TREE_SQL + "SELECT obl17_key, split_group, round(score, 6) AS score FROM s2")
+def tree_scores(spark, d):
+    fitted, frame = _one_tree(spark, d, 2)
+    return model.score(fitted, frame, ["obl17_key", "split_group"]).withColumn("score", r6(F.col("score")))
+
+
+@register("tree_importances", oracle=_TREE_SQL + f""",
+i AS (SELECT feature, gain * n AS g FROM r WHERE again UNION ALL SELECT h.feature, h.gain * h.n FROM h, r WHERE h.again AND r.again)
+SELECT f.name AS feature, round(coalesce(sum(g), 0) / greatest((SELECT sum(g) FROM i), 1e-300), 6) AS importance
+FROM (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(STUMP_FEATURES))}) f(k, name) LEFT JOIN i ON i.feature = f.k GROUP BY f.name""")
+def tree_importances(spark, d):
+    fitted, _ = _one_tree(spark, d, 2)
+    out = model.feature_importances(fitted, STUMP_FEATURES)
+    return out.select("feature", r6(F.col("importance")).alias("importance"))
+
+
+@register("tree_refresh", oracle=_TREE_SQL + """
+SELECT CASE WHEN score >= 0.5 THEN 'NO_ASIGNAR_GESTION' ELSE 'ASIGNAR_GESTION' END AS decision_label, split_group, count(*) AS n, round(min(score), 6) AS least, round(max(score), 6) AS most
+FROM s2 GROUP BY 1, 2""")
+def tree_refresh(spark, d):
+    """The refresh over a stored score table: decisions with both labels, read back from the decision table."""
+    import uuid
+
+    from abtforge.operators import scoring
+    from abtforge.sources import tables
+
+    fitted, frame = _one_tree(spark, d, 2)
+    keyed = model.score(fitted, frame.withColumn("num_doc_key", F.col("obl17_key")).withColumn("f_analisis", F.lit(None).cast("date")),
+                        ["num_doc_key", "obl17_key", "f_analisis", "split_group"])
+    name, base = uuid.uuid4().hex[:8], work_dir(spark, "tree_refresh")
+    tables.save_table(keyed, f"scores_{name}", "abt_tree", mode="overwrite", path=f"{base}/scores")
+    scores = tables.read_table(spark, f"scores_{name}", "abt_tree")
+    out = scoring.refresh(spark, scores, policy="threshold", threshold=0.5, policy_version="tree", decisions_table=f"decisions_{name}", database="abt_tree", table_path=f"{base}/decisions")
+    return out["decisions"].groupBy("decision_label", "split_group").agg(F.count(F.lit(1)).alias("n"), r6(F.min("score")).alias("least"), r6(F.max("score")).alias("most"))
+
+
 @register("stump_scores", oracle=_STUMP_SQL + "SELECT obl17_key, split_group, round(score, 6) AS score FROM s")
 def stump_scores(spark, d):
     return _stump(spark, d).select("obl17_key", "split_group", r6(F.col("score")).alias("score"))

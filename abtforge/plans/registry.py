@@ -52,7 +52,7 @@ def register(name: str, oracle: str | None = None):
 
 
 def _load() -> None:
-    from abtforge.plans import q_core, q_decide, q_model, q_selection, q_snapshots, q_wide  # noqa: F401
+    from abtforge.plans import q_core, q_decide, q_model, q_profile_state, q_selection, q_snapshots, q_traps, q_wide  # noqa: F401
 
 
 def queries() -> dict[str, Builder]:
