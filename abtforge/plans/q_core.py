@@ -125,7 +125,7 @@ def base_table(spark, d):
     """clientes LEFT JOIN its five sources: moras, tanque and excedentes by obligation, canales and
     gestiones by client."""
     cl = keyed_clientes(spark, d)
-    by_order = [T.with_keys(side(spark, d)) for side in (T.moras, T.tanque, T.excedentes)]
+    by_order = [T.with_keys(side) for side in T.stored_order_sides(spark, d)]
     ge = T.gestiones(spark, d).withColumn("num_doc_key", client_key("num_doc"))
     ca = build_compact(T.canales_wide(spark, d), T.WIDE_CONFIG)
     ca = ca.withColumn("num_doc_key", F.trim(F.col("num_doc")))

@@ -24,6 +24,7 @@ from abtforge.functions.keys import client_key, obligation_key
 from abtforge.functions.split import hash_split
 from abtforge.operators.catalog import CHANNEL_CATALOG
 from abtforge.operators.wide import Compaction
+from abtforge.session import work_dir
 
 # The event types of the driver's events table, and families that group them.
 EVENT_CHANNELS = ("click", "error", "purchase", "signup", "view")
@@ -68,8 +69,18 @@ def clientes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem aggregated per order, with the order's keys."""
+    return order_facts(spark, sf_dir).drop(*EXCEDENTES_COLS)
+
+
+EXCEDENTES_COLS = ("ex_avg_pago", "ex_max_pago", "ex_surplus", "ex_porc_pago")
+
+
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything that the order-level sources take from lineitem, from one aggregate: prices, flags,
+    delays and payments (paid = price less discount plus tax, against the price)."""
     li = table(spark, sf_dir, "lineitem")
     price = F.col("l_extendedprice")
+    paid = price * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
     agg = li.groupBy(F.col("l_orderkey").alias("_ok")).agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("l_quantity").alias("tq_sum_qty"),
@@ -82,6 +93,10 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.avg("l_discount").alias("mo_avg_disc"),
         F.max("l_tax").alias("mo_max_tax"),
         F.min("l_shipdate").alias("_first_ship"),
+        F.avg(paid).alias("ex_avg_pago"),
+        F.max(paid).alias("ex_max_pago"),
+        F.sum(F.greatest(paid - price, F.lit(0.0))).alias("ex_surplus"),
+        F.avg(F.try_divide(paid, price)).alias("ex_porc_pago"),
     )
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = agg.join(o, agg._ok == o.o_orderkey, "inner")
@@ -92,6 +107,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_lines", "tq_sum_qty", "tq_avg_price", "tq_min_price", "tq_max_price", "tq_std_price",
         "mo_n_returned", "mo_n_open", "mo_avg_disc", "mo_max_tax",
         F.datediff(F.col("_first_ship").cast("date"), F.col("o_orderdate").cast("date")).alias("mo_dias_mora"),
+        *EXCEDENTES_COLS,
     )
 
 
@@ -107,22 +123,21 @@ def moras(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_lines(spark, sf_dir).select("num_doc", "obl17", "f_analisis", *MORAS_COLS)
 
 
-EXCEDENTES_COLS = ("ex_avg_pago", "ex_max_pago", "ex_surplus", "ex_porc_pago")
 GESTIONES_COLS = ("ge_n_contactos", "ge_n_acuerdos", "ge_tasa_acuerdo", "ge_dias_activos")
 
 
 def excedentes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments per order: what was paid (price less discount plus tax) against the price."""
-    li = table(spark, sf_dir, "lineitem")
-    due = F.col("l_extendedprice")
-    paid = due * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
-    agg = li.groupBy(F.col("l_orderkey").alias("_ok")).agg(
-        F.avg(paid).alias("ex_avg_pago"), F.max(paid).alias("ex_max_pago"), F.sum(F.greatest(paid - due, F.lit(0.0))).alias("ex_surplus"),
-        F.avg(F.try_divide(paid, due)).alias("ex_porc_pago"))
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return agg.join(o, agg._ok == o.o_orderkey, "inner").select(
-        F.col("o_custkey").alias("num_doc"), F.col("o_orderkey").cast("double").alias("obl17"),
-        F.col("o_orderdate").cast("date").alias("f_analisis"), *EXCEDENTES_COLS)
+    return order_facts(spark, sf_dir).select("num_doc", "obl17", "f_analisis", *EXCEDENTES_COLS)
+
+
+def stored_order_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(moras, tanque, excedentes) as columns of one stored table, as the silver layer keeps them: lineitem is
+    aggregated and joined once."""
+    path = f"{work_dir(spark, 'order_sides')}/facts"
+    order_facts(spark, sf_dir).write.parquet(path)
+    facts = spark.read.parquet(path)
+    return tuple(facts.select("num_doc", "obl17", "f_analisis", *cols) for cols in (MORAS_COLS, TANQUE_COLS, EXCEDENTES_COLS))
 
 
 def gestiones(spark: SparkSession, sf_dir: str) -> DataFrame:
