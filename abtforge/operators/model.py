@@ -16,6 +16,7 @@ from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 
+from abtforge.operators.quantiles import exact_medians
 from abtforge.session import ensure_checkpoint_dir
 from pyspark.sql import functions as F
 
@@ -52,14 +53,23 @@ def class_weight_column(df: DataFrame, label: str, out: str = "_w") -> DataFrame
     return df.withColumn(out, F.when(y == 1, weight(n["one"])).otherwise(weight(n["zero"])))
 
 
+def _exact_median_row(data: DataFrame, features: Sequence[str]) -> DataFrame:
+    """One row with the median of every feature.
+
+    Without an allowed error the imputer's own summaries keep every value and are merged in one task; the row
+    stands for the data instead, since the median of one value is that value.
+    """
+    medians = exact_medians(data, features)
+    return data.sparkSession.createDataFrame([tuple(medians.get(f) for f in features)], ", ".join(f"`{f}` double" for f in features))
+
+
 def fit_forest(train: DataFrame, features: Sequence[str], label: str = "target_final",
                params: ForestParams = ForestParams()) -> PipelineModel:
     features = list(features)
     ensure_checkpoint_dir(train.sparkSession)
     imputed = [f"_imp_{i}" for i in range(len(features))]
+    imputer = Imputer(strategy="median", inputCols=features, outputCols=imputed, relativeError=params.median_relative_error)
     stages = [
-        Imputer(strategy="median", inputCols=features, outputCols=imputed,
-                relativeError=params.median_relative_error),
         VectorAssembler(inputCols=imputed, outputCol="_features", handleInvalid="keep"),
         RandomForestClassifier(featuresCol="_features", labelCol="_label", numTrees=params.num_trees,
                                maxDepth=params.max_depth, minInstancesPerNode=params.min_instances_per_node,
@@ -75,7 +85,8 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str = "target_f
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         data = class_weight_column(data, "_label") if params.balanced else data
-        return Pipeline(stages=stages).fit(data)
+        medians = data if params.median_relative_error else _exact_median_row(data, features)
+        return Pipeline(stages=[imputer.fit(medians), *stages]).fit(data)
     finally:
         data.unpersist()
 

@@ -70,8 +70,9 @@ def bracketed_distribution(long: DataFrame, bounds: DataFrame, by: Sequence[str]
     return ranged.withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
 
 
-def ranked_quantiles(dist: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys..., q, value, _side): the interpolated value at rank q * (n - 1) of each distribution.
+def ranked_quantiles(dist: DataFrame, keys: Sequence[str], interpolate: bool = True) -> DataFrame:
+    """(keys..., q, value, _side): the interpolated value at rank q * (n - 1) of each distribution, or
+    without ``interpolate`` the value at the rank below.
 
     ``_side`` is -1 or 1 where the rank lies below or above its bracket, so that the value is not proven.
     """
@@ -91,15 +92,15 @@ def ranked_quantiles(dist: DataFrame, keys: Sequence[str]) -> DataFrame:
                                         F.max("_n").alias("_n"), beyond(0).alias("_below"), beyond(2).alias("_above"))
     p = F.col("_pos")
     lo, hi = F.floor(p), F.ceil(p)
-    value = F.when(lo == hi, F.col("_vlo")).otherwise((hi - p) * F.col("_vlo") + (p - lo) * F.col("_vhi"))
+    value = F.col("_vlo") if not interpolate else F.when(lo == hi, F.col("_vlo")).otherwise((hi - p) * F.col("_vlo") + (p - lo) * F.col("_vhi"))
     side = F.when(lo < F.col("_below") - 1, -1).when(hi > F.col("_n") - F.col("_above"), 1).otherwise(0)
     return found.select(*groups, value.cast("double").alias("value"), side.alias("_side"))
 
 
-def proven_quantiles(long: DataFrame, bounds: DataFrame, by: Sequence[str], slices: int | None = None) -> DataFrame:
+def proven_quantiles(long: DataFrame, bounds: DataFrame, by: Sequence[str], slices: int | None = None, interpolate: bool = True) -> DataFrame:
     """(by..., _position, q, value): ranks outside their bracket are resolved again, on the side they lie on."""
     keys = [*by, "_position"]
-    found = ranked_quantiles(bracketed_distribution(long, bounds, by, slices), keys).checkpoint(eager=True)
+    found = ranked_quantiles(bracketed_distribution(long, bounds, by, slices), keys, interpolate).checkpoint(eager=True)
     missed = found.where("_side <> 0")
     if missed.isEmpty():
         return found.drop("_side")
@@ -108,7 +109,7 @@ def proven_quantiles(long: DataFrame, bounds: DataFrame, by: Sequence[str], slic
     open_side = F.struct(F.col("q"), F.when(F.col("_side") > 0, F.col("_x.hi")).alias("lo"), F.when(F.col("_side") < 0, F.col("_x.lo")).alias("hi"))
     wider = missed.join(each, reduce(Column.__and__, same, F.col("q") == F.col("_x.q")))
     wider = wider.groupBy(*keys).agg(F.collect_list(open_side).alias("_brackets"))
-    again = ranked_quantiles(bracketed_distribution(long, wider, by, slices), keys)
+    again = ranked_quantiles(bracketed_distribution(long, wider, by, slices), keys, interpolate)
     return found.where("_side = 0").drop("_side").unionByName(again.drop("_side"))
 
 
@@ -133,6 +134,15 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by:
     return quantile_summary(df, cols, qs, by, slices, accuracy)[1].select(*by, "column_name", "q", "value")
 
 
+def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    """{column: lower median} (the value at rank ceil(n / 2)) of the values that are neither NULL nor NaN; a
+    column without any is left out.  One number per column reaches the driver."""
+    cols = list(cols)
+    long = long_values(df, cols).filter(~F.isnan("value"))
+    found = proven_quantiles(long, brackets(long, [], [0.5]), [], interpolate=False)
+    return {cols[r["_position"]]: r["value"] for r in found.collect()}
+
+
 def approximate_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], accuracy: int, **more) -> DataFrame:
     """(column_name, _q array, more...) from one scan with bounded memory."""
     wanted = F.percentile_approx("value", F.array(*[F.lit(q) for q in qs]), accuracy)

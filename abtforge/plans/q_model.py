@@ -399,10 +399,14 @@ s AS (SELECT x.obl17_key, x.split_group,
 
 
 def _one_tree(spark, d, depth: int):
-    """(fitted model, frame): one tree of ``depth`` levels grown on TRAIN (no bootstrap, all features)."""
+    """(fitted model, frame): one tree of ``depth`` levels grown on TRAIN (no bootstrap, all features).  The frame is
+    stored: training and scoring read it, and the sources are joined once."""
     week = F.floor(F.col("mo_dias_mora") / 30).cast("double").alias("mo_dias_mora_w")
     frame = training_frame(spark, d).select("obl17_key", "split_group", F.coalesce((F.col("tq_sum_qty") > 100).cast("int"), F.lit(0)).alias("target_final"), F.col("mo_n_returned").cast("double").alias("mo_n_returned"),
                                             F.col("mo_n_open").cast("double").alias("mo_n_open"), week)
+    path = f"{work_dir(spark, 'one_tree')}/frame"
+    frame.write.parquet(path)
+    frame = spark.read.parquet(path)
     params = model.ForestParams(num_trees=1, max_depth=depth, min_instances_per_node=1, balanced=False, bootstrap=False, median_relative_error=0.0)
     return model.fit_forest(frame.where("split_group = 'TRAIN'"), STUMP_FEATURES, "target_final", params), frame
 

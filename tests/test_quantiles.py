@@ -113,3 +113,22 @@ def test_exact_quantiles_property(spark, values, qs, slices):
     ref = df.agg(F.percentile("x", F.array(*[F.lit(q) for q in qs]))).first()[0]
     for q, r in zip(qs, ref):
         assert got[q] == pytest.approx(r, rel=1e-9, abs=1e-9)
+
+
+def test_exact_medians_are_lower_medians_and_reach_the_imputer_as_one_row(spark, monkeypatch):
+    from pyspark.ml.feature import Imputer
+
+    from abtforge.operators import model
+    from abtforge.operators.quantiles import exact_medians
+
+    rng = random.Random(11)
+    rows = [(rng.choice([None, float("nan"), float(rng.randrange(9))]), rng.gauss(0, 1e6), None, i % 2) for i in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y int").repartition(5)
+    known = {c: sorted(r[i] for r in rows if r[i] is not None and r[i] == r[i]) for i, c in enumerate("ab")}
+    want = {c: v[(len(v) - 1) // 2] for c, v in known.items()}
+    assert exact_medians(df, ["a", "b", "c"]) == want
+    seen, fit = [], Imputer.fit
+    monkeypatch.setattr(Imputer, "fit", lambda self, data: (seen.append(data.count()), fit(self, data))[1])
+    params = model.ForestParams(num_trees=1, max_depth=1, balanced=False, bootstrap=False, median_relative_error=0.0)
+    fitted = model.fit_forest(df, ["a", "b"], "y", params)
+    assert seen == [1] and tuple(fitted.stages[0].surrogateDF.first()) == (want["a"], want["b"])
