@@ -3,20 +3,19 @@
 Every (key, snapshot date) row asks about the events of its key in the windows (S - m months, S].
 There is no range join:
 
-* events become one state per (key, day) and, added up, one per (key, calendar month).  A state holds
-  counts and sums that can be added: values are taken around the key's own mean and days from the
-  month's first, so that small spreads around large values keep their digits;
-* a window is cut at month ends into whole months, which meet the month states by equality of (key,
-  month), and at most two partial months, which meet the day states of that (key, month); the parts
-  are added per (key, snapshot);
-* the value as of the snapshot is carried forward in two levels: within a (key, month) from the
-  days before, and over the months of a key from the last of each;
+* events become one state per (key, day).  A state holds counts and sums that can be added: values are taken
+  around the key's own mean, so that small spreads around large values keep their digits, and days from the
+  key's first;
+* the snapshots join these states as further rows, and one window by key, ordered by day, answers everything:
+  a range frame per number of months and an open one for the latest value.  States and snapshots cross
+  the network once each;
 * the number of distinct kinds comes from an interval sweep: a sighting of a kind counts from its
   day until its next sighting or until it leaves the window, +1 at the start and -1 at the end, and the
-  running total at a snapshot is the number of kinds in its window.  No sets are kept.
+  running total at a snapshot is the number of kinds in its window.  All windows share one sweep; no sets
+  are kept.
 
-So a key with a third of all events spreads over its months, is partially aggregated before every
-shuffle, and no task holds more of it than the days of a month or the months of its history.
+So a key with a third of all events is partially aggregated before every shuffle, and no task holds more
+of it than the days of its history.
 
 Defined results: events without key or time take no part; a snapshot without events has counts 0 and
 NULL values; a snapshot row without key or date is kept like that too; repeated snapshot rows give one row.
@@ -72,34 +71,42 @@ def distinct_in_window(sightings: DataFrame, marks: DataFrame, key: str, kind: s
     return running_totals(spans.select(key, change.alias("_c")).select(key, "_c.day", "_c.delta"), marks, key)
 
 
-def last_as_of(states: DataFrame, marks: DataFrame, key: str, value: str) -> DataFrame:
-    """``marks`` (key, day, ...) with ``value``: that of the key's last day in ``states`` up to the mark's day."""
-    rest = [c for c in marks.columns if c not in (key, "day")]
-    both = states.select(key, "day", F.col(value).alias("_v"), F.lit(False).alias("_mark"), *[F.lit(None).cast(marks.schema[c].dataType).alias(c) for c in rest]).unionByName(
-        marks.select(key, "day", F.lit(None).cast(states.schema[value].dataType).alias("_v"), F.lit(True).alias("_mark"), *rest)).withColumn("_month", month_of(F.col("day")))
-    inside = Window.partitionBy(key, "_month").orderBy("day", "_mark").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy(key).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
-    months = both.groupBy(key, "_month").agg(F.max_by("_v", F.when(~F.col("_mark"), F.col("day"))).alias("_last"))
-    carried = months.select(key, "_month", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
-    placed = both.withColumn("_inside", F.last("_v", ignorenulls=True).over(inside)).where("_mark")
-    return placed.join(carried, [key, "_month"]).select(*marks.columns, F.coalesce("_inside", "_carry").alias(value))
+def distinct_in_windows(sightings: DataFrame, marks: DataFrame, key: str, kind: str, leaves: Mapping[str, Column]) -> DataFrame:
+    """``marks`` (key, day) with one column per window: distinct ``kind`` values seen in the window that ends on the day.
+
+    As ``distinct_in_window``, for several windows in one sweep: ``leaves`` maps an output name to the first day
+    whose window no longer holds a sighting's ``day``.  Changes are added up per day before the running totals.
+    """
+    names = list(leaves)
+    following = F.lead("day").over(Window.partitionBy(key, kind).orderBy("day"))
+    spans = sightings.where(F.col(kind).isNotNull()).withColumn("_next", following).select(
+        key, "day", *[F.least("_next", end).alias(f"_end_{n}") for n, end in leaves.items()])
+    change = lambda day, deltas: F.struct(day.alias("day"), *[F.lit(deltas.get(n, 0)).cast("long").alias(n) for n in names])
+    changes = F.explode(F.array(change(F.col("day"), dict.fromkeys(names, 1)), *[change(F.col(f"_end_{n}"), {n: -1}) for n in names]))
+    daily = spans.select(key, changes.alias("_c")).groupBy(key, "_c.day").agg(*[F.sum(f"_c.{n}").alias(n) for n in names])
+    both = daily.withColumn("_mark", F.lit(False)).unionByName(marks.select(key, "day", F.lit(True).alias("_mark")), allowMissingColumns=True)
+    until = Window.partitionBy(key).orderBy("day", "_mark").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = both.select(key, "day", "_mark", *[F.coalesce(F.sum(n).over(until), F.lit(0)).alias(n) for n in names])
+    return placed.where("_mark").drop("_mark")
 
 
 def day_states(events: DataFrame, key: str, ts: str, value: str, amounts: Mapping[str, Column], above: float) -> DataFrame:
-    """One addable state per (key, day), around the key's mean ``centre``."""
+    """What can be added of the events, per (key, day)."""
     v = F.col(value).cast("double")
     known = events.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-    days = known.groupBy(F.col(key).alias(key), F.to_date(F.col(ts)).alias("day")).agg(
+    return known.groupBy(F.col(key).alias(key), F.to_date(F.col(ts)).alias("day")).agg(
         F.count(F.lit(1)).alias("n"), F.count(v).alias("nv"), F.sum(v).alias("_sum"), F.avg(v).alias("_mean"), (F.var_pop(v) * F.count(v)).alias("_m2"),
         F.max(v).alias("mx"), F.count_if(v > above).alias("above"), F.max(F.struct(F.col(ts).alias("at"), v.alias("value"))).alias("last"),
         *[F.sum(c.cast("double")).alias(f"amount_{name}") for name, c in amounts.items()])
-    centres = days.groupBy(F.col(key).alias("_key")).agg(F.try_divide(F.sum("_sum"), F.sum("nv")).alias("centre"))
-    x, off = F.datediff("day", month_of(F.col("day"))), F.col("_mean") - F.col("centre")
-    days = days.join(centres, F.col(key) == F.col("_key")).withColumn("off", off)
-    return days.select(key, "day", month_of(F.col("day")).alias("month"), "centre", "last", "n", "nv", F.lit(1).cast("long").alias("days"), "mx", "above",
-                       (F.col("nv") * F.col("off")).alias("sy"), (F.col("_m2") + F.col("nv") * F.col("off") * F.col("off")).alias("syy"),
-                       (F.col("nv") * x).cast("double").alias("sx"), (F.col("nv") * x * x).cast("double").alias("sxx"),
-                       (F.col("nv") * x * F.col("off")).alias("sxy"), *[f"amount_{name}" for name in amounts])
+
+def centred(states: DataFrame, key: str) -> DataFrame:
+    """States with ``centre`` (the key's mean) and ``origin`` (its first day), and the sums around them."""
+    whole = Window.partitionBy(key)
+    out = states.withColumn("centre", F.try_divide(F.sum("_sum").over(whole), F.sum("nv").over(whole))).withColumn("origin", F.min(F.when(F.col("n") > 0, F.col("day"))).over(whole))
+    x, off = F.datediff("day", "origin"), F.col("_mean") - F.col("centre")
+    nv, seen = F.col("nv"), F.col("n") > 0
+    return out.withColumns({"days": F.when(seen, 1).cast("long"), "sy": nv * off, "syy": F.col("_m2") + nv * off * off,
+                            "sx": (nv * x).cast("double"), "sxx": (nv * x * x).cast("double"), "sxy": nv * x * off}).drop("_sum", "_mean", "_m2")
 
 
 def snapshot_panel(events: DataFrame, snapshots: DataFrame, key: str, ts: str, value: str, snapshot: str = "f_analisis",
@@ -113,38 +120,29 @@ def snapshot_panel(events: DataFrame, snapshots: DataFrame, key: str, ts: str, v
     event (the largest, if several share its time) and ``days_since``.
     """
     amounts = dict(amounts or {})
-    days = day_states(events, key, ts, value, amounts, above)
     sums = ["n", "nv", "days", "above", "sy", "syy", "sx", "sxx", "sxy", *[f"amount_{a}" for a in amounts]]
-    by_month = days.groupBy(key, "month").agg(*[F.sum(c).alias(c) for c in sums], F.max("mx").alias("mx"), F.max("centre").alias("centre"))
-    parts = days.select(key, "month", "day", "centre", "mx", *sums).unionByName(by_month.withColumn("day", F.lit(None).cast("date")).select(key, "month", "day", "centre", "mx", *sums))
-    parts = parts.withColumnRenamed(key, "_key")
-
     asked = snapshots.select(F.col(key).alias(key), F.to_date(F.col(snapshot)).alias("day")).distinct()
-    usable = asked.where(F.col(key).isNotNull() & F.col("day").isNotNull())
-    marks = last_as_of(days.select(key, "day", "last"), usable, key, "last")
+    marks = asked.where(F.col(key).isNotNull() & F.col("day").isNotNull())
+    kinds = [f"n_kinds_{m}m" for m in months] if kind else []
     if kind:
         seen = events.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, F.to_date(F.col(ts)).alias("day"), F.col(kind).alias("_kind")).distinct()
-        for m in months:
-            marks = distinct_in_window(seen, marks, key, "_kind", leaves_window(F.col("day"), m)).withColumnRenamed("total", f"n_kinds_{m}m")
+        marks = distinct_in_windows(seen, marks, key, "_kind", {n: leaves_window(F.col("day"), m) for n, m in zip(kinds, months)})
 
-    kinds = [f"n_kinds_{m}m" for m in months] if kind else []
-    wanted = marks.withColumn("m", F.explode(F.array(*[F.lit(int(m)) for m in months]))).withColumn("_from", F.add_months("day", -F.col("m")))
-    wanted = wanted.withColumn("_ask", F.explode(F.sequence(month_of(F.date_add("_from", 1)), month_of(F.col("day")), F.expr("INTERVAL 1 MONTH"))))
-    first, last = F.greatest(F.date_add("_from", 1), F.col("_ask")), F.least(F.col("day"), F.last_day("_ask"))
-    wanted = wanted.select(F.col(key), F.col("day").alias("_snapshot"), "m", "last", *kinds, "_ask", first.alias("_first"), last.alias("_last"))
-    wanted = wanted.withColumn("_whole", (F.col("_first") == F.col("_ask")) & (F.col("_last") == F.last_day("_ask")))
-    met = (F.col(key) == F.col("_key")) & (F.col("_ask") == F.col("month")) & (F.col("_whole") == F.col("day").isNull()) &         (F.col("_whole") | F.col("day").between(F.col("_first"), F.col("_last")))
-    joined = wanted.join(parts, met, "left")
-
-    # days are counted from the snapshot: shift the sums from the month's first day
-    shift = F.datediff("month", "_snapshot").cast("double")
-    total = {c: F.col(c) for c in sums} | {
-        "sx": F.col("sx") + F.col("nv") * shift, "sxx": F.col("sxx") + 2 * shift * F.col("sx") + F.col("nv") * shift * shift, "sxy": F.col("sxy") + shift * F.col("sy")}
-    aggregates = [F.first("last").alias("last"), F.max("centre").alias("centre"), *[F.first(k).alias(k) for k in kinds]]
+    days = day_states(events, key, ts, value, amounts, above)
+    both = centred(days.withColumn("_mark", F.lit(False)).unionByName(marks.withColumn("_mark", F.lit(True)), allowMissingColumns=True), key)
+    # a month interval can only be taken from a time; the window of m months begins on the day after the m-th month back
+    both = both.withColumn("_at", F.col("day").cast("timestamp_ntz"))
+    frame = f"OVER (PARTITION BY `{key}` ORDER BY _at RANGE BETWEEN {{}} PRECEDING AND CURRENT ROW)"
+    found = [F.expr(f"last(last, true) {frame.format('UNBOUNDED')}").alias("last")]
+    for m in months:
+        window = frame.format(f"CAST('{int(m)} months -1 days' AS INTERVAL)")
+        found += [F.expr(f"sum(`{c}`) {window}").alias(f"{c}_{m}") for c in sums] + [F.expr(f"max(mx) {window}").alias(f"mx_{m}")]
+    found = both.select(key, F.col("day").alias("_snapshot"), "_mark", "centre", "origin", *kinds, *found).where("_mark")
+    # days are counted from the snapshot: shift the sums from the key's first day
+    shift = F.datediff("origin", "_snapshot").cast("double")
     for m in months:
-        aggregates += [F.sum(F.when(F.col("m") == m, c)).alias(f"{name}_{m}") for name, c in total.items()]
-        aggregates.append(F.max(F.when(F.col("m") == m, F.col("mx"))).alias(f"mx_{m}"))
-    found = joined.groupBy(key, "_snapshot").agg(*aggregates)
+        nv, sx, sy = (F.col(f"{c}_{m}") for c in ("nv", "sx", "sy"))
+        found = found.withColumns({f"sx_{m}": sx + nv * shift, f"sxx_{m}": F.col(f"sxx_{m}") + 2 * shift * sx + nv * shift * shift, f"sxy_{m}": F.col(f"sxy_{m}") + shift * sy})
 
     out = [F.col(key), F.col("_snapshot").alias(snapshot), F.col("last.value").alias("last_value"), F.datediff("_snapshot", F.to_date("last.at")).alias("days_since")]
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")

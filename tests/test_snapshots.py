@@ -118,3 +118,17 @@ def test_a_hot_key_is_spread_over_its_months(spark):
     assert [r.total for r in got] == list(range(1, 4001))
     plan = snapshots.running_totals(days, marks, "k")._jdf.queryExecution().optimizedPlan().toString()
     assert "_month" in plan and plan.count("Window") == 2
+
+
+def test_panel_sends_states_and_snapshots_once(spark):
+    """One exchange each for day states, snapshots, sightings (by day, by kind), changes and the two windows; no join of windows with days."""
+    day = dt.date(2024, 1, 31)
+    frame = spark.createDataFrame([(1, dt.datetime(2023, 10, 31, 5), 2.0, "a"), (1, dt.datetime(2023, 11, 1, 5), 3.0, "a"), (1, dt.datetime(2024, 1, 31, 5), 7.0, "b")], "k long, at timestamp, v double, kind string")
+    snaps = spark.createDataFrame([(1, day), (1, day), (2, day)], "k long, f_analisis date")
+    panel = snapshots.snapshot_panel(frame, snaps, "k", "at", "v", kind="kind")
+    plan = panel._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan
+    assert panel._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 8
+    got = {r.k: r for r in panel.collect()}
+    assert (got[1].n_events_3m, got[1].n_kinds_3m, got[1].sum_value_3m, got[1].n_events_6m, got[1].n_kinds_6m) == (2, 2, 10.0, 3, 2)
+    assert (got[2].n_events_3m, got[2].n_kinds_6m, got[2].avg_value_6m, got[2].last_value) == (0, 0, None, None)
