@@ -95,18 +95,21 @@ def day_states(events: DataFrame, key: str, ts: str, value: str, amounts: Mappin
     v = F.col(value).cast("double")
     known = events.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
     return known.groupBy(F.col(key).alias(key), F.to_date(F.col(ts)).alias("day")).agg(
-        F.count(F.lit(1)).alias("n"), F.count(v).alias("nv"), F.sum(v).alias("_sum"), F.avg(v).alias("_mean"), (F.var_pop(v) * F.count(v)).alias("_m2"),
+        F.count(F.lit(1)).alias("n"), F.count(v).alias("nv"), F.sum(v).alias("_sum"), (F.var_pop(v) * F.count(v)).alias("_m2"),
         F.max(v).alias("mx"), F.count_if(v > above).alias("above"), F.max(F.struct(F.col(ts).alias("at"), v.alias("value"))).alias("last"),
         *[F.sum(c.cast("double")).alias(f"amount_{name}") for name, c in amounts.items()])
 
 def centred(states: DataFrame, key: str) -> DataFrame:
-    """States with ``centre`` (the key's mean) and ``origin`` (its first day), and the sums around them."""
+    """States with ``centre`` (near the key's mean) and ``origin`` (its first day), and the sums around them."""
     whole = Window.partitionBy(key)
-    out = states.withColumn("centre", F.try_divide(F.sum("_sum").over(whole), F.sum("nv").over(whole))).withColumn("origin", F.min(F.when(F.col("n") > 0, F.col("day"))).over(whole))
-    x, off = F.datediff("day", "origin"), F.col("_mean") - F.col("centre")
-    nv, seen = F.col("nv"), F.col("n") > 0
-    return out.withColumns({"days": F.when(seen, 1).cast("long"), "sy": nv * off, "syy": F.col("_m2") + nv * off * off,
-                            "sx": (nv * x).cast("double"), "sxx": (nv * x * x).cast("double"), "sxy": nv * x * off}).drop("_sum", "_mean", "_m2")
+    mean = F.try_divide(F.sum("_sum").over(whole), F.sum("nv").over(whole))
+    # few binary digits: differences and products of whole numbers stay exact, so that equal values have slope 0
+    near = F.when(F.abs(mean) < 1e38, mean.cast("float").cast("double")).otherwise(mean)
+    out = states.withColumn("centre", near).withColumn("origin", F.min(F.when(F.col("n") > 0, F.col("day"))).over(whole))
+    x, nv, seen = F.datediff("day", "origin"), F.col("nv"), F.col("n") > 0
+    out = out.withColumn("sy", F.col("_sum") - nv * F.col("centre"))
+    return out.withColumns({"days": F.when(seen, 1).cast("long"), "syy": F.col("_m2") + F.try_divide(F.col("sy") * F.col("sy"), nv),
+                            "sx": (nv * x).cast("double"), "sxx": (nv * x * x).cast("double"), "sxy": F.col("sy") * x}).drop("_sum", "_m2")
 
 
 def snapshot_panel(events: DataFrame, snapshots: DataFrame, key: str, ts: str, value: str, snapshot: str = "f_analisis",

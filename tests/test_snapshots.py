@@ -132,3 +132,11 @@ def test_panel_sends_states_and_snapshots_once(spark):
     got = {r.k: r for r in panel.collect()}
     assert (got[1].n_events_3m, got[1].n_kinds_3m, got[1].sum_value_3m, got[1].n_events_6m, got[1].n_kinds_6m) == (2, 2, 10.0, 3, 2)
     assert (got[2].n_events_3m, got[2].n_kinds_6m, got[2].avg_value_6m, got[2].last_value) == (0, 0, None, None)
+
+
+def test_equal_values_in_a_window_have_slope_zero(spark):
+    rows = [(1, dt.datetime(1992, 3, 4), 439.0), (1, dt.datetime(1994, 7, 9), 100.0), (1, dt.datetime(1999, 1, 17), 0.0), (1, dt.datetime(1999, 1, 18), 0.0), (1, dt.datetime(1999, 2, 17), 0.0)]
+    frame = spark.createDataFrame(rows, "k long, at timestamp, late double")
+    snaps = spark.createDataFrame([(1, dt.date(1999, 2, 18)), (1, dt.date(1999, 1, 18))], "k long, f_analisis date")
+    got = snapshots.arrears_features(frame, snaps, "k", "at", "late").collect()
+    assert [(r.tendencia_mora_3m, r.tendencia_mora_6m, r.dias_mora_promedio_3m) for r in got] == [(0.0, 0.0, 0.0)] * 2
