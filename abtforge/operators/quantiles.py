@@ -56,13 +56,22 @@ def bracketed_distribution(long: DataFrame, bounds: DataFrame, by: Sequence[str]
     interpolated rank may need.  A NULL end of a bracket is open.
     """
     keys = [*by, "_position"]
-    bounds = bounds.select(*keys, "_brackets")
+    most = bounds.select(F.max(F.size("_brackets"))).first()[0] or 1
+    each = range(most)
+    bounds = bounds.select(*keys, *[F.get("_brackets", F.lit(i)).alias(f"_x{i}") for i in each])
+    bounds = bounds.select(*keys, *[F.col(f"_x{i}.{end}").alias(f"_{end}{i}") for i in each for end in ("q", "lo", "hi")])
     # without further groups the bounds have one row per column
     joined = long.join(bounds if by else F.broadcast(bounds), keys)
-    cell = lambda x: F.when(F.col("value") < x["lo"], 0).when(F.col("value") > x["hi"], 2).otherwise(1)
-    cells = joined.select(*keys, "value", F.explode(F.transform("_brackets", lambda x: F.struct(x["q"].alias("q"), cell(x).alias("cell")))).alias("x"))
-    counted = cells.groupBy(*keys, "x.q", "x.cell", F.when(F.col("x.cell") == 1, F.col("value")).alias("_in")).agg(
+    cell = lambda i: F.when(F.col("value") < F.col(f"_lo{i}"), 0).when(F.col("value") > F.col(f"_hi{i}"), 2).otherwise(1)
+    placed = joined.select(*keys, "value", *[F.col(f"_q{i}") for i in each], *[cell(i).alias(f"_cell{i}") for i in each])
+    # one row per value into the first aggregate; only what it leaves is looked at per quantile
+    inside = reduce(Column.__or__, [(F.col(f"_cell{i}") == 1) & F.col(f"_q{i}").isNotNull() for i in each], F.lit(False))
+    first = placed.groupBy(*keys, *[f"_q{i}" for i in each], *[f"_cell{i}" for i in each], F.when(inside, F.col("value")).alias("_value")).agg(
         F.count(F.lit(1)).alias("_c"), F.max("value").alias("_max"), F.min("value").alias("_min"))
+    per = F.array(*[F.struct(F.col(f"_q{i}").alias("q"), F.col(f"_cell{i}").alias("cell")) for i in each])
+    cells = first.select(*keys, "_value", "_c", "_max", "_min", F.explode(per).alias("x")).where("x.q IS NOT NULL")
+    counted = cells.groupBy(*keys, "x.q", "x.cell", F.when(F.col("x.cell") == 1, F.col("_value")).alias("_in")).agg(
+        F.sum("_c").alias("_c"), F.max("_max").alias("_max"), F.min("_min").alias("_min"))
     value = F.when(F.col("cell") == 0, F.col("_max")).otherwise(F.col("_min"))
     dist = counted.select(*keys, "q", "cell", value.alias("value"), "_c")
     order = [F.col(k) for k in (*keys, "q", "value", "cell")]

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from abtforge.functions import names
 from abtforge.operators import decide, leakage, metrics, model, prep, runs, split
+from abtforge.session import compiled_methods
 from abtforge.sources import tables
 
 KEEP = ("num_doc", "obl17", "num_doc_key", "obl17_key", "f_analisis", "split_group", "target_final")
@@ -128,7 +129,8 @@ def score_best(gold: DataFrame, runs_path: str, scores_table: str, database: str
     scored = model.score(mdl, ready, keep)
     out = decide.score_projection(scored, best["run_id"], metric, best["metrics"][metric],
                                   keys=[k for k in keep if k not in ("split_group", "target_final")])
-    tables.save_table(out, scores_table, database, mode="overwrite", path=table_path, expected_rows=gold.count())
+    with compiled_methods(spark):
+        tables.save_table(out, scores_table, database, mode="overwrite", path=table_path, expected_rows=gold.count())
     saved = spark.table(f"`{database}`.`{scores_table}`")
     tables.create_view(decide.top_scores(saved, top_n), f"top_scores_{scores_table}")
     return saved

@@ -10,9 +10,15 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# Fixed value: the JVM interprets methods with more bytecode than this instead of compiling them.
+JIT_METHOD_BYTES = 8000
+
+
 def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "abtforge") -> SparkSession:
     spark = (
         SparkSession.builder.master(master)
@@ -57,3 +63,19 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location, unique per application and call."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/abtforge/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:8]}"
+
+
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """For jobs over many columns: Spark generates no method that the JVM would not compile.
+
+    One generated method per stage coerces and clips all columns of a wide table; beyond ``JIT_METHOD_BYTES`` it
+    is interpreted.  With the limit set, such stages use Spark's per-operator code, which is split.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(JIT_METHOD_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

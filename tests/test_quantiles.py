@@ -132,3 +132,19 @@ def test_exact_medians_are_lower_medians_and_reach_the_imputer_as_one_row(spark,
     params = model.ForestParams(num_trees=1, max_depth=1, balanced=False, bootstrap=False, median_relative_error=0.0)
     fitted = model.fit_forest(df, ["a", "b"], "y", params)
     assert seen == [1] and tuple(fitted.stages[0].surrogateDF.first()) == (want["a"], want["b"])
+
+
+def test_a_value_enters_the_bracket_scan_once_for_all_quantiles(spark):
+    from abtforge.operators import quantiles as Q
+    from abtforge.session import compiled_methods
+
+    df = spark.createDataFrame([(float(i % 97),) for i in range(400)], "x double")
+    long = Q.long_values(df, ["x"])
+    bounds = Q.brackets(long, [], [0.1, 0.5, 0.9], accuracy=100)
+    with compiled_methods(spark):
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+        dist = Q.bracketed_distribution(long, bounds, []).collect()
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") != "8000"
+    for q in (0.1, 0.5, 0.9):
+        mine = [r for r in dist if r.q == q]
+        assert sum(r._c for r in mine) == 400 and sum(r.cell != 1 for r in mine) <= 2
