@@ -9,7 +9,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
@@ -56,8 +55,9 @@ def class_weight_column(df: DataFrame, label: str, out: str = "_w") -> DataFrame
 def _exact_median_row(data: DataFrame, features: Sequence[str]) -> DataFrame:
     """One row with the median of every feature.
 
-    Without an allowed error the imputer's own summaries keep every value and are merged in one task; the row
-    stands for the data instead, since the median of one value is that value.
+    The imputer's own summaries are merged in one task, and without an allowed error they keep every value.  The row
+    stands for the data instead, since the median of one value is that value; an exact median is within any
+    allowed error.
     """
     medians = exact_medians(data, features)
     return data.sparkSession.createDataFrame([tuple(medians.get(f) for f in features)], ", ".join(f"`{f}` double" for f in features))
@@ -80,15 +80,11 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str = "target_f
                                checkpointInterval=params.checkpoint_interval),
     ]
     data = train.withColumn("_label", F.col(label).cast("double"))
-    # the class counts, the imputer and every tree level read the training rows: keep them
-    # (spilling to disk when memory is short; lost blocks are recomputed from lineage)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        data = class_weight_column(data, "_label") if params.balanced else data
-        medians = data if params.median_relative_error else _exact_median_row(data, features)
-        return Pipeline(stages=[imputer.fit(medians), *stages]).fit(data)
-    finally:
-        data.unpersist()
+    # The training rows are read from their (stored) table by each of the few passes and not cached: as numbers they are
+    # several times as large as the table, and MLlib keeps its own binned copy for the tree levels.
+    medians = _exact_median_row(data, features)
+    data = class_weight_column(data, "_label") if params.balanced else data
+    return Pipeline(stages=[imputer.fit(medians), *stages]).fit(data)
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], out: str = "score") -> DataFrame:

@@ -7,12 +7,12 @@ clipped by the same TRAIN bounds.
 
 from __future__ import annotations
 
-from typing import Mapping, Sequence
+from typing import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abtforge.functions.numeric import clip, finite_or_null, is_infinite, to_double
+from abtforge.functions.numeric import clip, finite_or_null, to_double
 
 # Key, split and target columns, which are never features.
 DEFAULT_EXCLUDE = ("num_doc", "obl17", "f_analisis", "split_group", "target_final", "var_rta",
@@ -36,11 +36,28 @@ def coerce_numeric(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ())
 
 def infinite_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column_name, n_inf): how many +-inf each column holds (text that parses to inf included)."""
-    from abtforge.operators.columnwise import column_stats
-
+    cols = list(cols)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, n_inf long")
     types = {f.name: f.dataType for f in df.schema.fields}
-    conv = df.select(*[to_double(F.col(f"`{c}`"), types[c]).alias(c) for c in cols])
-    return column_stats(conv, cols, {"n_inf": lambda x: F.count_if(is_infinite(x))}, empty={"n_inf": 0})
+    conv = df.select(F.array(*[to_double(F.col(f"`{c}`"), types[c]) for c in cols]).alias("_values"))
+    found = conv.mapInArrow(_infinite(len(cols)), "_position int, n long").groupBy("_position").agg(F.sum("n").alias("n_inf"))
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "_position int, column_name string")
+    return names.join(found, "_position", "left").select("column_name", F.coalesce("n_inf", F.lit(0).cast("long")).alias("n_inf"))
+
+
+def _infinite(width: int):
+    """mapInArrow body: how many +-inf the task's rows hold per column."""
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        n = np.zeros(width, np.int64)
+        for batch in batches:
+            n += np.isinf(batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width, dtype=np.int32)), pa.array(n)], ["_position", "n"])
+
+    return run
 
 
 def all_null_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:

@@ -13,6 +13,9 @@ task.  Here the values themselves are hardly shuffled at all:
 4. the counts prove each bracket: a rank that lies outside, whatever the sketch promised, is resolved
    by one more scan with the side it lies on as its bracket.
 
+Without further groups both scans take whole columns at a time (Arrow batches, sorted by numpy) instead of
+one row per value: a task keeps a thinned copy of each column for step 1 and the cells of step 2.
+
 Interpolation is ``(hi - pos) * v_lo + (pos - lo) * v_hi`` as in Spark's ``percentile`` and other
 SQL engines' continuous quantile.  NULL values are ignored; a group without values gets no row.
 """
@@ -20,7 +23,7 @@ SQL engines' continuous quantile.  NULL values are ignored; a group without valu
 from __future__ import annotations
 
 from functools import reduce
-from typing import Sequence
+from typing import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,6 +75,11 @@ def bracketed_distribution(long: DataFrame, bounds: DataFrame, by: Sequence[str]
     cells = first.select(*keys, "_value", "_c", "_max", "_min", F.explode(per).alias("x")).where("x.q IS NOT NULL")
     counted = cells.groupBy(*keys, "x.q", "x.cell", F.when(F.col("x.cell") == 1, F.col("_value")).alias("_in")).agg(
         F.sum("_c").alias("_c"), F.max("_max").alias("_max"), F.min("_min").alias("_min"))
+    return _sliced(counted, keys, slices)
+
+
+def _sliced(counted: DataFrame, keys: Sequence[str], slices: int | None) -> DataFrame:
+    """The cells of a bracket scan as (keys..., q, cell, value, _c, _slice), range-partitioned and tagged."""
     value = F.when(F.col("cell") == 0, F.col("_max")).otherwise(F.col("_min"))
     dist = counted.select(*keys, "q", "cell", value.alias("value"), "_c")
     order = [F.col(k) for k in (*keys, "q", "value", "cell")]
@@ -108,8 +116,12 @@ def ranked_quantiles(dist: DataFrame, keys: Sequence[str], interpolate: bool = T
 
 def proven_quantiles(long: DataFrame, bounds: DataFrame, by: Sequence[str], slices: int | None = None, interpolate: bool = True) -> DataFrame:
     """(by..., _position, q, value): ranks outside their bracket are resolved again, on the side they lie on."""
+    return _proven(lambda wanted: bracketed_distribution(long, wanted, by, slices), bounds, by, interpolate)
+
+
+def _proven(scan: Callable[[DataFrame], DataFrame], bounds: DataFrame, by: Sequence[str], interpolate: bool) -> DataFrame:
     keys = [*by, "_position"]
-    found = ranked_quantiles(bracketed_distribution(long, bounds, by, slices), keys, interpolate).checkpoint(eager=True)
+    found = ranked_quantiles(scan(bounds), keys, interpolate).checkpoint(eager=True)
     missed = found.where("_side <> 0")
     if missed.isEmpty():
         return found.drop("_side")
@@ -118,10 +130,174 @@ def proven_quantiles(long: DataFrame, bounds: DataFrame, by: Sequence[str], slic
     open_side = F.struct(F.col("q"), F.when(F.col("_side") > 0, F.col("_x.hi")).alias("lo"), F.when(F.col("_side") < 0, F.col("_x.lo")).alias("hi"))
     wider = missed.join(each, reduce(Column.__and__, same, F.col("q") == F.col("_x.q")))
     wider = wider.groupBy(*keys).agg(F.collect_list(open_side).alias("_brackets"))
-    again = ranked_quantiles(bracketed_distribution(long, wider, by, slices), keys, interpolate)
+    again = ranked_quantiles(scan(wider), keys, interpolate)
     return found.where("_side = 0").drop("_side").unionByName(again.drop("_side"))
 
 
+# Entries of all thinned columns of a task, and cells before it hands them on.
+THINNED_AT, CELLS_AT = 1 << 21, 1 << 20
+
+
+def _cuts(qs: Sequence[float], accuracy: int) -> list[float]:
+    """Ranks in (0, 1) at which a sorted column is cut: even steps, and ever finer ones towards each wanted rank."""
+    near = [k / (4.0 * accuracy) for k in range(17)]
+    while near[-1] < 1.0:
+        near.append(near[-1] * 1.05)
+    coarse = min(1000, accuracy)
+    at = {k / coarse for k in range(1, coarse)} | {q + side * d for q in qs for side in (-1, 1) for d in near}
+    return sorted(x for x in at if 0.0 < x < 1.0)
+
+
+def _columns(width: int):
+    """Function of a batch whose only column is an array of ``width`` numbers per row: each number's column without
+    NULLs.  A nested function, so that it travels with the task."""
+    def columns(batch) -> Iterator:
+        import numpy as np
+
+        flat = batch.column(0).flatten()
+        values = np.ascontiguousarray(flat.to_numpy(zero_copy_only=False).reshape(-1, width).T)
+        if not flat.null_count:
+            return iter(values)
+        there = flat.is_valid().to_numpy(zero_copy_only=False).reshape(-1, width).T
+        return (v[known] for v, known in zip(values, there))
+
+    return columns
+
+
+def _thinning(width: int, cuts: Sequence[float], most: int):
+    """mapInArrow body: per column the task's (_position, value, _w): one value for each run of neighbours, with their number."""
+    columns = _columns(width)
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        ranks, ends = np.array(cuts), {}
+        share = max(most // width, 2 * len(cuts))
+        kept = [[] for _ in range(width)]
+        size = [0] * width
+
+        def thinned(v, w):  # v in order
+            upto = np.cumsum(w)
+            start = np.unique(np.concatenate(([0], np.searchsorted(upto, ranks * upto[-1]))))
+            return v[(start + np.append(start[1:], len(v)) - 1) // 2], np.add.reduceat(w, start)
+
+        def merged(i):
+            v, w = (np.concatenate(x) for x in zip(*kept[i]))
+            order = np.argsort(v, kind="stable")
+            return thinned(v[order], w[order])
+
+        for batch in batches:
+            for i, v in enumerate(columns(batch)):
+                v = np.sort(v)
+                if not len(v):
+                    continue
+                if len(v) not in ends:
+                    ends = {len(v): thinned(np.arange(len(v)), np.ones(len(v), np.int64))}
+                at, w = ends[len(v)]
+                kept[i].append((v[at], w))
+                size[i] += len(at)
+                if size[i] > share:
+                    kept[i] = [merged(i)]
+                    size[i] = len(kept[i][0][0])
+        for i in range(width):
+            if kept[i]:
+                v, w = merged(i)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), i, np.int32)), pa.array(v), pa.array(w)], ["_position", "value", "_w"])
+
+    return run
+
+
+def _around(qs: Sequence[float], slack: float):
+    """applyInArrow body: (_position, q, lo, hi) of one column from the thinned copies of all tasks."""
+    def run(table):
+        import numpy as np
+        import pyarrow as pa
+
+        v, w = (table.column(c).to_numpy() for c in ("value", "_w"))
+        order = np.argsort(v, kind="stable")
+        v, upto = v[order], np.cumsum(w[order])
+        at = lambda rank, more: v[np.clip(np.searchsorted(upto, rank * upto[-1]) + more, 0, len(v) - 1)]
+        q = np.array(qs)
+        return pa.table({"_position": pa.array(np.full(len(q), table.column("_position")[0].as_py(), np.int32)), "q": pa.array(q), "lo": pa.array(at(q - slack, -1)), "hi": pa.array(at(q + slack, 1))})
+
+    return run
+
+
+def _cells(width: int, wanted: Mapping[int, Sequence[tuple]], most: int):
+    """mapInArrow body: (_position, q, cell, value, _c) as in ``bracketed_distribution``, summed per task."""
+    columns = _columns(width)
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        each = [(i, *x) for i, several in sorted(wanted.items()) for x in several]
+        below, above = [[0, None] for _ in each], [[0, None] for _ in each]
+        inside, pending = [[] for _ in each], 0
+
+        def rows(k, cell, v, c):
+            i, q = each[k][:2]
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(v), i, np.int32)), pa.array(np.full(len(v), q)), pa.array(np.full(len(v), cell, np.int32)), pa.array(v, pa.float64()), pa.array(c, pa.int64())],
+                                              ["_position", "q", "cell", "value", "_c"])
+
+        def found():
+            for k, parts in enumerate(inside):
+                if parts:
+                    v, c = (np.concatenate(x) for x in zip(*parts))
+                    v, back = np.unique(v, return_inverse=True)
+                    yield rows(k, 1, v, np.bincount(back, weights=c).astype(np.int64))
+                    parts.clear()
+
+        of = [[k for k, x in enumerate(each) if x[0] == i] for i in range(width)]
+        for batch in batches:
+            for k, v in ((k, v) for i, v in enumerate(columns(batch)) if of[i] for v in [np.sort(v) + 0.0] for k in of[i]):
+                # sorted, NaN last; 0.0 makes -0.0 the same value
+                lo, hi = each[k][2:]
+                a = 0 if lo is None else int(np.searchsorted(v, lo, "left"))
+                b = len(v) if hi is None else max(a, int(np.searchsorted(v, hi, "right")))
+                if a:
+                    below[k] = [below[k][0] + a, v[a - 1] if below[k][1] is None else np.sort([below[k][1], v[a - 1]])[1]]
+                if b < len(v):
+                    above[k] = [above[k][0] + len(v) - b, v[b] if above[k][1] is None else np.sort([above[k][1], v[b]])[0]]
+                if a < b:
+                    start = np.concatenate(([0], np.flatnonzero(v[a + 1:b] != v[a:b - 1]) + 1))
+                    inside[k].append((v[a:b][start], np.diff(np.append(start, b - a))))
+                    pending += len(start)
+            if pending > most:
+                yield from found()
+                pending = 0
+        yield from found()
+        for cell, sides in ((0, below), (2, above)):
+            for k, (n, value) in enumerate(sides):
+                if n:
+                    yield rows(k, cell, [value], [n])
+
+    return run
+
+
+def _column_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], slices: int | None = None, accuracy: int = ACCURACY,
+                      interpolate: bool = True) -> DataFrame:
+    """(_position, q, value) for DOUBLE columns: brackets and cells from two scans that take a column of a batch at a time."""
+    ensure_checkpoint_dir(df.sparkSession)
+    qs, keys = [float(q) for q in dict.fromkeys(qs)], ["_position"]
+    # one array per row crosses to the tasks' Python faster than a column each
+    values = df.select(F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias("_values"))
+    thin = values.mapInArrow(_thinning(len(cols), _cuts(qs, accuracy), THINNED_AT), "_position int, value double, _w long")
+    ends = thin.groupBy("_position").applyInArrow(_around(qs, 2.0 / accuracy), "_position int, q double, lo double, hi double")
+    bounds = ends.groupBy("_position").agg(F.collect_list(F.struct("q", "lo", "hi")).alias("_brackets")).checkpoint(eager=True)
+
+    def scan(wanted: DataFrame) -> DataFrame:
+        # columns x quantiles numbers reach the driver and travel with the tasks
+        at = {r["_position"]: [(x["q"], x["lo"], x["hi"]) for x in r["_brackets"]] for r in wanted.collect()}
+        cells = values.mapInArrow(_cells(len(cols), at, CELLS_AT), "_position int, q double, cell int, value double, _c long")
+        counted = cells.groupBy("_position", "q", "cell", F.when(F.col("cell") == 1, F.col("value")).alias("_in")).agg(
+            F.sum("_c").alias("_c"), F.max("value").alias("_max"), F.min("value").alias("_min"))
+        return _sliced(counted, keys, slices)
+
+    return _proven(scan, bounds, [], interpolate)
+
+
 def _named(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     names = df.sparkSession.createDataFrame(list(enumerate(cols)), "_position int, column_name string")
     return df.join(names, "_position").drop("_position")
@@ -140,6 +316,8 @@ def quantile_summary(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by
 def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str] = (),
                     slices: int | None = None, accuracy: int = ACCURACY) -> DataFrame:
     """(by..., column_name, q, value) for every column and quantile."""
+    if cols and not by:
+        return _named(_column_quantiles(df, cols, qs, slices, accuracy), cols).select("column_name", "q", "value")
     return quantile_summary(df, cols, qs, by, slices, accuracy)[1].select(*by, "column_name", "q", "value")
 
 
@@ -147,8 +325,11 @@ def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     """{column: lower median} (the value at rank ceil(n / 2)) of the values that are neither NULL nor NaN; a
     column without any is left out.  One number per column reaches the driver."""
     cols = list(cols)
-    long = long_values(df, cols).filter(~F.isnan("value"))
-    found = proven_quantiles(long, brackets(long, [], [0.5]), [], interpolate=False)
+    if not cols:
+        return {}
+    number = lambda c: F.col(f"`{c}`").cast("double")
+    present = df.select(*[F.when(~F.isnan(number(c)), number(c)).alias(f"_{i}") for i, c in enumerate(cols)])
+    found = _column_quantiles(present, present.columns, [0.5], interpolate=False)
     return {cols[r["_position"]]: r["value"] for r in found.collect()}
 
 

@@ -70,6 +70,13 @@ def train_and_log(gold: DataFrame, runs_path: str, model_path: str, experiment:
     split, infinite values per column of TRAIN (their sum), the gold table's name and the columns
     left out because of their type.
     """
+    # every pass over the wide table runs in methods that the JVM compiles
+    with compiled_methods(gold.sparkSession):
+        return _train_and_log(gold, runs_path, model_path, experiment, params, threshold, exclude, run_id, tags, gold_table)
+
+
+def _train_and_log(gold: DataFrame, runs_path: str, model_path: str, experiment: str, params: model.ForestParams, threshold: float,
+                   exclude: Sequence[str], run_id: str | None, tags: Mapping[str, str] | None, gold_table: str | None) -> TrainResult:
     spark = gold.sparkSession
     keep = [k for k in KEEP if k in gold.columns]
     names.require_columns(gold.columns, ["split_group", "target_final"], "the gold table")

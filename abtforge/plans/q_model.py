@@ -14,7 +14,7 @@ from abtforge.plans import standins as T
 from abtforge.plans.q_core import KEYS3, base_table, keyed_clientes
 from abtforge.plans.q_wide import compact_feature_names
 from abtforge.plans.registry import register
-from abtforge.session import work_dir
+from abtforge.session import compiled_methods, work_dir
 
 TRAIN_BEFORE, TEST_START, TEST_END = "1999-01-01", "1999-01-01", "2000-06-01"
 CLIP_COLS = ["tq_avg_price", "tq_max_price", "tq_std_price", "mo_dias_mora"]
@@ -322,7 +322,8 @@ def trained_run(spark, d):
     from abtforge.operators import scoring
 
     base = work_dir(spark, "forest")
-    gold_frame(spark, d).write.mode("overwrite").parquet(f"{base}/gold")
+    with compiled_methods(spark):
+        gold_frame(spark, d).write.mode("overwrite").parquet(f"{base}/gold")
     gold = spark.read.parquet(f"{base}/gold")
     return scoring.train_and_log(gold, f"{base}/model_runs", f"{base}/model", run_id="forest_run", gold_table="gold"), base, gold
 
