@@ -23,7 +23,7 @@ SQL engines' continuous quantile.  NULL values are ignored; a group without valu
 from __future__ import annotations
 
 from functools import reduce
-from typing import Callable, Iterator, Mapping, Sequence
+from typing import Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -116,12 +116,8 @@ def ranked_quantiles(dist: DataFrame, keys: Sequence[str], interpolate: bool = T
 
 def proven_quantiles(long: DataFrame, bounds: DataFrame, by: Sequence[str], slices: int | None = None, interpolate: bool = True) -> DataFrame:
     """(by..., _position, q, value): ranks outside their bracket are resolved again, on the side they lie on."""
-    return _proven(lambda wanted: bracketed_distribution(long, wanted, by, slices), bounds, by, interpolate)
-
-
-def _proven(scan: Callable[[DataFrame], DataFrame], bounds: DataFrame, by: Sequence[str], interpolate: bool) -> DataFrame:
     keys = [*by, "_position"]
-    found = ranked_quantiles(scan(bounds), keys, interpolate).checkpoint(eager=True)
+    found = ranked_quantiles(bracketed_distribution(long, bounds, by, slices), keys, interpolate).checkpoint(eager=True)
     missed = found.where("_side <> 0")
     if missed.isEmpty():
         return found.drop("_side")
@@ -130,7 +126,7 @@ def _proven(scan: Callable[[DataFrame], DataFrame], bounds: DataFrame, by: Seque
     open_side = F.struct(F.col("q"), F.when(F.col("_side") > 0, F.col("_x.hi")).alias("lo"), F.when(F.col("_side") < 0, F.col("_x.lo")).alias("hi"))
     wider = missed.join(each, reduce(Column.__and__, same, F.col("q") == F.col("_x.q")))
     wider = wider.groupBy(*keys).agg(F.collect_list(open_side).alias("_brackets"))
-    again = ranked_quantiles(scan(wider), keys, interpolate)
+    again = ranked_quantiles(bracketed_distribution(long, wider, by, slices), keys, interpolate)
     return found.where("_side = 0").drop("_side").unionByName(again.drop("_side"))
 
 
@@ -277,25 +273,32 @@ def _cells(width: int, wanted: Mapping[int, Sequence[tuple]], most: int):
 
 
 def _column_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], slices: int | None = None, accuracy: int = ACCURACY,
-                      interpolate: bool = True) -> DataFrame:
-    """(_position, q, value) for DOUBLE columns: brackets and cells from two scans that take a column of a batch at a time."""
+                      interpolate: bool = True) -> list[tuple[str, float, float]]:
+    """(column, q, value): brackets and cells from two scans that take a column of a batch at a time.
+
+    The brackets and what they prove, columns x quantiles numbers, reach the driver; the cells do not.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     qs, keys = [float(q) for q in dict.fromkeys(qs)], ["_position"]
     # one array per row crosses to the tasks' Python faster than a column each
     values = df.select(F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias("_values"))
     thin = values.mapInArrow(_thinning(len(cols), _cuts(qs, accuracy), THINNED_AT), "_position int, value double, _w long")
-    ends = thin.groupBy("_position").applyInArrow(_around(qs, 2.0 / accuracy), "_position int, q double, lo double, hi double")
-    bounds = ends.groupBy("_position").agg(F.collect_list(F.struct("q", "lo", "hi")).alias("_brackets")).checkpoint(eager=True)
+    ends = thin.groupBy("_position").applyInArrow(_around(qs, 2.0 / accuracy), "_position int, q double, lo double, hi double").collect()
 
-    def scan(wanted: DataFrame) -> DataFrame:
-        # columns x quantiles numbers reach the driver and travel with the tasks
-        at = {r["_position"]: [(x["q"], x["lo"], x["hi"]) for x in r["_brackets"]] for r in wanted.collect()}
+    def resolved(wanted: Mapping[tuple, tuple]) -> list:
+        at: dict[int, list[tuple]] = {}
+        for (i, q), (lo, hi) in wanted.items():
+            at.setdefault(i, []).append((q, lo, hi))
         cells = values.mapInArrow(_cells(len(cols), at, CELLS_AT), "_position int, q double, cell int, value double, _c long")
         counted = cells.groupBy("_position", "q", "cell", F.when(F.col("cell") == 1, F.col("value")).alias("_in")).agg(
             F.sum("_c").alias("_c"), F.max("value").alias("_max"), F.min("value").alias("_min"))
-        return _sliced(counted, keys, slices)
+        return ranked_quantiles(_sliced(counted, keys, slices), keys, interpolate).collect() if at else []
 
-    return _proven(scan, bounds, [], interpolate)
+    bounds = {(r["_position"], r["q"]): (r["lo"], r["hi"]) for r in ends}
+    found = resolved(bounds)
+    open_side = lambda lo, hi, side: (hi, None) if side > 0 else (None, lo)
+    missed = {(r["_position"], r["q"]): open_side(*bounds[r["_position"], r["q"]], r["_side"]) for r in found if r["_side"]}
+    return [(cols[r["_position"]], r["q"], r["value"]) for r in [*(r for r in found if not r["_side"]), *resolved(missed)]]
 
 
 def _named(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -317,7 +320,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by:
                     slices: int | None = None, accuracy: int = ACCURACY) -> DataFrame:
     """(by..., column_name, q, value) for every column and quantile."""
     if cols and not by:
-        return _named(_column_quantiles(df, cols, qs, slices, accuracy), cols).select("column_name", "q", "value")
+        return df.sparkSession.createDataFrame(_column_quantiles(df, list(cols), qs, slices, accuracy), "column_name string, q double, value double")
     return quantile_summary(df, cols, qs, by, slices, accuracy)[1].select(*by, "column_name", "q", "value")
 
 
@@ -329,8 +332,8 @@ def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
         return {}
     number = lambda c: F.col(f"`{c}`").cast("double")
     present = df.select(*[F.when(~F.isnan(number(c)), number(c)).alias(f"_{i}") for i, c in enumerate(cols)])
-    found = _column_quantiles(present, present.columns, [0.5], interpolate=False)
-    return {cols[r["_position"]]: r["value"] for r in found.collect()}
+    names = dict(zip(present.columns, cols))
+    return {names[c]: value for c, _, value in _column_quantiles(present, present.columns, [0.5], interpolate=False)}
 
 
 def approximate_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], accuracy: int, **more) -> DataFrame:
